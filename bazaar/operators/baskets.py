@@ -1,0 +1,96 @@
+"""Baskets and association rules.
+
+``pair_rules`` is the relational form (counts, a self join on the basket
+key, ratios); ``association_rules`` runs Spark ML's parallel FP-growth for
+itemsets of any length. Both keep only rules with a non-empty left side.
+
+Scale notes. Before any pair is formed, basket rows are cut to frequent
+items (Apriori): an item needs ``min_support * n_baskets`` baskets, so at
+most ``avg_basket_size / min_support`` items survive, a bound that depends on
+the threshold, not on the data volume. Pair counts are partially aggregated
+before their shuffle; a very large basket is split by AQE's skew-join
+handling instead of landing in one task.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def baskets(df: DataFrame, order_col: str, item_col: str, out: str = "items") -> DataFrame:
+    """One row per order with its distinct items, sorted.
+
+    ``collect_set`` holds distinct items only (duplicates are removed in the
+    map-side partial aggregate), as FP-growth requires.
+    """
+    clean = df.where(F.col(order_col).isNotNull() & F.col(item_col).isNotNull())
+    return clean.groupBy(order_col).agg(F.array_sort(F.collect_set(item_col)).alias(out))
+
+
+def _basket_count(pairs: DataFrame, order_col: str) -> int:
+    # one number to the driver: the support denominator
+    return pairs.select(F.countDistinct(order_col).alias("n")).first()["n"]
+
+
+def pair_rules(df: DataFrame, order_col: str, item_col: str, min_support: float,
+               min_confidence: float, min_lift: float = 1.0, digits: int = 9) -> DataFrame:
+    """Rules ``a -> b`` between single items.
+
+    support = baskets with a and b / baskets; confidence = support(ab) /
+    support(a); lift = confidence / support(b). Output: antecedent,
+    consequent, support, confidence, lift.
+    """
+    rows = (df.where(F.col(order_col).isNotNull() & F.col(item_col).isNotNull())
+            .select(F.col(order_col).alias("o"), F.col(item_col).alias("i")).distinct())
+    n = _basket_count(rows, "o")
+    if not n:
+        return _empty_rules(df, item_col)
+    item_counts = rows.groupBy("i").agg(F.count(F.lit(1)).alias("ci"))
+    frequent = item_counts.where(F.col("ci") / F.lit(float(n)) >= F.lit(min_support))
+    kept = rows.join(frequent.select("i"), "i", "left_semi")
+    a = kept.select("o", F.col("i").alias("a"))
+    b = kept.select("o", F.col("i").alias("b"))
+    pair_counts = (a.join(b, "o").where(F.col("a") < F.col("b"))
+                   .groupBy("a", "b").agg(F.count(F.lit(1)).alias("cab"))
+                   .where(F.col("cab") / F.lit(float(n)) >= F.lit(min_support)))
+    both = pair_counts.select(F.col("a").alias("x"), F.col("b").alias("y"), "cab").unionByName(
+        pair_counts.select(F.col("b").alias("x"), F.col("a").alias("y"), "cab"))
+    fx = frequent.select(F.col("i").alias("x"), F.col("ci").alias("cx"))
+    fy = frequent.select(F.col("i").alias("y"), F.col("ci").alias("cy"))
+    nn = F.lit(float(n))
+    rules = (both.join(fx, "x").join(fy, "y")
+             .select(F.col("x").alias("antecedent"), F.col("y").alias("consequent"),
+                     (F.col("cab") / nn).alias("support"),
+                     (F.col("cab") / F.col("cx")).alias("confidence"),
+                     ((F.col("cab") / F.col("cx")) / (F.col("cy") / nn)).alias("lift")))
+    rules = rules.where((F.col("confidence") >= F.lit(min_confidence)) & (F.col("lift") >= F.lit(min_lift)))
+    return rules.select("antecedent", "consequent", *[F.round(c, digits).alias(c)
+                                                      for c in ("support", "confidence", "lift")])
+
+
+def _empty_rules(df: DataFrame, item_col: str) -> DataFrame:
+    t = df.schema[item_col].dataType
+    return df.sparkSession.createDataFrame([], f"antecedent {t.simpleString()}, consequent "
+                                               f"{t.simpleString()}, support double, "
+                                               "confidence double, lift double")
+
+
+def association_rules(basket_df: DataFrame, items_col: str, min_support: float,
+                      min_confidence: float, min_lift: float = 1.0,
+                      num_partitions: int | None = None, digits: int = 9) -> DataFrame:
+    """R2: FP-growth rules (several items on the left, one on the right).
+
+    Output: antecedent and consequent as arrays, support, confidence, lift;
+    rules under ``min_lift`` are dropped. FP-growth partitions the
+    conditional trees by item across executors.
+    """
+    from pyspark.ml.fpm import FPGrowth
+
+    fp = FPGrowth(itemsCol=items_col, minSupport=min_support, minConfidence=min_confidence)
+    if num_partitions:
+        fp = fp.setNumPartitions(num_partitions)
+    model = fp.fit(basket_df.select(items_col))
+    rules = model.associationRules.where(F.col("lift") >= F.lit(min_lift))
+    return rules.select(F.array_sort("antecedent").alias("antecedent"), "consequent",
+                        *[F.round(c, digits).alias(c) for c in ("support", "confidence", "lift")])
