@@ -68,7 +68,9 @@ def clean_text(df: DataFrame, text_col: str, out_col: str = "clean_text",
 
     words = list(stopwords) if stopwords is not None else list(portuguese_stopwords())
     tmp_in, tmp_out = f"__{out_col}_tok", f"__{out_col}_kept"
-    tokenised = df.withColumn(tmp_in, tokens(text_col))
+    # the remover rejects a NULL array: NULL text tokenises as empty, the
+    # result is set back to NULL below
+    tokenised = df.withColumn(tmp_in, tokens(F.coalesce(F.col(text_col), F.lit(""))))
     remover = StopWordsRemover(inputCol=tmp_in, outputCol=tmp_out, stopWords=words,
                                caseSensitive=True)
     kept = remover.transform(tokenised)
