@@ -368,7 +368,7 @@ def q_recommend_or_default(spark, d):
     tune(spark)
     r = _ratings(spark, d)
     requests = _t(spark, d, "customer").select(F.col("c_custkey").alias("customer_id"))
-    nb = similar_users(r, K_NEIGHBOURS, "customer_id", "product_id", "rating", targets=requests)
+    nb = similar_users(r, K_NEIGHBOURS, "customer_id", "product_id", "rating")
     recs = recommend(r, nb, N_PRODUCTS, "customer_id", "product_id", "rating")
     out = recommend_or_default(requests, recs, popular_products(r), N_PRODUCTS,
                                "customer_id", "product_id")

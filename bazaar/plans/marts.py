@@ -236,10 +236,13 @@ def basket_rules(rows: DataFrame, min_support: float = 0.00003, min_confidence:
 
 
 def recommendations(ratings_df: DataFrame, requests: DataFrame, k: int = 5, n: int = 5,
-                    fallback: Sequence = FALLBACK_PRODUCTS) -> DataFrame:
+                    fallback: Sequence = FALLBACK_PRODUCTS, serve_only_requests: bool = False) -> DataFrame:
     """K neighbours -> n products per requested customer, fallback list
-    for customers the ratings table cannot serve."""
-    nb = similar_users(ratings_df, k, "customer_id", "product_id", "rating", targets=requests)
+    for customers the ratings table cannot serve. ``serve_only_requests``
+    computes neighbours for the requested customers only (work linear in
+    the ratings; use it for small request sets)."""
+    targets = requests if serve_only_requests else None
+    nb = similar_users(ratings_df, k, "customer_id", "product_id", "rating", targets=targets)
     recs = recommend(ratings_df, nb, n, "customer_id", "product_id", "rating")
     return recommend_or_default(requests, recs, fallback, n, "customer_id", "product_id")
 
