@@ -17,7 +17,7 @@ from bazaar.functions.columns import (
     elapsed_days, order_status_code, principal_category, review_score_class,
 )
 from bazaar.functions.text import clean_text
-from bazaar.operators.baskets import association_rules, baskets, pair_rules
+from bazaar.operators.rules import association_rules, baskets, pair_rules
 from bazaar.operators.neighbours import (
     recommend, recommend_or_default, similar_users, user_product_ratings,
 )

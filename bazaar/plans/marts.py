@@ -20,7 +20,7 @@ from bazaar.functions.columns import (
 from bazaar.operators.aggregates import (
     count_non_null, group_mean, group_sum, share_pct, value_counts, with_period,
 )
-from bazaar.operators.baskets import association_rules, baskets
+from bazaar.operators.rules import association_rules, baskets
 from bazaar.operators.joins import join_dimension
 from bazaar.operators.neighbours import (
     recommend, recommend_or_default, similar_users, user_product_ratings,
