@@ -49,10 +49,25 @@ def letters_only(text) -> Column:
     return F.regexp_replace(_c(text), LETTERS_PATTERN, " ")
 
 
+# Upper-case letters of the kept class and their lower-case forms, built by
+# rule: A-Z and U+00C0..U+00DE except U+00D7 (multiplication sign).
+_UPPER = "".join(chr(c) for c in range(ord("A"), ord("Z") + 1)) + "".join(
+    chr(c) for c in range(0xC0, 0xDF) if c != 0xD7)
+_LOWER = _UPPER.lower()
+
+
 def tokens(text) -> Column:
-    """X1+X2+X4: lower-cased words of the letters-only text (no empties)."""
-    lowered = F.lower(letters_only(text))
-    return F.filter(F.split(F.trim(lowered), " +"), lambda t: t != F.lit(""))
+    """X1+X2+X4: lower-cased words of the letters-only text (no empties).
+
+    Same words as letters-only -> lower -> split on spaces, computed as:
+    lower-case the kept letters with ``translate`` (the only upper-case
+    characters that survive the letters-only step are A-Z and U+00C0..U+00DE,
+    whose lower-case forms stay in the class), then split on runs of
+    characters outside the class and drop the empty ends. No
+    higher-order function, no second regex pass.
+    """
+    lowered = F.translate(_c(text), _UPPER, _LOWER)
+    return F.array_remove(F.split(lowered, LETTERS_PATTERN + "+"), "")
 
 
 def clean_text(df: DataFrame, text_col: str, out_col: str = "clean_text",

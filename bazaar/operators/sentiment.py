@@ -20,6 +20,10 @@ from bazaar.functions.text import clean_text
 from bazaar.sources.dimensions import OVERRIDE_POLARITY, OVERRIDE_WORDS
 
 MAX_LEXICON_WORDS = 200_000
+# Up to this size the lexicon is a map literal looked up inside the row
+# expression (a literal map is searched linearly); above it, tokens are
+# exploded and joined to the broadcast lexicon (hash lookup).
+INLINE_LEXICON_WORDS = 256
 
 
 def lexicon_map(lexicon: Mapping[str, float]) -> Column:
@@ -45,21 +49,48 @@ def polarity_of_tokens(tokens: Column, clean: Column, lexicon: Mapping[str, floa
     NULL; otherwise mean lexicon weight of the words (0.0 when no word is in
     the lexicon, as a polarity model scores text without opinion words)."""
     m = lexicon_map(lexicon)
-    weights = F.filter(F.transform(tokens, lambda t: F.try_element_at(m, t)),
-                       lambda x: x.isNotNull())
-    total = F.aggregate(weights, F.lit(0.0), lambda acc, x: acc + x)
-    mean = F.when(F.size(weights) > 0, total / F.size(weights)).otherwise(F.lit(0.0))
+    weights = F.transform(tokens, lambda t: F.try_element_at(m, t))
+    acc0 = F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("n"))
+    sums = F.aggregate(weights, acc0, lambda acc, x: F.when(x.isNull(), acc).otherwise(
+        F.struct((acc["s"] + x).alias("s"), (acc["n"] + 1).alias("n"))))
+    mean = F.when(sums["n"] > 0, sums["s"] / sums["n"]).otherwise(F.lit(0.0))
+    return _with_overrides(clean, mean, override_words, override_polarity)
+
+
+def _with_overrides(clean: Column, mean: Column, override_words=OVERRIDE_WORDS,
+                    override_polarity: float = OVERRIDE_POLARITY) -> Column:
     return (F.when(clean.isNull() | (clean == ""), F.lit(None).cast("double"))
             .when(clean.isin(list(override_words)), F.lit(float(override_polarity)))
             .otherwise(mean))
 
 
 def lexicon_polarity(df: DataFrame, text_col: str, lexicon: Mapping[str, float],
-                     out: str = "polarity", stopwords=None) -> DataFrame:
-    """X5 on a text column (cleaned first with X1-X4)."""
+                     out: str = "polarity", stopwords=None, key: str | None = None) -> DataFrame:
+    """X5 on a text column (cleaned first with X1-X4).
+
+    Small lexicons are looked up inside the row expression: one narrow pass,
+    no shuffle. A lexicon over ``INLINE_LEXICON_WORDS`` words needs ``key``
+    (a unique row id): tokens are exploded, joined to the broadcast lexicon
+    (at most ``MAX_LEXICON_WORDS`` rows), summed per key with a map-side
+    partial aggregate and joined back.
+    """
     cleaned = clean_text(df, text_col, "__clean", stopwords=stopwords, keep_tokens="__tok")
-    return cleaned.withColumn(out, polarity_of_tokens(F.col("__tok"), F.col("__clean"), lexicon)
-                              ).drop("__clean", "__tok")
+    if len(lexicon) <= INLINE_LEXICON_WORDS:
+        return cleaned.withColumn(out, polarity_of_tokens(F.col("__tok"), F.col("__clean"), lexicon)
+                                  ).drop("__clean", "__tok")
+    if key is None:
+        raise ValueError(f"a lexicon over {INLINE_LEXICON_WORDS} words needs a unique key column")
+    if len(lexicon) > MAX_LEXICON_WORDS:
+        raise ValueError(f"lexicon has more than {MAX_LEXICON_WORDS} words")
+    spark = df.sparkSession
+    lex = spark.createDataFrame([(w, float(x)) for w, x in lexicon.items()], "__w string, __x double")
+    hits = (cleaned.select(key, F.explode("__tok").alias("__w"))
+            .join(F.broadcast(lex), "__w")
+            .groupBy(key).agg(F.sum("__x").alias("__s"), F.count(F.lit(1)).alias("__n")))
+    mean = F.when(F.col("__n") > 0, F.col("__s") / F.col("__n")).otherwise(F.lit(0.0))
+    return (cleaned.join(hits, key, "left")
+            .withColumn(out, _with_overrides(F.col("__clean"), mean))
+            .drop("__clean", "__tok", "__s", "__n"))
 
 
 def sentiment(df: DataFrame, text_col: str, lexicon: Mapping[str, float],

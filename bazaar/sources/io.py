@@ -43,6 +43,16 @@ def read_table(spark: SparkSession, base: str, name: str, schema: T.StructType |
     return df.select(*columns) if columns else df
 
 
+def balanced(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan over the cluster's cores when it arrives in fewer
+    partitions than there are task slots (a file written as one row group
+    is read by one task). A round-robin repartition, skipped whenever the
+    scan already has enough partitions, which is the case for any large
+    input split by ``spark.sql.files.maxPartitionBytes``."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def write_mart(df: DataFrame, base: str, name: str, fmt: str = "parquet",
                rename: Mapping[str, str] | None = None, partition_by: list[str] | None = None) -> str:
     """Overwrite one mart as a directory of part files.

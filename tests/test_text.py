@@ -47,3 +47,15 @@ def test_review_sentiment_falls_back_to_score(spark):
     df = spark.createDataFrame(rows, "id int, title string, message string, score int")
     got = _map(review_sentiment(df, "title", "message", "score", LEX), "id", "sentiment")
     assert got == {1: "positive", 2: "negative", 3: None, 4: "negative", 5: "positive", 6: "neutral"}
+
+
+def test_large_lexicon_join_path_equals_inline(spark, monkeypatch):
+    from bazaar.operators import sentiment as S
+
+    rows = [(1, "bom bom ruim"), (2, "nada"), (3, ""), (4, "ótimo, chegou"), (5, "recomendo")]
+    df = spark.createDataFrame(rows, "id int, text string")
+    inline = _map(lexicon_polarity(df, "text", LEX), "id", "polarity")
+    monkeypatch.setattr(S, "INLINE_LEXICON_WORDS", 1)
+    joined_df = S.lexicon_polarity(df, "text", LEX, key="id")
+    assert "BroadcastHashJoin" in joined_df._jdf.queryExecution().executedPlan().toString()
+    assert _map(joined_df, "id", "polarity") == inline
