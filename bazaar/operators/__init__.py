@@ -6,7 +6,7 @@ from bazaar.operators.joins import join_dimension, natural_join  # noqa: F401
 from bazaar.operators.neighbours import (  # noqa: F401
     recommend, recommend_or_default, similar_users, user_product_ratings,
 )
-from bazaar.operators.sentiment import (  # noqa: F401
+from bazaar.operators.lexicon import (  # noqa: F401
     lexicon_polarity, review_sentiment, sentiment,
 )
 from bazaar.operators.topk import top_k_per_group  # noqa: F401

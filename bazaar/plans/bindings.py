@@ -21,7 +21,7 @@ from bazaar.operators.rules import association_rules, baskets, pair_rules
 from bazaar.operators.neighbours import (
     recommend, recommend_or_default, similar_users, user_product_ratings,
 )
-from bazaar.operators.sentiment import lexicon_polarity, review_sentiment, sentiment
+from bazaar.operators.lexicon import lexicon_polarity, review_sentiment, sentiment
 from bazaar.plans import marts
 from bazaar.session import tune
 from bazaar.sources.io import balanced

@@ -25,7 +25,7 @@ from bazaar.operators.joins import join_dimension
 from bazaar.operators.neighbours import (
     recommend, recommend_or_default, similar_users, user_product_ratings,
 )
-from bazaar.operators.sentiment import review_sentiment
+from bazaar.operators.lexicon import review_sentiment
 from bazaar.sources.dimensions import CATEGORY_GROUPS, FALLBACK_PRODUCTS
 from bazaar.sources.schemas import CLOSED_DEAL_COLUMNS, QUALIFIED_LEAD_COLUMNS
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from bazaar.functions.columns import period_first, period_last
-from bazaar.operators.sentiment import review_sentiment
+from bazaar.operators.lexicon import review_sentiment
 from bazaar.sources.schemas import RAW_SCHEMAS
 
 

@@ -1,7 +1,7 @@
 """Review-text cleaning and lexicon sentiment."""
 
 from bazaar.functions.text import clean_text, portuguese_stopwords
-from bazaar.operators.sentiment import lexicon_polarity, review_sentiment, sentiment
+from bazaar.operators.lexicon import lexicon_polarity, review_sentiment, sentiment
 
 LEX = {"bom": 0.5, "ruim": -0.75, "ótimo": 1.0, "chegou": 0.0}
 
@@ -50,7 +50,7 @@ def test_review_sentiment_falls_back_to_score(spark):
 
 
 def test_large_lexicon_join_path_equals_inline(spark, monkeypatch):
-    from bazaar.operators import sentiment as S
+    from bazaar.operators import lexicon as S
 
     rows = [(1, "bom bom ruim"), (2, "nada"), (3, ""), (4, "ótimo, chegou"), (5, "recomendo")]
     df = spark.createDataFrame(rows, "id int, text string")
