@@ -23,7 +23,7 @@ from bazaar.operators.neighbours import (
 )
 from bazaar.operators.lexicon import lexicon_polarity, review_sentiment, sentiment
 from bazaar.plans import marts
-from bazaar.session import tune
+from bazaar.session import cut_lineage, tune
 from bazaar.sources.io import balanced
 
 # ---------------------------------------------------------------------------
@@ -52,7 +52,7 @@ DIGITS = 6  # computed doubles are rounded to this many decimals for the value h
 
 # tables whose size grows with the scale factor: spread over the task slots
 # when the scan arrives in too few partitions (see ``balanced``)
-FACT_TABLES = {"lineitem", "orders", "documents", "events", "customer", "part"}
+FACT_TABLES = {"documents"}
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -336,9 +336,12 @@ def q_association_rules(spark, d):
                     "support", "confidence", "lift")
 
 
-def _ratings(spark, d):
-    return user_product_ratings(rating_rows_view(spark, d), "customer_id", "product_id",
-                                "review_score", min_rows=2)
+def _ratings(spark, d, persist: bool = False):
+    r = user_product_ratings(rating_rows_view(spark, d), "customer_id", "product_id",
+                             "review_score", min_rows=2)
+    # the ratings table feeds several jobs of the recommender (pair sums,
+    # padding ids, neighbour ratings): persist it once in the checkpoint folder
+    return cut_lineage(r) if persist else r
 
 
 def q_user_product_ratings(spark, d):
@@ -352,13 +355,13 @@ def _neighbours(spark, d, r):
 
 def q_similar_users(spark, d):
     tune(spark)
-    r = _ratings(spark, d)
+    r = _ratings(spark, d, persist=True)
     return _round(_neighbours(spark, d, r), ["similarity"])
 
 
 def q_recommend(spark, d):
     tune(spark)
-    r = _ratings(spark, d)
+    r = _ratings(spark, d, persist=True)
     recs = recommend(r, _neighbours(spark, d, r), N_PRODUCTS, "customer_id", "product_id", "rating")
     return _round(recs, ["score"])
 
@@ -373,7 +376,7 @@ def popular_products(r: DataFrame, n: int = N_PRODUCTS) -> list:
 
 def q_recommend_or_default(spark, d):
     tune(spark)
-    r = _ratings(spark, d)
+    r = _ratings(spark, d, persist=True)
     requests = _t(spark, d, "customer").select(F.col("c_custkey").alias("customer_id"))
     nb = similar_users(r, K_NEIGHBOURS, "customer_id", "product_id", "rating")
     recs = recommend(r, nb, N_PRODUCTS, "customer_id", "product_id", "rating")

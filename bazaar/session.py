@@ -23,6 +23,9 @@ RUNTIME_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # coalescing sizes a stage by its input; the neighbour self join expands
+    # its input ~15x, so small coalesced partitions keep every core busy
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256KB",
     # static broadcast only below 32 MB of estimated size
     "spark.sql.autoBroadcastJoinThreshold": "32m",
 }
@@ -60,7 +63,7 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "bazaa
     return tune(spark)
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
+def checkpoint_dir(spark: SparkSession, required: bool = True) -> str | None:
     """The shared folder for reliable checkpoints.
 
     Read from the context, then from ``spark.checkpoint.dir``. There is no
@@ -74,17 +77,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder")
+        if required:
+            raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder")
+        return None
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, required: bool = False) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder.
 
-    Used where one derived table feeds several expensive branches (the
-    ratings table of the recommender): a lost executor then recomputes from
-    the checkpoint files, not from the raw scans.
+    Used where one derived table feeds several jobs (the ratings table of
+    the recommender): later jobs and a lost executor read the checkpoint
+    files instead of recomputing from the raw scans. The checkpoint keeps
+    the frame's partitioning, so a following operator on the same key does
+    not shuffle again. Without a configured folder the frame is returned
+    as it is (same results, recomputed) unless ``required``.
     """
-    checkpoint_dir(df.sparkSession)
+    if checkpoint_dir(df.sparkSession, required) is None:
+        return df
     return df.checkpoint(eager=True)
