@@ -70,7 +70,12 @@ def checkpoint_dir(spark: SparkSession, required: bool = True) -> str | None:
     machine-local fallback: on a cluster that would not survive the loss of
     an executor. Tests set the option on their own session.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no JVM context (e.g. a Connect session)
+        if required:
+            raise
+        return None
     current = sc.getCheckpointDir()
     if current:
         return current

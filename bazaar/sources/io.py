@@ -49,8 +49,12 @@ def balanced(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     is read by one task). A round-robin repartition, skipped whenever the
     scan already has enough partitions, which is the case for any large
     input split by ``spark.sql.files.maxPartitionBytes``."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no JVM context (e.g. a Connect session): leave as is
+        return df
+    return df.repartition(target) if current < target else df
 
 
 def write_mart(df: DataFrame, base: str, name: str, fmt: str = "parquet",
