@@ -53,3 +53,46 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on: Sequence[str] | str, how
     if rows is not None and rows <= max_rows:
         return fact.join(F.broadcast(dim), on=on, how=how)
     return fact.join(dim, on=on, how=how)
+
+
+# Rows of one key per side of a block in ``block_self_pairs``.
+MAX_BLOCK_ROWS = 10_000
+
+
+def block_self_pairs(df: DataFrame, key: str, member: str, values: Sequence[str] = (),
+                     max_block: int = MAX_BLOCK_ROWS) -> DataFrame:
+    """All pairs of members sharing a key, each unordered pair once
+    (``left member < right member``), with hot keys split into blocks.
+
+    Row counts per key come from a partial aggregate (so counting a hot key
+    is not skewed). Keys with at most ``max_block`` rows take a plain self
+    join on the key (one shuffle, reused by both sides). A key with n larger
+    than that gets S = ceil(n / max_block) blocks; each member sits in block
+    ``hash(member) mod S``; the left copy of a row is replicated over the S
+    right blocks, the right copy over the S left blocks, and rows meet on
+    (key, left block, right block). Every pair is formed exactly once, by a
+    task holding about ``max_block`` rows per side, however large the key.
+
+    Output columns: key, ``l_<member>``, ``r_<member>``, ``l_<v>``, ``r_<v>``.
+    """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    x = df.select(key, member, *values).join(counts, key)
+
+    def side(frame: DataFrame, prefix: str, extra=()) -> DataFrame:
+        return frame.select(key, F.col(member).alias(f"{prefix}_{member}"),
+                            *[F.col(v).alias(f"{prefix}_{v}") for v in values], *extra)
+
+    cold = x.where(F.col("__n") <= max_block)
+    cold_pairs = (side(cold, "l").join(side(cold, "r"), key)
+                  .where(F.col(f"l_{member}") < F.col(f"r_{member}")))
+
+    hot = x.where(F.col("__n") > max_block)
+    blocks = F.ceil(F.col("__n") / F.lit(float(max_block))).cast("int")
+    own = F.pmod(F.xxhash64(F.col(member)), blocks).cast("int")
+    every = F.explode(F.sequence(F.lit(0), blocks - 1))
+    left = side(hot, "l", [own.alias("__a"), every.alias("__b")])
+    right = side(hot, "r", [every.alias("__a"), own.alias("__b")])
+    hot_pairs = (left.join(right, [key, "__a", "__b"])
+                 .where(F.col(f"l_{member}") < F.col(f"r_{member}"))
+                 .drop("__a", "__b"))
+    return cold_pairs.unionByName(hot_pairs)

@@ -8,8 +8,8 @@ Scale notes. Before any pair is formed, basket rows are cut to frequent
 items (Apriori): an item needs ``min_support * n_baskets`` baskets, so at
 most ``avg_basket_size / min_support`` items survive, a bound that depends on
 the threshold, not on the data volume. Pair counts are partially aggregated
-before their shuffle; a very large basket is split by AQE's skew-join
-handling instead of landing in one task.
+before their shuffle; a basket with more than ``max_block`` frequent items
+is split into blocks (``block_self_pairs``) instead of landing in one task.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bazaar.operators.joins import MAX_BLOCK_ROWS, block_self_pairs
+
 
 def baskets(df: DataFrame, order_col: str, item_col: str, out: str = "items") -> DataFrame:
     """One row per order with its distinct items, sorted.
@@ -34,7 +36,8 @@ def _basket_count(pairs: DataFrame, order_col: str) -> int:
 
 
 def pair_rules(df: DataFrame, order_col: str, item_col: str, min_support: float,
-               min_confidence: float, min_lift: float = 1.0, digits: int = 9) -> DataFrame:
+               min_confidence: float, min_lift: float = 1.0, digits: int = 9,
+               max_block: int = MAX_BLOCK_ROWS) -> DataFrame:
     """Rules ``a -> b`` between single items.
 
     support = baskets with a and b / baskets; confidence = support(ab) /
@@ -49,10 +52,9 @@ def pair_rules(df: DataFrame, order_col: str, item_col: str, min_support: float,
     item_counts = rows.groupBy("i").agg(F.count(F.lit(1)).alias("ci"))
     frequent = item_counts.where(F.col("ci") / F.lit(float(n)) >= F.lit(min_support))
     kept = rows.join(frequent.select("i"), "i", "left_semi")
-    a = kept.select("o", F.col("i").alias("a"))
-    b = kept.select("o", F.col("i").alias("b"))
-    pair_counts = (a.join(b, "o").where(F.col("a") < F.col("b"))
-                   .groupBy("a", "b").agg(F.count(F.lit(1)).alias("cab"))
+    pair_counts = (block_self_pairs(kept, "o", "i", max_block=max_block)
+                   .groupBy(F.col("l_i").alias("a"), F.col("r_i").alias("b"))
+                   .agg(F.count(F.lit(1)).alias("cab"))
                    .where(F.col("cab") / F.lit(float(n)) >= F.lit(min_support)))
     both = pair_counts.select(F.col("a").alias("x"), F.col("b").alias("y"), "cab").unionByName(
         pair_counts.select(F.col("b").alias("x"), F.col("a").alias("y"), "cab"))
