@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -59,40 +59,56 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on: Sequence[str] | str, how
 MAX_BLOCK_ROWS = 10_000
 
 
+def block_join(left: DataFrame, right: DataFrame, key: str, left_member: str,
+               right_member: str, max_block: int = MAX_BLOCK_ROWS,
+               condition: Column | None = None) -> DataFrame:
+    """Equi-join on ``key`` in which a key with many rows on both sides is
+    met block against block, so no task receives a hot key whole.
+
+    Row counts per key and side come from partial aggregates. A key with
+    at most ``max_block`` rows on each side is joined as it is. Otherwise
+    the left rows of the key are cut into S_l = ceil(n_l / max_block) blocks
+    by ``hash(left_member)`` and the right rows into S_r blocks by
+    ``hash(right_member)``; each left row is replicated over the S_r right
+    blocks and each right row over the S_l left blocks, and rows meet on
+    (key, left block, right block). Every matching pair of rows meets
+    exactly once, in a task that holds about ``max_block`` rows per side.
+    Block numbers are hashes of column values, so a recomputed task
+    (after a lost executor) rebuilds the same blocks.
+    ``condition`` is an extra predicate on the joined columns.
+    """
+    lc = left.groupBy(key).agg(F.count(F.lit(1)).alias("__nl"))
+    rc = right.groupBy(key).agg(F.count(F.lit(1)).alias("__nr"))
+    sizes = lc.join(rc, key)
+    hot = (F.col("__nl") > max_block) | (F.col("__nr") > max_block)
+    lx, rx = left.join(sizes, key), right.join(sizes, key)
+
+    def finish(j: DataFrame) -> DataFrame:
+        j = j.where(condition) if condition is not None else j
+        return j.drop("__nl", "__nr", "__a", "__b")
+
+    cold = finish(lx.where(~hot).join(rx.where(~hot).drop("__nl", "__nr"), key))
+    s_l = F.ceil(F.col("__nl") / F.lit(float(max_block))).cast("int")
+    s_r = F.ceil(F.col("__nr") / F.lit(float(max_block))).cast("int")
+    lh = (lx.where(hot).withColumn("__a", F.pmod(F.xxhash64(F.col(left_member)), s_l).cast("int"))
+          .withColumn("__b", F.explode(F.sequence(F.lit(0), s_r - 1))))
+    rh = (rx.where(hot).withColumn("__a", F.explode(F.sequence(F.lit(0), s_l - 1)))
+          .withColumn("__b", F.pmod(F.xxhash64(F.col(right_member)), s_r).cast("int"))
+          .drop("__nl", "__nr"))
+    return cold.unionByName(finish(lh.join(rh, [key, "__a", "__b"])))
+
+
 def block_self_pairs(df: DataFrame, key: str, member: str, values: Sequence[str] = (),
                      max_block: int = MAX_BLOCK_ROWS) -> DataFrame:
     """All pairs of members sharing a key, each unordered pair once
-    (``left member < right member``), with hot keys split into blocks.
-
-    Row counts per key come from a partial aggregate (so counting a hot key
-    is not skewed). Keys with at most ``max_block`` rows take a plain self
-    join on the key (one shuffle, reused by both sides). A key with n larger
-    than that gets S = ceil(n / max_block) blocks; each member sits in block
-    ``hash(member) mod S``; the left copy of a row is replicated over the S
-    right blocks, the right copy over the S left blocks, and rows meet on
-    (key, left block, right block). Every pair is formed exactly once, by a
-    task holding about ``max_block`` rows per side, however large the key.
+    (``l_<member> < r_<member>``), hot keys split into blocks
+    (``block_join`` of the frame with itself).
 
     Output columns: key, ``l_<member>``, ``r_<member>``, ``l_<v>``, ``r_<v>``.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    x = df.select(key, member, *values).join(counts, key)
-
-    def side(frame: DataFrame, prefix: str, extra=()) -> DataFrame:
-        return frame.select(key, F.col(member).alias(f"{prefix}_{member}"),
-                            *[F.col(v).alias(f"{prefix}_{v}") for v in values], *extra)
-
-    cold = x.where(F.col("__n") <= max_block)
-    cold_pairs = (side(cold, "l").join(side(cold, "r"), key)
-                  .where(F.col(f"l_{member}") < F.col(f"r_{member}")))
-
-    hot = x.where(F.col("__n") > max_block)
-    blocks = F.ceil(F.col("__n") / F.lit(float(max_block))).cast("int")
-    own = F.pmod(F.xxhash64(F.col(member)), blocks).cast("int")
-    every = F.explode(F.sequence(F.lit(0), blocks - 1))
-    left = side(hot, "l", [own.alias("__a"), every.alias("__b")])
-    right = side(hot, "r", [every.alias("__a"), own.alias("__b")])
-    hot_pairs = (left.join(right, [key, "__a", "__b"])
-                 .where(F.col(f"l_{member}") < F.col(f"r_{member}"))
-                 .drop("__a", "__b"))
-    return cold_pairs.unionByName(hot_pairs)
+    def side(prefix: str) -> DataFrame:
+        return df.select(key, F.col(member).alias(f"{prefix}_{member}"),
+                         *[F.col(v).alias(f"{prefix}_{v}") for v in values])
+
+    return block_join(side("l"), side("r"), key, f"l_{member}", f"r_{member}", max_block,
+                      F.col(f"l_{member}") < F.col(f"r_{member}"))

@@ -362,7 +362,9 @@ def q_similar_users(spark, d):
 def q_recommend(spark, d):
     tune(spark)
     r = _ratings(spark, d, persist=True)
-    recs = recommend(r, _neighbours(spark, d, r), N_PRODUCTS, "customer_id", "product_id", "rating")
+    # the neighbour table (users x k rows) is read several times by recommend
+    nb = cut_lineage(_neighbours(spark, d, r))
+    recs = recommend(r, nb, N_PRODUCTS, "customer_id", "product_id", "rating")
     return _round(recs, ["score"])
 
 
@@ -378,7 +380,7 @@ def q_recommend_or_default(spark, d):
     tune(spark)
     r = _ratings(spark, d, persist=True)
     requests = _t(spark, d, "customer").select(F.col("c_custkey").alias("customer_id"))
-    nb = similar_users(r, K_NEIGHBOURS, "customer_id", "product_id", "rating")
+    nb = cut_lineage(similar_users(r, K_NEIGHBOURS, "customer_id", "product_id", "rating"))
     recs = recommend(r, nb, N_PRODUCTS, "customer_id", "product_id", "rating")
     out = recommend_or_default(requests, recs, popular_products(r), N_PRODUCTS,
                                "customer_id", "product_id")

@@ -26,6 +26,7 @@ from bazaar.operators.neighbours import (
     recommend, recommend_or_default, similar_users, user_product_ratings,
 )
 from bazaar.operators.lexicon import review_sentiment
+from bazaar.session import cut_lineage
 from bazaar.sources.dimensions import CATEGORY_GROUPS, FALLBACK_PRODUCTS
 from bazaar.sources.schemas import CLOSED_DEAL_COLUMNS, QUALIFIED_LEAD_COLUMNS
 
@@ -242,7 +243,9 @@ def recommendations(ratings_df: DataFrame, requests: DataFrame, k: int = 5, n: i
     computes neighbours for the requested customers only (work linear in
     the ratings; use it for small request sets)."""
     targets = requests if serve_only_requests else None
-    nb = similar_users(ratings_df, k, "customer_id", "product_id", "rating", targets=targets)
+    # neighbours (customers x k rows) are read several times below: persist once
+    nb = cut_lineage(similar_users(ratings_df, k, "customer_id", "product_id", "rating",
+                                   targets=targets))
     recs = recommend(ratings_df, nb, n, "customer_id", "product_id", "rating")
     return recommend_or_default(requests, recs, fallback, n, "customer_id", "product_id")
 

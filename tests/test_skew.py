@@ -46,7 +46,7 @@ def test_hot_product_neighbours_exact(spark):
         for r in nb.orderBy("customer_id", "rank").collect():
             got.setdefault(r.customer_id, []).append(r.neighbour)
         recs = {}
-        for r in N.recommend(df, nb, 5).orderBy("customer_id", "rank").collect():
+        for r in N.recommend(df, nb, 5, max_block=3).orderBy("customer_id", "rank").collect():
             recs.setdefault(r.customer_id, []).append(r.product_id)
     finally:
         _restore(spark, old)
@@ -81,3 +81,13 @@ def test_block_self_pairs_forms_each_pair_once(spark):
     want = [(1, a, b) for a in range(50) for b in range(a + 1, 50)] + [(2, 0, 1), (2, 0, 2), (2, 1, 2)]
     assert sorted(pairs) == sorted(want)
     assert got.groupBy("k").agg(F.count(F.lit(1))).count() == 2
+
+
+def test_block_join_meets_each_pair_once(spark):
+    from bazaar.operators.joins import block_join
+
+    left = spark.createDataFrame([(1, u) for u in range(40)] + [(2, 0)], "k long, u long")
+    right = spark.createDataFrame([(1, p) for p in range(25)] + [(2, 7), (3, 9)], "k long, p long")
+    got = sorted((r.k, r.u, r.p) for r in block_join(left, right, "k", "u", "p", max_block=6).collect())
+    want = sorted([(1, u, p) for u in range(40) for p in range(25)] + [(2, 0, 7)])
+    assert got == want
