@@ -101,14 +101,38 @@ def block_join(left: DataFrame, right: DataFrame, key: str, left_member: str,
 def block_self_pairs(df: DataFrame, key: str, member: str, values: Sequence[str] = (),
                      max_block: int = MAX_BLOCK_ROWS) -> DataFrame:
     """All pairs of members sharing a key, each unordered pair once
-    (``l_<member> < r_<member>``), hot keys split into blocks
-    (``block_join`` of the frame with itself).
+    (``l_<member> < r_<member>``), hot keys met in blocks as in
+    ``block_join``.
+
+    The frame is counted per key once; cold keys join the frame with itself
+    under two aliases, so both sides read one shuffle; only hot keys take
+    the blocked path.
 
     Output columns: key, ``l_<member>``, ``r_<member>``, ``l_<v>``, ``r_<v>``.
     """
-    def side(prefix: str) -> DataFrame:
-        return df.select(key, F.col(member).alias(f"{prefix}_{member}"),
-                         *[F.col(v).alias(f"{prefix}_{v}") for v in values])
-
-    return block_join(side("l"), side("r"), key, f"l_{member}", f"r_{member}", max_block,
-                      F.col(f"l_{member}") < F.col(f"r_{member}"))
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    x = df.select(key, member, *values).join(counts, key)
+
+    def out(l: str, r: str) -> list:
+        return ([F.col(f"{l}.{key}").alias(key), F.col(f"{l}.{member}").alias(f"l_{member}"),
+                 F.col(f"{r}.{member}").alias(f"r_{member}")]
+                + [F.col(f"{l}.{v}").alias(f"l_{v}") for v in values]
+                + [F.col(f"{r}.{v}").alias(f"r_{v}") for v in values])
+
+    cold = x.where(F.col("__n") <= max_block).drop("__n")
+    cold_pairs = (cold.alias("l").join(cold.alias("r"), F.col(f"l.{key}") == F.col(f"r.{key}"))
+                  .where(F.col(f"l.{member}") < F.col(f"r.{member}"))
+                  .select(*out("l", "r")))
+
+    hot = x.where(F.col("__n") > max_block)
+    blocks = F.ceil(F.col("__n") / F.lit(float(max_block))).cast("int")
+    own = F.pmod(F.xxhash64(F.col(member)), blocks).cast("int")
+    every = F.explode(F.sequence(F.lit(0), blocks - 1))
+    lh = hot.select(key, member, *values, own.alias("__a"), every.alias("__b"))
+    rh = hot.select(key, member, *values, every.alias("__a"), own.alias("__b"))
+    hot_pairs = (lh.alias("l").join(rh.alias("r"), (F.col(f"l.{key}") == F.col(f"r.{key}"))
+                                    & (F.col("l.__a") == F.col("r.__a"))
+                                    & (F.col("l.__b") == F.col("r.__b")))
+                 .where(F.col(f"l.{member}") < F.col(f"r.{member}"))
+                 .select(*out("l", "r")))
+    return cold_pairs.unionByName(hot_pairs)
