@@ -59,6 +59,12 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on: Sequence[str] | str, how
 MAX_BLOCK_ROWS = 10_000
 
 
+def _has_hot_key(counts: DataFrame, count_col: str, max_block: int) -> bool:
+    """One small job: does any key exceed ``max_block`` rows? (0 or 1 row
+    reaches the driver.)"""
+    return bool(counts.where(F.col(count_col) > max_block).limit(1).count())
+
+
 def block_join(left: DataFrame, right: DataFrame, key: str, left_member: str,
                right_member: str, max_block: int = MAX_BLOCK_ROWS,
                condition: Column | None = None) -> DataFrame:
@@ -75,10 +81,15 @@ def block_join(left: DataFrame, right: DataFrame, key: str, left_member: str,
     exactly once, in a task that holds about ``max_block`` rows per side.
     Block numbers are hashes of column values, so a recomputed task
     (after a lost executor) rebuilds the same blocks.
-    ``condition`` is an extra predicate on the joined columns.
+    ``condition`` is an extra predicate on the joined columns. When no key
+    is hot (checked by small jobs on the per-key counts), the plain join is
+    planned.
     """
     lc = left.groupBy(key).agg(F.count(F.lit(1)).alias("__nl"))
     rc = right.groupBy(key).agg(F.count(F.lit(1)).alias("__nr"))
+    if not (_has_hot_key(lc, "__nl", max_block) or _has_hot_key(rc, "__nr", max_block)):
+        j = left.join(right, key)   # no hot key: the plain join
+        return j.where(condition) if condition is not None else j
     sizes = lc.join(rc, key)
     hot = (F.col("__nl") > max_block) | (F.col("__nr") > max_block)
     lx, rx = left.join(sizes, key), right.join(sizes, key)
@@ -104,14 +115,15 @@ def block_self_pairs(df: DataFrame, key: str, member: str, values: Sequence[str]
     (``l_<member> < r_<member>``), hot keys met in blocks as in
     ``block_join``.
 
-    The frame is counted per key once; cold keys join the frame with itself
-    under two aliases, so both sides read one shuffle; only hot keys take
-    the blocked path.
+    The frame is counted per key once (partial aggregate). When no key
+    exceeds ``max_block`` (checked by one small job), the frame joins itself
+    under two aliases, so both sides read one shuffle. Otherwise cold keys
+    do that and only hot keys take the blocked path.
 
     Output columns: key, ``l_<member>``, ``r_<member>``, ``l_<v>``, ``r_<v>``.
     """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    x = df.select(key, member, *values).join(counts, key)
+    base = df.select(key, member, *values)
 
     def out(l: str, r: str) -> list:
         return ([F.col(f"{l}.{key}").alias(key), F.col(f"{l}.{member}").alias(f"l_{member}"),
@@ -119,6 +131,14 @@ def block_self_pairs(df: DataFrame, key: str, member: str, values: Sequence[str]
                 + [F.col(f"{l}.{v}").alias(f"l_{v}") for v in values]
                 + [F.col(f"{r}.{v}").alias(f"r_{v}") for v in values])
 
+    def self_join(frame: DataFrame) -> DataFrame:
+        return (frame.alias("l").join(frame.alias("r"), F.col(f"l.{key}") == F.col(f"r.{key}"))
+                .where(F.col(f"l.{member}") < F.col(f"r.{member}"))
+                .select(*out("l", "r")))
+
+    if not _has_hot_key(counts, "__n", max_block):
+        return self_join(base)   # no hot key: one shuffle, read by both sides
+    x = base.join(counts, key)
     cold = x.where(F.col("__n") <= max_block).drop("__n")
     cold_pairs = (cold.alias("l").join(cold.alias("r"), F.col(f"l.{key}") == F.col(f"r.{key}"))
                   .where(F.col(f"l.{member}") < F.col(f"r.{member}"))
