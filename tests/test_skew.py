@@ -91,3 +91,16 @@ def test_block_join_meets_each_pair_once(spark):
     got = sorted((r.k, r.u, r.p) for r in block_join(left, right, "k", "u", "p", max_block=6).collect())
     want = sorted([(1, u, p) for u in range(40) for p in range(25)] + [(2, 0, 7)])
     assert got == want
+
+
+def test_blocked_path_only_with_hot_keys(spark):
+    from bazaar.operators.joins import block_self_pairs
+
+    df = spark.createDataFrame([(1, m) for m in range(6)] + [(2, 0), (2, 1)], "k long, m long")
+    plain = block_self_pairs(df, "k", "m", max_block=100)
+    blocked = block_self_pairs(df, "k", "m", max_block=2)
+    p_plain = plain._jdf.queryExecution().optimizedPlan().toString()
+    p_blocked = blocked._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in p_plain and "__a" not in p_plain
+    assert "Union" in p_blocked and "__a" in p_blocked
+    assert sorted(plain.collect()) == sorted(blocked.collect())
