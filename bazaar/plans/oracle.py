@@ -199,27 +199,27 @@ pair_rules AS (
 SELECT antecedent, consequent, round(support, 6) AS support, round(confidence, 6) AS confidence,
        round(lift, 6) AS lift
 FROM pair_rules WHERE confidence >= {MIN_CONFIDENCE!r} AND lift >= {MIN_LIFT!r}"""
-    # itemsets up to three items (the test baskets have no frequent triple;
-    # the branch keeps the oracle honest if they ever do)
-    return base + f""",
-tc AS (SELECT a.i AS a, b.i AS b, c.i AS c, count(*) AS cabc FROM k a
-       JOIN k b ON a.o = b.o AND a.i < b.i JOIN k c ON c.o = a.o AND b.i < c.i
-       GROUP BY a.i, b.i, c.i HAVING count(*) / (SELECT n FROM n) >= {s}),
-triple_rules AS (
-  SELECT list_sort([t.x1, t.x2]) AS ante, t.y, t.cabc / n.n AS support, t.cabc / p.cab AS confidence,
-         (t.cabc / p.cab) / (fy.ci / n.n) AS lift
-  FROM (SELECT a AS x1, b AS x2, c AS y, cabc FROM tc UNION ALL SELECT a, c, b, cabc FROM tc
-        UNION ALL SELECT b, c, a, cabc FROM tc) t
-  JOIN pc p ON p.a = least(t.x1, t.x2) AND p.b = greatest(t.x1, t.x2)
-  JOIN f fy ON fy.i = t.y, n),
-all_rules AS (
-  SELECT CAST(antecedent AS VARCHAR) AS antecedent, CAST(consequent AS VARCHAR) AS consequent,
-         support, confidence, lift FROM pair_rules
-  UNION ALL SELECT array_to_string(ante, ' '), CAST(y AS VARCHAR), support, confidence, lift
-  FROM triple_rules)
-SELECT antecedent, consequent, round(support, 6) AS support, round(confidence, 6) AS confidence,
-       round(lift, 6) AS lift
-FROM all_rules WHERE confidence >= {MIN_CONFIDENCE!r} AND lift >= {MIN_LIFT!r}"""
+    # itemsets of any size: every ascending item list of each basket's
+    # frequent items (recursive), counted, then every single-item consequent
+    return f"""
+WITH RECURSIVE r AS (SELECT DISTINCT l_orderkey AS o, l_partkey AS i FROM lineitem
+                     WHERE l_orderkey IS NOT NULL AND l_partkey IS NOT NULL),
+n AS (SELECT CAST(count(DISTINCT o) AS DOUBLE) AS n FROM r),
+f AS (SELECT i FROM r GROUP BY i HAVING count(*) / (SELECT n FROM n) >= {s}),
+k AS (SELECT r.* FROM r JOIN f USING (i)),
+occ(o, items, last) AS (
+  SELECT o, [i], i FROM k
+  UNION ALL
+  SELECT occ.o, list_append(occ.items, k.i), k.i FROM occ JOIN k ON k.o = occ.o AND k.i > occ.last),
+fs AS (SELECT items, count(*) AS c FROM occ GROUP BY items HAVING count(*) / (SELECT n FROM n) >= {s}),
+rules AS (
+  SELECT list_filter(fs.items, lambda x: x <> y.y) AS ante, y.y AS cons, fs.c AS c
+  FROM fs, unnest(fs.items) AS y(y) WHERE len(fs.items) >= 2)
+SELECT array_to_string(rules.ante, ' ') AS antecedent, CAST(rules.cons AS VARCHAR) AS consequent,
+       round(rules.c / n.n, 6) AS support, round(rules.c / a.c, 6) AS confidence,
+       round((rules.c / a.c) / (b.c / n.n), 6) AS lift
+FROM rules JOIN fs a ON a.items = rules.ante JOIN fs b ON b.items = [rules.cons], n
+WHERE rules.c / a.c >= {MIN_CONFIDENCE!r} AND (rules.c / a.c) / (b.c / n.n) >= {MIN_LIFT!r}"""
 
 
 def oracle_sql() -> dict[str, str]:
