@@ -164,7 +164,7 @@ def _polarity_ctes(source: str, text: str) -> str:
     return f"""
 docs AS (SELECT doc_id, {text} AS txt, {toks} AS toks, {clean} AS clean FROM {source}),
 lex(word, weight) AS (VALUES {_lexicon_values()}),
-hits AS (SELECT d.doc_id, avg(lex.weight) AS p FROM (SELECT doc_id, unnest(toks) AS w FROM docs) d
+hits AS (SELECT d.doc_id, sum(lex.weight) / count(*) AS p FROM (SELECT doc_id, unnest(toks) AS w FROM docs) d
          JOIN lex ON lex.word = d.w GROUP BY d.doc_id),
 pol AS (SELECT docs.doc_id, docs.txt,
                CASE WHEN clean IS NULL OR clean = '' THEN NULL
@@ -326,7 +326,7 @@ WHERE q.customer_id NOT IN (SELECT customer_id FROM complete)"""
     sql["clean_text"] = f"SELECT doc_id, {clean} AS clean_text FROM documents"
     sql["lexicon_polarity"] = f"""
 WITH {_polarity_ctes('documents', 'text').strip()}
-SELECT doc_id, round(polarity, 6) AS polarity FROM pol"""
+SELECT doc_id, polarity FROM pol"""
     sql["sentiment"] = f"""
 WITH {_polarity_ctes('documents', 'text').strip()}
 SELECT doc_id, {SENTIMENT_CLASS} AS sentiment FROM pol"""
