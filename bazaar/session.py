@@ -54,6 +54,8 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "bazaa
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # checkpoints of per-query tables are removed once unreferenced
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("BAZAAR_DRIVER_MEMORY", "8g"))
     )
     for key, value in (extra or {}).items():
