@@ -104,3 +104,19 @@ def test_blocked_path_only_with_hot_keys(spark):
     assert "Union" not in p_plain and "__a" not in p_plain
     assert "Union" in p_blocked and "__a" in p_blocked
     assert sorted(plain.collect()) == sorted(blocked.collect())
+
+
+def test_targets_path_blocks_hot_products(spark):
+    rnd = random.Random(11)
+    ratings = {}
+    for u in range(1, 41):
+        ratings[(u, 500)] = float(rnd.randint(1, 5))
+        ratings[(u, 501 + u % 7)] = float(rnd.randint(1, 5))
+    df = spark.createDataFrame([(u, p, r) for (u, p), r in ratings.items()],
+                               "customer_id long, product_id long, rating double")
+    targets = spark.createDataFrame([(u,) for u in range(1, 41, 3)], "customer_id long")
+    got = {}
+    for r in N.similar_users(df, 5, targets=targets, max_block=4).orderBy("customer_id", "rank").collect():
+        got.setdefault(r.customer_id, []).append(r.neighbour)
+    want = brute(ratings, 5, 5)[0]
+    assert got == {u: want[u] for u in range(1, 41, 3)}
