@@ -17,6 +17,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bazaar.plans import marts as M
 from bazaar.session import tune
@@ -55,14 +56,25 @@ def run_marts(spark: SparkSession, raw_base: str, mart_base: str, raw_fmt: str =
     def raw(name: str, cols: list[str] | None = None) -> DataFrame:
         return read_table(spark, raw_base, name, fmt=raw_fmt, columns=cols)
 
+    schemas: dict[str, T.StructType] = {}
+
     def write(key: str, df: DataFrame) -> str:
         rename = {k: v for k, v in M.EXPORT_NAMES.items() if k in df.columns} if out_fmt == "csv" else None
-        return write_mart(df, mart_base, MART_FILES[key], fmt=out_fmt, rename=rename)
+        path = write_mart(df, mart_base, MART_FILES[key], fmt=out_fmt, rename=rename)
+        schemas[path] = df.schema
+        return path
 
     def read_back(path: str) -> DataFrame:
-        if out_fmt == "csv":
-            raise ValueError("run_marts reads M1/M2 back; use parquet for out_fmt")
-        return spark.read.parquet(path)
+        """A written mart as the next job's input (lineage cut at the files)."""
+        if out_fmt != "csv":
+            return spark.read.parquet(path)
+        schema = schemas[path]
+        exported = T.StructType([T.StructField(M.EXPORT_NAMES.get(f.name, f.name), f.dataType, True)
+                                 for f in schema.fields])
+        df = (spark.read.schema(exported).option("header", True).option("multiLine", True)
+              .option("escape", '"').csv(path))
+        back = {M.EXPORT_NAMES[f.name]: f.name for f in schema.fields if f.name in M.EXPORT_NAMES}
+        return df.withColumnsRenamed(back) if back else df
 
     out: dict[str, str] = {}
     states = raw("state_codes")

@@ -19,6 +19,17 @@ def test_run_marts_end_to_end(spark, tmp_dir):
     assert counts["on_time_by_month"] == 3 and counts["seller_cltv"] == 3
 
 
+def test_run_marts_csv_export(spark, tmp_dir):
+    raw = os.path.join(tmp_dir, "raw")
+    os.makedirs(raw)
+    write_raw(raw)
+    out = etl.run_marts(spark, raw, os.path.join(tmp_dir, "csv"), out_fmt="csv", state_codes=["SP", "RJ"])
+    read = lambda k: spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(out[k])
+    assert "Arrival time (In Days)" in read("order_reviews").columns
+    assert read("on_time_by_month").columns == ["year", "month", "at time", "no at time", "first", "last"]
+    assert read("order_rows_by_month").count() == 4 and read("on_time_by_month").count() == 3
+
+
 def test_recommender_build_and_serve(spark, tmp_dir):
     raw = os.path.join(tmp_dir, "raw")
     os.makedirs(raw)
