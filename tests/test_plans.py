@@ -16,9 +16,11 @@ def plan(df) -> str:
 
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
-def test_no_python_udf(spark, name):
+def test_no_python_udf_no_cross_join(spark, name):
     p = plan(entry.queries()[name](spark, SF))
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p and "PythonUDF" not in p
+    # no cross join of any kind
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
 
 
 def test_scan_is_pruned(spark):
