@@ -1,0 +1,49 @@
+"""Property tests: scalar functions against Python references on random
+inputs (one Spark job per property, all examples in one DataFrame)."""
+
+import calendar
+import datetime as dt
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from bazaar.functions import columns as C
+
+stamps = st.datetimes(min_value=dt.datetime(1990, 1, 1), max_value=dt.datetime(2030, 12, 31))
+
+
+@settings(max_examples=1, deadline=None)
+@given(st.lists(st.tuples(stamps, stamps), min_size=200, max_size=200))
+def test_elapsed_days_is_floor_of_24h(spark, pairs):
+    df = spark.createDataFrame(pairs, "a timestamp, b timestamp")
+    got = [r[0] for r in df.select(C.elapsed_days("a", "b")).collect()]
+    assert got == [(b - a).days for a, b in pairs]      # timedelta.days floors
+
+
+@settings(max_examples=1, deadline=None)
+@given(st.lists(st.tuples(st.integers(1990, 2030), st.integers(1, 12)), min_size=100, max_size=100))
+def test_period_bounds(spark, ym):
+    df = spark.createDataFrame([(str(y), str(m)) for y, m in ym], "y string, m string")
+    rows = df.select(C.period_first("y", "m").alias("f"), C.period_last("y", "m").alias("l")).collect()
+    for (y, m), r in zip(ym, rows):
+        assert r.f == dt.date(y, m, 1)
+        assert r.l == dt.date(y, m, calendar.monthrange(y, m)[1])
+
+
+@settings(max_examples=1, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.floats(-2, 2, allow_nan=False)), min_size=200, max_size=200))
+def test_sentiment_class_matches_rules(spark, pols):
+    def ref(p):
+        if p is None:
+            return "neutral"
+        if 0.3 <= p <= 1:
+            return "positive"
+        if 0 <= p < 0.3:
+            return "neutral"
+        if p < 0:
+            return "negative"
+        return "0"
+
+    df = spark.createDataFrame([(p,) for p in pols], "p double")
+    got = [r[0] for r in df.select(C.sentiment_class("p")).collect()]
+    assert got == [ref(p) for p in pols]
