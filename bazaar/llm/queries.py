@@ -3,8 +3,11 @@ express the result."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from bazaar.llm.bpe_transducer import encode_texts
 from bazaar.llm.common import table
 from bazaar.llm.url_filter import judge_urls
 
@@ -13,6 +16,16 @@ URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
 
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op7_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = encode_texts(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN, decode=True)
+    return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
     return judge_urls(table(spark, sf_dir, "pages"), rules)
@@ -38,6 +51,7 @@ FROM p LEFT JOIN fit ON p.host = fit.host AND p.path = fit.path AND fit.rn = 1
 """
 
 QUERIES = {
+    "op7_bpe_transducer": op7_bpe_transducer,
     "op9_url_filter": op9_url_filter,
 }
 
