@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from bazaar.llm.bpe_transducer import encode_texts
 from bazaar.llm.common import table
+from bazaar.llm.packing import cut_documents, pack
 from bazaar.llm.url_filter import judge_urls
 
 # host, path, action
@@ -19,6 +20,20 @@ URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+MAX_TOKENS = 2048
+
+
+def pack_documents(docs: DataFrame) -> DataFrame:
+    pieces = cut_documents(docs, TOKENIZER, public_tokenizers.PATTERN, MAX_TOKENS)
+    keys = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return pack(keys, MAX_TOKENS)
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = encode_texts(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN, decode=True)
     return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
@@ -51,6 +66,7 @@ FROM p LEFT JOIN fit ON p.host = fit.host AND p.path = fit.path AND fit.rn = 1
 """
 
 QUERIES = {
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op7_bpe_transducer": op7_bpe_transducer,
     "op9_url_filter": op9_url_filter,
 }
