@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from bazaar.llm.bpe_transducer import encode_texts
 from bazaar.llm.common import table
 from bazaar.llm.packing import cut_documents, pack
+from bazaar.llm.simhash import near_duplicates
 from bazaar.llm.url_filter import judge_urls
 
 # host, path, action
@@ -20,6 +21,14 @@ URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+SHINGLE_WORDS, MAX_BITS = 4, 4
+
+
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"), SHINGLE_WORDS, MAX_BITS)
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 MAX_TOKENS = 2048
 
@@ -66,6 +75,7 @@ FROM p LEFT JOIN fit ON p.host = fit.host AND p.path = fit.path AND fit.rn = 1
 """
 
 QUERIES = {
+    "op3_simhash": op3_simhash,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op7_bpe_transducer": op7_bpe_transducer,
     "op9_url_filter": op9_url_filter,
