@@ -14,6 +14,7 @@ Decoding streams token bytes through an incremental UTF-8 state machine.
 
 from __future__ import annotations
 
+import functools
 import itertools
 from array import array
 from collections.abc import Iterable, Iterator
@@ -221,6 +222,14 @@ class Decoder:
         return "".join(self.stream(ids))
 
 
+@functools.lru_cache(maxsize=2)
+def coders(vocab: str, pattern: str) -> tuple[Encoder, Decoder]:
+    """One of each per Python worker: the transducer's states and the memo
+    serve all tasks of the worker."""
+    ranks = load_ranks(vocab)
+    return Encoder(ranks, pattern), Decoder(ranks)
+
+
 def encode_texts(docs: DataFrame, vocab: str, pattern: str, id_col: str = "doc_id",
                  text_col: str = "text", decode: bool = False) -> DataFrame:
     """(id, ids), and with ``decode`` also ``decoded``, the text that the ids
@@ -235,8 +244,7 @@ def encode_texts(docs: DataFrame, vocab: str, pattern: str, id_col: str = "doc_i
     schema = f"{id_col} long, ids binary" + ", decoded string" * decode
 
     def run(batches):
-        ranks = load_ranks(vocab)
-        encoder, decoder = Encoder(ranks, pattern), Decoder(ranks)
+        encoder, decoder = coders(vocab, pattern)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_OUT):
                 part = batch.slice(at, ROWS_OUT)
