@@ -11,6 +11,7 @@ from bazaar.llm.bpe_transducer import encode_texts
 from bazaar.llm.common import table
 from bazaar.llm.packing import cut_documents, pack
 from bazaar.llm.simhash import near_duplicates
+from bazaar.llm.toxicity import Model, fit, score
 from bazaar.llm.url_filter import judge_urls
 
 # host, path, action
@@ -18,6 +19,19 @@ URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
 
+def severity_grades(labels: DataFrame) -> DataFrame:
+    """0: not toxic, 1: toxic, 2: toxic and of low quality."""
+    return labels.select("doc_id", (F.col("toxic") * (F.lit(2) - F.coalesce("quality", F.lit(1)))).alias("grade"))
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> Model:
+    return fit(table(spark, sf_dir, "documents"), severity_grades(table(spark, sf_dir, "labels")))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
+
+
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -75,6 +89,7 @@ FROM p LEFT JOIN fit ON p.host = fit.host AND p.path = fit.path AND fit.rn = 1
 """
 
 QUERIES = {
+    "op5_toxicity": op5_toxicity,
     "op3_simhash": op3_simhash,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op7_bpe_transducer": op7_bpe_transducer,
