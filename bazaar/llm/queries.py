@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaar.llm.bpe_transducer import encode_texts
-from bazaar.llm.common import table
+from bazaar.llm.common import stored, table
 from bazaar.llm.packing import cut_documents, pack
+from bazaar.llm.secrets import Forest, labelled_by_rule, scan, train
 from bazaar.llm.simhash import near_duplicates
 from bazaar.llm.toxicity import Model, fit, score
 from bazaar.llm.url_filter import judge_urls
@@ -64,6 +65,15 @@ def op7_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+def secret_forest(docs: DataFrame) -> Forest:
+    return train(stored(labelled_by_rule(docs), "findings"))
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return scan(docs, secret_forest(docs)).drop("value")
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
     return judge_urls(table(spark, sf_dir, "pages"), rules)
@@ -89,6 +99,7 @@ FROM p LEFT JOIN fit ON p.host = fit.host AND p.path = fit.path AND fit.rn = 1
 """
 
 QUERIES = {
+    "op8_secret_scan": op8_secret_scan,
     "op5_toxicity": op5_toxicity,
     "op3_simhash": op3_simhash,
     "op4_best_fit_packing": op4_best_fit_packing,
