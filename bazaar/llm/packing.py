@@ -14,6 +14,7 @@ into the slot of the plan that covers i.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping
 
 import numpy as np
@@ -29,6 +30,14 @@ ROWS_OUT = 512
 TRIED = ((3, 0.0), (3, 0.1), (2, 0.1), (1, 0.0), (0, 0.0))  # parts of a sum, share kept back
 
 
+@functools.lru_cache(maxsize=2)
+def coder(vocab: str, pattern: str):
+    """One per Python worker."""
+    import tiktoken
+
+    return tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=load_ranks(vocab), special_tokens={})
+
+
 def cut_documents(docs: DataFrame, vocab: str, pattern: str, limit: int = 2048, end_id: int = 0,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, piece, start, length, ids): the tokens of each document followed by
@@ -43,15 +52,13 @@ def cut_documents(docs: DataFrame, vocab: str, pattern: str, limit: int = 2048,
                         ("length", pa.int64()), ("ids", pa.binary())])
 
     def run(batches):
-        import tiktoken
-
-        coder = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=load_ranks(vocab), special_tokens={})
+        encode = coder(vocab, pattern).encode_ordinary
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_OUT):
                 part = batch.slice(at, ROWS_OUT)
                 rows = []
                 for key, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    ids = np.array(coder.encode_ordinary(text or "") + [end_id], dtype="<u4")
+                    ids = np.array(encode(text or "") + [end_id], dtype="<u4")
                     start, stop = 0, len(ids) % limit or limit
                     for piece in range(-(-len(ids) // limit)):
                         rows.append((key, piece, start, stop - start, ids[start:stop].tobytes()))
@@ -191,7 +198,9 @@ def pack(pieces: DataFrame, limit: int = 2048, length_col: str = "length") -> Da
     """
     names = pieces.columns
     at = names.index(length_col)
-    wide = pieces.toDF(*[f"c{i}_" for i in range(len(names))])
+    # stored before they are numbered: a chain of two Python steps would hold
+    # two Python workers for each task
+    wide = stored(pieces.toDF(*[f"c{i}_" for i in range(len(names))]), "pack-input")
 
     def number(batches):
         part, seen = TaskContext.get().partitionId(), np.zeros(limit + 1, np.int64)
