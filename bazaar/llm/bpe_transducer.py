@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame
 from bazaar.llm.common import pick
 from bazaar.llm.vocab import load_ranks
 
-MAX_STATES = 100_000      # kept deterministic states; beyond, the table starts anew
-MAX_MEMO = 700_000        # kept outputs of whole pieces
+MAX_STATES = 250_000      # kept deterministic states; beyond, the table starts anew
+MAX_MEMO = 800_000        # kept outputs of whole pieces
 MEMO_CHARS = 48           # longer pieces run through the transducer each time
 WHOLE_CHARS = 1 << 20     # longer texts are split into pieces in steps
 ROWS_OUT = 512            # rows of an output batch

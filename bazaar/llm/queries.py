@@ -4,11 +4,12 @@ express the result."""
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaar.llm.bpe_transducer import encode_texts
 from bazaar.llm.common import stored, table
+from bazaar.llm.edit_counts import EDIT, edited_counts
 from bazaar.llm.packing import cut_documents, pack
 from bazaar.llm.secrets import Forest, labelled_by_rule, scan, train
 from bazaar.llm.simhash import near_duplicates
@@ -33,6 +34,23 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
 
 
+def sample_edits() -> Column:
+    """Edits of a document taken from its own row: its source written over a
+    fifth of the way in, a deletion in the middle, its language put in further
+    on, and a last line."""
+    n = F.coalesce(F.length("text"), F.lit(0)).cast("long")
+    source, lang = F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit(""))
+    edits = [(F.floor(n / 5), F.length(source), source), (F.floor(n / 2), F.lit(7), F.lit("")),
+             (F.floor(n * 4 / 5), F.lit(0), F.concat(F.lit(" "), lang, F.lit(" "))),
+             (n + 10, F.lit(0), F.concat(F.lit("\n"), source))]
+    return F.array(*[F.struct(s.cast("long").alias("start"), k.cast("long").alias("length"), t.alias("insert"))
+                     for s, k, t in edits]).cast(f"array<{EDIT}>")
+
+
+def op6_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_counts(table(spark, sf_dir, "documents"), sample_edits(), RANKS, public_tokenizers.PATTERN, state=False)
+
+
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -99,6 +117,7 @@ FROM p LEFT JOIN fit ON p.host = fit.host AND p.path = fit.path AND fit.rn = 1
 """
 
 QUERIES = {
+    "op6_edit_counts": op6_edit_counts,
     "op8_secret_scan": op8_secret_scan,
     "op5_toxicity": op5_toxicity,
     "op3_simhash": op3_simhash,
