@@ -20,11 +20,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazaar.llm.common import pick
+from bazaar.llm.common import pick, stored
 
 SAMPLE = 16_384          # graded documents that the model is fitted on, at most
 FEATURES = 20_000        # features with a weight, at most
 LEAST_Z = 3.0            # of a feature's log odds between grade 0 and the others
+LEAST_ODDS = 2.0         # that difference itself
 LEAST_DOCS = 3           # sampled documents that hold a feature
 PREFIXES = (4, 5, 6)
 THRESHOLD = 0.3          # expected grade from which a document counts as toxic
@@ -92,42 +93,57 @@ def fit(docs: DataFrame, grades: DataFrame, sample: int = SAMPLE, id_col: str =
     # the sample has at most ``sample`` rows of two numbers, so it may be broadcast
     texts = (pick(docs, **{id_col: "long", text_col: "string"}).join(F.broadcast(graded), id_col)
              .groupBy(id_col).agg(F.min(text_col).alias(text_col), F.max(grade_col).alias(grade_col)))
-    schema = pa.schema([("grade", pa.int32()), ("features", pa.list_(pa.int64()))])
 
-    def run(batches):
+    def hashed(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_OUT):
                 part = batch.slice(at, ROWS_OUT)
                 found = [sorted({x for w in words(t) for x in word_features(w)}) for t in part.column(0).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(1), pa.array(found, pa.list_(pa.int64()))], schema=schema)
+                yield pa.RecordBatch.from_arrays([part.column(1), pa.array(found, pa.list_(pa.int64()))],
+                                                 names=["grade", "features"])
 
-    rows = texts.select(text_col, grade_col).mapInArrow(run, "grade int, features array<long>").toArrow()
-    y = rows.column("grade").to_numpy().astype(int)
-    lists = rows.column("features").combine_chunks()
-    if len(np.unique(y)) < 2:
+    rows = stored(texts.select(text_col, grade_col).mapInArrow(hashed, "grade int, features array<long>"), "graded")
+    per_grade = {r[0]: r[1] for r in rows.groupBy("grade").count().collect()}
+    if len(per_grade) < 2:
         return Model({}, [])
-    at = np.repeat(np.arange(len(y)), np.diff(lists.offsets.to_numpy()))
-    ids, x = np.unique(lists.values.to_numpy(), return_inverse=True)
-    keep, odds = _informative(x, at, y > y.min(), len(ids))
-    new = np.full(len(ids), -1)
-    new[keep] = np.arange(len(keep))
-    x, at = new[x[new[x] >= 0]], at[new[x] >= 0]
-    weights, cuts = _fit_ordinal(x, at, np.unique(y, return_inverse=True)[1], odds)
-    # deterministic sums: weights of one model, added in the order of their features
-    return Model(dict(zip(ids[keep].tolist(), weights.tolist())), cuts.tolist())
-
-
-def _informative(x: np.ndarray, at: np.ndarray, toxic: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The features that speak most clearly for a grade above the lowest, and
-    how much their log odds differ."""
-    t, c = np.bincount(x[toxic[at]], minlength=n) + 0.5, np.bincount(x[~toxic[at]], minlength=n) + 0.5
-    nt, nc = toxic.sum() + 1.0, (~toxic).sum() + 1.0
-    odds = np.log(t / (nt - t)) - np.log(c / (nc - c))
-    z = odds / np.sqrt(1 / t + 1 / (nt - t) + 1 / c + 1 / (nc - c))
-    # features against toxicity are left out: a long text holds many of them by chance
-    good = np.flatnonzero((z >= LEAST_Z) & (t + c >= LEAST_DOCS + 1))
-    good = np.sort(good[np.argsort(-z[good], kind="stable")[:FEATURES]])
-    return good, odds[good]
+    chosen = _informative(rows, per_grade)
+    ids, odds = np.array([r[0] for r in chosen], np.int64), np.array([r[1] for r in chosen], float)
+
+    def indexed(batches):
+        for batch in batches:
+            lists = batch.column(1)
+            values, n = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
+            at = np.searchsorted(ids, values)
+            hit = np.flatnonzero(np.append(ids, -1)[at] == values)
+            ends = np.searchsorted(hit, np.cumsum(n))
+            offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(at[hit].astype(np.int32)))],
+                names=["grade", "at"])
+
+    # the sample's rows with the few features that were chosen
+    kept = rows.mapInArrow(indexed, "grade int, at array<int>").toArrow()
+    lists = kept.column("at").combine_chunks()
+    doc = np.repeat(np.arange(kept.num_rows), np.diff(lists.offsets.to_numpy()))
+    y = np.unique(kept.column("grade").to_numpy(), return_inverse=True)[1]
+    weights, cuts = _fit_ordinal(lists.flatten().to_numpy(), doc, y, odds)
+    return Model(dict(zip(ids.tolist(), weights.tolist())), cuts.tolist())
+
+
+def _informative(rows: DataFrame, per_grade: dict[int, int]) -> list:
+    """(feature, difference of its log odds), by feature: those that speak most
+    clearly for a grade above the lowest. Features against it are left out: a
+    long text holds many of them by chance."""
+    low = min(per_grade)
+    nc, nt = per_grade[low] + 1.0, sum(per_grade.values()) - per_grade[low] + 1.0
+    held = rows.select((F.col("grade") > low).cast("int").alias("y"), F.explode("features").alias("x"))
+    n = held.groupBy("x").agg((F.sum("y") + 0.5).alias("t"), (F.sum(1 - F.col("y")) + 0.5).alias("c"))
+    t, c = F.col("t"), F.col("c")
+    odds = F.log(t / (nt - t)) - F.log(c / (nc - c))
+    z = odds / F.sqrt(1 / t + 1 / (nt - t) + 1 / c + 1 / (nc - c))
+    best = (n.where(t + c >= LEAST_DOCS + 1).select("x", odds.alias("odds"), z.alias("z"))
+            .where((F.col("z") >= LEAST_Z) & (F.col("odds") >= LEAST_ODDS)).orderBy(F.desc("z"), "x").limit(FEATURES))
+    return sorted((r["x"], r["odds"]) for r in best.collect())
 
 
 def _fit_ordinal(x: np.ndarray, at: np.ndarray, y: np.ndarray, odds: np.ndarray, steps: int = 100,
