@@ -10,11 +10,15 @@ from pyspark.sql import functions as F
 from bazaar.llm.bpe_transducer import encode_texts
 from bazaar.llm.common import stored, table
 from bazaar.llm.edit_counts import EDIT, edited_counts
+from bazaar.llm.impact_search import integers, top_k
+from bazaar.llm.learned_ann import fit as fit_router
+from bazaar.llm.learned_ann import nearest, one_length
 from bazaar.llm.packing import cut_documents, pack
 from bazaar.llm.secrets import Forest, labelled_by_rule, scan, train
 from bazaar.llm.simhash import near_duplicates
 from bazaar.llm.toxicity import Model, fit, score
 from bazaar.llm.url_filter import judge_urls
+from bazaar.llm.vectors import usable
 
 # host, path, action
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -97,6 +101,34 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+NEIGHBOURS, QUERY_STEP = 5, 50
+
+
+def op1_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = one_length(usable(table(spark, sf_dir, "embeddings"), nonzero=True))
+    return nearest(vectors, vectors.where(F.col("id") % QUERY_STEP == 0), fit_router(vectors, NEIGHBOURS), NEIGHBOURS)
+
+
+def op10_impact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = integers(usable(table(spark, sf_dir, "embeddings")))
+    return top_k(vectors, vectors.where(F.col("id") % QUERY_STEP == 0), NEIGHBOURS)
+
+
+_IMPACT_SQL = f"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % {QUERY_STEP} = 0 AND q.vec_id <> c.vec_id),
+r AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+         vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= {NEIGHBOURS}
+"""
+
 _URL_SQL = r"""
 WITH rules(rh, rp, action) AS (VALUES {rules}),
 u AS (
@@ -117,6 +149,8 @@ FROM p LEFT JOIN fit ON p.host = fit.host AND p.path = fit.path AND fit.rn = 1
 """
 
 QUERIES = {
+    "op1_learned_partitions": op1_learned_partitions,
+    "op10_impact_search": op10_impact_search,
     "op6_edit_counts": op6_edit_counts,
     "op8_secret_scan": op8_secret_scan,
     "op5_toxicity": op5_toxicity,
@@ -127,5 +161,6 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op10_impact_search": _IMPACT_SQL,
     "op9_url_filter": _URL_SQL.format(rules=", ".join(f"('{h}', '{p}', '{a}')" for h, p, a in URL_RULES)),
 }
