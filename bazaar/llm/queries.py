@@ -19,6 +19,7 @@ from bazaar.llm.simhash import near_duplicates
 from bazaar.llm.toxicity import Model, fit, score
 from bazaar.llm.url_filter import judge_urls
 from bazaar.llm.vectors import usable
+from bazaar.llm.warc import round_trip
 
 # host, path, action
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -58,6 +59,33 @@ def op6_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+LEAST_REVISIT_BYTES = 0
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = round_trip(table(spark, sf_dir, "pages"), LEAST_REVISIT_BYTES)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+# five hex digits of the SHA-1 are four base-32 digits
+_WARC_SQL = f"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+         sha1(coalesce(html, '')) AS hex
+  FROM pages),
+d AS (
+  SELECT *, array_to_string(list_transform(range(32), lambda i:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                  1 + ((CAST('0x' || substr(hex, 1 + 5 * (i // 4), 5) AS INTEGER) >> (15 - 5 * (i % 4))) & 31), 1)), '')
+           AS payload_digest,
+         max(page_id) OVER (PARTITION BY hex, payload_bytes) AS last
+  FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= {LEAST_REVISIT_BYTES} AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= {LEAST_REVISIT_BYTES} AND page_id <> last THEN last END AS refers_to
+FROM d
+"""
+
 SHINGLE_WORDS, MAX_BITS = 4, 4
 
 
@@ -149,6 +177,7 @@ FROM p LEFT JOIN fit ON p.host = fit.host AND p.path = fit.path AND fit.rn = 1
 """
 
 QUERIES = {
+    "op2_warc": op2_warc,
     "op1_learned_partitions": op1_learned_partitions,
     "op10_impact_search": op10_impact_search,
     "op6_edit_counts": op6_edit_counts,
@@ -161,6 +190,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op2_warc": _WARC_SQL,
     "op10_impact_search": _IMPACT_SQL,
     "op9_url_filter": _URL_SQL.format(rules=", ".join(f"('{h}', '{p}', '{a}')" for h, p, a in URL_RULES)),
 }
