@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazaar.llm.common import pick, stored
+from bazaar.llm.common import pick, position, positional, stored
 
 SAMPLE = 16_384          # graded documents that the model is fitted on, at most
 FEATURES = 20_000        # features with a weight, at most
@@ -182,3 +182,10 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, id_col: s
     own = pick(docs, **{id_col: "long", text_col: "string"})
     scored = own.select(id_col, model.column(F.col(text_col)).alias("severity"))
     return scored.withColumn("is_toxic", F.col("severity") >= threshold)
+
+
+def without_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """The documents, all columns, that don't reach the threshold."""
+    own, names = positional(docs)
+    severity = model.column(F.col(position(names, text_col)).cast("string"))
+    return own.where(severity < threshold).toDF(*names)
