@@ -1,0 +1,121 @@
+import random
+import zlib
+from array import array
+from collections import Counter, defaultdict
+
+import public_tokenizers as P
+import pytest
+from tokenizers import Tokenizer
+
+from bazaar.llm.common import table
+from bazaar.llm.packing import cut_documents, make_plan, pack
+from bazaar.llm.queries import TOKENIZER, op4_best_fit_packing
+from tests.llm.util import clashing, frame, rows
+
+SF = "/root/testdata/sf0.001"
+
+
+def covers(histogram, limit):
+    plan, got = make_plan(histogram, limit), Counter()
+    for lengths, times in plan:
+        assert sum(lengths) <= limit and times > 0
+        for x in lengths:
+            got[x] += times
+    assert got == Counter({k: v for k, v in histogram.items() if v})
+    return sum(times for _, times in plan)
+
+
+def first_fit(histogram, limit):
+    gaps = []
+    for x in sorted(Counter(histogram).elements(), reverse=True):
+        fit = min((g for g in gaps if g >= x), default=None)
+        if fit is None:
+            gaps.append(limit - x)
+        else:
+            gaps[gaps.index(fit)] = fit - x
+    return len(gaps)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_plan_covers_and_packs_as_well_as_best_fit(seed):
+    rnd = random.Random(seed)
+    limit = rnd.choice([10, 64, 300])
+    histogram = Counter(rnd.randint(1, rnd.choice([limit, limit, limit // 2])) for _ in range(rnd.choice([1, 40, 700])))
+    n = covers(histogram, limit)
+    assert -(-sum(k * v for k, v in histogram.items()) // limit) <= n <= first_fit(histogram, limit)
+
+
+def test_exact_complements_fill_sequences():
+    assert covers({60: 5, 40: 5}, 100) == 5                          # single
+    assert covers({50: 4, 30: 4, 20: 4}, 100) == 4                   # pair
+    assert covers({40: 3, 30: 3, 20: 3, 10: 3}, 100) == 3            # triple
+    assert covers({}, 100) == 0 and covers({100: 3}, 100) == 3 and covers({1: 250}, 100) == 3
+    assert covers({7: 10**12}, 100) == -(-10**12 // 14)              # counts, not pieces, bound the work
+
+
+def check_places(got, limit):
+    """(length, sequence, offset): gapless from 0, within the limit."""
+    by = defaultdict(list)
+    for length, sequence, offset in got:
+        by[sequence].append((offset, length))
+    for places in by.values():
+        end = 0
+        for offset, length in sorted(places):
+            assert offset == end
+            end += length
+        assert end <= limit
+    return len(by)
+
+
+def test_hot_length_ties_repeated_rows_and_clashing_names(spark):
+    lengths = [70] * 300 + [30] * 280 + list(range(1, 101)) * 2
+    df = frame(spark, [(i // 3 if i % 7 else None, n) for i, n in enumerate(lengths)], "id long, length long")
+    out = pack(clashing(df).repartition(7), 100)
+    assert out.columns == clashing(df).columns + ["sequence_id", "offset"]
+    got = [(r["length"], r["sequence_id"], r["offset"]) for r in out.collect()]
+    assert Counter(n for n, _, _ in got) == Counter(lengths)
+    assert check_places(got, 100) <= first_fit(Counter(lengths), 100)
+
+
+def test_empty_and_wrong_lengths(spark):
+    assert rows(pack(frame(spark, [], "length long"), 10)) == []
+    with pytest.raises(Exception, match="lengths must be in"):
+        pack(frame(spark, [(11,)], "length long"), 10).collect()
+
+
+def test_cut(spark):
+    docs = [(1, "a b c d e f g"), (None, None), (2, ""), (3, "word " * 5000), (3, "word " * 5000)]
+    own = Tokenizer.from_file(TOKENIZER)
+    got = rows(cut_documents(clashing(frame(spark, docs, "doc_id long, text string")), TOKENIZER, P.PATTERN, 16))
+    by = defaultdict(list)
+    for key, piece, start, length, ids in got:
+        ids = array("I", bytes(ids)).tolist()
+        assert len(ids) == length <= 16 and (length == 16 or piece == 0)
+        by[key].append((piece, start, ids))
+    for key, text in docs:
+        pieces = sorted(by[key])
+        want = own.encode(text or "", add_special_tokens=False).ids + [0]
+        if key == 3:  # twice the same document
+            assert pieces[::2] == pieces[1::2]
+            pieces = pieces[::2]
+        assert [x for _, _, ids in pieces for x in ids] == want
+        assert [s for _, s, _ in pieces] == [sum(len(p[2]) for p in pieces[:i]) for i in range(len(pieces))]
+
+
+def test_query_on_all_documents(spark):
+    own, limit = Tokenizer.from_file(TOKENIZER), 2048
+    got = op4_best_fit_packing(spark, SF).collect()
+    by = defaultdict(dict)
+    for r in got:
+        by[r["doc_id"]][r["piece"]] = r
+    lengths = Counter()
+    for d in table(spark, SF, "documents").collect():
+        ids, pieces = own.encode(d["text"], add_special_tokens=False).ids + [0], by.pop(d["doc_id"])
+        assert len(pieces) == -(-len(ids) // limit)
+        for r in pieces.values():
+            part = ids[r["start"]:r["start"] + r["length"]]
+            assert zlib.crc32(array("I", part).tobytes()) == r["ids_crc32"] and (r["length"] == limit or r["piece"] == 0)
+            lengths[r["length"]] += 1
+    assert not by
+    n = check_places([(r["length"], r["sequence_id"], r["offset"]) for r in got], limit)
+    assert n <= first_fit(lengths, limit)
