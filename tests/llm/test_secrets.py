@@ -1,0 +1,83 @@
+import random
+import re
+
+import pytest
+
+from bazaar.llm.common import table
+from bazaar.llm.queries import op8_secret_scan, secret_forest
+from bazaar.llm.secrets import CANDIDATE, DEPTH, FEATURES, MASK, Forest, candidates, labelled_by_rule, redact, scan, train
+from tests.llm.util import clashing, frame, rows
+
+SF = "/root/testdata/sf0.01"
+SCHEMA = "doc_id long, text string, source string, n_chars int"
+KEY = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+
+
+@pytest.fixture(scope="module")
+def forest(spark):
+    return secret_forest(table(spark, "/root/testdata/sf0.1", "documents"))
+
+
+def test_candidates_have_places_and_context(spark):
+    rnd = random.Random(1)
+    alphabet = ["abc", KEY, " ", "\n", "é😀", "x" * 20, '"', "=", "token ", "1" * 15, "-", "日"]
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 30))) for _ in range(60)] + ["", None, KEY, KEY + " " + KEY]
+    df = frame(spark, [(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in candidates(df, None, "text", ["doc_id"]).collect()}
+    for i, text in enumerate(texts):
+        want = [(m.group(), m.start()) for m in re.finditer(CANDIDATE, text or "")]
+        # Spark counts characters as code points, as Python does
+        assert [(f["value"], f["start"]) for f in got[i]["found_"]] == want
+        for f in got[i]["found_"]:
+            assert (text[:f["start"]] + f["value"]).endswith(f["left"] + f["value"])
+
+
+def test_compiled_forest_votes_as_the_trees_say(spark):
+    tree = ("length", 20.0, 0.0, ("digits", 0.5, 1.0, 0.0))
+    from pyspark.sql import functions as F
+    f = F.struct(*[F.lit({"length": 30.0, "digits": 0.4}.get(n, 0.0)).alias(n) for n in FEATURES])
+    score = spark.range(1).select(Forest("", [tree, 0.0, ("length", 40.0, 1.0, 0.0), 1.0]).score(f)).first()[0]
+    assert score == 0.75
+
+
+def test_false_findings_are_removed(spark, forest):
+    assert 0 < len(forest.trees) and DEPTH == 5
+    texts = [(1, f'set token = "{KEY}" here'), (2, "a verylongordinarywordofmanyletters here"), (3, "card 9807915762804490 paid"),
+             (4, None), (5, ""), (6, f'TOKEN = "{KEY.upper()}"!!'), (1, f'set token = "{KEY}" here'), (None, f'token = "{KEY}"'),
+             (7, "word " * 200_000 + f'token = "{KEY}"')]
+    df = clashing(frame(spark, [(i, t, "src1", len(t or "")) for i, t in texts], SCHEMA))
+    got = rows(scan(df, forest).select("doc_id", "start", "length", "value"))
+    want = [(1, 13, 40, KEY)] * 2 + [(6, 9, 40, KEY.upper()), (None, 9, 40, KEY), (7, 1_000_009, 40, KEY)]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    out = redact(df, forest)
+    assert out.columns == df.columns
+    by = {r[0]: r for r in out.collect()}
+    assert by[1][1] == f'set token = "{MASK}" here' and by[1][3] == len(by[1][1])
+    assert by[2][1:4] == (texts[1][1], "src1", len(texts[1][1])) and by[4][1] is None and by[5][1] == ""
+    assert out.count() == len(texts)
+
+
+def test_without_labels_or_rows(spark):
+    none = train(frame(spark, [], "value string, left string, right string, path string, label int"))
+    one = train(frame(spark, [(KEY, 'token = "', '"', "p", 1), (None, "", "", "", 0), (KEY, "", "", "", None)],
+                      "value string, left string, right string, path string, label int"))
+    df = frame(spark, [(1, f'token = "{KEY}"', None, None)], SCHEMA)
+    assert rows(scan(df, none)) == rows(scan(df, one)) == []
+    assert [r[:2] for r in rows(redact(df, none))] == [(1, f'token = "{KEY}"')]
+    assert rows(scan(df.limit(0), none)) == [] and rows(redact(df.limit(0), none)) == []
+
+
+def test_held_out_accuracy(spark, forest):
+    found = labelled_by_rule(table(spark, SF, "documents"))
+    want = found.where("label = 1").count()
+    assert want > 5 and op8_secret_scan(spark, SF).count() == want
+
+
+def test_query_finds_the_planted_tokens(spark):
+    want = set()
+    for r in table(spark, SF, "documents").collect():
+        want |= {(r["doc_id"], m.start(1)) for m in re.finditer(r'(?i)token = "([0-9a-f]{40})"', r["text"])}
+    got = op8_secret_scan(spark, SF)
+    assert {(r["doc_id"], r["start"]) for r in got.collect()} == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|Exchange", plan)

@@ -1,0 +1,160 @@
+import math
+
+import numpy as np
+import pyarrow.parquet as pq
+import pytest
+
+from bazaar.llm.impact_search import ImpactIndex, integers, top_k
+from bazaar.llm.learned_ann import (Router, balanced_parts, cosine, fit, learn, nearest, neighbours, one_length, unit)
+from bazaar.llm.queries import op1_learned_partitions, op10_impact_search
+from bazaar.llm.vectors import usable
+from pyspark.sql import functions as F
+from tests.llm.util import clashing, frame, rows
+
+SCHEMA = "vec_id long, embedding array<double>"
+SF = "/root/testdata/sf0.1"
+nan, inf = float("nan"), float("inf")
+
+
+def odd_rows():
+    """Nulls, ties, repeated rows, zero vectors and other lengths."""
+    rng = np.random.default_rng(0)
+    data = [(i, rng.normal(size=4).round(1).tolist()) for i in range(1, 80)]
+    data += [(i, [0.5, 0.5, -0.5, 0.5]) for i in range(100, 140)] + [(100, [0.5, 0.5, -0.5, 0.5])] * 3
+    data += [(200, None), (250, [1.0, None, 2.0, 3.0]), (300, [nan, 1.0, 1.0, 1.0]), (350, [inf, 1.0, 1.0, 1.0]),
+             (400, [0.0] * 4), (None, [1.0, 1.0, 1.0, 1.0]), (450, []), (500, [1.0, 2.0]), (501, [2.0, 1.0]),
+             (0, [1e300, -1e300, 1e299, 0.0]), (550, [1e-300, -1e-300, 1e-301, 0.0])]
+    return data
+
+
+def brute(data, score, k):
+    fine = [(i, v) for i, v in data if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    out, seen = [], set()
+    for i, q in sorted(fine, key=lambda x: (x[0], x[1])):
+        if i % 50 == 0 and i not in seen:
+            seen.add(i)
+            found = sorted(((-score(q, v), j) for j, v in fine if j != i and len(v) == len(q) and score(q, v) is not None))[:k]
+            out += [(i, rank + 1, j, -s) for rank, (s, j) in enumerate(found)]
+    return out
+
+
+def inner(q, v):
+    return sum(math.floor(256 * a) * math.floor(256 * b) for a, b in zip(q, v))
+
+
+def small(data):
+    return [(i, v) for i, v in data if not v or all(x is None or not math.isfinite(x) or 1e-9 < abs(x) < 1e9 or x == 0 for x in v)]
+
+
+def test_impact_search_against_brute_force(spark):
+    data = small(odd_rows())
+    v = integers(usable(clashing(frame(spark, data, SCHEMA))))
+    for block, query_block in ((8192, 2048), (16, 2)):
+        got = rows(top_k(v, v.where("id % 50 = 0"), 5, block, query_block))
+        assert sorted(got) == sorted(brute(data, inner, 5))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_index_stops_only_on_proof(seed):
+    rng = np.random.default_rng(seed)
+    v = rng.integers(-150, 150, (3000, 16)) if seed % 2 else rng.integers(-5, 6, (3000, 3))
+    v[::3] = v[0]
+    index = ImpactIndex(v)
+    for q in np.concatenate([v[:10], rng.integers(-150, 150, (10, v.shape[1])), np.zeros((1, v.shape[1]), int)]):
+        found, scores = index.search(q, 7, np.array([5]))
+        full = v @ q
+        full[5] = full.min() - 1
+        best = np.lexsort((np.arange(len(v)), -full))[:7]
+        assert found[np.lexsort((found, -scores))[:7]].tolist() == best.tolist()
+        assert 5 not in found
+
+
+def everywhere(dims, parts=4):
+    """A router that probes every part."""
+    rng = np.random.default_rng(1)
+    return Router([(rng.normal(size=(dims, 8)), np.zeros(8)), (rng.normal(size=(8, parts)), np.zeros(parts))], parts)
+
+
+def test_ranking_against_brute_force(spark):
+    data = odd_rows()
+
+    def cos(q, v):
+        if not any(q) or not any(v):
+            return None
+        return float(cosine(np.array(q), np.array([v]))[0])
+
+    want = brute([(i, v) for i, v in data if not v or len(v) == 4], cos, 5)
+    want = [w for w in want if w[0] != 400]
+    v = one_length(usable(clashing(frame(spark, data, SCHEMA)), nonzero=True))
+    for block, query_block in ((8192, 2048), (10, 2)):
+        got = rows(nearest(v, v.where("id % 50 = 0"), everywhere(4), 5, block, query_block))
+        assert sorted(got) == sorted(want)
+
+
+def test_cosine_is_exact_and_equal_for_equal_rows():
+    rng = np.random.default_rng(0)
+    q, v = rng.normal(size=64), rng.normal(size=(50, 64))
+    v[10:40] = v[3]
+    got = cosine(q, v)
+    assert len(set(got[10:40].tolist() + [got[3]])) == 1
+    assert np.allclose(got, v @ q / np.linalg.norm(v, axis=1) / np.linalg.norm(q), atol=1e-15)
+
+
+def test_parts_are_balanced_and_follow_the_graph():
+    rng = np.random.default_rng(0)
+    points = unit(np.concatenate([rng.normal(c, 0.1, (200, 8)) for c in np.eye(8)]))
+    graph = neighbours(points, points, 10, True)
+    part = balanced_parts(points, graph, 8)
+    assert np.bincount(part, minlength=8).max() <= np.ceil(200 * 1.05)
+    assert np.mean(part[graph] == part[:, None]) > 0.9
+
+
+def test_learned_router_needs_few_probes_on_clusters():
+    rng = np.random.default_rng(0)
+    sample = np.concatenate([rng.normal(c * 3, 0.3, (300, 16)) for c in np.eye(16)])
+    rng.shuffle(sample)
+    assert learn(sample).probes <= 3
+
+
+def test_too_few_vectors_and_empty_tables(spark):
+    for n in (0, 1, 2, 9):
+        data = [(50 * i, [1.0 * i + 1, 1.0]) for i in range(n)]
+        v = one_length(usable(frame(spark, data, SCHEMA), nonzero=True))
+        got = rows(nearest(v, v, fit(v), 3))
+        assert len(got) == n * min(3, max(0, n - 1))
+    v = integers(usable(frame(spark, [], SCHEMA)))
+    assert rows(top_k(v, v)) == []
+
+
+def embeddings(sf):
+    t = pq.read_table(f"{sf}/embeddings.parquet")
+    return t.column("vec_id").to_numpy(), np.stack(t.column("embedding").to_pylist()).astype(float)
+
+
+def test_recall_of_the_query(spark):
+    got = {}
+    for q, rank, v, s in rows(op1_learned_partitions(spark, SF)):
+        got.setdefault(q, []).append((rank, v, s))
+    ids, x = embeddings(SF)
+    hits = 0
+    for i in np.flatnonzero(ids % 50 == 0):
+        s = cosine(x[i], x)
+        s[i] = -2
+        best = np.lexsort((ids, -s))[:5]
+        found = sorted(got.pop(ids[i]))
+        assert [r for r, _, _ in found] == [1, 2, 3, 4, 5]
+        assert all(abs(s[np.flatnonzero(ids == v)[0]] - score) < 1e-15 for _, v, score in found)
+        hits += len({v for _, v, _ in found} & set(ids[best].tolist()))
+    assert not got and hits >= 0.9 * 5 * np.count_nonzero(ids % 50 == 0)
+
+
+def test_impact_query(spark):
+    got = rows(op10_impact_search(spark, SF))
+    ids, x = embeddings(SF)
+    v = np.floor(256 * x).astype(np.int64)
+    want = []
+    for i in np.flatnonzero(ids % 50 == 0):
+        s = v @ v[i]
+        s[i] = -10**12
+        want += [(ids[i], r + 1, ids[j], s[j]) for r, j in enumerate(np.lexsort((ids, -s))[:5])]
+    assert sorted(got) == sorted(want)

@@ -1,0 +1,111 @@
+import base64
+import gzip
+import hashlib
+import io
+import random
+import zlib
+
+import pyarrow as pa
+import pytest
+
+from bazaar.llm.common import shared_dir
+from bazaar.llm.warc import (Records, file_system, inflated, normalise, read_records, record, round_trip, sha1_base32,
+                             split_members, write_archives)
+from tests.llm.util import clashing, frame, rows
+
+SCHEMA = "page_id long, url string, html string"
+PAGES = [(1, "http://a/", "x"), (2, "http://b/", "x"), (3, None, "x"), (4, "http://c/\r\nEvil: 1", ""), (5, "u", None),
+         (6, "é", "日本\r\n\r\nWARC/1.1\r\nContent-Length: 5\r\n\r\n"), (None, "n", "alone"), (None, "n", "x"), (None, None, "y"),
+         (None, None, "y"), (7, "r", "same"), (7, "r", "same"), (8, "long", "<p>" * 700_000), (9, "long", "<p>" * 700_000)]
+
+
+def expected(pages, least=0):
+    out = []
+    for i, _, html in pages:
+        data = (html or "").encode()
+        last = max((j for j, _, h in pages if (h or "") == (html or "") and j is not None), default=None)
+        revisit = len(data) >= least and last is not None and i != last
+        out.append((i, len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(),
+                    "revisit" if revisit else "response", last if revisit else None))
+    return sorted(out, key=repr)
+
+
+def digest(df):
+    return sorted(rows(df.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")), key=repr)
+
+
+@pytest.mark.parametrize("least", [0, 2])
+def test_round_trip(spark, least):
+    df = clashing(frame(spark, PAGES, SCHEMA)).repartition(3)
+    out = round_trip(df, least)
+    assert digest(out) == expected(PAGES, least)
+    for r in out.where("record_type = 'response'").collect():
+        assert sha1_base32(bytes(r["payload"])) == r["payload_digest"]
+
+
+def test_empty_table(spark):
+    assert rows(round_trip(frame(spark, [], SCHEMA))) == []
+
+
+def test_a_hot_payload(spark):
+    pages = [(i, f"u{i}", "hot" if i % 3 else f"own {i}") for i in range(600)]
+    assert digest(round_trip(frame(spark, pages, SCHEMA).repartition(8))) == expected(pages)
+
+
+def test_members_and_sidecar(spark):
+    folder = f"{shared_dir(spark)}/warc-test"
+    archives = write_archives(frame(spark, PAGES, SCHEMA).repartition(2), f"{folder}/whole")
+    for (name,) in rows(archives):
+        system, path = file_system(name)
+        raw = system.open_input_stream(path, compression=None).read()
+        one = zlib.decompressobj(31)
+        one.decompress(raw)
+        assert one.eof and not one.unused_data  # a single stream
+    index = normalise(archives, f"{folder}/members")
+    by = {}
+    for archive, offset, length, kind, rid in rows(index):
+        by.setdefault(archive, []).append((offset, length, kind, rid))
+    assert len(by) == archives.count()
+    for archive, members in by.items():
+        system, path = file_system(archive)
+        raw = system.open_input_stream(path, compression=None).read()
+        end = 0
+        for offset, length, kind, rid in sorted(members):
+            assert offset == end  # members follow each other without a gap
+            data = gzip.decompress(raw[offset:offset + length])
+            assert data.startswith(b"WARC/1.1\r\n") and data.endswith(b"\r\n\r\n") and f"WARC-Type: {kind}".encode() in data
+            end += length
+        assert end == len(raw)
+        lines = system.open_input_stream(path.removesuffix(".warc.gz") + ".idx").read().decode().splitlines()
+        assert [tuple(x.split("\t")) for x in lines] == [tuple(map(str, m)) for m in sorted(members)]
+
+
+def test_streams_in_any_steps_members_and_padding():
+    recs = [record(i, f"u{i}", random.Random(i).randbytes(i * 997) + b"\r\n\r\n" * (i % 3), "D", 5 if i % 4 == 3 else None) for i in range(12)]
+    whole = b"".join(recs)
+    for raw in (gzip.compress(whole), b"".join(map(gzip.compress, recs)), gzip.compress(whole) + b"\0" * 64,
+                gzip.compress(b"\r\n" + whole), gzip.compress(b"") + gzip.compress(whole)):
+        out = io.BytesIO()
+        members = list(split_members(io.BytesIO(raw), out.write))
+        data = out.getvalue()
+        assert [gzip.decompress(data[o:o + n]) for o, n, _, _ in members] == recs
+    big = gzip.compress(record(1, None, b"\0" * 30_000_000, "D", None))
+    sizes = [len(x) for x in inflated(io.BytesIO(big))]
+    assert max(sizes) <= 1 << 20 and sum(sizes) > 30_000_000
+    assert list(split_members(io.BytesIO(b""), io.BytesIO().write)) == []
+
+
+def test_malformed_archives_raise():
+    good = gzip.compress(record(1, "u", b"payload", "D", None))
+    for raw in (good[:-12], gzip.compress(b"HTTP/1.1 200 OK\r\n\r\n"), gzip.compress(record(1, "u", b"payload", "D", None)[:-9]),
+                gzip.compress(b"WARC/1.1\r\nContent-Length: 3")):
+        with pytest.raises(ValueError):
+            list(split_members(io.BytesIO(raw), lambda b: None))
+
+
+def test_header_names_in_any_case():
+    raw = b"WARC/1.0\r\nwarc-type: response\r\nCONTENT-LENGTH: 2\r\n\r\nab\r\n\r\n"
+    records = Records(iter([raw[:7], raw[7:30], raw[30:]]))
+    head = records.header()
+    assert head.endswith(b"\r\n\r\n") and b"".join(records.block(2)) == b"ab" and records.header() is None
+    assert pa.__version__ and read_records
