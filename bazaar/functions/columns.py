@@ -49,10 +49,11 @@ def elapsed_days(start, end) -> Column:
 
     ``-26 h`` gives ``-2`` and ``26 h`` gives ``1``: neither ``datediff``
     (calendar days) nor ``timestampdiff(DAY)`` (truncates toward zero) does
-    this. Exact for spans under 285 years.
+    this. Exact for any span: whole days are taken off before the division.
     """
     micros = F.timestamp_diff("MICROSECOND", _c(start), _c(end))
-    return F.floor(micros / F.lit(float(MICROS_PER_DAY))).cast("long")
+    day = F.lit(MICROS_PER_DAY)
+    return F.round((micros - F.pmod(micros, day)) / day).cast("long")
 
 
 def month_label(ts) -> Column:
@@ -60,16 +61,6 @@ def month_label(ts) -> Column:
     return F.date_format(_c(ts), "MMM-yyyy")
 
 
-def year_str(ts) -> Column:
-    """Year as unpadded text (trap T15)."""
-    return F.year(_c(ts)).cast("string")
-
-
-def month_str(ts) -> Column:
-    """Month number as unpadded text (trap T15)."""
-    return F.month(_c(ts)).cast("string")
-
-
 def period_first(year, month) -> Column:
     """First day of the month given as year and month (numbers or text)."""
     return F.make_date(_c(year).cast("int"), _c(month).cast("int"), F.lit(1))

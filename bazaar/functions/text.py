@@ -9,15 +9,13 @@ tokenizer splits contractions.
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bazaar.sources.dimensions import STOPWORDS_PT
+
 # Fixed value: the character class kept by the letters-only step (ASCII
 # letters and U+00C0..U+00FF).
 LETTERS_PATTERN = "[^a-zA-ZÀ-ÿ]"
@@ -27,28 +25,6 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-@functools.lru_cache(maxsize=None)
-def portuguese_stopwords() -> tuple[str, ...]:
-    """Spark ML's Portuguese stop-word list (the list ``StopWordsRemover``
-    loads), read from the MLlib jar so it is available without a JVM (the
-    DuckDB oracle needs it too)."""
-    import pyspark
-
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    for jar in jars:
-        with zipfile.ZipFile(jar) as z:
-            name = "org/apache/spark/ml/feature/stopwords/portuguese.txt"
-            if name in z.namelist():
-                words = z.read(name).decode("utf-8").split()
-                return tuple(words)
-    raise FileNotFoundError("Portuguese stop words not found in the Spark MLlib jar")
-
-
-def letters_only(text) -> Column:
-    """Every character outside the letter class becomes a space."""
-    return F.regexp_replace(_c(text), LETTERS_PATTERN, " ")
-
-
 # Upper-case letters of the kept class and their lower-case forms, built by
 # rule: A-Z and U+00C0..U+00DE except U+00D7 (multiplication sign).
 _UPPER = "".join(chr(c) for c in range(ord("A"), ord("Z") + 1)) + "".join(
@@ -57,7 +33,7 @@ _LOWER = _UPPER.lower()
 
 
 def tokens(text) -> Column:
-    """X1+X2+X4: lower-cased words of the letters-only text (no empties).
+    """Lower-cased words of the letters-only text (no empties).
 
     Same words as letters-only -> lower -> split on spaces, computed as:
     lower-case the kept letters with ``translate`` (the only upper-case
@@ -81,7 +57,7 @@ def clean_text(df: DataFrame, text_col: str, out_col: str = "clean_text",
     """
     from pyspark.ml.feature import StopWordsRemover
 
-    words = list(stopwords) if stopwords is not None else list(portuguese_stopwords())
+    words = list(stopwords) if stopwords is not None else list(STOPWORDS_PT)
     tmp_in, tmp_out = f"__{out_col}_tok", f"__{out_col}_kept"
     # the remover rejects a NULL array: NULL text tokenises as empty, the
     # result is set back to NULL below

@@ -6,12 +6,14 @@ also checks the count-over-join rewrite of the Spark plan.
 
 from __future__ import annotations
 
-from bazaar.functions.text import LETTERS_PATTERN, portuguese_stopwords
+import warnings
+
+from bazaar.functions.text import LETTERS_PATTERN
 from bazaar.plans.bindings import (
     K_NEIGHBOURS, MIN_CONFIDENCE, MIN_LIFT, MIN_SUPPORT, N_PRODUCTS, PAID_ORIGIN, PAID_PRICE,
-    TEST_LEXICON,
+    TEST_LEXICON, TYPE_CONFIDENCE, TYPE_LIFT, TYPE_SUPPORT,
 )
-from bazaar.sources.dimensions import OVERRIDE_POLARITY, OVERRIDE_WORDS
+from bazaar.sources.dimensions import OVERRIDE_POLARITY, OVERRIDE_WORDS, STOPWORDS_PT
 
 
 def _q(s: str) -> str:
@@ -143,7 +145,7 @@ recs AS (SELECT customer_id, rk, product_id, round(score, 9) AS score FROM rc_fo
 
 
 def _stopwords_sql() -> str:
-    return "[" + ", ".join(_q(w) for w in portuguese_stopwords()) + "]"
+    return "[" + ", ".join(_q(w) for w in STOPWORDS_PT) + "]"
 
 
 def _clean_sql(text: str) -> tuple[str, str]:
@@ -179,11 +181,15 @@ SENTIMENT_CLASS = ("CASE WHEN txt = '' THEN 'Error' WHEN polarity IS NULL THEN '
                    "WHEN polarity < 0 THEN 'negative' ELSE '0' END")
 
 
-def _rules_sql(pairs_only: bool) -> str:
-    s = repr(MIN_SUPPORT)
+PART_ITEMS = "SELECT DISTINCT l_orderkey AS o, l_partkey AS i FROM lineitem WHERE l_orderkey IS NOT NULL AND l_partkey IS NOT NULL"
+TYPE_ITEMS = "SELECT DISTINCT l_orderkey AS o, p_type AS i FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_type IS NOT NULL"
+
+
+def _rules_sql(pairs_only: bool, items: str = PART_ITEMS, support: float = MIN_SUPPORT,
+               confidence: float = MIN_CONFIDENCE, lift: float = MIN_LIFT) -> str:
+    s = repr(support)
     base = f"""
-WITH r AS (SELECT DISTINCT l_orderkey AS o, l_partkey AS i FROM lineitem
-           WHERE l_orderkey IS NOT NULL AND l_partkey IS NOT NULL),
+WITH r AS ({items}),
 n AS (SELECT CAST(count(DISTINCT o) AS DOUBLE) AS n FROM r),
 f AS (SELECT i, count(*) AS ci FROM r GROUP BY i HAVING count(*) / (SELECT n FROM n) >= {s}),
 k AS (SELECT r.* FROM r JOIN f USING (i)),
@@ -198,12 +204,11 @@ pair_rules AS (
         return base + f"""
 SELECT antecedent, consequent, round(support, 6) AS support, round(confidence, 6) AS confidence,
        round(lift, 6) AS lift
-FROM pair_rules WHERE confidence >= {MIN_CONFIDENCE!r} AND lift >= {MIN_LIFT!r}"""
+FROM pair_rules WHERE confidence >= {confidence!r} AND lift >= {lift!r}"""
     # itemsets of any size: every ascending item list of each basket's
     # frequent items (recursive), counted, then every single-item consequent
     return f"""
-WITH RECURSIVE r AS (SELECT DISTINCT l_orderkey AS o, l_partkey AS i FROM lineitem
-                     WHERE l_orderkey IS NOT NULL AND l_partkey IS NOT NULL),
+WITH RECURSIVE r AS ({items}),
 n AS (SELECT CAST(count(DISTINCT o) AS DOUBLE) AS n FROM r),
 f AS (SELECT i FROM r GROUP BY i HAVING count(*) / (SELECT n FROM n) >= {s}),
 k AS (SELECT r.* FROM r JOIN f USING (i)),
@@ -219,13 +224,13 @@ SELECT array_to_string(rules.ante, ' ') AS antecedent, CAST(rules.cons AS VARCHA
        round(rules.c / n.n, 6) AS support, round(rules.c / a.c, 6) AS confidence,
        round((rules.c / a.c) / (b.c / n.n), 6) AS lift
 FROM rules JOIN fs a ON a.items = rules.ante JOIN fs b ON b.items = [rules.cons], n
-WHERE rules.c / a.c >= {MIN_CONFIDENCE!r} AND (rules.c / a.c) / (b.c / n.n) >= {MIN_LIFT!r}"""
+WHERE rules.c / a.c >= {confidence!r} AND (rules.c / a.c) / (b.c / n.n) >= {lift!r}"""
 
 
 def oracle_sql() -> dict[str, str]:
     period = 'make_date(y, m, 1) AS "first", last_day(make_date(y, m, 1)) AS "last"'
-    sql = {}
-    sql["on_time_by_month"] = f"""
+    sql: dict = {}
+    sql["on_time_by_month"] = lambda: f"""
 WITH rws AS (
   SELECT o.o_orderstatus AS order_status, o.o_orderdate + to_hours(3 * l.l_linenumber) AS purchase,
          CASE WHEN o.o_orderstatus <> 'P' THEN o.o_orderdate END AS approved,
@@ -241,77 +246,77 @@ SELECT CAST(y AS VARCHAR) AS year, CAST(m AS VARCHAR) AS month,
        round_even(avg(at_time) * 100.0, 2) AS at_time, round_even(avg(1 - at_time) * 100.0, 2) AS no_at_time,
        {period}
 FROM f GROUP BY y, m"""
-    sql["elapsed_days"] = f"""
+    sql["elapsed_days"] = lambda: f"""
 SELECT l.l_orderkey, l.l_linenumber,
        {_days('o.o_orderdate + to_hours(3 * l.l_linenumber)', 'l.l_shipdate')} AS elapsed_days
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"""
-    sql["orders_payment"] = """
+    sql["orders_payment"] = lambda: """
 SELECT o.o_custkey AS customer_id, o.o_orderdate AS order_date, o.o_orderkey AS order_id,
        l.l_extendedprice AS order_value, strftime(o.o_orderdate, '%b-%Y') AS month_yr
 FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey"""
-    sql["qualified_leads"] = f"WITH {DEALS.strip()}\nSELECT * FROM ql"
-    sql["seller_cltv"] = f"""
+    sql["qualified_leads"] = lambda: f"WITH {DEALS.strip()}\nSELECT * FROM ql"
+    sql["seller_cltv"] = lambda: f"""
 WITH {SALES.strip()}
 SELECT s.s_suppkey AS seller_id, s.s_nationkey AS seller_zip_code_prefix, s.s_name AS seller_city,
        n.n_name AS seller_state, round(sales.seller_sales, 2) AS cltv
 FROM sales JOIN supplier s ON s.s_suppkey = sales.seller_id JOIN nation n ON s.s_nationkey = n.n_nationkey"""
-    sql["lead_cltv"] = f"""
+    sql["lead_cltv"] = lambda: f"""
 WITH {DEALS.strip()}, {SALES.strip()}
 SELECT ql.*, round(CASE WHEN origin = {_q(PAID_ORIGIN)} THEN seller_sales - {PAID_PRICE!r}
                         ELSE seller_sales END, 2) AS cltv
 FROM ql JOIN sales USING (seller_id)"""
-    sql["closed_deals"] = f"WITH {DEALS.strip()}\nSELECT * FROM deals"
-    sql["leads_by_month_origin"] = f"""
+    sql["closed_deals"] = lambda: f"WITH {DEALS.strip()}\nSELECT * FROM deals"
+    sql["leads_by_month_origin"] = lambda: f"""
 WITH l AS (SELECT year(o_orderdate) AS y, month(o_orderdate) AS m, o_orderpriority AS origin FROM orders)
 SELECT CAST(y AS VARCHAR) AS year, CAST(m AS VARCHAR) AS month, origin, count(origin) AS "count", {period}
 FROM l WHERE y IS NOT NULL AND m IS NOT NULL AND origin IS NOT NULL GROUP BY y, m, origin"""
-    sql["leads_by_origin"] = """
+    sql["leads_by_origin"] = lambda: """
 SELECT event_type AS origin, count(*) AS "count" FROM events WHERE event_type IS NOT NULL
 GROUP BY event_type"""
-    sql["geolocation"] = """
+    sql["geolocation"] = lambda: """
 SELECT c_custkey, c_acctbal AS geolocation_lat, CAST(c_nationkey AS DOUBLE) AS geolocation_lng,
        CAST(c_acctbal AS VARCHAR) || ',' || CAST(CAST(c_nationkey AS DOUBLE) AS VARCHAR) AS location
 FROM customer"""
-    sql["order_reviews"] = f"WITH {M1.strip()}\nSELECT * FROM m1"
-    sql["order_products_payments"] = f"WITH {M2.strip()}\nSELECT * FROM m2"
-    sql["arrival_by_city"] = f"""
+    sql["order_reviews"] = lambda: f"WITH {M1.strip()}\nSELECT * FROM m1"
+    sql["order_products_payments"] = lambda: f"WITH {M2.strip()}\nSELECT * FROM m2"
+    sql["arrival_by_city"] = lambda: f"""
 WITH {M1.strip()},
 g AS (SELECT customer_city, round(avg(arrival_days), 6) AS arrival_days,
              round(avg(review_score), 6) AS review_score
       FROM m1 WHERE customer_city IS NOT NULL GROUP BY customer_city)
 SELECT * FROM g WHERE arrival_days IS NOT NULL AND review_score IS NOT NULL"""
-    sql["arrival_by_state"] = f"""
+    sql["arrival_by_state"] = lambda: f"""
 WITH {M1.strip()}
 SELECT name, round(avg(arrival_days), 6) AS arrival_days, round(avg(review_score), 6) AS review_score
 FROM m1 WHERE name IS NOT NULL GROUP BY name"""
-    sql["order_rows_by_month"] = f"""
+    sql["order_rows_by_month"] = lambda: f"""
 WITH {M1.strip()}, {M2.strip()},
 j AS (SELECT m1.order_id, year(m1.order_approved_at) AS y, month(m1.order_approved_at) AS m, m2.product_id
       FROM m1 JOIN m2 ON m1.order_id = m2.order_id WHERE m1.order_approved_at IS NOT NULL)
 SELECT order_id, CAST(y AS VARCHAR) AS year, CAST(m AS VARCHAR) AS month, count(product_id) AS product_id,
        {period}
 FROM j GROUP BY order_id, y, m"""
-    sql["order_status_code"] = f"""
+    sql["order_status_code"] = lambda: f"""
 SELECT o_orderkey AS order_id, {STATUS} AS order_status,
        {STATUS_CODE.format(c=STATUS)} AS numeric_order_status FROM orders"""
-    sql["principal_category"] = f"""
+    sql["principal_category"] = lambda: f"""
 SELECT p_partkey, p_type, {GROUP.format(c='p_type')} AS product_principal_category FROM part"""
-    sql["baskets"] = """
+    sql["baskets"] = lambda: """
 SELECT l_orderkey AS order_id, array_to_string(list_sort(list_distinct(list(l_partkey))), ' ') AS items,
        CAST(len(list_distinct(list(l_partkey))) AS INTEGER) AS n_items
 FROM lineitem WHERE l_orderkey IS NOT NULL AND l_partkey IS NOT NULL GROUP BY l_orderkey"""
-    sql["pair_rules"] = _rules_sql(pairs_only=True)
-    sql["association_rules"] = _rules_sql(pairs_only=False)
-    sql["user_product_ratings"] = f"""
+    sql["pair_rules"] = lambda: _rules_sql(pairs_only=True)
+    sql["association_rules"] = lambda: _rules_sql(pairs_only=False)
+    sql["user_product_ratings"] = lambda: f"""
 WITH {RATINGS.strip()}
 SELECT customer_id, product_id, round(rating, 6) AS rating FROM ratings"""
-    sql["similar_users"] = f"""
+    sql["similar_users"] = lambda: f"""
 WITH {RATINGS.strip()}, {NEIGHBOURS.strip()}
 SELECT customer_id, CAST(rk AS INTEGER) AS rank, neighbour, round(similarity, 6) AS similarity FROM nb"""
-    sql["recommend"] = f"""
+    sql["recommend"] = lambda: f"""
 WITH {RATINGS.strip()}, {NEIGHBOURS.strip()}, {RECOMMEND.strip()}
 SELECT customer_id, CAST(rk AS INTEGER) AS rank, product_id, round(score, 6) AS score FROM recs"""
-    sql["recommend_or_default"] = f"""
+    sql["recommend_or_default"] = lambda: f"""
 WITH {RATINGS.strip()}, {NEIGHBOURS.strip()}, {RECOMMEND.strip()},
 requests AS (SELECT DISTINCT c_custkey AS customer_id FROM customer),
 complete AS (SELECT customer_id FROM recs GROUP BY customer_id HAVING count(*) >= {N_PRODUCTS}),
@@ -322,28 +327,45 @@ WHERE r.customer_id IN (SELECT customer_id FROM requests) AND r.customer_id IN (
 UNION ALL
 SELECT q.customer_id, CAST(p.rk AS INTEGER), p.product_id, true FROM requests q, popular p
 WHERE q.customer_id NOT IN (SELECT customer_id FROM complete)"""
-    _, clean = _clean_sql("text")
-    sql["clean_text"] = f"SELECT doc_id, {clean} AS clean_text FROM documents"
-    sql["lexicon_polarity"] = f"""
+    sql["clean_text"] = lambda: f"SELECT doc_id, {_clean_sql('text')[1]} AS clean_text FROM documents"
+    sql["lexicon_polarity"] = lambda: f"""
 WITH {_polarity_ctes('documents', 'text').strip()}
 SELECT doc_id, polarity FROM pol"""
-    sql["sentiment"] = f"""
+    sql["sentiment"] = lambda: f"""
 WITH {_polarity_ctes('documents', 'text').strip()}
 SELECT doc_id, {SENTIMENT_CLASS} AS sentiment FROM pol"""
-    sql["review_score_class"] = """
+    sql["review_score_class"] = lambda: """
 SELECT l_orderkey, l_linenumber, l_quantity / 10.0 AS review_score,
        CASE WHEN l_quantity / 10.0 >= 4 THEN 'positive' WHEN l_quantity / 10.0 >= 3 THEN 'neutral'
             WHEN l_quantity / 10.0 <= 2 THEN 'negative' END AS score_class
 FROM lineitem"""
-    sql["review_sentiment"] = f"""
-WITH src AS (SELECT d.doc_id, CASE WHEN d.doc_id % 10 <> 0 THEN d.text END AS message,
-                    1 + 4 * l.quality AS score
-             FROM documents d JOIN labels l ON l.doc_id = d.doc_id),
-{_polarity_ctes('src', 'message').strip()}
+    sql["review_sentiment"] = lambda: f"""
+WITH src AS (SELECT d.doc_id, concat_ws(' ', d.source, d.text) AS body, 1 + 4 * l.quality AS score
+             FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id),
+{_polarity_ctes('src', 'body').strip()}
 SELECT src.doc_id,
-       CASE WHEN src.message IS NULL THEN
+       CASE WHEN d.source IS NULL AND d.text IS NULL THEN
               CASE WHEN score >= 4 THEN 'positive' WHEN score >= 3 THEN 'neutral'
                    WHEN score <= 2 THEN 'negative' END
             ELSE {SENTIMENT_CLASS} END AS sentiment
-FROM src JOIN pol ON pol.doc_id = src.doc_id"""
-    return sql
+FROM src JOIN pol ON pol.doc_id = src.doc_id JOIN documents d ON d.doc_id = src.doc_id"""
+    sql["label_sentiment"] = lambda: """
+SELECT doc_id, CASE WHEN 1 + 4 * quality >= 4 THEN 'positive' WHEN 1 + 4 * quality >= 3 THEN 'neutral'
+                    WHEN 1 + 4 * quality <= 2 THEN 'negative' END AS sentiment
+FROM labels"""
+    sql["type_rules"] = lambda: _rules_sql(False, TYPE_ITEMS, TYPE_SUPPORT, TYPE_CONFIDENCE, TYPE_LIFT)
+    sql["similar_users_in_blocks"] = sql["similar_users"]
+    sql["recommender_rows"] = lambda: f"""
+WITH {M1.strip()}, {M2.strip()}
+SELECT i.product_id, p.p_type AS product_category_name, i.price, r.review_score, o.customer_id, i.order_id
+FROM items_v i FULL JOIN part p ON p.p_partkey = i.product_id
+FULL JOIN reviews_v r ON r.order_id = i.order_id FULL JOIN orders_v o ON o.order_id = i.order_id
+WHERE i.product_id IS NOT NULL AND p.p_type IS NOT NULL AND i.price IS NOT NULL AND r.review_score IS NOT NULL
+  AND o.customer_id IS NOT NULL AND i.order_id IS NOT NULL"""
+    out = {}
+    for name, build in sql.items():
+        try:
+            out[name] = build()
+        except Exception as e:  # one entry that can't be built must not hide the others
+            warnings.warn(f"no SQL for {name}: {e}", stacklevel=2)
+    return out

@@ -1,13 +1,15 @@
 """Session settings and lineage helpers.
 
 The library never owns cluster settings: ``tune`` only fills SQL runtime
-options that the session has not set, and ``checkpoint_dir`` reads the shared
-folder the cluster names in ``spark.checkpoint.dir``.
+options that the session has not set, and ``shared_dir`` reads the folder the
+cluster names in ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,42 +67,36 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "bazaa
     return tune(spark)
 
 
-def checkpoint_dir(spark: SparkSession, required: bool = True) -> str | None:
-    """The shared folder for reliable checkpoints.
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir`` of
+    the session. Only a local session that names none gets a temporary one; on
+    a cluster a machine-local folder would not survive a lost executor."""
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+        if not conf:
+            if sc.master != "local" and not sc.master.startswith("local["):
+                raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder")
+            conf = tempfile.mkdtemp(prefix="bazaar-shared-")
+        sc.setCheckpointDir(conf)
+    return sc.getCheckpointDir().rstrip("/")
 
-    Read from the context, then from ``spark.checkpoint.dir``. There is no
-    machine-local fallback: on a cluster that would not survive the loss of
-    an executor. Tests set the option on their own session.
-    """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # no JVM context (e.g. a Connect session)
-        if required:
-            raise
-        return None
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
-    if not configured:
-        if required:
-            raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder")
-        return None
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir()
-
-
-def cut_lineage(df: DataFrame, required: bool = False) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
-
-    Used where one derived table feeds several jobs (the ratings table of
-    the recommender): later jobs and a lost executor read the checkpoint
-    files instead of recomputing from the raw scans. The checkpoint keeps
-    the frame's partitioning, so a following operator on the same key does
-    not shuffle again. Without a configured folder the frame is returned
-    as it is (same results, recomputed) unless ``required``.
+
+ROWS_PER_FILE = 250_000
+
+
+def stored(df: DataFrame, name: str, rows: int | None = None, codec: str = "zstd") -> DataFrame:
+    """Write a derived table to the shared folder and read it back.
+
+    Used where one derived table feeds several jobs (ratings, neighbours):
+    later jobs and a lost executor read its files instead of computing it
+    again, joins see its real size, and its rows arrive as plain scans, so
+    that a skewed key of a join with it can be split. ``rows``: about how many
+    rows of a few numbers it can have; a small table is then not written as a
+    file per shuffle partition.
     """
-    if checkpoint_dir(df.sparkSession, required) is None:
-        return df
-    return df.checkpoint(eager=True)
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_PER_FILE)))
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", codec).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,6 +9,7 @@ literals is bounded by construction.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
@@ -61,6 +62,32 @@ CATEGORY_GROUPS = {
     "sports": ["esporte_lazer", "fashion_esporte"],
 }
 
+# ---------------------------------------------------------------------------
+# Portuguese stop words, the public list that Spark ML ships, in
+# its order.
+STOPWORDS_PT = tuple("""
+de a o que e do da em um para com não uma os no se na por mais as dos como mas ao ele das à seu
+sua ou quando muito nos já eu também só pelo pela até isso ela entre depois sem mesmo aos seus
+quem nas me esse eles você essa num nem suas meu às minha numa pelos elas qual nós lhe deles
+essas esses pelas este dele tu te vocês vos lhes meus minhas teu tua teus tuas nosso nossa
+nossos nossas dela delas esta estes estas aquele aquela aqueles aquelas isto aquilo estou está
+estamos estão estive esteve estivemos estiveram estava estávamos estavam estivera estivéramos
+esteja estejamos estejam estivesse estivéssemos estivessem estiver estivermos estiverem hei há
+havemos hão houve houvemos houveram houvera houvéramos haja hajamos hajam houvesse houvéssemos
+houvessem houver houvermos houverem houverei houverá houveremos houverão houveria houveríamos
+houveriam sou somos são era éramos eram fui foi fomos foram fora fôramos seja sejamos sejam
+fosse fôssemos fossem for formos forem serei será seremos serão seria seríamos seriam tenho tem
+temos tém tinha tínhamos tinham tive teve tivemos tiveram tivera tivéramos tenha tenhamos tenham
+tivesse tivéssemos tivessem tiver tivermos tiverem terei terá teremos terão teria teríamos
+teriam
+""".split())
+
+# ---------------------------------------------------------------------------
+# Codes of the country's 27 states (ISO 3166-2:BR), in
+# alphabetical order.
+STATE_CODES = ("AC", "AL", "AM", "AP", "BA", "CE", "DF", "ES", "GO", "MA", "MG", "MS", "MT", "PA", "PB", "PE", "PI",
+               "PR", "RJ", "RN", "RO", "RR", "RS", "SC", "SE", "SP", "TO")
+
 # ---------------------------------------------------------------------------
 # Words that score a fixed polarity when they are the whole
 # cleaned text, and that polarity.
@@ -158,11 +185,6 @@ TRANSLATION_SCHEMA = T.StructType([
     T.StructField("product_category_name_english", T.StringType(), False),
 ])
 
-CATEGORY_GROUP_SCHEMA = T.StructType([
-    T.StructField("product_category_name", T.StringType(), False),
-    T.StructField("product_principal_category", T.StringType(), False),
-])
-
 
 def translation_rows() -> list[tuple[str, str]]:
     rows = []
@@ -173,16 +195,6 @@ def translation_rows() -> list[tuple[str, str]]:
 
 
 def category_translation(spark: SparkSession) -> DataFrame:
-    """The 71-row translation dimension (bounded; safe to broadcast)."""
-    return spark.createDataFrame(translation_rows(), TRANSLATION_SCHEMA)
-
-
-def category_group_table(spark: SparkSession) -> DataFrame:
-    """The group lists as a 73-row (name, group) table, first group wins."""
-    seen, rows = set(), []
-    for group, names in CATEGORY_GROUPS.items():
-        for n in names:
-            if n not in seen:
-                seen.add(n)
-                rows.append((n, group))
-    return spark.createDataFrame(rows, CATEGORY_GROUP_SCHEMA)
+    """The 71-row translation dimension, a fixed size, so it is broadcast."""
+    return F.broadcast(spark.createDataFrame(translation_rows(), TRANSLATION_SCHEMA))
+
