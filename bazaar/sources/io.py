@@ -12,7 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bazaar.sources.schemas import RAW_SCHEMAS
+from bazaar.sources.schemas import MULTI_LINE, RAW_SCHEMAS
+
+# text form of timestamps in CSV marts, as the store's own exports write them
+CSV_TIMESTAMP = "yyyy-MM-dd HH:mm:ss"
 
 
 def _path(base: str, name: str, ext: str) -> str:
@@ -20,22 +23,41 @@ def _path(base: str, name: str, ext: str) -> str:
     return f"{base}/{name}" if name.endswith(ext) or "." in name.rsplit("/", 1)[-1] else f"{base}/{name}{ext}"
 
 
-def read_table(spark: SparkSession, base: str, name: str, schema: T.StructType | None = None,
-               fmt: str = "csv", columns: list[str] | None = None) -> DataFrame:
-    """Read one raw table with an explicit schema.
+def csv_reader(spark: SparkSession, multi_line: bool = False):
+    """Header row, doubled quotes inside quoted fields (T21), a byte-order mark
+    is stripped (T22). A value that doesn't fit its type fails the query.
+    Only ``multi_line`` files may hold line breaks in quoted fields; such a
+    file is read by one task, all others are split."""
+    return (spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+            .option("quote", '"').option("mode", "FAILFAST"))
+
+
+def by_name(names: list[str], declared: T.StructType | None) -> T.StructType:
+    """The schema of a file with these header names, in the file's order:
+    declared columns take their declared type, others are text."""
+    types = {f.name: f.dataType for f in declared.fields} if declared else {}
+    return T.StructType([T.StructField(n, types.get(n, T.StringType()), True) for n in names])
 
-    CSV: header row, quoted fields may hold newlines and doubled quotes
-    (T21), a UTF-8 byte-order mark is stripped by the reader (T22).
-    ``columns`` prunes the projection (S3); on Parquet the scan then reads
-    only those columns.
+
+def read_table(spark: SparkSession, base: str, name: str, schema: T.StructType | None = None,
+               fmt: str = "csv", columns: list[str] | None = None, multi_line: bool | None = None) -> DataFrame:
+    """Read one raw table.
+
+    CSV columns are found by their header names, in any order; columns that
+    the schema doesn't declare pass through as text (the marts that join whole
+    files keep them). A declared column that the file lacks raises, as does a
+    file of the table whose header differs from the first one's. ``columns``
+    prunes the projection (S3): the scan then reads only those.
     """
     schema = schema or RAW_SCHEMAS.get(name)
     if fmt == "csv":
-        reader = (spark.read.option("header", True).option("multiLine", True)
-                  .option("escape", '"').option("quote", '"').option("mode", "PERMISSIVE"))
-        if schema is not None:
-            reader = reader.schema(schema)
-        df = reader.csv(_path(base, name, ".csv"))
+        path = _path(base, name, ".csv")
+        reader = csv_reader(spark, name in MULTI_LINE if multi_line is None else multi_line)
+        names = reader.csv(path).columns  # reads the header line
+        needed = columns if columns is not None else [f.name for f in schema.fields] if schema else []
+        if lacking := [c for c in needed if c not in names]:
+            raise ValueError(f"{path} has no column {', '.join(lacking)}")
+        df = reader.schema(by_name(names, schema)).option("enforceSchema", False).csv(path)
     elif fmt == "parquet":
         df = spark.read.parquet(_path(base, name, ".parquet"))
     else:
@@ -43,20 +65,6 @@ def read_table(spark: SparkSession, base: str, name: str, schema: T.StructType |
     return df.select(*columns) if columns else df
 
 
-def balanced(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan over the cluster's cores when it arrives in fewer
-    partitions than there are task slots (a file written as one row group
-    is read by one task). A round-robin repartition, skipped whenever the
-    scan already has enough partitions, which is the case for any large
-    input split by ``spark.sql.files.maxPartitionBytes``."""
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no JVM context (e.g. a Connect session): leave as is
-        return df
-    return df.repartition(target) if current < target else df
-
-
 def write_mart(df: DataFrame, base: str, name: str, fmt: str = "parquet",
                rename: Mapping[str, str] | None = None, partition_by: list[str] | None = None) -> str:
     """Overwrite one mart as a directory of part files.
@@ -70,7 +78,8 @@ def write_mart(df: DataFrame, base: str, name: str, fmt: str = "parquet",
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
-        writer.option("header", True).option("escape", '"').csv(path)
+        writer.option("header", True).option("escape", '"').option("timestampFormat", CSV_TIMESTAMP).option(
+            "timestampNTZFormat", CSV_TIMESTAMP).csv(path)
     else:
         writer.format(fmt).save(path)
     return path

@@ -1,4 +1,5 @@
-"""Explicit schemas for the raw store files (no inference on read).
+"""Types of the raw store files' columns, by name (no inference on read).
+A file may hold its columns in any order, and further ones.
 
 Timestamps are declared as text: the marts parse them with ``try_to_timestamp``
 so that an unparseable value becomes NULL instead of failing the scan (T2).
@@ -50,6 +51,9 @@ RAW_SCHEMAS = {
         ("geolocation_city", S), ("geolocation_state", S)),
 }
 
+# Tables whose quoted fields may hold line breaks (free text).
+MULTI_LINE = {"order_reviews"}
+
 # Column names of the closed-deals mart (M9) and qualified-leads mart (M6).
 CLOSED_DEAL_COLUMNS = [f.name for f in RAW_SCHEMAS["closed_deals"].fields]
 QUALIFIED_LEAD_COLUMNS = [
