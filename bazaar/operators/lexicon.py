@@ -2,15 +2,19 @@
 
 The original scores a translated text with a third-party polarity model,
 one text per call. Here the polarity of a text is the mean weight of its
-words found in a (word, weight) lexicon given as input, with the original's
-override words and class thresholds. The lexicon lookup is a map literal
-inside a higher-order expression: one narrow pass over the texts, no
-explode, no shuffle, whole texts scored.
+words found in a (word, weight) lexicon, a table of any size, with the
+original's override words and class thresholds.
+
+One plan for every lexicon: each text becomes a row per word, with its key and
+a few flags but not the text itself; words meet the lexicon in a join (Spark
+broadcasts the lexicon while it is small, and splits frequent words when it
+is not), and weights are summed per key, first within each task. A row
+without a word keeps its key in the result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,97 +23,73 @@ from bazaar.functions.columns import review_score_class, sentiment_class
 from bazaar.functions.text import clean_text
 from bazaar.sources.dimensions import OVERRIDE_POLARITY, OVERRIDE_WORDS
 
-MAX_LEXICON_WORDS = 200_000
-# Up to this size the lexicon is a map literal looked up inside the row
-# expression (a literal map is searched linearly); above it, tokens are
-# exploded and joined to the broadcast lexicon (hash lookup).
-INLINE_LEXICON_WORDS = 256
-
-
-def lexicon_map(lexicon: Mapping[str, float]) -> Column:
-    words = list(lexicon.keys())
-    weights = [float(lexicon[w]) for w in words]
-    return F.map_from_arrays(F.array(*[F.lit(w) for w in words]),
-                             F.array(*[F.lit(x) for x in weights]))
-
-
-def lexicon_from_table(df: DataFrame, word: str = "word", weight: str = "weight",
-                       max_words: int = MAX_LEXICON_WORDS) -> dict[str, float]:
-    """A lexicon table as a dict, refusing one above ``max_words`` rows."""
-    rows = df.select(word, weight).limit(max_words + 1).collect()
-    if len(rows) > max_words:
-        raise ValueError(f"lexicon has more than {max_words} words")
-    return {r[0]: float(r[1]) for r in rows}
-
-
-def polarity_of_tokens(tokens: Column, clean: Column, lexicon: Mapping[str, float],
-                       override_words=OVERRIDE_WORDS,
-                       override_polarity: float = OVERRIDE_POLARITY) -> Column:
-    """Override word as whole text -> fixed polarity; empty text ->
-    NULL; otherwise mean lexicon weight of the words (0.0 when no word is in
-    the lexicon, as a polarity model scores text without opinion words)."""
-    m = lexicon_map(lexicon)
-    weights = F.transform(tokens, lambda t: F.try_element_at(m, t))
-    acc0 = F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("n"))
-    sums = F.aggregate(weights, acc0, lambda acc, x: F.when(x.isNull(), acc).otherwise(
-        F.struct((acc["s"] + x).alias("s"), (acc["n"] + 1).alias("n"))))
-    mean = F.when(sums["n"] > 0, sums["s"] / sums["n"]).otherwise(F.lit(0.0))
-    return _with_overrides(clean, mean, override_words, override_polarity)
-
-
-def _with_overrides(clean: Column, mean: Column, override_words=OVERRIDE_WORDS,
-                    override_polarity: float = OVERRIDE_POLARITY) -> Column:
-    return (F.when(clean.isNull() | (clean == ""), F.lit(None).cast("double"))
-            .when(clean.isin(list(override_words)), F.lit(float(override_polarity)))
-            .otherwise(mean))
-
-
-def lexicon_polarity(df: DataFrame, text_col: str, lexicon: Mapping[str, float],
-                     out: str = "polarity", stopwords=None, key: str | None = None) -> DataFrame:
-    """X5 on a text column (cleaned first with X1-X4).
-
-    Small lexicons are looked up inside the row expression: one narrow pass,
-    no shuffle. A lexicon over ``INLINE_LEXICON_WORDS`` words needs ``key``
-    (a unique row id): tokens are exploded, joined to the broadcast lexicon
-    (at most ``MAX_LEXICON_WORDS`` rows), summed per key with a map-side
-    partial aggregate and joined back.
-    """
-    cleaned = clean_text(df, text_col, "__clean", stopwords=stopwords, keep_tokens="__tok")
-    if len(lexicon) <= INLINE_LEXICON_WORDS:
-        return cleaned.withColumn(out, polarity_of_tokens(F.col("__tok"), F.col("__clean"), lexicon)
-                                  ).drop("__clean", "__tok")
-    if key is None:
-        raise ValueError(f"a lexicon over {INLINE_LEXICON_WORDS} words needs a unique key column")
-    if len(lexicon) > MAX_LEXICON_WORDS:
-        raise ValueError(f"lexicon has more than {MAX_LEXICON_WORDS} words")
-    spark = df.sparkSession
-    lex = spark.createDataFrame([(w, float(x)) for w, x in lexicon.items()], "__w string, __x double")
-    hits = (cleaned.select(key, F.explode("__tok").alias("__w"))
-            .join(F.broadcast(lex), "__w")
-            .groupBy(key).agg(F.sum("__x").alias("__s"), F.count(F.lit(1)).alias("__n")))
+Key = str | Sequence[str]
+
+
+def _keys(key: Key) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def _scored(df: DataFrame, text_col: str, lexicon: DataFrame, key: Key, carried: Mapping[str, Column],
+            stopwords: Sequence[str] | None) -> DataFrame:
+    """key columns, ``__polarity`` and the ``carried`` expressions of the row,
+    one row per key."""
+    keys = _keys(key)
+    cleaned = clean_text(df.select(*keys, F.col(text_col).alias("__text"),
+                                   *[c.alias(f"__c_{n}") for n, c in carried.items()]),
+                         "__text", "__clean", stopwords=stopwords, keep_tokens="__tok")
+    flags = {"__empty": F.col("__clean").isNull() | (F.col("__clean") == ""),
+             "__fixed": F.coalesce(F.col("__clean").isin(list(OVERRIDE_WORDS)), F.lit(False))}
+    kept = [f"__c_{n}" for n in carried]
+    # a null word at the end keeps rows without words
+    words = F.explode(F.concat(F.coalesce("__tok", F.array().cast("array<string>")), F.array(F.lit(None).cast("string"))))
+    rows = cleaned.select(*keys, *kept, *[c.alias(n) for n, c in flags.items()], words.alias("__w"))
+    lex = lexicon.select(F.col("word").alias("__w"), F.col("weight").cast("double").alias("__x")).where(
+        F.col("__w").isNotNull() & F.col("__x").isNotNull())
+    sums = (rows.join(lex, "__w", "left").groupBy(*keys)
+            .agg(F.sum("__x").alias("__s"), F.count("__x").alias("__n"),
+                 *[F.max(c).alias(c) for c in [*flags, *kept]]))
     mean = F.when(F.col("__n") > 0, F.col("__s") / F.col("__n")).otherwise(F.lit(0.0))
-    return (cleaned.join(hits, key, "left")
-            .withColumn(out, _with_overrides(F.col("__clean"), mean))
-            .drop("__clean", "__tok", "__s", "__n"))
+    polarity = (F.when(F.col("__empty"), F.lit(None).cast("double"))
+                .when(F.col("__fixed"), F.lit(float(OVERRIDE_POLARITY))).otherwise(mean))
+    return sums.select(*keys, polarity.alias("__polarity"), *[F.col(f"__c_{n}").alias(n) for n in carried])
+
+
+def lexicon_polarity(df: DataFrame, text_col: str, lexicon: DataFrame, key: Key, out: str = "polarity",
+                     stopwords: Sequence[str] | None = None) -> DataFrame:
+    """(key, polarity) of a text column, cleaned first with X1-X4.
+
+    An override word as the whole text has the fixed polarity; a text that is
+    empty after cleaning, or null, has none; otherwise the mean weight of the
+    words in the lexicon (0.0 when none is there, as a polarity model scores
+    text without opinion words). ``lexicon``: (word, weight), one row a word.
+    ``key``: the column or columns that identify a row.
+    """
+    return _scored(df, text_col, lexicon, key, {}, stopwords).withColumnRenamed("__polarity", out)
 
 
-def sentiment(df: DataFrame, text_col: str, lexicon: Mapping[str, float],
-              out: str = "sentiment", stopwords=None) -> DataFrame:
-    """X6: '' -> 'Error' (T30); else the polarity class (F16), where a
-    missing polarity (NULL or cleaned-away text) is 'neutral' (T28, T29)."""
-    scored = lexicon_polarity(df, text_col, lexicon, "__pol", stopwords)
-    cls = F.when(F.col(text_col) == "", F.lit("Error")).otherwise(sentiment_class("__pol"))
-    return scored.withColumn(out, cls).drop("__pol")
+def sentiment(df: DataFrame, text_col: str, lexicon: DataFrame, key: Key, out: str = "sentiment",
+              stopwords: Sequence[str] | None = None) -> DataFrame:
+    """(key, class). '' -> 'Error' (T30); else the polarity class (F16),
+    where a missing polarity (null or cleaned-away text) is 'neutral' (T28,
+    T29)."""
+    blank = {"__blank": F.coalesce(F.col(text_col) == "", F.lit(False))}
+    scored = _scored(df, text_col, lexicon, key, blank, stopwords)
+    cls = F.when(F.col("__blank"), F.lit("Error")).otherwise(sentiment_class("__polarity"))
+    return scored.select(*_keys(key), cls.alias(out))
 
 
-def review_sentiment(df: DataFrame, title: str, message: str, score: str,
-                     lexicon: Mapping[str, float], out: str = "sentiment",
-                     stopwords=None) -> DataFrame:
-    """Text class of title and message; when both are NULL, the class
+def review_sentiment(df: DataFrame, title: str, message: str, score: str, lexicon: DataFrame, key: Key,
+                     out: str = "sentiment", stopwords: Sequence[str] | None = None) -> DataFrame:
+    """(key, class) from title and message; when both are null, the class
     of the review score (F15)."""
     text = F.concat_ws(" ", F.col(title), F.col(message))
-    both_missing = F.col(title).isNull() & F.col(message).isNull()
-    tmp = df.withColumn("__text", F.when(~both_missing, text))
-    scored = sentiment(tmp, "__text", lexicon, "__text_class", stopwords)
-    return scored.withColumn(out, F.when(both_missing, review_score_class(score))
-                             .otherwise(F.col("__text_class"))).drop("__text", "__text_class")
+    missing = F.col(title).isNull() & F.col(message).isNull()
+    rows = df.select(*_keys(key), F.when(~missing, text).alias("__body"), missing.alias("__missing"),
+                     F.col(score).alias("__score"))
+    carried = {"__blank": F.coalesce(F.col("__body") == "", F.lit(False)), "__missing": F.col("__missing"),
+               "__score": F.col("__score")}
+    scored = _scored(rows, "__body", lexicon, key, carried, stopwords)
+    by_text = F.when(F.col("__blank"), F.lit("Error")).otherwise(sentiment_class("__polarity"))
+    cls = F.when(F.col("__missing"), review_score_class("__score")).otherwise(by_text)
+    return scored.select(*_keys(key), cls.alias(out))

@@ -1,30 +1,31 @@
 """Incremental upkeep of marts as raw files keep arriving.
 
-The store application rebuilds its marts from whole files on every call.
-With Structured Streaming the same operators run over a file source: the
-lead-count marts (M11, M12) keep their counts in the state store (one row
-per (year, month, origin): bounded by the calendar and the origin list, not
-by the data) and rewrite the mart per micro-batch; review sentiment (M17)
-is stateless and appends. Progress and state live in ``checkpoint``, a
-folder on shared storage, so a restarted query resumes exactly once.
+The store application rebuilds its marts from whole files on every call. With
+Structured Streaming the same batch operators run over a file source. The
+lead-count marts (M11, M12) keep one count per (year, month, origin) in the
+state store, bounded by the calendar and the origins, not by the data, and
+rewrite both marts after each micro-batch. Review sentiment (M17) is computed
+per micro-batch and appended. Progress and state live in ``checkpoint``, a
+folder on shared storage, so a restarted query resumes where it was.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from bazaar.functions.columns import period_first, period_last
-from bazaar.operators.lexicon import review_sentiment
-from bazaar.sources.schemas import RAW_SCHEMAS
+from bazaar.plans.marts import sentiments
+from bazaar.session import stored
+from bazaar.sources.schemas import MULTI_LINE, RAW_SCHEMAS
 
 
 def _csv_stream(spark: SparkSession, source_dir: str, name: str, max_files: int) -> DataFrame:
-    return (spark.readStream.schema(RAW_SCHEMAS[name]).option("header", True)
-            .option("multiLine", True).option("escape", '"')
+    """Files of exactly the declared columns, in their order; any other header
+    fails the query."""
+    return (spark.readStream.schema(RAW_SCHEMAS[name]).option("header", True).option("enforceSchema", False)
+            .option("multiLine", name in MULTI_LINE).option("escape", '"').option("mode", "FAILFAST")
             .option("maxFilesPerTrigger", max_files).csv(source_dir))
 
 
@@ -32,39 +33,42 @@ def stream_lead_counts(spark: SparkSession, source_dir: str, mart_dir: str, chec
                        available_now: bool = False, max_files: int = 100) -> StreamingQuery:
     """M11 and M12 kept current from lead files landing in ``source_dir``.
 
-    Counts are stateful aggregates (update mode); each micro-batch rewrites
-    both marts from the updated counts, read back from the state via
-    ``foreachBatch`` on the full per-key table.
+    A lead without a readable date counts for M12 but has no month in M11, as
+    in the batch marts. Each micro-batch gives the counts of all keys
+    (complete mode), which are stored once and written as both marts.
     """
     leads = _csv_stream(spark, source_dir, "leads", max_files)
     parsed = leads.select(F.try_to_timestamp("first_contact_date").alias("t"), "origin")
-    counts = (parsed.where(F.col("origin").isNotNull() & F.col("t").isNotNull())
+    counts = (parsed.where(F.col("origin").isNotNull())
               .groupBy(F.year("t").alias("year"), F.month("t").alias("month"), "origin")
               .agg(F.count("origin").alias("count")))
 
     def publish(batch: DataFrame, epoch: int) -> None:
-        by_month = batch.select(
+        counted = stored(batch, "lead-counts")
+        by_month = counted.where(F.col("year").isNotNull()).select(
             F.col("year").cast("string").alias("year"), F.col("month").cast("string").alias("month"),
             "origin", "count", period_first("year", "month").alias("first"),
             period_last("year", "month").alias("last"))
         by_month.write.mode("overwrite").parquet(f"{mart_dir.rstrip('/')}/leads_by_month_origin")
-        (batch.groupBy("origin").agg(F.sum("count").alias("count"))
+        (counted.groupBy("origin").agg(F.sum("count").alias("count"))
          .write.mode("overwrite").parquet(f"{mart_dir.rstrip('/')}/leads_by_origin"))
 
-    writer = (counts.writeStream.outputMode("complete").foreachBatch(publish)
-              .option("checkpointLocation", checkpoint))
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
+    return _started(counts.writeStream.outputMode("complete").foreachBatch(publish), checkpoint, available_now)
 
 
 def stream_review_sentiments(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint: str,
-                             lexicon: Mapping[str, float], available_now: bool = False,
+                             lexicon: DataFrame, available_now: bool = False,
                              max_files: int = 100) -> StreamingQuery:
-    """M17 appended for each review file landing in ``source_dir``."""
+    """M17 for each review file landing in ``source_dir``: a folder of Parquet
+    files per micro-batch, overwritten if the batch runs again."""
     reviews = _csv_stream(spark, source_dir, "order_reviews", max_files)
-    scored = review_sentiment(reviews, "review_comment_title", "review_comment_message",
-                              "review_score", lexicon).select("review_id", "order_id", "sentiment")
-    writer = (scored.writeStream.outputMode("append").format("parquet")
-              .option("path", sink_dir).option("checkpointLocation", checkpoint))
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
+
+    def publish(batch: DataFrame, epoch: int) -> None:
+        sentiments(batch, lexicon).write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/batch={epoch}")
+
+    return _started(reviews.writeStream.foreachBatch(publish), checkpoint, available_now)
+
+
+def _started(writer, checkpoint: str, available_now: bool) -> StreamingQuery:
+    writer = writer.option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")).start()

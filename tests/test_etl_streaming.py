@@ -1,7 +1,11 @@
 """Batch runner and streaming upkeep on the CSV fixtures."""
 
 import os
+
 from bazaar.plans import etl
+from bazaar.plans.marts import sentiments
+from bazaar.sources.io import read_table
+from bazaar.sources.schemas import RAW_SCHEMAS
 from bazaar.streaming import stream_lead_counts, stream_review_sentiments
 from tests.fixtures import CSV, write_raw
 
@@ -53,7 +57,7 @@ def test_streaming_lead_counts(spark, tmp_dir):
         f.write("\n".join([lines[0]] + lines[3:]) + "\n")
     stream_lead_counts(spark, src, mart, ckpt, available_now=True).awaitTermination(120)
     by_origin = {r.origin: r["count"] for r in spark.read.parquet(os.path.join(mart, "leads_by_origin")).collect()}
-    assert by_origin == {"paid_search": 2, "organic_search": 1}   # NULL origin and bad date dropped
+    assert by_origin == {"paid_search": 3, "organic_search": 1}   # as the batch mart: only a NULL origin is dropped
     months = spark.read.parquet(os.path.join(mart, "leads_by_month_origin")).count()
     assert months == 3
 
@@ -63,6 +67,9 @@ def test_streaming_review_sentiments(spark, tmp_dir):
     os.makedirs(src)
     with open(os.path.join(src, "reviews.csv"), "w") as f:
         f.write(CSV["order_reviews"])
-    stream_review_sentiments(spark, src, sink, ckpt, LEX, available_now=True).awaitTermination(120)
+    lexicon = spark.createDataFrame(list(LEX.items()), "word string, weight double")
+    stream_review_sentiments(spark, src, sink, ckpt, lexicon, available_now=True).awaitTermination(120)
     got = {r.review_id: r.sentiment for r in spark.read.parquet(sink).collect()}
-    assert len(got) == 7 and got["r3"] == "negative" and got["r6"] == "positive"
+    batch = {r.review_id: r.sentiment for r in sentiments(read_table(spark, src, "reviews", RAW_SCHEMAS["order_reviews"],
+                                                                     multi_line=True), lexicon).collect()}
+    assert got == batch and len(got) == 7 and got["r3"] == "negative" and got["r6"] == "positive"

@@ -1,18 +1,27 @@
 """Review-text cleaning and lexicon sentiment."""
 
-from bazaar.functions.text import clean_text, portuguese_stopwords
+import pytest
+
+from bazaar.functions.text import clean_text
 from bazaar.operators.lexicon import lexicon_polarity, review_sentiment, sentiment
+from bazaar.plans.marts import sentiments
+from bazaar.sources.dimensions import STOPWORDS_PT
 
 LEX = {"bom": 0.5, "ruim": -0.75, "ótimo": 1.0, "chegou": 0.0}
 
 
+def lexicon(spark, weights=LEX):
+    return spark.createDataFrame(list(weights.items()), "word string, weight double")
+
+
 def _map(df, key, col):
     return {r[key]: r[col] for r in df.collect()}
 
 
-def test_stopwords_list():
-    words = portuguese_stopwords()
-    assert len(words) > 150 and "de" in words and "não" in words
+def test_stopwords_are_the_public_list(spark):
+    from pyspark.ml.feature import StopWordsRemover
+
+    assert list(STOPWORDS_PT) == StopWordsRemover.loadDefaultStopWords("portuguese")
 
 
 def test_clean_text(spark):
@@ -30,13 +39,13 @@ def test_polarity_and_classes(spark):
     rows = [(1, "bom"), (2, "Bom!"), (3, "ruim ruim bom"), (4, "chegou"), (5, "nada aqui"),
             (6, ""), (7, None), (8, "!!!"), (9, "ótimo e bom"), (10, "recomendo")]
     df = spark.createDataFrame(rows, "id int, text string")
-    pol = _map(lexicon_polarity(df, "text", LEX), "id", "polarity")
+    pol = _map(lexicon_polarity(df, "text", lexicon(spark), "id"), "id", "polarity")
     assert pol[1] == 0.4 and pol[2] == 0.4 and pol[10] == 0.4    # override words as whole text
     assert pol[3] == (-0.75 - 0.75 + 0.5) / 3
     assert pol[4] == 0.0 and pol[5] == 0.0                        # no opinion word
     assert pol[6] is None and pol[7] is None and pol[8] is None   # empty after cleaning
     assert pol[9] == 0.75
-    cls = _map(sentiment(df, "text", LEX), "id", "sentiment")
+    cls = _map(sentiment(df, "text", lexicon(spark), "id"), "id", "sentiment")
     assert cls == {1: "positive", 2: "positive", 3: "negative", 4: "neutral", 5: "neutral",
                    6: "Error", 7: "neutral", 8: "neutral", 9: "positive", 10: "positive"}
 
@@ -45,17 +54,38 @@ def test_review_sentiment_falls_back_to_score(spark):
     rows = [(1, None, None, 5), (2, None, None, 2), (3, None, None, None), (4, "ruim", None, 5),
             (5, None, "bom", 1), (6, None, None, 3)]
     df = spark.createDataFrame(rows, "id int, title string, message string, score int")
-    got = _map(review_sentiment(df, "title", "message", "score", LEX), "id", "sentiment")
+    got = _map(review_sentiment(df, "title", "message", "score", lexicon(spark), "id"), "id", "sentiment")
     assert got == {1: "positive", 2: "negative", 3: None, 4: "negative", 5: "positive", 6: "neutral"}
 
 
-def test_large_lexicon_join_path_equals_inline(spark, monkeypatch):
-    from bazaar.operators import lexicon as S
-
-    rows = [(1, "bom bom ruim"), (2, "nada"), (3, ""), (4, "ótimo, chegou"), (5, "recomendo")]
+@pytest.mark.parametrize("size", [0, 300, 250_000])
+def test_lexicons_of_any_size(spark, size):
+    rows = [(1, "bom bom ruim"), (2, "nada"), (3, ""), (4, "ótimo, chegou"), (5, "recomendo"), (6, None), (7, "wc wd")]
     df = spark.createDataFrame(rows, "id int, text string")
-    inline = _map(lexicon_polarity(df, "text", LEX), "id", "polarity")
-    monkeypatch.setattr(S, "INLINE_LEXICON_WORDS", 1)
-    joined_df = S.lexicon_polarity(df, "text", LEX, key="id")
-    assert "BroadcastHashJoin" in joined_df._jdf.queryExecution().executedPlan().toString()
-    assert _map(joined_df, "id", "polarity") == inline
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    name = lambda i: "w" + (letters[i % 26] + (name(i // 26)[1:] if i >= 26 else ""))
+    lex = lexicon(spark, LEX | {name(i): (i % 5) / 4 for i in range(size)})
+    pol = _map(lexicon_polarity(df, "text", lex, "id"), "id", "polarity")
+    want = {1: (0.5 + 0.5 - 0.75) / 3, 2: 0.0, 3: None, 4: 0.5, 5: 0.4, 6: None, 7: (0.5 + 0.75) / 2 if size else 0.0}
+    assert pol == want
+    assert _map(sentiment(df, "text", lex, "id"), "id", "sentiment") == {
+        1: "neutral", 2: "neutral", 3: "Error", 4: "positive", 5: "positive", 6: "neutral",
+        7: "positive" if size else "neutral"}
+    reviews = df.selectExpr("string(id) review_id", "'o' order_id", "text review_comment_title",
+                            "string(null) review_comment_message", "2 review_score")
+    got = _map(sentiments(reviews, lex), "review_id", "sentiment")
+    assert got["1"] == "neutral" and got["6"] == "negative" and len(got) == 7
+
+
+def test_texts_stay_out_of_the_join(spark):
+    df = spark.createDataFrame([(1, "bom")], "id int, text string")
+    plan = lexicon_polarity(df, "text", lexicon(spark), "id")._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hash" in line]
+    assert exchanges and not any("text" in line or "clean" in line for line in exchanges)
+
+
+def test_key_of_several_columns_and_null_words(spark):
+    df = spark.createDataFrame([("a", 1, "bom"), ("a", 2, "ruim"), ("b", 1, "bom ruim")], "k string, n int, text string")
+    lex = spark.createDataFrame([("bom", 0.5), (None, 9.0), ("ruim", None)], "word string, weight double")
+    got = {(r.k, r.n): r.polarity for r in lexicon_polarity(df, "text", lex, ["k", "n"]).collect()}
+    assert got == {("a", 1): 0.4, ("a", 2): 0.0, ("b", 1): 0.5}
