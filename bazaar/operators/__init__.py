@@ -2,7 +2,7 @@ from bazaar.operators.aggregates import (  # noqa: F401
     count_non_null, group_mean, group_sum, share_pct, value_counts, with_period,
 )
 from bazaar.operators.rules import association_rules, baskets, pair_rules  # noqa: F401
-from bazaar.operators.joins import join_dimension, natural_join  # noqa: F401
+from bazaar.operators.joins import natural_join  # noqa: F401
 from bazaar.operators.neighbours import (  # noqa: F401
     recommend, recommend_or_default, similar_users, user_product_ratings,
 )

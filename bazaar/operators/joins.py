@@ -5,12 +5,15 @@ honest: the key list is explicit and the call fails when the frames share
 other column names (T4). SQL null semantics by default; ``null_safe=True``
 matches nulls to nulls as pandas does (T5).
 
-Broadcast policy: only ``join_dimension`` forces a broadcast, and only for
-dimensions whose row count is bounded by construction (shipped tables,
-literal lists) and checked against ``max_rows``. Every data-sized join is
-left to Catalyst and AQE, which broadcast a side only when its measured
-size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and fall
-back to a sort-merge join otherwise.
+No join here forces a broadcast: Catalyst and AQE broadcast a side when its
+measured size is under the session's threshold and shuffle both otherwise.
+
+``block_join`` and ``block_self_pairs`` meet rows of a key block against block.
+There is one plan for all keys: a key with few rows is a single block. Hot
+keys (more than ``max_block`` rows, found by a pre-aggregated count) are cut
+into blocks; their sizes reach the rows through a join on the key and a salt,
+so no task receives all rows of a hot key, neither there nor when the blocks
+meet. Everything is lazy: nothing runs until the caller's action.
 """
 
 from __future__ import annotations
@@ -20,14 +23,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Rows of one key per side of a block.
+MAX_BLOCK_ROWS = 10_000
+# Parts that the rows of a key are dealt to while they learn their block count.
+SALTS = 64
+
 
-def natural_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
-                 null_safe: bool = False, check_common: bool = True) -> DataFrame:
-    on = list(on)
-    if check_common:
-        common = set(left.columns) & set(right.columns)
-        if common != set(on):
-            raise ValueError(f"frames share {sorted(common)}, join keys are {sorted(on)}")
+def natural_join(left: DataFrame, right: DataFrame, on: Sequence[str] | str, how: str = "inner",
+                 null_safe: bool = False) -> DataFrame:
+    on = [on] if isinstance(on, str) else list(on)
+    common = set(left.columns) & set(right.columns)
+    if common != set(on):
+        raise ValueError(f"frames share {sorted(common)}, join keys are {sorted(on)}")
     if not null_safe:
         return left.join(right, on=on, how=how)
     l, r = left.alias("__l"), right.alias("__r")
@@ -41,118 +48,78 @@ def natural_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str
     return l.join(r, cond, how).select(*keys, *rest_l, *rest_r)
 
 
-def join_dimension(fact: DataFrame, dim: DataFrame, on: Sequence[str] | str, how: str = "inner",
-                   rows: int | None = None, max_rows: int = 10_000) -> DataFrame:
-    """Join a dimension, broadcasting it only behind a size check.
+def _hot(df: DataFrame, key: str, max_block: int, out: str) -> DataFrame:
+    """(key, number of blocks) of the keys with more than ``max_block`` rows:
+    at most rows / ``max_block`` of them."""
+    n = F.col("__n")
+    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(n > max_block)
+            .select(key, F.ceil(n / F.lit(float(max_block))).cast("int").alias(out)))
 
-    ``rows`` is the dimension's known row count (shipped tables and literal
-    lists know it). Within ``max_rows`` the dimension is broadcast; without
-    a known size, or above the bound, the join is left to AQE, which
-    broadcasts on measured size or uses a sort-merge join.
-    """
-    if rows is not None and rows <= max_rows:
-        return fact.join(F.broadcast(dim), on=on, how=how)
-    return fact.join(dim, on=on, how=how)
 
+def _with_blocks(df: DataFrame, key: str, member: str, hot: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The rows with the block counts of their key, 1 where it is not hot."""
+    salted = hot.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    own = df.withColumn("__salt", F.pmod(F.xxhash64(F.col(member)), F.lit(SALTS)).cast("int"))
+    joined = own.join(salted, [key, "__salt"], "left").drop("__salt")
+    return joined.withColumns({n: F.coalesce(F.col(n), F.lit(1)) for n in names})
 
-# Rows of one key per side of a block in ``block_self_pairs``.
-MAX_BLOCK_ROWS = 10_000
+
+def _own(member: str, blocks: str) -> Column:
+    """A row's block: a hash of its member, so that a task that runs again
+    rebuilds the same blocks. A second seed, independent of the salt."""
+    return F.pmod(F.xxhash64(F.lit("block"), F.col(member)), F.col(blocks)).cast("int")
 
 
-def _has_hot_key(counts: DataFrame, count_col: str, max_block: int) -> bool:
-    """One small job: does any key exceed ``max_block`` rows? (0 or 1 row
-    reaches the driver.)"""
-    return bool(counts.where(F.col(count_col) > max_block).limit(1).count())
+def _every(blocks: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+
+
+def with_group_sum(df: DataFrame, key: str, member: str, value: Column, out: str) -> DataFrame:
+    """The rows with the sum of ``value`` over the rows of their key, without
+    bringing the rows of a key together: sums per key and salt, their totals
+    per key, and these back to the rows by key and salt."""
+    x = df.withColumn("__salt", F.pmod(F.xxhash64(F.col(member)), F.lit(SALTS)).cast("int"))
+    part = x.groupBy(key, "__salt").agg(F.sum(value).alias("__part"))
+    total = part.groupBy(key).agg(F.sum("__part").alias(out))
+    back = part.select(key, "__salt").join(total, key)  # at most SALTS rows a key
+    return x.join(back, [key, "__salt"]).drop("__salt")
 
 
 def block_join(left: DataFrame, right: DataFrame, key: str, left_member: str,
                right_member: str, max_block: int = MAX_BLOCK_ROWS,
                condition: Column | None = None) -> DataFrame:
-    """Equi-join on ``key`` in which a key with many rows on both sides is
-    met block against block, so no task receives a hot key whole.
-
-    Row counts per key and side come from partial aggregates. A key with
-    at most ``max_block`` rows on each side is joined as it is. Otherwise
-    the left rows of the key are cut into S_l = ceil(n_l / max_block) blocks
-    by ``hash(left_member)`` and the right rows into S_r blocks by
-    ``hash(right_member)``; each left row is replicated over the S_r right
-    blocks and each right row over the S_l left blocks, and rows meet on
-    (key, left block, right block). Every matching pair of rows meets
-    exactly once, in a task that holds about ``max_block`` rows per side.
-    Block numbers are hashes of column values, so a recomputed task
-    (after a lost executor) rebuilds the same blocks.
-    ``condition`` is an extra predicate on the joined columns. When no key
-    is hot (checked by small jobs on the per-key counts), the plain join is
-    planned.
+    """Equi-join on ``key`` in which a key with many rows on either side is met
+    block against block.
+
+    The left rows of a key are cut into S_l = ceil(n_l / max_block) blocks by a
+    hash of ``left_member`` and the right rows into S_r blocks by
+    ``right_member``; each left row goes to every right block and each right
+    row to every left block, and rows meet on (key, left block, right block):
+    every matching pair once, in a task that holds about ``max_block`` rows
+    per side. ``condition`` is an extra predicate on the joined columns.
     """
-    lc = left.groupBy(key).agg(F.count(F.lit(1)).alias("__nl"))
-    rc = right.groupBy(key).agg(F.count(F.lit(1)).alias("__nr"))
-    if not (_has_hot_key(lc, "__nl", max_block) or _has_hot_key(rc, "__nr", max_block)):
-        j = left.join(right, key)   # no hot key: the plain join
-        return j.where(condition) if condition is not None else j
-    sizes = lc.join(rc, key)
-    hot = (F.col("__nl") > max_block) | (F.col("__nr") > max_block)
-    lx, rx = left.join(sizes, key), right.join(sizes, key)
-
-    def finish(j: DataFrame) -> DataFrame:
-        j = j.where(condition) if condition is not None else j
-        return j.drop("__nl", "__nr", "__a", "__b")
-
-    cold = finish(lx.where(~hot).join(rx.where(~hot).drop("__nl", "__nr"), key))
-    s_l = F.ceil(F.col("__nl") / F.lit(float(max_block))).cast("int")
-    s_r = F.ceil(F.col("__nr") / F.lit(float(max_block))).cast("int")
-    lh = (lx.where(hot).withColumn("__a", F.pmod(F.xxhash64(F.col(left_member)), s_l).cast("int"))
-          .withColumn("__b", F.explode(F.sequence(F.lit(0), s_r - 1))))
-    rh = (rx.where(hot).withColumn("__a", F.explode(F.sequence(F.lit(0), s_l - 1)))
-          .withColumn("__b", F.pmod(F.xxhash64(F.col(right_member)), s_r).cast("int"))
-          .drop("__nl", "__nr"))
-    return cold.unionByName(finish(lh.join(rh, [key, "__a", "__b"])))
+    hot = (_hot(left, key, max_block, "__nl").withColumn("__nr", F.lit(1))
+           .unionByName(_hot(right, key, max_block, "__nr").withColumn("__nl", F.lit(1)))
+           .groupBy(key).agg(F.max("__nl").alias("__nl"), F.max("__nr").alias("__nr")))
+    lx = _with_blocks(left, key, left_member, hot, ["__nl", "__nr"])
+    rx = _with_blocks(right, key, right_member, hot, ["__nl", "__nr"])
+    lx = lx.withColumn("__a", _own(left_member, "__nl")).withColumn("__b", _every("__nr")).drop("__nl", "__nr")
+    rx = rx.withColumn("__b", _own(right_member, "__nr")).withColumn("__a", _every("__nl")).drop("__nl", "__nr")
+    j = lx.join(rx, [key, "__a", "__b"])
+    return (j.where(condition) if condition is not None else j).drop("__a", "__b")
 
 
 def block_self_pairs(df: DataFrame, key: str, member: str, values: Sequence[str] = (),
                      max_block: int = MAX_BLOCK_ROWS) -> DataFrame:
     """All pairs of members sharing a key, each unordered pair once
-    (``l_<member> < r_<member>``), hot keys met in blocks as in
-    ``block_join``.
-
-    The frame is counted per key once (partial aggregate). When no key
-    exceeds ``max_block`` (checked by one small job), the frame joins itself
-    under two aliases, so both sides read one shuffle. Otherwise cold keys
-    do that and only hot keys take the blocked path.
+    (``l_<member> < r_<member>``), keys met in blocks as in ``block_join``.
 
     Output columns: key, ``l_<member>``, ``r_<member>``, ``l_<v>``, ``r_<v>``.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
     base = df.select(key, member, *values)
-
-    def out(l: str, r: str) -> list:
-        return ([F.col(f"{l}.{key}").alias(key), F.col(f"{l}.{member}").alias(f"l_{member}"),
-                 F.col(f"{r}.{member}").alias(f"r_{member}")]
-                + [F.col(f"{l}.{v}").alias(f"l_{v}") for v in values]
-                + [F.col(f"{r}.{v}").alias(f"r_{v}") for v in values])
-
-    def self_join(frame: DataFrame) -> DataFrame:
-        return (frame.alias("l").join(frame.alias("r"), F.col(f"l.{key}") == F.col(f"r.{key}"))
-                .where(F.col(f"l.{member}") < F.col(f"r.{member}"))
-                .select(*out("l", "r")))
-
-    if not _has_hot_key(counts, "__n", max_block):
-        return self_join(base)   # no hot key: one shuffle, read by both sides
-    x = base.join(counts, key)
-    cold = x.where(F.col("__n") <= max_block).drop("__n")
-    cold_pairs = (cold.alias("l").join(cold.alias("r"), F.col(f"l.{key}") == F.col(f"r.{key}"))
-                  .where(F.col(f"l.{member}") < F.col(f"r.{member}"))
-                  .select(*out("l", "r")))
-
-    hot = x.where(F.col("__n") > max_block)
-    blocks = F.ceil(F.col("__n") / F.lit(float(max_block))).cast("int")
-    own = F.pmod(F.xxhash64(F.col(member)), blocks).cast("int")
-    every = F.explode(F.sequence(F.lit(0), blocks - 1))
-    lh = hot.select(key, member, *values, own.alias("__a"), every.alias("__b"))
-    rh = hot.select(key, member, *values, every.alias("__a"), own.alias("__b"))
-    hot_pairs = (lh.alias("l").join(rh.alias("r"), (F.col(f"l.{key}") == F.col(f"r.{key}"))
-                                    & (F.col("l.__a") == F.col("r.__a"))
-                                    & (F.col("l.__b") == F.col("r.__b")))
-                 .where(F.col(f"l.{member}") < F.col(f"r.{member}"))
-                 .select(*out("l", "r")))
-    return cold_pairs.unionByName(hot_pairs)
+    x = _with_blocks(base, key, member, _hot(base, key, max_block, "__n"), ["__n"])
+    cols = [member, *values]
+    lh = x.select(key, *[F.col(c).alias(f"l_{c}") for c in cols], _own(member, "__n").alias("__a"), _every("__n").alias("__b"))
+    rh = x.select(key, *[F.col(c).alias(f"r_{c}") for c in cols], _own(member, "__n").alias("__b"), _every("__n").alias("__a"))
+    return (lh.join(rh, [key, "__a", "__b"]).where(F.col(f"l_{member}") < F.col(f"r_{member}"))
+            .drop("__a", "__b"))

@@ -7,7 +7,8 @@ itemsets of any length. Both keep only rules with a non-empty left side.
 Scale notes. Before any pair is formed, basket rows are cut to frequent
 items (Apriori): an item needs ``min_support * n_baskets`` baskets, so at
 most ``avg_basket_size / min_support`` items survive, a bound that depends on
-the threshold, not on the data volume. Pair counts are partially aggregated
+the threshold, not on the data volume. The distinct basket items are stored
+once and feed every count. Pair counts are partially aggregated
 before their shuffle; a basket with more than ``max_block`` frequent items
 is split into blocks (``block_self_pairs``) instead of landing in one task.
 """
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaar.operators.joins import MAX_BLOCK_ROWS, block_self_pairs
+from bazaar.session import stored
 
 
 def baskets(df: DataFrame, order_col: str, item_col: str, out: str = "items") -> DataFrame:
@@ -30,11 +32,6 @@ def baskets(df: DataFrame, order_col: str, item_col: str, out: str = "items") ->
     return clean.groupBy(order_col).agg(F.array_sort(F.collect_set(item_col)).alias(out))
 
 
-def _basket_count(pairs: DataFrame, order_col: str) -> int:
-    # one number to the driver: the support denominator
-    return pairs.select(F.countDistinct(order_col).alias("n")).first()["n"]
-
-
 def pair_rules(df: DataFrame, order_col: str, item_col: str, min_support: float,
                min_confidence: float, min_lift: float = 1.0, digits: int = 9,
                max_block: int = MAX_BLOCK_ROWS) -> DataFrame:
@@ -44,40 +41,30 @@ def pair_rules(df: DataFrame, order_col: str, item_col: str, min_support: float,
     support(a); lift = confidence / support(b). Output: antecedent,
     consequent, support, confidence, lift.
     """
-    rows = (df.where(F.col(order_col).isNotNull() & F.col(item_col).isNotNull())
-            .select(F.col(order_col).alias("o"), F.col(item_col).alias("i")).distinct())
-    n = _basket_count(rows, "o")
-    if not n:
-        return _empty_rules(df, item_col)
-    item_counts = rows.groupBy("i").agg(F.count(F.lit(1)).alias("ci"))
-    frequent = item_counts.where(F.col("ci") / F.lit(float(n)) >= F.lit(min_support))
+    rows = stored(df.where(F.col(order_col).isNotNull() & F.col(item_col).isNotNull())
+                  .select(F.col(order_col).alias("o"), F.col(item_col).alias("i")).distinct(), "basket-items")
+    # the number of baskets, as a scalar subquery of each plan that needs it
+    n = rows.agg(F.countDistinct("o").cast("double")).scalar()
+    frequent = rows.groupBy("i").agg(F.count(F.lit(1)).alias("ci")).where(F.col("ci") / n >= F.lit(min_support))
     kept = rows.join(frequent.select("i"), "i", "left_semi")
-    pair_counts = (block_self_pairs(kept, "o", "i", max_block=max_block)
-                   .groupBy(F.col("l_i").alias("a"), F.col("r_i").alias("b"))
-                   .agg(F.count(F.lit(1)).alias("cab"))
-                   .where(F.col("cab") / F.lit(float(n)) >= F.lit(min_support)))
-    both = pair_counts.select(F.col("a").alias("x"), F.col("b").alias("y"), "cab").unionByName(
-        pair_counts.select(F.col("b").alias("x"), F.col("a").alias("y"), "cab"))
+    pairs = (block_self_pairs(kept, "o", "i", max_block=max_block)
+             .groupBy("l_i", "r_i").agg(F.count(F.lit(1)).alias("cab"))
+             .where(F.col("cab") / n >= F.lit(min_support)))
+    both = pairs.select("cab", F.explode(F.array(
+        F.struct(F.col("l_i").alias("x"), F.col("r_i").alias("y")),
+        F.struct(F.col("r_i").alias("x"), F.col("l_i").alias("y")))).alias("d")).select("cab", "d.*")
     fx = frequent.select(F.col("i").alias("x"), F.col("ci").alias("cx"))
     fy = frequent.select(F.col("i").alias("y"), F.col("ci").alias("cy"))
-    nn = F.lit(float(n))
     rules = (both.join(fx, "x").join(fy, "y")
              .select(F.col("x").alias("antecedent"), F.col("y").alias("consequent"),
-                     (F.col("cab") / nn).alias("support"),
+                     (F.col("cab") / n).alias("support"),
                      (F.col("cab") / F.col("cx")).alias("confidence"),
-                     ((F.col("cab") / F.col("cx")) / (F.col("cy") / nn)).alias("lift")))
+                     ((F.col("cab") / F.col("cx")) / (F.col("cy") / n)).alias("lift")))
     rules = rules.where((F.col("confidence") >= F.lit(min_confidence)) & (F.col("lift") >= F.lit(min_lift)))
     return rules.select("antecedent", "consequent", *[F.round(c, digits).alias(c)
                                                       for c in ("support", "confidence", "lift")])
 
 
-def _empty_rules(df: DataFrame, item_col: str) -> DataFrame:
-    t = df.schema[item_col].dataType
-    return df.sparkSession.createDataFrame([], f"antecedent {t.simpleString()}, consequent "
-                                               f"{t.simpleString()}, support double, "
-                                               "confidence double, lift double")
-
-
 def association_rules(basket_df: DataFrame, items_col: str, min_support: float,
                       min_confidence: float, min_lift: float = 1.0,
                       num_partitions: int | None = None, digits: int = 9) -> DataFrame:

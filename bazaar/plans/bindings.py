@@ -23,8 +23,7 @@ from bazaar.operators.neighbours import (
 )
 from bazaar.operators.lexicon import lexicon_polarity, review_sentiment, sentiment
 from bazaar.plans import marts
-from bazaar.session import cut_lineage, tune
-from bazaar.sources.io import balanced
+from bazaar.session import stored, tune
 
 # ---------------------------------------------------------------------------
 # Binding parameters (fixed values of the test bindings, not of the store).
@@ -37,8 +36,12 @@ PART_TYPE_GROUPS = {"budget": ["ECONOMY", "PROMO"], "size": ["SMALL", "MEDIUM",
 PAID_ORIGIN, PAID_PRICE = "MACHINERY", 100.0
 # Rule-mining thresholds for the test baskets.
 MIN_SUPPORT, MIN_CONFIDENCE, MIN_LIFT = 0.0002, 0.05, 1.0
+# The same for baskets of part types, which give rules of several items.
+TYPE_SUPPORT, TYPE_CONFIDENCE, TYPE_LIFT = 0.02, 0.1, 0.5
 # Neighbours and products per user.
 K_NEIGHBOURS, N_PRODUCTS = 5, 5
+# Block size of the query that takes the path of hot keys.
+SMALL_BLOCK = 8
 # Polarity lexicon for the test corpus: frequent words with weights that are
 # multiples of 1/64 (sums are exact, so every engine agrees on the classes).
 TEST_LEXICON = {
@@ -50,14 +53,14 @@ TEST_LEXICON = {
 DIGITS = 6  # computed doubles are rounded to this many decimals for the value hash
 
 
-# tables whose size grows with the scale factor: spread over the task slots
-# when the scan arrives in too few partitions (see ``balanced``)
-FACT_TABLES = {"documents"}
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
-    return balanced(df) if name in FACT_TABLES else df
+    return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
+
+
+def _lexicon(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(TEST_LEXICON.items()), "word string, weight double")
 
 
 def _status_label(col: str = "o_orderstatus"):
@@ -336,12 +339,30 @@ def q_association_rules(spark, d):
                     "support", "confidence", "lift")
 
 
-def _ratings(spark, d, persist: bool = False):
-    r = user_product_ratings(rating_rows_view(spark, d), "customer_id", "product_id",
-                             "review_score", min_rows=2)
-    # the ratings table feeds several jobs of the recommender (pair sums,
-    # padding ids, neighbour ratings): persist it once in the checkpoint folder
-    return cut_lineage(r) if persist else r
+def _typed_baskets(spark, d):
+    l, p = _t(spark, d, "lineitem"), _t(spark, d, "part")
+    return l.join(p, l.l_partkey == p.p_partkey).select("l_orderkey", "p_type")
+
+
+def q_type_rules(spark, d):
+    """Rules between part types: few items, so rules of several."""
+    tune(spark)
+    r = association_rules(baskets(_typed_baskets(spark, d), "l_orderkey", "p_type"), "items",
+                          TYPE_SUPPORT, TYPE_CONFIDENCE, TYPE_LIFT, digits=DIGITS)
+    return r.select(F.array_join("antecedent", " ").alias("antecedent"),
+                    F.array_join("consequent", " ").alias("consequent"), "support", "confidence", "lift")
+
+
+def q_recommender_rows(spark, d):
+    """Items x products x reviews x orders, complete rows only."""
+    tune(spark)
+    return marts.recommender_rows(items_view(spark, d), products_view(spark, d), reviews_view(spark, d),
+                                  orders_view(spark, d))
+
+
+def _ratings(spark, d):
+    return user_product_ratings(rating_rows_view(spark, d), "customer_id", "product_id",
+                                "review_score", min_rows=2)
 
 
 def q_user_product_ratings(spark, d):
@@ -349,21 +370,29 @@ def q_user_product_ratings(spark, d):
     return _round(_ratings(spark, d), ["rating"])
 
 
-def _neighbours(spark, d, r):
+def _neighbours(r):
     return similar_users(r, K_NEIGHBOURS, "customer_id", "product_id", "rating")
 
 
 def q_similar_users(spark, d):
     tune(spark)
-    r = _ratings(spark, d, persist=True)
-    return _round(_neighbours(spark, d, r), ["similarity"])
+    return _round(_neighbours(stored(_ratings(spark, d), "ratings")), ["similarity"])
+
+
+def q_similar_users_in_blocks(spark, d):
+    """The same with products and users cut into small blocks: every product
+    of more than ``SMALL_BLOCK`` raters takes the path of a hot key."""
+    tune(spark)
+    r = stored(_ratings(spark, d), "ratings")
+    return _round(similar_users(r, K_NEIGHBOURS, "customer_id", "product_id", "rating",
+                                max_block=SMALL_BLOCK), ["similarity"])
 
 
 def q_recommend(spark, d):
     tune(spark)
-    r = _ratings(spark, d, persist=True)
-    # the neighbour table (users x k rows) is read several times by recommend
-    nb = cut_lineage(_neighbours(spark, d, r))
+    # ratings and neighbours (users x k rows) feed several jobs: tables
+    r = stored(_ratings(spark, d), "ratings")
+    nb = stored(_neighbours(r), "neighbours")
     recs = recommend(r, nb, N_PRODUCTS, "customer_id", "product_id", "rating")
     return _round(recs, ["score"])
 
@@ -378,9 +407,9 @@ def popular_products(r: DataFrame, n: int = N_PRODUCTS) -> list:
 
 def q_recommend_or_default(spark, d):
     tune(spark)
-    r = _ratings(spark, d, persist=True)
+    r = stored(_ratings(spark, d), "ratings")
     requests = _t(spark, d, "customer").select(F.col("c_custkey").alias("customer_id"))
-    nb = cut_lineage(similar_users(r, K_NEIGHBOURS, "customer_id", "product_id", "rating"))
+    nb = stored(_neighbours(r), "neighbours")
     recs = recommend(r, nb, N_PRODUCTS, "customer_id", "product_id", "rating")
     out = recommend_or_default(requests, recs, popular_products(r), N_PRODUCTS,
                                "customer_id", "product_id")
@@ -399,13 +428,13 @@ def q_lexicon_polarity(spark, d):
     # weights are multiples of 1/64: the sums are exact and the mean is one
     # division, so the value is the same in every engine without rounding
     # (rounding would only add half-way ties at the 7th decimal)
-    return lexicon_polarity(docs, "text", TEST_LEXICON).select("doc_id", "polarity")
+    return lexicon_polarity(docs, "text", _lexicon(spark), "doc_id")
 
 
 def q_sentiment(spark, d):
     tune(spark)
     docs = _t(spark, d, "documents").select("doc_id", "text")
-    return sentiment(docs, "text", TEST_LEXICON).select("doc_id", "sentiment")
+    return sentiment(docs, "text", _lexicon(spark), "doc_id")
 
 
 def q_review_score_class(spark, d):
@@ -416,13 +445,24 @@ def q_review_score_class(spark, d):
 
 
 def q_review_sentiment(spark, d):
+    """Every document is a review: title = source, message = text, score = 1
+    or 5 by quality, null where it has no label."""
     tune(spark)
     docs, labels = _t(spark, d, "documents"), _t(spark, d, "labels")
-    j = docs.join(labels, "doc_id").select(
-        "doc_id", F.lit(None).cast("string").alias("title"),
-        F.when(F.col("doc_id") % 10 != 0, F.col("text")).alias("message"),
+    j = docs.join(labels, "doc_id", "left").select(
+        "doc_id", F.col("source").alias("title"), F.col("text").alias("message"),
         (F.lit(1) + F.lit(4) * F.col("quality")).alias("score"))
-    return review_sentiment(j, "title", "message", "score", TEST_LEXICON).select("doc_id", "sentiment")
+    return review_sentiment(j, "title", "message", "score", _lexicon(spark), "doc_id")
+
+
+def q_label_sentiment(spark, d):
+    """Every label is a review without title and message: the class is that
+    of the score."""
+    tune(spark)
+    none = F.lit(None).cast("string")
+    rows = _t(spark, d, "labels").select("doc_id", none.alias("title"), none.alias("message"),
+                                         (F.lit(1) + F.lit(4) * F.col("quality")).alias("score"))
+    return review_sentiment(rows, "title", "message", "score", _lexicon(spark), "doc_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

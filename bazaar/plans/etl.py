@@ -13,7 +13,7 @@ URIs, so the same code writes to an object store.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,10 +21,10 @@ from pyspark.sql import types as T
 
 from bazaar.plans import marts as M
 from bazaar.session import tune
-from bazaar.sources.dimensions import FALLBACK_PRODUCTS, category_translation
-from bazaar.sources.io import load_ratings, read_table, save_ratings, write_mart
+from bazaar.sources.dimensions import FALLBACK_PRODUCTS, STATE_CODES, category_translation
+from bazaar.sources.io import csv_reader, load_ratings, read_table, save_ratings, write_mart
 
-# mart names as the application publishes them
+# Mart names as the application publishes them.
 MART_FILES = {
     "order_reviews": "orders_customers_reviews_pbi",
     "order_products_payments": "order_products_payments",
@@ -45,11 +45,11 @@ MART_FILES = {
 
 def run_marts(spark: SparkSession, raw_base: str, mart_base: str, raw_fmt: str = "csv",
               out_fmt: str = "parquet", paid_search_price: float = 0.0,
-              state_codes: Sequence[str] | None = None) -> dict[str, str]:
+              state_codes: Sequence[str] | None = STATE_CODES) -> dict[str, str]:
     """Build and write marts M1-M14; returns {mart: path}.
 
-    ``state_codes`` keeps only those subdivisions of the state-name table
-    (the source keeps the country's 27 states).
+    ``state_codes`` keeps only those subdivisions of the state-name table, by
+    default the country's 27 states, as the source does; None keeps all.
     """
     tune(spark)
 
@@ -71,8 +71,7 @@ def run_marts(spark: SparkSession, raw_base: str, mart_base: str, raw_fmt: str =
         schema = schemas[path]
         exported = T.StructType([T.StructField(M.EXPORT_NAMES.get(f.name, f.name), f.dataType, True)
                                  for f in schema.fields])
-        df = (spark.read.schema(exported).option("header", True).option("multiLine", True)
-              .option("escape", '"').csv(path))
+        df = csv_reader(spark).schema(exported).option("enforceSchema", False).csv(path)
         back = {M.EXPORT_NAMES[f.name]: f.name for f in schema.fields if f.name in M.EXPORT_NAMES}
         return df.withColumnsRenamed(back) if back else df
 
@@ -83,11 +82,9 @@ def run_marts(spark: SparkSession, raw_base: str, mart_base: str, raw_fmt: str =
     items = raw("order_items")
 
     out["order_reviews"] = write("order_reviews", M.order_reviews(
-        raw("orders"), raw("customers"), states, raw("order_reviews"),
-        state_rows=len(state_codes) if state_codes is not None else None))
+        raw("orders"), raw("customers"), states, raw("order_reviews")))
     out["order_products_payments"] = write("order_products_payments", M.order_products_payments(
-        items, raw("products"), category_translation(spark), raw("order_payments"),
-        translation_rows=71))
+        items, raw("products"), category_translation(spark), raw("order_payments")))
     m1, m2 = read_back(out["order_reviews"]), read_back(out["order_products_payments"])
 
     out["arrival_by_city"] = write("arrival_by_city", M.arrival_by_city(m1))
@@ -137,8 +134,8 @@ def serve_recommendations(spark: SparkSession, model_base: str, requests: DataFr
 
 
 def score_reviews(spark: SparkSession, raw_base: str, mart_base: str,
-                  lexicon: Mapping[str, float], raw_fmt: str = "csv") -> str:
-    """Sentiment per review, written as a mart."""
+                  lexicon: DataFrame, raw_fmt: str = "csv") -> str:
+    """Sentiment per review, written as a mart; ``lexicon``: (word, weight)."""
     tune(spark)
     reviews = read_table(spark, raw_base, "order_reviews", fmt=raw_fmt)
     return write_mart(M.sentiments(reviews, lexicon), mart_base, "review_sentiments")

@@ -21,12 +21,12 @@ from bazaar.operators.aggregates import (
     count_non_null, group_mean, group_sum, share_pct, value_counts, with_period,
 )
 from bazaar.operators.rules import association_rules, baskets
-from bazaar.operators.joins import join_dimension
+from bazaar.operators.joins import natural_join
 from bazaar.operators.neighbours import (
     recommend, recommend_or_default, similar_users, user_product_ratings,
 )
 from bazaar.operators.lexicon import review_sentiment
-from bazaar.session import cut_lineage
+from bazaar.session import stored
 from bazaar.sources.dimensions import CATEGORY_GROUPS, FALLBACK_PRODUCTS
 from bazaar.sources.schemas import CLOSED_DEAL_COLUMNS, QUALIFIED_LEAD_COLUMNS
 
@@ -44,30 +44,30 @@ EXPORT_NAMES = {
 
 # -- M1 ---------------------------------------------------------------------
 def order_reviews(orders: DataFrame, customers: DataFrame, state_codes: DataFrame,
-                  reviews: DataFrame, state_rows: int | None = None) -> DataFrame:
+                  reviews: DataFrame) -> DataFrame:
     """M1: orders x customers (+ arrival days, status code) x state names x
     reviews, free-text review columns dropped. One row per review."""
-    oc = as_timestamp(orders.join(customers, "customer_id"), ORDER_TIMESTAMPS)
+    oc = as_timestamp(natural_join(orders, customers, "customer_id"), ORDER_TIMESTAMPS)
     oc = oc.withColumns({
         "arrival_days": elapsed_days("order_purchase_timestamp", "order_delivered_customer_date"),
         "numeric_order_status": order_status_code("order_status"),
     })
     states = state_codes.select(F.col("subdivision").alias("customer_state"), "name")
-    oc = join_dimension(oc, states, "customer_state", rows=state_rows)
-    return oc.join(reviews, "order_id").drop("review_comment_title", "review_comment_message")
+    oc = natural_join(oc, states, "customer_state")
+    return natural_join(oc, reviews, "order_id").drop("review_comment_title", "review_comment_message")
 
 
 # -- M2 ---------------------------------------------------------------------
 def order_products_payments(items: DataFrame, products: DataFrame, translation: DataFrame,
                             payments: DataFrame,
-                            groups: Mapping[str, Sequence[str]] = CATEGORY_GROUPS,
-                            translation_rows: int | None = None) -> DataFrame:
+                            groups: Mapping[str, Sequence[str]] = CATEGORY_GROUPS) -> DataFrame:
     """M2: items x (products x translation + principal category) x payments,
-    at item x payment grain (T19)."""
-    pt = join_dimension(products, translation, "product_category_name", rows=translation_rows)
+    at item x payment grain (T19). Whatever further columns the files hold
+    pass through; one that two files share raises."""
+    pt = natural_join(products, translation, "product_category_name")
     pt = pt.withColumn("product_principal_category",
                        principal_category("product_category_name", groups))
-    return items.join(pt, "product_id").join(payments, "order_id")
+    return natural_join(natural_join(items, pt, "product_id"), payments, "order_id")
 
 
 # -- M3 / M4 ----------------------------------------------------------------
@@ -88,7 +88,7 @@ def orders_payment(orders: DataFrame, payments: DataFrame) -> DataFrame:
     """M5: one row per order x payment with the value and a month label."""
     o = orders.select("customer_id", "order_id", "order_purchase_timestamp")
     p = payments.select("order_id", "payment_value")
-    j = as_timestamp(o.join(p, "order_id"), ["order_purchase_timestamp"], strict=True)
+    j = as_timestamp(natural_join(o, p, "order_id"), ["order_purchase_timestamp"], strict=True)
     return j.select("customer_id", F.col("order_purchase_timestamp").alias("order_date"),
                     "order_id", F.col("payment_value").alias("order_value"),
                     month_label("order_purchase_timestamp").alias("month_yr"))
@@ -100,7 +100,7 @@ def qualified_leads(leads: DataFrame, closed_deals: DataFrame) -> DataFrame:
     l = leads.select("mql_id", "landing_page_id", "origin")
     d = closed_deals.select("mql_id", "seller_id", "business_segment", "lead_type",
                             "lead_behaviour_profile", "business_type")
-    return l.join(d, "mql_id").select(*QUALIFIED_LEAD_COLUMNS)
+    return natural_join(l, d, "mql_id").select(*QUALIFIED_LEAD_COLUMNS)
 
 
 def seller_sales(items: DataFrame) -> DataFrame:
@@ -110,7 +110,7 @@ def seller_sales(items: DataFrame) -> DataFrame:
 
 def seller_cltv(items: DataFrame, sellers: DataFrame) -> DataFrame:
     """M7: sales per seller with the seller's location."""
-    s = seller_sales(items).join(sellers, "seller_id")
+    s = natural_join(seller_sales(items), sellers, "seller_id")
     return s.select("seller_id", "seller_zip_code_prefix", "seller_city", "seller_state",
                     F.col("seller_sales").alias("cltv"))
 
@@ -119,7 +119,7 @@ def lead_cltv(leads_mart: DataFrame, items: DataFrame, paid_search_price: float
               paid_origin: str = "paid_search") -> DataFrame:
     """M8: qualified leads with their seller's sales, less an acquisition
     price for one origin (T17; 0 by default as in the source)."""
-    j = leads_mart.join(seller_sales(items), "seller_id")
+    j = natural_join(leads_mart, seller_sales(items), "seller_id")
     cols = [c for c in QUALIFIED_LEAD_COLUMNS]
     return j.select(*cols, paid_search_adjusted("seller_sales", "origin", paid_search_price,
                                                 paid_origin).alias("cltv"))
@@ -195,7 +195,7 @@ def order_rows_by_month(m1: DataFrame, m2: DataFrame) -> DataFrame:
                         F.month("order_approved_at").alias("month")).agg(
         F.count(F.lit(1)).alias("__left_rows"))
     right = m2.groupBy("order_id").agg(F.count("product_id").alias("__right_products"))
-    j = left.join(right, "order_id")
+    j = natural_join(left, right, "order_id")
     out = j.select("order_id", F.col("year").cast("string").alias("year"),
                    F.col("month").cast("string").alias("month"),
                    (F.col("__left_rows") * F.col("__right_products")).alias("product_id"))
@@ -212,10 +212,10 @@ def recommender_rows(items: DataFrame, products: DataFrame, reviews: DataFrame,
     """J10 + P10: items x products x reviews x orders with the six used
     columns all present. Written as inner joins: the original's full outer
     joins followed by dropping incomplete rows give the same rows (O4)."""
-    j = (items.select("order_id", "product_id", "price")
-         .join(products.select("product_id", "product_category_name"), "product_id")
-         .join(reviews.select("order_id", "review_score"), "order_id")
-         .join(orders.select("order_id", "customer_id"), "order_id"))
+    j = natural_join(items.select("order_id", "product_id", "price"),
+                     products.select("product_id", "product_category_name"), "product_id")
+    j = natural_join(j, reviews.select("order_id", "review_score"), "order_id")
+    j = natural_join(j, orders.select("order_id", "customer_id"), "order_id")
     complete = None
     for c in RECOMMENDER_COLUMNS:
         cond = F.col(c).isNotNull()
@@ -243,16 +243,15 @@ def recommendations(ratings_df: DataFrame, requests: DataFrame, k: int = 5, n: i
     computes neighbours for the requested customers only (work linear in
     the ratings; use it for small request sets)."""
     targets = requests if serve_only_requests else None
-    # neighbours (customers x k rows) are read several times below: persist once
-    nb = cut_lineage(similar_users(ratings_df, k, "customer_id", "product_id", "rating",
-                                   targets=targets))
+    # neighbours (customers x k rows) are read several times below: one table
+    nb = stored(similar_users(ratings_df, k, "customer_id", "product_id", "rating", targets=targets), "neighbours")
     recs = recommend(ratings_df, nb, n, "customer_id", "product_id", "rating")
     return recommend_or_default(requests, recs, fallback, n, "customer_id", "product_id")
 
 
 # -- M17 --------------------------------------------------------------------
-def sentiments(reviews: DataFrame, lexicon: Mapping[str, float]) -> DataFrame:
-    """Sentiment class per review (text, else score)."""
-    out = review_sentiment(reviews, "review_comment_title", "review_comment_message",
-                           "review_score", lexicon)
-    return out.select("review_id", "order_id", "sentiment")
+def sentiments(reviews: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """Sentiment class per review (text, else score); ``lexicon``: a
+    (word, weight) table of any size. A review is its (review, order) pair."""
+    return review_sentiment(reviews, "review_comment_title", "review_comment_message",
+                            "review_score", lexicon, ["review_id", "order_id"])

@@ -25,8 +25,7 @@ def m1(raw):
 @pytest.fixture(scope="module")
 def m2(spark, raw):
     return M.order_products_payments(raw["order_items"], raw["products"],
-                                     D.category_translation(spark), raw["order_payments"],
-                                     translation_rows=71)
+                                     D.category_translation(spark), raw["order_payments"])
 
 
 def test_csv_quoted_newline_and_bom(raw):

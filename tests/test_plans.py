@@ -4,6 +4,7 @@ scans, bounded dimensions broadcast, no full outer join in the recommender."""
 import pytest
 
 import __spark_entry__ as entry
+from bazaar.plans import bindings
 from bazaar.plans import marts as M
 from bazaar.sources import dimensions as D
 from tests.fixtures import load, write_raw
@@ -15,7 +16,7 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(bindings.QUERIES))
 def test_no_python_udf_no_cross_join(spark, name):
     p = plan(entry.queries()[name](spark, SF))
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p and "PythonUDF" not in p
@@ -37,7 +38,7 @@ def test_filter_reaches_scan(spark):
 def test_bounded_dimension_broadcast(spark, tmp_path):
     raw = load(spark, write_raw(str(tmp_path)))
     m2 = M.order_products_payments(raw["order_items"], raw["products"], D.category_translation(spark),
-                                   raw["order_payments"], translation_rows=71)
+                                   raw["order_payments"])
     assert "BroadcastHashJoin" in plan(m2) or "BroadcastExchange" in plan(m2)
 
 

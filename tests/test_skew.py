@@ -93,17 +93,42 @@ def test_block_join_meets_each_pair_once(spark):
     assert got == want
 
 
-def test_blocked_path_only_with_hot_keys(spark):
-    from bazaar.operators.joins import block_self_pairs
+def test_no_join_or_window_on_the_raw_key(spark):
+    """Rows of a hot key meet their block count, and each other, by key and
+    salt or by key and blocks; only counts are joined by the key alone."""
+    import re
+
+    from bazaar.operators.joins import block_join, block_self_pairs
+
+    old = _with_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    try:
+        df = spark.createDataFrame([(1, m) for m in range(6)] + [(2, 0), (2, 1)], "k long, m long")
+        frames = (block_self_pairs(df, "k", "m", max_block=2),
+                  block_join(df, df.withColumnRenamed("m", "p"), "k", "m", "p", max_block=2))
+        for frame in frames:
+            plan = frame._jdf.queryExecution().optimizedPlan().toString()
+            assert "Window" not in plan
+            for line in plan.splitlines():
+                if "Join" in line:
+                    assert re.search(r"__salt|__a", line), line
+    finally:
+        _restore(spark, old)
+    for block in (2, 100):
+        assert block_self_pairs(df, "k", "m", max_block=block).count() == 16
+
+
+def test_building_a_plan_runs_no_job(spark):
+    from bazaar.operators.joins import block_join, block_self_pairs
 
-    df = spark.createDataFrame([(1, m) for m in range(6)] + [(2, 0), (2, 1)], "k long, m long")
-    plain = block_self_pairs(df, "k", "m", max_block=100)
-    blocked = block_self_pairs(df, "k", "m", max_block=2)
-    p_plain = plain._jdf.queryExecution().optimizedPlan().toString()
-    p_blocked = blocked._jdf.queryExecution().optimizedPlan().toString()
-    assert "Union" not in p_plain and "__a" not in p_plain
-    assert "Union" in p_blocked and "__a" in p_blocked
-    assert sorted(plain.collect()) == sorted(blocked.collect())
+    df = spark.createDataFrame([(1, m) for m in range(6)], "k long, m long")
+    spark.sparkContext.setJobGroup("lazy", "lazy")
+    try:
+        block_self_pairs(df, "k", "m", max_block=2)
+        block_join(df, df.withColumnRenamed("m", "p"), "k", "m", "p", max_block=2)
+        N.user_product_ratings(df.withColumn("s", df.m * 1.0), "k", "m", "s")
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("lazy")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_targets_path_blocks_hot_products(spark):
