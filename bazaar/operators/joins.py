@@ -18,7 +18,7 @@ meet. Everything is lazy: nothing runs until the caller's action.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,12 +56,13 @@ def _hot(df: DataFrame, key: str, max_block: int, out: str) -> DataFrame:
             .select(key, F.ceil(n / F.lit(float(max_block))).cast("int").alias(out)))
 
 
-def _with_blocks(df: DataFrame, key: str, member: str, hot: DataFrame, names: Sequence[str]) -> DataFrame:
-    """The rows with the block counts of their key, 1 where it is not hot."""
+def attach(df: DataFrame, key: str, member: str, hot: DataFrame, defaults: Mapping[str, int]) -> DataFrame:
+    """The rows with what ``hot`` holds for their key, defaults where it lacks
+    the key; by key and salt, so the rows of a key stay apart."""
     salted = hot.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     own = df.withColumn("__salt", F.pmod(F.xxhash64(F.col(member)), F.lit(SALTS)).cast("int"))
     joined = own.join(salted, [key, "__salt"], "left").drop("__salt")
-    return joined.withColumns({n: F.coalesce(F.col(n), F.lit(1)) for n in names})
+    return joined.withColumns({n: F.coalesce(F.col(n), F.lit(v)) for n, v in defaults.items()})
 
 
 def _own(member: str, blocks: str) -> Column:
@@ -101,8 +102,8 @@ def block_join(left: DataFrame, right: DataFrame, key: str, left_member: str,
     hot = (_hot(left, key, max_block, "__nl").withColumn("__nr", F.lit(1))
            .unionByName(_hot(right, key, max_block, "__nr").withColumn("__nl", F.lit(1)))
            .groupBy(key).agg(F.max("__nl").alias("__nl"), F.max("__nr").alias("__nr")))
-    lx = _with_blocks(left, key, left_member, hot, ["__nl", "__nr"])
-    rx = _with_blocks(right, key, right_member, hot, ["__nl", "__nr"])
+    lx = attach(left, key, left_member, hot, {"__nl": 1, "__nr": 1})
+    rx = attach(right, key, right_member, hot, {"__nl": 1, "__nr": 1})
     lx = lx.withColumn("__a", _own(left_member, "__nl")).withColumn("__b", _every("__nr")).drop("__nl", "__nr")
     rx = rx.withColumn("__b", _own(right_member, "__nr")).withColumn("__a", _every("__nl")).drop("__nl", "__nr")
     j = lx.join(rx, [key, "__a", "__b"])
@@ -117,7 +118,7 @@ def block_self_pairs(df: DataFrame, key: str, member: str, values: Sequence[str]
     Output columns: key, ``l_<member>``, ``r_<member>``, ``l_<v>``, ``r_<v>``.
     """
     base = df.select(key, member, *values)
-    x = _with_blocks(base, key, member, _hot(base, key, max_block, "__n"), ["__n"])
+    x = attach(base, key, member, _hot(base, key, max_block, "__n"), {"__n": 1})
     cols = [member, *values]
     lh = x.select(key, *[F.col(c).alias(f"l_{c}") for c in cols], _own(member, "__n").alias("__a"), _every("__n").alias("__b"))
     rh = x.select(key, *[F.col(c).alias(f"r_{c}") for c in cols], _own(member, "__n").alias("__b"), _every("__n").alias("__a"))

@@ -42,6 +42,8 @@ TYPE_SUPPORT, TYPE_CONFIDENCE, TYPE_LIFT = 0.02, 0.1, 0.5
 K_NEIGHBOURS, N_PRODUCTS = 5, 5
 # Block size of the query that takes the path of hot keys.
 SMALL_BLOCK = 8
+# Raters from which a product is hot in the query that takes that path.
+SMALL_HOT = 32
 # Polarity lexicon for the test corpus: frequent words with weights that are
 # multiples of 1/64 (sums are exact, so every engine agrees on the classes).
 TEST_LEXICON = {
@@ -388,6 +390,15 @@ def q_similar_users_in_blocks(spark, d):
                                 max_block=SMALL_BLOCK), ["similarity"])
 
 
+def q_similar_users_hot_products(spark, d):
+    """The same with every product of more than ``SMALL_HOT`` raters taken as
+    hot: only pairs that can reach a top k are formed for it."""
+    tune(spark)
+    r = stored(_ratings(spark, d), "ratings")
+    return _round(similar_users(r, K_NEIGHBOURS, "customer_id", "product_id", "rating",
+                                hot_raters=SMALL_HOT), ["similarity"])
+
+
 def q_recommend(spark, d):
     tune(spark)
     # ratings and neighbours (users x k rows) feed several jobs: tables

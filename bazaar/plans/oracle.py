@@ -354,7 +354,7 @@ SELECT doc_id, CASE WHEN 1 + 4 * quality >= 4 THEN 'positive' WHEN 1 + 4 * quali
                     WHEN 1 + 4 * quality <= 2 THEN 'negative' END AS sentiment
 FROM labels"""
     sql["type_rules"] = lambda: _rules_sql(False, TYPE_ITEMS, TYPE_SUPPORT, TYPE_CONFIDENCE, TYPE_LIFT)
-    sql["similar_users_in_blocks"] = sql["similar_users"]
+    sql["similar_users_in_blocks"] = sql["similar_users_hot_products"] = sql["similar_users"]
     sql["recommender_rows"] = lambda: f"""
 WITH {M1.strip()}, {M2.strip()}
 SELECT i.product_id, p.p_type AS product_category_name, i.price, r.review_score, o.customer_id, i.order_id

@@ -55,6 +55,49 @@ def test_hot_product_neighbours_exact(spark):
     assert recs == want_recs
 
 
+def _ratings_with_hot_products(seed, users=150):
+    """Two products rated by everyone, others by few; users have many ratings
+    of their own, so the common ones weigh little."""
+    rnd = random.Random(seed)
+    ratings = {}
+    for u in range(1, users + 1):
+        ratings[(u, 1)] = float(rnd.randint(1, 2))
+        if rnd.random() < 0.7:
+            ratings[(u, 2)] = float(rnd.randint(1, 5))
+        for p in rnd.sample(range(100 * (u % 10) + 10, 100 * (u % 10) + 40), rnd.choice([0, 1, 12, 20])):
+            ratings[(u, p)] = float(rnd.randint(1, 5))
+    return ratings
+
+
+def test_pruned_pairs_of_hot_products_are_exact(spark):
+    for seed in (1, 2):
+        ratings = _ratings_with_hot_products(seed)
+        df = spark.createDataFrame([(u, p, r) for (u, p), r in ratings.items()],
+                                   "customer_id long, product_id long, rating double")
+        want = brute(ratings, 5, 5)[0]
+        for hot, block in ((20, 10_000), (3, 25)):
+            got = {}
+            for r in N.similar_users(df, 5, hot_raters=hot, max_block=block).orderBy("customer_id", "rank").collect():
+                got.setdefault(r.customer_id, []).append(r.neighbour)
+            assert got == want
+
+
+def test_fewer_pairs_than_the_full_self_join(spark, monkeypatch):
+    ratings = _ratings_with_hot_products(3, users=400)
+    df = spark.createDataFrame([(u, p, r) for (u, p), r in ratings.items()], "customer_id long, product_id long, rating double")
+    formed, real = [], N.reaching_pairs
+
+    def counted(*a):
+        out = real(*a)
+        formed.append(out.agg({"__formed": "sum"}).first()[0])
+        return out
+
+    monkeypatch.setattr(N, "reaching_pairs", counted)
+    N.similar_users(df, 5, hot_raters=100).count()
+    raters = [sum((u, p) in ratings for u in range(1, 401)) for p in (1, 2)]
+    assert 0 < formed[0] < 0.6 * sum(n * (n - 1) for n in raters)
+
+
 def test_hot_basket_rules_exact(spark):
     rnd = random.Random(3)
     baskets = [(1, list(range(1, 40)))]                      # one very large basket
