@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bazaar.session import shared_dir, stored  # noqa: F401
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -34,28 +33,6 @@ def pick(df: DataFrame, **types: str) -> DataFrame:
     return pos.select(*[F.col(position(names, n)).cast(t).alias(n) for n, t in types.items()])
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir`` of
-    the session. Only a local session that names none gets a temporary one."""
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-        if not conf:
-            if not sc.master.startswith("local[") and sc.master != "local":
-                raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder")
-            conf = tempfile.mkdtemp(prefix="bazaar-shared-")
-        sc.setCheckpointDir(conf)
-    return sc.getCheckpointDir().rstrip("/")
-
-
-def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
-    """Write a derived table to the shared folder and read it back: cuts the
-    lineage, survives lost executors and gives later joins real sizes."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -224,7 +224,8 @@ def pack(pieces: DataFrame, limit: int = 2048, length_col: str = "length") -> Da
     length = f"c{at}_"
     counts = numbered.groupBy(length, "part_").agg(F.count(F.lit(1)).alias("n_"))
     before = Window.partitionBy(length).orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)
-    counts = stored(counts.withColumn("before_", F.coalesce(F.sum("n_").over(before), F.lit(0))), "pack-counts")
+    counts = stored(counts.withColumn("before_", F.coalesce(F.sum("n_").over(before), F.lit(0))), "pack-counts",
+                    numbered.count())
     # at most ``limit`` rows
     histogram = {r[0]: r[1] for r in counts.groupBy(length).agg(F.sum("n_")).collect()}
     slots = _slots(make_plan(histogram, limit))

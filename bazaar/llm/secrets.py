@@ -124,7 +124,7 @@ def train(findings: DataFrame, sample: int = SAMPLE) -> Forest:
         rows = part if rows is None else rows.unionByName(part)
     f = features(F.col("value"), F.col("left"), F.col("right"), F.col("path"), dictionary)
     rows = stored(rows.select(f.alias("f"), F.col("label").cast("double").alias("label")).select("label", "f.*"),
-                  "labelled-findings")
+                  "labelled-findings", 2 * sample)
     if rows.select("label").distinct().count() < 2:
         return Forest(dictionary, [])
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows)

@@ -29,7 +29,8 @@ LEAST_ODDS = 2.0         # that difference itself
 LEAST_DOCS = 3           # sampled documents that hold a feature
 PREFIXES = (4, 5, 6)
 THRESHOLD = 0.3          # expected grade from which a document counts as toxic
-MEMO = 500_000
+MEMO = 250_000
+FEATURE_ROWS = 256       # rows of a few numbers that the features of a text are as large as
 ROWS_OUT = 1024
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -102,7 +103,8 @@ def fit(docs: DataFrame, grades: DataFrame, sample: int = SAMPLE, id_col: str =
                 yield pa.RecordBatch.from_arrays([part.column(1), pa.array(found, pa.list_(pa.int64()))],
                                                  names=["grade", "features"])
 
-    rows = stored(texts.select(text_col, grade_col).mapInArrow(hashed, "grade int, features array<long>"), "graded")
+    rows = stored(texts.select(text_col, grade_col).mapInArrow(hashed, "grade int, features array<long>"), "graded",
+                  sample * FEATURE_ROWS)
     per_grade = {r[0]: r[1] for r in rows.groupBy("grade").count().collect()}
     if len(per_grade) < 2:
         return Model({}, [])

@@ -95,7 +95,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
     """
     p = pick(pages, **{id_col: "long", url_col: "string"})
     p = p.select(id_col, url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path"))
-    index = stored(rule_index(p, rules), "url-rule-index")
+    index = stored(rule_index(p, rules), "url-rule-index", rules.count())
     target = F.concat("host", "path")
     fits = (p.select("host", "path").distinct()
             .withColumn("token", F.explode(_tokens(F.col("host"), F.col("path"), False)))
@@ -103,7 +103,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
             .where(F.rlike(target, F.col("pattern"))))
     best = F.max(F.struct(F.length("rule").alias("n"), F.length("rule_host").alias("h"), "rule", "action"))
     # stored, so that the join below reads plain shuffles and a hot URL is split
-    ruled = stored(fits.groupBy("host", "path").agg(best.alias("best")), "url-verdicts")
+    ruled = stored(fits.groupBy("host", "path").agg(best.alias("best")), "url-verdicts", p.count())
     return (p.join(ruled, ["host", "path"], "left")
             .select(id_col, "host", "path", F.col("best.rule").alias("rule"),
                     F.coalesce(F.col("best.action"), F.lit(default)).alias("verdict")))

@@ -100,7 +100,8 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, id_col:
     # only payloads that occur more than once; stored, so that a hot one is split in the join
     repeated = stored(own.where(size >= least_bytes).groupBy("sha1", size.alias("size"))
                       .agg(F.max(id_col).alias("last"), F.count(F.lit(1)).alias("n"))
-                      .where((F.col("n") > 1) & F.col("last").isNotNull()).drop("n"), "repeated-payloads")
+                      .where((F.col("n") > 1) & F.col("last").isNotNull()).drop("n"), "repeated-payloads",
+                      pages.count())
     refers = F.when(~F.col(id_col).eqNullSafe(F.col("last")), F.col("last"))
     rows = (own.withColumn("size", size).join(repeated, ["sha1", "size"], "left")
             .select(id_col, url_col, "payload", refers.alias("refers")))

@@ -1,0 +1,13 @@
+"""Driver gate: queries with SQL equal it at sf0.01."""
+
+import pytest
+
+from bazaar.llm.queries import ORACLE_SQL, QUERIES
+from tools.oracle_check import compare, duck
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_query_matches_sql(spark, name):
+    assert compare(spark, duck(SF), name, QUERIES[name], ORACLE_SQL[name], SF)["status"] == "ok"
