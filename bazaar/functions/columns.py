@@ -21,13 +21,15 @@ def _c(x) -> Column:
 
 
 def ts_or_null(x) -> Column:
-    """Parse text to a timestamp; unparseable text gives NULL (trap T2)."""
-    return F.try_to_timestamp(_c(x))
+    """Parse text to a timestamp without a zone, as the store writes them, so
+    that elapsed days hold in any session zone (T1); unparseable text gives
+    NULL (trap T2)."""
+    return _c(x).try_cast("timestamp_ntz")
 
 
 def ts_strict(x) -> Column:
-    """Parse text to a timestamp; unparseable text fails the query."""
-    return F.to_timestamp(_c(x))
+    """The same, but unparseable text fails the query."""
+    return F.to_timestamp_ntz(_c(x))
 
 
 def as_timestamp(df: DataFrame, names: Sequence[str], strict: bool = False) -> DataFrame:
@@ -40,7 +42,7 @@ def as_timestamp(df: DataFrame, names: Sequence[str], strict: bool = False) -> D
         if isinstance(types[n], T.StringType):
             out[n] = parse(n)
         elif isinstance(types[n], T.DateType):
-            out[n] = F.col(n).cast("timestamp")
+            out[n] = F.col(n).cast("timestamp_ntz")
     return df.withColumns(out) if out else df
 
 

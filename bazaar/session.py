@@ -15,9 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL options the plans rely on. Only applied where unset.
 RUNTIME_DEFAULTS = {
-    # timestamps are naive in the store data; elapsed-day arithmetic is only
-    # exact in a zone without daylight saving
-    "spark.sql.session.timeZone": "UTC",
     # AQE re-plans joins on measured sizes (broadcast below the threshold,
     # sort-merge above it), coalesces small shuffle partitions and splits
     # skewed ones
@@ -33,13 +30,10 @@ RUNTIME_DEFAULTS = {
 }
 
 
-def tune(spark: SparkSession, force_utc: bool = True) -> SparkSession:
-    """Fill runtime options that are not set yet; always pin the zone to UTC
-    unless ``force_utc`` is False (elapsed days depend on it, trap T1)."""
+def tune(spark: SparkSession) -> SparkSession:
+    """Fill runtime options that are not set yet. The session's time zone is
+    the caller's: the store's timestamps have none."""
     for key, value in RUNTIME_DEFAULTS.items():
-        if key == "spark.sql.session.timeZone" and force_utc:
-            spark.conf.set(key, value)
-            continue
         if spark.conf.get(key, None) in (None, ""):
             spark.conf.set(key, value)
     return spark

@@ -1,7 +1,7 @@
 """Types of the raw store files' columns, by name (no inference on read).
 A file may hold its columns in any order, and further ones.
 
-Timestamps are declared as text: the marts parse them with ``try_to_timestamp``
+Timestamps are declared as text: the marts parse them with a ``try_cast``
 so that an unparseable value becomes NULL instead of failing the scan (T2).
 Zip prefixes are integers, as the source reads them (leading zeros are lost,
 T20).

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from bazaar.functions.columns import period_first, period_last
+from bazaar.functions.columns import period_first, period_last, ts_or_null
 from bazaar.plans.marts import sentiments
 from bazaar.session import stored
 from bazaar.sources.schemas import MULTI_LINE, RAW_SCHEMAS
@@ -38,7 +38,7 @@ def stream_lead_counts(spark: SparkSession, source_dir: str, mart_dir: str, chec
     (complete mode), which are stored once and written as both marts.
     """
     leads = _csv_stream(spark, source_dir, "leads", max_files)
-    parsed = leads.select(F.try_to_timestamp("first_contact_date").alias("t"), "origin")
+    parsed = leads.select(ts_or_null("first_contact_date").alias("t"), "origin")
     counts = (parsed.where(F.col("origin").isNotNull())
               .groupBy(F.year("t").alias("year"), F.month("t").alias("month"), "origin")
               .agg(F.count("origin").alias("count")))

@@ -35,6 +35,25 @@ def test_t2_unparseable_is_null(spark):
     assert got[0] == dt.datetime(2018, 1, 2, 10) and got[1] is None and got[2] is None
 
 
+def test_t1_days_hold_in_any_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("2021-03-13 12:00:00", "2021-03-14 12:00:00")], "a string, b string")
+        for strict in (True, False):  # 23 hours on the clock of that night, a day in the store's time
+            t = C.as_timestamp(df, ["a", "b"], strict)
+            assert t.select(C.elapsed_days("a", "b")).first()[0] == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_t1_exact_for_long_spans(spark):
+    df = spark.createDataFrame([("0001-01-01 00:00:01", "9999-12-31 00:00:00"), ("9999-12-31 00:00:00", "0001-01-01 00:00:01")],
+                               "a string, b string")
+    t = C.as_timestamp(df, ["a", "b"])
+    assert [r[0] for r in t.select(C.elapsed_days("a", "b")).collect()] == [3652057, -3652058]
+
+
 def test_t3_strict_parse_fails(spark):
     with pytest.raises(Exception):
         spark.createDataFrame([("junk",)], "s string").select(C.ts_strict("s")).collect()
