@@ -27,8 +27,9 @@ from bazaar.llm.bpe_transducer import MAX_MEMO, MEMO_CHARS, Transducer, split_pi
 from bazaar.llm.common import pick
 from bazaar.llm.vocab import load_ranks
 
-LEAF_CHARS = 256   # a leaf holds the pre-tokens that start within so many characters
+LEAF_CHARS = 128   # a leaf holds the pre-tokens that start within so many characters
 CONTEXT = 2
+BEYOND = 8         # characters read beyond a boundary, more than CONTEXT
 ROWS_OUT = 512
 EDIT = "struct<start:long,length:long,insert:string>"
 
@@ -133,22 +134,32 @@ def apply_edit(text: str, tree: SegmentTree, run: Counter, start: int, length: i
     end = max(start, min(start + length, len(text)))
     new, shift = text[:start] + insert + text[end:], len(insert) - (end - start)
     first, begin = tree.find(start - CONTEXT)
-    # the old boundary in reach: after leaf ``last``, in old characters
+    # the old boundary to meet: after leaf ``last``, in old characters
     last, old = first, begin + tree.chars[tree.size + first]
-    pieces, at = [], begin
-    for m in run.pattern.finditer(new, begin):
-        pieces.append(m.group())
-        at = m.end()
-        while (old < end or old + shift < at) and last + 1 < tree.size:
+    while True:
+        while old < end and last + 1 < tree.size:
             last += 1
             old += tree.chars[tree.size + last]
-        if old >= end and old + shift == at:
-            break
-    else:
-        last = tree.size - 1
-    chars, tokens = run.leaves([pieces])
-    tree.replace(first, last + 1, chars.tolist(), tokens.tolist())
-    return new, at - begin
+        stop = old + shift
+        # beyond the boundary, as much as its pre-token can depend on
+        pieces = run.pattern.findall(new, begin, min(len(new), stop + BEYOND))
+        chars, tokens, c, n, at = [], [], 0, 0, begin
+        for piece in pieces:
+            if at >= stop:
+                break
+            k = len(piece)
+            c, at, n = c + k, at + k, n + run.tokens[piece]
+            if c >= LEAF_CHARS:
+                chars.append(c)
+                tokens.append(n)
+                c = n = 0
+        if c:
+            chars.append(c)
+            tokens.append(n)
+        if at == stop or last + 1 == tree.size:
+            tree.replace(first, last + 1, chars, tokens)
+            return new, at - begin
+        end = old + 1  # not met: the next boundary
 
 
 def edited_counts(docs: DataFrame, edits: Column, vocab: str, pattern: str, id_col: str = "doc_id",
