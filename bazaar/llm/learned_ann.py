@@ -65,8 +65,8 @@ def cosine(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
 def neighbours(rows: np.ndarray, among: np.ndarray, k: int, same: bool) -> np.ndarray:
     """Indexes of the nearest ``k`` of ``among`` for each row."""
     out = []
-    for at in range(0, len(rows), 1024):
-        sims = rows[at:at + 1024] @ among.T
+    for at in range(0, len(rows), 256):
+        sims = rows[at:at + 256] @ among.T
         if same:
             sims[np.arange(len(sims)), np.arange(at, at + len(sims))] = -np.inf
         out.append(np.argpartition(-sims, k - 1, axis=1)[:, :k])
