@@ -28,7 +28,10 @@ LEAST_Z = 3.0            # of a feature's log odds between grade 0 and the other
 LEAST_ODDS = 2.0         # that difference itself
 LEAST_DOCS = 3           # sampled documents that hold a feature
 PREFIXES = (4, 5, 6)
-THRESHOLD = 0.3          # expected grade from which a document counts as toxic
+THRESHOLD = 0.3          # expected grade from which a document counts as toxic, where the sample is too small to choose it
+FALSE_POSITIVES = 0.0075  # share of the lowest grade's held-out documents that the chosen threshold may reach, at most
+FOLDS = 10               # of the sample; each is judged by a model of the others
+LEAST_HELD = 20          # documents above the lowest grade from which the threshold is chosen
 MEMO = 250_000
 FEATURE_ROWS = 256       # rows of a few numbers that the features of a text are as large as
 ROWS_OUT = 1024
@@ -50,6 +53,7 @@ def word_features(word: str) -> list[int]:
 class Model:
     weight: dict[int, float]   # by feature
     cuts: list[float]          # ordered; one fewer than grades
+    threshold: float = THRESHOLD
 
     def severity(self, scores: np.ndarray) -> np.ndarray:
         if not self.cuts:
@@ -87,7 +91,10 @@ def fit(docs: DataFrame, grades: DataFrame, sample: int = SAMPLE, id_col: str =
         text_col: str = "text", grade_col: str = "grade") -> Model:
     """The model from graded documents; a document graded more than once takes
     its highest grade, one that occurs more than once its least text. Null ids
-    and grades are left out. Without two grades the model gives 0 throughout."""
+    and grades are left out. Without two grades the model gives 0 throughout.
+
+    The model's threshold is chosen on held-out documents, see ``_threshold``;
+    the model itself is fitted on the whole sample."""
     graded = (pick(grades, **{id_col: "long", grade_col: "int"}).dropna()
               .groupBy(id_col).agg(F.max(grade_col).alias(grade_col))
               .orderBy(F.xxhash64(id_col), id_col).limit(sample))
@@ -100,12 +107,51 @@ def fit(docs: DataFrame, grades: DataFrame, sample: int = SAMPLE, id_col: str =
             for at in range(0, batch.num_rows, ROWS_OUT):
                 part = batch.slice(at, ROWS_OUT)
                 found = [sorted({x for w in words(t) for x in word_features(w)}) for t in part.column(0).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(1), pa.array(found, pa.list_(pa.int64()))],
-                                                 names=["grade", "features"])
-
-    rows = stored(texts.select(text_col, grade_col).mapInArrow(hashed, "grade int, features array<long>"), "graded",
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), part.column(2), pa.array(found, pa.list_(pa.int64()))],
+                    names=["text", "grade", "fold", "features"])
+
+    # copies of a text fall into one fold
+    fold = F.pmod(F.xxhash64(text_col), F.lit(FOLDS)).cast("int")
+    rows = stored(texts.select(F.col(text_col).alias("text"), F.col(grade_col).alias("grade"), fold.alias("fold"))
+                  .mapInArrow(hashed, "text string, grade int, fold int, features array<long>"), "graded",
                   sample * FEATURE_ROWS)
-    per_grade = {r[0]: r[1] for r in rows.groupBy("grade").count().collect()}
+    per_grade = _per_grade(rows)
+    model = _fit_rows(rows, per_grade)
+    return dataclasses.replace(model, threshold=_threshold(rows, per_grade))
+
+
+def _per_grade(rows: DataFrame) -> dict[int, int]:
+    return {r[0]: r[1] for r in rows.groupBy("grade").count().collect()}
+
+
+def _threshold(rows: DataFrame, per_grade: dict[int, int]) -> float:
+    """The lowest threshold that at most the share ``FALSE_POSITIVES`` of the
+    lowest grade's documents reach, each judged by a model fitted without its
+    fold; half-way to the next lower severity seen. ``THRESHOLD`` if the
+    sample holds too few documents to tell."""
+    low = min(per_grade, default=0)
+    clean = per_grade.get(low, 0)
+    if sum(per_grade.values()) - clean < LEAST_HELD or clean * FALSE_POSITIVES < 1:
+        return THRESHOLD
+    judged = None
+    for fold in range(FOLDS):
+        others = rows.where(F.col("fold") != fold)
+        model = _fit_rows(others, _per_grade(others))
+        part = rows.where(F.col("fold") == fold).select("grade", model.column(F.col("text")).alias("severity"))
+        judged = part if judged is None else judged.unionByName(part)
+    # two numbers for each document of the sample
+    return _lowest_threshold(*(x.to_numpy() for x in judged.toArrow().columns), low)
+
+
+def _lowest_threshold(grades: np.ndarray, severity: np.ndarray, low: int) -> float:
+    clean = np.sort(severity[grades == low])[::-1]
+    most = clean[int(FALSE_POSITIVES * len(clean))]  # the highest that must not be reached
+    above = severity[severity > most]
+    return float((most + above.min()) / 2 if len(above) else np.nextafter(most, np.inf))
+
+
+def _fit_rows(rows: DataFrame, per_grade: dict[int, int]) -> Model:
     if len(per_grade) < 2:
         return Model({}, [])
     chosen = _informative(rows, per_grade)
@@ -124,7 +170,7 @@ def fit(docs: DataFrame, grades: DataFrame, sample: int = SAMPLE, id_col: str =
                 names=["grade", "at"])
 
     # the sample's rows with the few features that were chosen
-    kept = rows.mapInArrow(indexed, "grade int, at array<int>").toArrow()
+    kept = rows.select("grade", "features").mapInArrow(indexed, "grade int, at array<int>").toArrow()
     lists = kept.column("at").combine_chunks()
     doc = np.repeat(np.arange(kept.num_rows), np.diff(lists.offsets.to_numpy()))
     y = np.unique(kept.column("grade").to_numpy(), return_inverse=True)[1]
@@ -176,18 +222,19 @@ def _fit_ordinal(x: np.ndarray, at: np.ndarray, y: np.ndarray, odds: np.ndarray,
     return p[:n], p[n] + np.concatenate([[0.0], np.cumsum(np.exp(p[n + 1:]))])
 
 
-def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, id_col: str = "doc_id",
+def score(docs: DataFrame, model: Model, threshold: float | None = None, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
     """(id, severity, is_toxic), one row per input row: the expected grade, and
-    whether it reaches the threshold. A null or empty text has no features;
+    whether it reaches the threshold, by default the model's. A null or empty text has no features;
     texts of any length are read whole; other columns are ignored."""
     own = pick(docs, **{id_col: "long", text_col: "string"})
     scored = own.select(id_col, model.column(F.col(text_col)).alias("severity"))
-    return scored.withColumn("is_toxic", F.col("severity") >= threshold)
+    return scored.withColumn("is_toxic", F.col("severity") >= (model.threshold if threshold is None else threshold))
 
 
-def without_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
-    """The documents, all columns, that don't reach the threshold."""
+def without_toxic(docs: DataFrame, model: Model, threshold: float | None = None, text_col: str = "text") -> DataFrame:
+    """The documents, all columns, that don't reach the threshold, by default
+    the model's."""
     own, names = positional(docs)
     severity = model.column(F.col(position(names, text_col)).cast("string"))
-    return own.where(severity < threshold).toDF(*names)
+    return own.where(severity < (model.threshold if threshold is None else threshold)).toDF(*names)

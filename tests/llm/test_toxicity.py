@@ -2,7 +2,8 @@ import numpy as np
 
 from bazaar.llm.common import table
 from bazaar.llm.queries import op5_toxicity, severity_grades, toxicity_model
-from bazaar.llm.toxicity import Model, _fit_ordinal, fit, score, without_toxic, words
+from bazaar.llm.toxicity import (FALSE_POSITIVES, THRESHOLD, Model, _fit_ordinal, _lowest_threshold, fit, score, without_toxic,
+                                 words)
 from pyspark.sql import functions as F
 from tests.llm.util import clashing, frame, rows
 
@@ -82,6 +83,29 @@ def test_held_out_accuracy(spark):
     assert hit >= 0.7 * sum(r["toxic"] for r in got) and false <= 0.01 * len(got)
 
 
+def test_lowest_threshold_within_the_false_positives():
+    rng = np.random.default_rng(0)
+    grades = (rng.random(4000) < 0.2).astype(int) * rng.integers(1, 3, 4000)
+    severity = np.round(rng.random(4000) * 0.2 + (grades > 0) * rng.random(4000), 3)
+    got, clean = _lowest_threshold(grades, severity, 0), severity[grades == 0]
+    assert np.mean(clean >= got) <= FALSE_POSITIVES
+    lower = severity[severity < got].max()
+    assert np.mean(clean >= lower) > FALSE_POSITIVES and got < severity[severity > lower].min()
+
+
+def test_threshold_is_chosen_on_held_out_documents(spark):
+    sf = "/root/testdata/sf0.1"
+    labels, docs = table(spark, sf, "labels"), table(spark, sf, "documents")
+    fold = F.pmod(F.xxhash64("doc_id"), F.lit(10))
+    model = fit(docs, severity_grades(labels.where(fold < 7)))
+    test = labels.where(fold >= 7)
+    got = score(docs.join(test, "doc_id", "left_semi"), model).join(test, "doc_id").collect()
+    toxic = [r for r in got if r["toxic"]]
+    found = sum(r["is_toxic"] for r in toxic)
+    assert found > sum(r["severity"] >= THRESHOLD for r in toxic) and found >= 0.8 * len(toxic)
+    assert toxicity_model(spark, "/root/testdata/sf0.001").threshold == THRESHOLD  # too few labels there
+
+
 def test_query_scores_every_document(spark):
     sf = "/root/testdata/sf0.001"
     model = toxicity_model(spark, sf)
