@@ -3,8 +3,11 @@
 A text's features are its distinct words and their first letters, each once.
 P(grade <= k) = sigmoid(cut_k - w.x): one weight vector for all thresholds,
 ordered cuts. The output is the expected grade, the sum over the thresholds of
-P(grade > k). The model is fitted on a bounded sample of graded documents;
-scoring runs over all documents without a shuffle.
+P(grade > k). Weights only add up, so a long text gathers them by chance:
+whether a text is toxic is decided on its worst span, over spans of a fixed
+number of words that overlap by half and cover the whole text. The model is
+fitted on a bounded sample of graded documents; scoring runs over all
+documents without a shuffle.
 """
 
 from __future__ import annotations
@@ -32,6 +35,7 @@ THRESHOLD = 0.3          # expected grade from which a document counts as toxic,
 FALSE_POSITIVES = 0.0075  # share of the lowest grade's held-out documents that the chosen threshold may reach, at most
 FOLDS = 10               # of the sample; each is judged by a model of the others
 LEAST_HELD = 20          # documents above the lowest grade from which the threshold is chosen
+SPAN = 256               # words of a span, twice the step
 MEMO = 250_000
 FEATURE_ROWS = 256       # rows of a few numbers that the features of a text are as large as
 ROWS_OUT = 1024
@@ -61,28 +65,40 @@ class Model:
         return (1 / (1 + np.exp(np.clip(np.array(self.cuts)[:, None] - scores, -60, 60)))).sum(axis=0)
 
     def column(self, text: Column) -> Column:
-        """Expected grade of a text."""
+        """Struct of the expected grades of a text and of its worst span."""
         model = self
 
-        @F.pandas_udf("double")
-        def severity(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        @F.pandas_udf("severity double, worst_span double")
+        def severity(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             memo: dict[str, tuple[int, ...]] = {}
             weight = model.weight
 
-            def score(text: str | None) -> float:
-                found: set[int] = set()
-                for word in words(text):
-                    known = memo.get(word)
-                    if known is None:
-                        if len(memo) >= MEMO:
-                            memo.clear()
-                        known = memo[word] = tuple(x for x in word_features(word) if x in weight)
-                    if known:
-                        found.update(known)
+            def features(word: str) -> tuple[int, ...]:
+                known = memo.get(word)
+                if known is None:
+                    if len(memo) >= MEMO:
+                        memo.clear()
+                    known = memo[word] = tuple(x for x in word_features(word) if x in weight)
+                return known
+
+            def total(found: set[int]) -> float:
                 return sum(weight[x] for x in sorted(found))
 
+            def score(text: str | None) -> tuple[float, float]:
+                own = _WORD.findall((text or "").lower())
+                known = {word: x for word in set(own) if (x := features(word))}
+                whole = total({x for xs in known.values() for x in xs})
+                if not known or len(own) <= SPAN:
+                    return whole, whole
+                steps: dict[int, set[int]] = {}
+                for i, word in enumerate(own):
+                    if word in known:
+                        steps.setdefault(i // (SPAN // 2), set()).update(known[word])
+                return whole, max(total(found | steps.get(i + 1, set())) for i, found in steps.items())
+
             for texts in batches:
-                yield pd.Series(model.severity(np.array([score(t) for t in texts], float)))
+                both = np.array([score(t) for t in texts], float).reshape(-1, 2)
+                yield pd.DataFrame({"severity": model.severity(both[:, 0]), "worst_span": model.severity(both[:, 1])})
 
         return severity(text)
 
@@ -138,7 +154,7 @@ def _threshold(rows: DataFrame, per_grade: dict[int, int]) -> float:
     for fold in range(FOLDS):
         others = rows.where(F.col("fold") != fold)
         model = _fit_rows(others, _per_grade(others))
-        part = rows.where(F.col("fold") == fold).select("grade", model.column(F.col("text")).alias("severity"))
+        part = rows.where(F.col("fold") == fold).select("grade", model.column(F.col("text"))["worst_span"].alias("severity"))
         judged = part if judged is None else judged.unionByName(part)
     # two numbers for each document of the sample
     return _lowest_threshold(*(x.to_numpy() for x in judged.toArrow().columns), low)
@@ -224,17 +240,20 @@ def _fit_ordinal(x: np.ndarray, at: np.ndarray, y: np.ndarray, odds: np.ndarray,
 
 def score(docs: DataFrame, model: Model, threshold: float | None = None, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
-    """(id, severity, is_toxic), one row per input row: the expected grade, and
-    whether it reaches the threshold, by default the model's. A null or empty text has no features;
+    """(id, severity, is_toxic, worst_span), one row per input row: the expected
+    grade of the whole text, which grows with its length; whether that of its
+    worst span, which doesn't add up, reaches the threshold, by default the
+    model's; and that grade. A null or empty text has no features;
     texts of any length are read whole; other columns are ignored."""
     own = pick(docs, **{id_col: "long", text_col: "string"})
-    scored = own.select(id_col, model.column(F.col(text_col)).alias("severity"))
-    return scored.withColumn("is_toxic", F.col("severity") >= (model.threshold if threshold is None else threshold))
+    scored = own.select(id_col, model.column(F.col(text_col)).alias("s"))
+    toxic = F.col("s.worst_span") >= (model.threshold if threshold is None else threshold)
+    return scored.select(id_col, "s.severity", toxic.alias("is_toxic"), "s.worst_span")
 
 
 def without_toxic(docs: DataFrame, model: Model, threshold: float | None = None, text_col: str = "text") -> DataFrame:
-    """The documents, all columns, that don't reach the threshold, by default
-    the model's."""
+    """The documents, all columns, no span of which reaches the threshold, by
+    default the model's."""
     own, names = positional(docs)
-    severity = model.column(F.col(position(names, text_col)).cast("string"))
+    severity = model.column(F.col(position(names, text_col)).cast("string"))["worst_span"]
     return own.where(severity < (model.threshold if threshold is None else threshold)).toDF(*names)

@@ -2,8 +2,8 @@ import numpy as np
 
 from bazaar.llm.common import table
 from bazaar.llm.queries import op5_toxicity, severity_grades, toxicity_model
-from bazaar.llm.toxicity import (FALSE_POSITIVES, THRESHOLD, Model, _fit_ordinal, _lowest_threshold, fit, score, without_toxic,
-                                 words)
+from bazaar.llm.toxicity import (FALSE_POSITIVES, SPAN, THRESHOLD, Model, _fit_ordinal, _lowest_threshold, fit, score,
+                                 without_toxic, word_features, words)
 from pyspark.sql import functions as F
 from tests.llm.util import clashing, frame, rows
 
@@ -106,6 +106,21 @@ def test_threshold_is_chosen_on_held_out_documents(spark):
     assert toxicity_model(spark, "/root/testdata/sf0.001").threshold == THRESHOLD  # too few labels there
 
 
+def test_long_texts_of_many_clean_words_stay(spark):
+    letters = "abcdefghij"
+    mild = [f"mild{letters[i // 10]}{letters[i % 10]}x" for i in range(100)]
+    model = Model({word_features(w)[0]: 1.0 for w in mild}, [4.0], 0.4)
+    plain = ["".join(letters[int(d)] for d in str(i)) for i in range(10_000, 40_000)]
+    clean = [w for i in range(100) for w in [mild[i], *plain[300 * i:300 * i + 299]]]
+    across = plain[:SPAN - 3] + mild[:5] + plain[-1000:]  # five together, wherever a span begins
+    texts = [(1, " ".join(clean)), (2, " ".join(across)), (3, " ".join(plain + mild[:5])), (4, " ".join(mild[:1]))]
+    df = frame(spark, texts, SCHEMA)
+    by = {r["doc_id"]: r for r in score(df, model).collect()}
+    assert [by[i]["is_toxic"] for i in (1, 2, 3, 4)] == [False, True, True, False]
+    assert by[1]["worst_span"] == by[4]["worst_span"] == by[4]["severity"] < by[1]["severity"]
+    assert sorted(r[0] for r in without_toxic(df, model).collect()) == [1, 4]
+
+
 def test_query_scores_every_document(spark):
     sf = "/root/testdata/sf0.001"
     model = toxicity_model(spark, sf)
