@@ -19,9 +19,10 @@ from pyspark.sql import functions as F
 
 from bazaar.llm.common import pick, position, positional, stored
 
-KEY_CHARS = r"A-Za-z0-9+/=_\-"
+KEY_CHARS = r"A-Za-z0-9+/_\-"
 LEAST_CHARS = 16
-CANDIDATE = rf"(?<![{KEY_CHARS}])[{KEY_CHARS}]{{{LEAST_CHARS},}}"
+# equals signs only pad the end; a name that is assigned to is context of what follows
+CANDIDATE = rf"(?<![{KEY_CHARS}])[{KEY_CHARS}]{{{LEAST_CHARS},}}+(?!=[{KEY_CHARS}]|\s?=\s?[\"'`])={{0,2}}"
 LEFT, RIGHT = 48, 24         # characters of context
 SAMPLE = 4_000               # labelled findings of each label, at most
 DICTIONARY = 1_000           # words, at most
@@ -32,10 +33,16 @@ MASK = "[SECRET]"
 # words beside an assignment that name a secret
 SECRET_WORDS = r"(?i)(?:token|secret|passw(?:or)?d|pwd|passphrase|api_?key|access_?key|private_?key|auth|bearer|credential)"
 ASSIGNED = r"[:=]\s*[\"'`]?$"
+# the name may go on (TOKEN_V2), be quoted or in brackets
+NAMED = SECRET_WORDS + r"[\w\-]{0,24}[\"'`\])]{0,3}\s*(?::=|=>|[:=])\s*[\"'`]?$"
+BEARER = r"(?i)\bbearer\s+$"
+KNOWN_SHAPE = (r"^(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{30,}|github_pat_\w{30,}|glpat-[\w\-]{20,}"
+               r"|xox[abprs]-[\w\-]{10,}|[sr]k_(?:live|test)_[A-Za-z0-9]{16,}|AIza[\w\-]{35})$")
+MANY_DISTINCT = 8            # characters of a value that may be a key
 TEST_PATH = r"(?i)(?:test|example|sample|fixture|mock|docs?/|\.md$|\.lock$)"
 
 FEATURES = ["length", "digits", "upper", "lower", "symbols", "case_moves", "digit_moves", "vowel_moves", "distinct",
-            "dictionary", "secret_word", "assigned", "quoted", "left_words", "path_test", "path_depth", "path_digits"]
+            "dictionary", "secret_word", "assigned", "quoted", "named", "known_shape", "left_words", "path_test", "path_depth", "path_digits"]
 
 
 def _share(pattern: str, value: Column) -> Column:
@@ -60,6 +67,8 @@ def features(value: Column, left: Column, right: Column, path: Column, dictionar
         "secret_word": left.rlike(SECRET_WORDS).cast("double"),
         "assigned": left.rlike(ASSIGNED).cast("double"),
         "quoted": quoted.cast("double"),
+        "named": (left.rlike(NAMED) | left.rlike(BEARER)).cast("double"),
+        "known_shape": value.rlike(KNOWN_SHAPE).cast("double"),
         "left_words": F.regexp_count(left, F.lit(r"\p{L}{2,}")),
         "path_test": path.rlike(TEST_PATH).cast("double"),
         "path_depth": F.regexp_count(path, F.lit("/")),
@@ -189,11 +198,17 @@ def redact(docs: DataFrame, forest: Forest, text_col: str = "text", path_col: st
 
 def labelled_by_rule(docs: DataFrame, text_col: str = "text", path_col: str | None = "source") -> DataFrame:
     """Labelled findings where no reviewed ones exist: every candidate of the
-    documents, labelled 1 when a secret word is assigned to it in quotes and
-    it mixes letters with digits, else 0."""
+    documents, with a label where the case is sure. 1: a known key shape, or a
+    value that mixes letters with digits or cases and is assigned to a secret
+    word, in quotes or not, or follows 'Bearer'. Null, so not trained on:
+    any other value in such a place, and any other that mixes letters with
+    digits in many distinct characters. 0: the rest."""
     types = {text_col: "string"} | ({path_col: "string"} if path_col else {})
     found = candidates(pick(docs, **types), path_col, text_col, []).select(
         F.col("path_").alias("path"), F.explode("found_").alias("x")).select("path", "x.value", "x.left", "x.right")
-    named = F.col("left").rlike(SECRET_WORDS + r"\W{0,3}\s*[:=]\s*[\"'`]$") & F.col("right").rlike(r"^[\"'`]")
-    mixed = F.col("value").rlike("[0-9]") & F.col("value").rlike("[A-Za-z]")
-    return found.withColumn("label", (named & mixed).cast("int"))
+    value = F.col("value")
+    named = F.col("left").rlike(NAMED) | F.col("left").rlike(BEARER)
+    mixed = value.rlike("[0-9]") & value.rlike("[A-Za-z]")
+    cases = F.regexp_count(value, F.lit("(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[a-z])")) >= 3
+    doubtful = named | (mixed & (F.size(F.array_distinct(F.split(value, "", -1))) >= MANY_DISTINCT))
+    return found.withColumn("label", F.when(value.rlike(KNOWN_SHAPE) | (named & (mixed | cases)), 1).when(~doubtful, 0))

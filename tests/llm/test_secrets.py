@@ -81,3 +81,34 @@ def test_query_finds_the_planted_tokens(spark):
     assert {(r["doc_id"], r["start"]) for r in got.collect()} == want
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)
+
+
+FORMS = ["PASSWORD={}\n", "api_key: {}\n", "Authorization: Bearer {}\n", 'TOKEN_V2 = "{}"', "MY_SERVICE_ACCESS_TOKEN={}\n",
+         "aws AKIA{:.16}", "see ghp_{} there"]
+
+
+def key_of(form, rnd):
+    chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567" if "AKIA" in form else "ABCDEFabcdefghijklmnopqrstuvwxyz0123456789"
+    return "".join(rnd.choice(chars) for _ in range(36))
+
+
+def test_other_forms_are_labelled_learned_and_masked(spark):
+    rnd, texts, keys = random.Random(3), [], []
+    for i in range(40 * len(FORMS)):
+        form = FORMS[i % len(FORMS)]
+        text = form.format(key_of(form, rnd))
+        texts.append((i, f"line of words {text} and averylongordinarywordhere or 98079157628{i:05d} too", "p/a.cfg", 0))
+        keys.append(re.search(r"(?:AKIA|ghp_)?[A-Za-z0-9]{16,}", text.replace("MY_SERVICE_ACCESS_TOKEN", "")).group())
+    df = frame(spark, texts, SCHEMA)
+    labels = {r["value"]: r["label"] for r in labelled_by_rule(df).collect()}
+    assert all(labels[k] == 1 for k in keys) and labels["averylongordinarywordhere"] == 0
+    n = 35 * len(FORMS)
+    forest = train(labelled_by_rule(df.where(f"doc_id < {n}")))
+    got = {(r["doc_id"], r["value"]) for r in scan(df.where(f"doc_id >= {n}"), forest).collect()}
+    assert got == set(enumerate(keys)) - set(enumerate(keys[:n]))
+
+
+def test_doubtful_candidates_are_not_taught_as_false(spark):
+    texts = [(1, f"commit {KEY} of", "p", 0), (2, "password: averylongordinarywordhere", "p", 0), (3, 'PASSWORD = "QwErTyUiOpAsDfGhJk"', "p", 0)]
+    got = {r["value"]: r["label"] for r in labelled_by_rule(frame(spark, texts, SCHEMA)).collect()}
+    assert got == {KEY: None, "averylongordinarywordhere": None, "QwErTyUiOpAsDfGhJk": 1}
