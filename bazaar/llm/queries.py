@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from bazaar.llm.bpe_transducer import encode_texts
 from bazaar.llm.common import stored, table
 from bazaar.llm.edit_counts import EDIT, edited_counts
+from bazaar.llm.fill_middle import restore, transform
 from bazaar.llm.impact_search import integers, top_k
 from bazaar.llm.learned_ann import fit as fit_router
 from bazaar.llm.learned_ann import nearest, one_length
@@ -142,6 +143,38 @@ def op10_impact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.where(F.col("id") % QUERY_STEP == 0), NEIGHBOURS)
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = restore(transform(table(spark, sf_dir, "documents")))
+    return coded.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                        F.sha2("restored", 256).alias("restored_sha256"))
+
+
+_MIDDLE_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hex,
+         regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u
+  FROM documents),
+h AS (
+  SELECT doc_id, text, u, CAST(len(u) AS BIGINT) AS n, CAST('0x' || hex[1:8] AS BIGINT) AS h1, CAST('0x' || hex[9:16] AS BIGINT) AS h2,
+         CAST('0x' || hex[17:24] AS BIGINT) AS h3, CAST('0x' || hex[25:32] AS BIGINT) AS h4
+  FROM d),
+c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM h),
+s AS (
+  SELECT doc_id, n, form, text, coalesce(array_to_string(u[1:a], ''), '') AS p, coalesce(array_to_string(u[a + 1:b], ''), '') AS m,
+         coalesce(array_to_string(u[b + 1:n], ''), '') AS s
+  FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM s
+"""
+
 _IMPACT_SQL = f"""
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
@@ -187,10 +220,12 @@ QUERIES = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op7_bpe_transducer": op7_bpe_transducer,
     "op9_url_filter": op9_url_filter,
+    "op11_fill_middle": op11_fill_middle,
 }
 
 ORACLE_SQL = {
     "op2_warc": _WARC_SQL,
     "op10_impact_search": _IMPACT_SQL,
+    "op11_fill_middle": _MIDDLE_SQL,
     "op9_url_filter": _URL_SQL.format(rules=", ".join(f"('{h}', '{p}', '{a}')" for h, p, a in URL_RULES)),
 }
