@@ -17,9 +17,11 @@ from bazaar.llm.learned_ann import nearest, one_length
 from bazaar.llm.packing import cut_documents, pack
 from bazaar.llm.secrets import Forest, labelled_by_rule, scan, train
 from bazaar.llm.simhash import near_duplicates
+from bazaar.llm.source_audit import LEAST_DOCS, PRIOR, TOP_TERMS, UNIT, divergence
 from bazaar.llm.toxicity import Model, fit, score
 from bazaar.llm.url_filter import judge_urls
 from bazaar.llm.vectors import usable
+from bazaar.llm.virtual_slots import shard
 from bazaar.llm.warc import round_trip
 
 # host, path, action
@@ -175,6 +177,56 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT)
 FROM s
 """
 
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(table(spark, sf_dir, "documents"))
+
+
+_AUDIT_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS n, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+t AS (SELECT n, lang, source, unnest(terms) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS all_n FROM t GROUP BY lang, term HAVING count(DISTINCT n) >= {least}),
+v AS (SELECT lang, count(*) AS terms, sum(all_n) AS total FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (
+  SELECT g.lang, g.source, kept.term, any_value(all_n) AS all_n, count(t.n) AS n
+  FROM g JOIN kept USING (lang) LEFT JOIN t ON t.lang = g.lang AND t.source = g.source AND t.term = kept.term
+  GROUP BY g.lang, g.source, kept.term),
+p AS (
+  SELECT lang, source, term, n,
+         CAST(1 + ({unit}::HUGEINT * (n + {prior})) // (sum(n) OVER (PARTITION BY lang, source) + {prior} * v.terms) AS BIGINT) AS p,
+         CAST(1 + ({unit}::HUGEINT * (all_n + {prior})) // (v.total + {prior} * v.terms) AS BIGINT) AS q
+  FROM c JOIN v USING (lang)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(x.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT y.lang, y.source, z.source AS item, CAST(sum(abs(y.p - z.p)) AS BIGINT) AS value
+             FROM p y JOIN p z ON y.lang = z.lang AND y.term = z.term AND y.source <> z.source
+             GROUP BY y.lang, y.source, z.source) x
+  ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+both_parts AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank
+FROM both_parts
+QUALIFY part = 'pair' OR rank <= {top}
+""".replace("{least}", str(LEAST_DOCS)).replace("{unit}", str(UNIT)).replace("{prior}", str(PRIOR)).replace("{top}", str(TOP_TERMS))
+
+
+SHARDS = 8
+
+
+def op13_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = shard(table(spark, sf_dir, "documents"), SHARDS)
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("place").alias("slot"),
+                        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
+
+
 _IMPACT_SQL = f"""
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
@@ -221,11 +273,14 @@ QUERIES = {
     "op7_bpe_transducer": op7_bpe_transducer,
     "op9_url_filter": op9_url_filter,
     "op11_fill_middle": op11_fill_middle,
+    "op12_source_audit": op12_source_audit,
+    "op13_virtual_slots": op13_virtual_slots,
 }
 
 ORACLE_SQL = {
     "op2_warc": _WARC_SQL,
     "op10_impact_search": _IMPACT_SQL,
     "op11_fill_middle": _MIDDLE_SQL,
+    "op12_source_audit": _AUDIT_SQL,
     "op9_url_filter": _URL_SQL.format(rules=", ".join(f"('{h}', '{p}', '{a}')" for h, p, a in URL_RULES)),
 }

@@ -1,0 +1,125 @@
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+from bazaar.llm.queries import op13_virtual_slots
+from bazaar.llm.virtual_slots import SLOTS, edited_map, first_map, read_map, shard, slot_sums, slotted, write_map
+from tests.llm.util import clashing, frame, rows
+
+SF = "/root/testdata/sf0.001"
+
+
+def check(got, shards):
+    """Places gapless from 0 in each shard; bytes of each shard."""
+    places, size = defaultdict(list), Counter({i: 0 for i in range(shards)})
+    for r in got:
+        places[r.shard].append(r.place)
+        size[r.shard] += r.size
+    assert set(places) <= set(range(shards))
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    return size
+
+
+def sums(spark, sizes):
+    return frame(spark, [(i, b, 1 if b else 0) for i, b in enumerate(sizes)], "virtual_slot int, bytes long, n_rows long")
+
+
+def test_first_map_deals_the_largest_to_the_least_loaded(spark):
+    rnd = random.Random(3)
+    sizes = [rnd.choice([0, rnd.randrange(100), rnd.randrange(5000)]) for _ in range(400)]
+    got = {r.virtual_slot: r.shard for r in first_map(sums(spark, sizes), 7).collect()}
+    load, want = [0] * 7, {}
+    for slot in sorted(range(400), key=lambda s: (-sizes[s], s)):
+        want[slot] = load.index(min(load))
+        load[want[slot]] += sizes[slot]
+    assert got == want and max(load) - min(load) <= max(sizes)
+
+
+@pytest.mark.parametrize("shards", [4, 5, 6, 9, 3])
+def test_edits_move_only_what_must(spark, shards):
+    rnd = random.Random(shards)
+    sizes = [rnd.randrange(1, 2000) for _ in range(300)]
+    table = sums(spark, sizes)
+    old = {r.virtual_slot: r.shard for r in first_map(table, 4).collect()}
+    new = {r.virtual_slot: r.shard for r in edited_map(frame(spark, list(old.items()), "virtual_slot int, shard int"), table, shards).collect()}
+    assert set(new) == set(old) and set(new.values()) == set(range(shards))
+    load = Counter()
+    for slot, to in new.items():
+        load[to] += sizes[slot]
+    assert max(abs(x - sum(sizes) / shards) for x in load.values()) < 0.06 * sum(sizes) / shards
+    moved = {s for s in old if old[s] != new[s]}
+    if shards == 4:
+        assert not moved
+    elif shards > 4:
+        assert {new[s] for s in moved} == set(range(4, shards))
+        assert sum(sizes[s] for s in moved) <= sum(sizes) * (shards - 4) / shards + 4 * max(sizes) / 2
+    else:
+        assert {old[s] for s in moved} == {3}
+
+
+def test_map_follows_drift(spark):
+    table = sums(spark, [100] * 40)
+    old = first_map(table, 4)
+    grown = sums(spark, [1000 if i < 4 else 100 for i in range(40)])
+    load = Counter()
+    for r in edited_map(old, grown, 4).collect():
+        load[r.shard] += r.bytes
+    assert max(load.values()) <= sum(load.values()) / 4 + 1000
+
+
+def test_versions(spark, tmp_dir):
+    folder = f"{tmp_dir}/map"
+    assert read_map(spark, folder) is None
+    table = sums(spark, [5, 6, 7, 8, 9, 10])
+    assert write_map(first_map(table, 2), folder) == 1
+    assert write_map(edited_map(read_map(spark, folder), table, 3), folder) == 2
+    one, two = read_map(spark, folder, 1), read_map(spark, folder)
+    assert {r.shard for r in one.collect()} == {0, 1} and {r.shard for r in two.collect()} == {0, 1, 2}
+    assert one.count() == two.count() == 6
+
+
+def test_shards_grow_in_place(spark, tmp_dir):
+    docs = frame(spark, [(i, "word " * (i % 37)) for i in range(3000)], "doc_id long, text string")
+    four = {r.doc_id: r for r in shard(docs, 4, folder=f"{tmp_dir}/m").collect()}
+    five = {r.doc_id: r for r in shard(docs, 5, folder=f"{tmp_dir}/m").collect()}
+    assert {r.version for r in four.values()} == {1} and {r.version for r in five.values()} == {2}
+    for got, n in ((four, 4), (five, 5)):
+        size = check(got.values(), n)
+        assert max(size.values()) - min(size.values()) < 0.02 * sum(size.values()) / n
+    assert all(four[i].virtual_slot == five[i].virtual_slot for i in four)
+    assert all(five[i].shard in (four[i].shard, 4) for i in four)
+
+
+def test_hot_ids_null_ids_and_repeated_rows_are_spread(spark):
+    data = ([(7, "same text")] * 700 + [(None, f"text {i}") for i in range(400)] + [(None, None)] * 600
+            + [(1000 + i, "x" * (i % 50)) for i in range(900)] + [(5, "y" * 3000)])
+    docs = clashing(frame(spark, data, "doc_id long, text string")).repartition(4)
+    got = shard(docs).collect()
+    size = check(got, 8)
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == Counter(
+        (i, len(t or "") + 1, zlib.crc32((t or "").encode())) for i, t in data)
+    assert max(size.values()) - min(size.values()) < 0.1 * sum(size.values()) / 8
+
+
+def test_empty_table_and_one_long_text(spark):
+    empty = frame(spark, [], "doc_id long, text string")
+    assert rows(shard(empty)) == []
+    assert slot_sums(slotted(empty)).count() == SLOTS
+    one = shard(frame(spark, [(1, "é" * 500_000)], "doc_id long, text string")).collect()
+    assert [(r.size, r.place) for r in one] == [(1_000_001, 0)]
+
+
+def test_query(spark):
+    got = op13_virtual_slots(spark, SF).collect()
+    docs = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    assert sorted(r.doc_id for r in got) == sorted(docs)
+    places = defaultdict(list)
+    for r in got:
+        assert (r.size, r.text_crc32) == (len(docs[r.doc_id]) + 1, zlib.crc32(docs[r.doc_id]))
+        assert r.law == "bytes" and r.grown_shard is None and 0 <= r.shard < 8
+        places[r.shard].append((r.slot, r.size))
+    size = [sum(s for _, s in p) for p in places.values()]
+    assert all(sorted(x for x, _ in p) == list(range(len(p))) for p in places.values())
+    assert max(size) - min(size) <= max(map(len, docs.values())) + 1
