@@ -28,8 +28,10 @@ def ts_or_null(x) -> Column:
 
 
 def ts_strict(x) -> Column:
-    """The same, but unparseable text fails the query."""
-    return F.to_timestamp_ntz(_c(x))
+    """The same, but unparseable text fails the query (T3), in any session."""
+    parsed = ts_or_null(x)
+    wrong = F.raise_error(F.concat(F.lit("not a timestamp: "), _c(x)))
+    return F.when(_c(x).isNotNull() & parsed.isNull(), wrong.cast("timestamp_ntz")).otherwise(parsed)
 
 
 def as_timestamp(df: DataFrame, names: Sequence[str], strict: bool = False) -> DataFrame:

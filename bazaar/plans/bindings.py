@@ -8,6 +8,7 @@ tables it names; no row is filtered out to make a check cheaper.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,13 +18,15 @@ from bazaar.functions.columns import (
     elapsed_days, order_status_code, principal_category, review_score_class,
 )
 from bazaar.functions.text import clean_text
-from bazaar.operators.rules import association_rules, baskets, pair_rules
+from bazaar.operators.rules import association_rules, baskets, lattice_rules, pair_rules
 from bazaar.operators.neighbours import (
-    recommend, recommend_or_default, similar_users, user_product_ratings,
+    recommend, recommend_or_default, similar_users, similar_users_by_index, user_product_ratings,
 )
-from bazaar.operators.lexicon import lexicon_polarity, review_sentiment, sentiment
-from bazaar.plans import marts
-from bazaar.session import stored, tune
+from bazaar.operators.lexicon import learn_lexicon, lexicon_polarity, review_sentiment, sentiment
+from bazaar.plans import etl, marts
+from bazaar.session import shared_dir, stored, tune
+from bazaar.sources.io import CSV_TIMESTAMP, load_ratings, read_published, read_table, save_ratings
+from bazaar.sources.records import convert
 
 # ---------------------------------------------------------------------------
 # Binding parameters (fixed values of the test bindings, not of the store).
@@ -52,6 +55,8 @@ TEST_LEXICON = {
     "it": 0.09375, "for": 0.609375, "was": -0.40625, "die": -0.796875, "with": 0.703125,
     "le": 0.25, "und": 0.453125, "el": -0.5, "les": 0.15625, "this": -0.046875,
 }
+# Folds of the labelled documents, and the least number of reviews of a learned word.
+FOLDS, LEXICON_LEAST = 5, 5
 DIGITS = 6  # computed doubles are rounded to this many decimals for the value hash
 
 
@@ -355,6 +360,15 @@ def q_type_rules(spark, d):
                     F.array_join("consequent", " ").alias("consequent"), "support", "confidence", "lift")
 
 
+def q_lattice_rules(spark, d):
+    """Rules between part types with any number of types on either side."""
+    tune(spark)
+    r = lattice_rules(baskets(_typed_baskets(spark, d), "l_orderkey", "p_type"), "items",
+                      TYPE_SUPPORT, TYPE_CONFIDENCE, TYPE_LIFT, digits=DIGITS)
+    return r.select(F.array_join("antecedent", " ").alias("antecedent"),
+                    F.array_join("consequent", " ").alias("consequent"), "support", "confidence", "lift")
+
+
 def q_recommender_rows(spark, d):
     """Items x products x reviews x orders, complete rows only."""
     tune(spark)
@@ -399,6 +413,16 @@ def q_similar_users_hot_products(spark, d):
                                 hot_raters=SMALL_HOT), ["similarity"])
 
 
+def q_similar_users_by_index(spark, d):
+    """The same through the index of products: those of more than
+    ``SMALL_HOT`` raters are read from the least rated on, up to each user's
+    bound."""
+    tune(spark)
+    r = stored(_ratings(spark, d), "ratings")
+    return _round(similar_users_by_index(r, K_NEIGHBOURS, "customer_id", "product_id", "rating",
+                                         cold_raters=SMALL_HOT), ["similarity"])
+
+
 def q_recommend(spark, d):
     tune(spark)
     # ratings and neighbours (users x k rows) feed several jobs: tables
@@ -476,6 +500,86 @@ def q_label_sentiment(spark, d):
     return review_sentiment(rows, "title", "message", "score", _lexicon(spark), "doc_id")
 
 
+def _labelled_reviews(spark, d):
+    """documents as reviews: score = 1 or 5 by quality, null without a label;
+    fold = doc_id mod ``FOLDS``."""
+    docs, labels = _t(spark, d, "documents"), _t(spark, d, "labels")
+    return docs.join(labels, "doc_id", "left").select(
+        "doc_id", F.col("text").alias("message"), F.lit(None).cast("string").alias("title"),
+        (F.lit(1) + F.lit(4) * F.col("quality")).alias("score"), F.pmod("doc_id", F.lit(FOLDS)).cast("int").alias("fold"))
+
+
+def q_learned_lexicon(spark, d):
+    """Word weights learned from all labelled documents."""
+    tune(spark)
+    return learn_lexicon(_labelled_reviews(spark, d), "message", "score", LEXICON_LEAST)
+
+
+def q_held_out_sentiment(spark, d):
+    """X7 of every document by the lexicon that was learned without its fold."""
+    tune(spark)
+    reviews = _labelled_reviews(spark, d)
+    lexicon = stored(learn_lexicon(reviews, "message", "score", LEXICON_LEAST, fold="fold", folds=FOLDS), "lexicons")
+    return review_sentiment(reviews, "title", "message", "score", lexicon, "doc_id", fold="fold")
+
+
+# -- the raw path: test tables written as CSV files, read as a user's are --------
+def _csv_folder(spark: SparkSession, tables: dict[str, DataFrame]) -> str:
+    """A folder of raw CSV tables, each a folder of part files, with texts
+    quoted where they need it and timestamps as the store writes them."""
+    folder = f"{shared_dir(spark)}/raw-{uuid.uuid4().hex}"
+    for name, df in tables.items():
+        (df.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+         .option("ignoreTrailingWhiteSpace", False).option("timestampNTZFormat", CSV_TIMESTAMP)
+         .option("timestampFormat", CSV_TIMESTAMP).csv(f"{folder}/{name}.csv"))
+    return folder
+
+
+def q_csv_documents(spark, d):
+    """Documents, whose texts hold line breaks and quotes, through CSV files
+    split among tasks; none may be set aside."""
+    tune(spark)
+    docs = _t(spark, d, "documents").select("doc_id", "lang", "source", "n_chars", "text")
+    folder = _csv_folder(spark, {"documents": docs})
+    convert(spark, folder, "documents", f"{folder}/good", f"{folder}/bad", 0.0, docs.schema, multi_line=True)
+    return spark.read.schema(docs.schema).parquet(f"{folder}/good")
+
+
+def q_csv_orders_payment(spark, d):
+    """M5 from CSV files, pruned by header name, with timestamps
+    parsed strictly."""
+    tune(spark)
+    payments = _t(spark, d, "lineitem").select(F.col("l_orderkey").alias("order_id"), F.col("l_extendedprice").alias("payment_value"))
+    folder = _csv_folder(spark, {"orders": orders_view(spark, d), "order_payments": payments})
+    return marts.orders_payment(
+        read_table(spark, folder, "orders", columns=["customer_id", "order_id", "order_purchase_timestamp"]),
+        read_table(spark, folder, "order_payments", columns=["order_id", "payment_value"]))
+
+
+def q_csv_marts(spark, d):
+    """The whole mart batch from CSV files; of its published
+    marts the delivery punctuality by month (M10), which is made from M1."""
+    tune(spark)
+    geolocation = _t(spark, d, "customer").select(
+        F.col("c_nationkey").alias("geolocation_zip_code_prefix"), F.col("c_acctbal").alias("geolocation_lat"),
+        F.col("c_nationkey").cast("double").alias("geolocation_lng"), F.col("c_mktsegment").alias("geolocation_city"),
+        F.col("c_nationkey").cast("string").alias("geolocation_state"))
+    folder = _csv_folder(spark, {
+        "orders": orders_view(spark, d), "customers": customers_view(spark, d), "state_codes": state_codes_view(spark, d),
+        "order_reviews": reviews_view(spark, d), "order_items": items_view(spark, d), "products": products_view(spark, d),
+        "order_payments": payments_view(spark, d), "sellers": sellers_view(spark, d), "leads": leads_view(spark, d),
+        "closed_deals": closed_deals_view(spark, d), "geolocation": geolocation})
+    etl.run_marts(spark, folder, f"{folder}/marts", state_codes=None)
+    return read_published(spark, f"{folder}/marts", etl.MART_FILES["on_time_by_month"])
+
+
+def q_ratings_store(spark, d):
+    """The ratings table saved and loaded."""
+    tune(spark)
+    path = save_ratings(_ratings(spark, d), f"{shared_dir(spark)}/ratings-store-{uuid.uuid4().hex}")
+    return _round(load_ratings(spark, path), ["rating"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_") and callable(fn)
 }

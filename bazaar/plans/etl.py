@@ -7,8 +7,9 @@
    association rules, then recommendations for a set of customers.
 3. ``score_reviews``: sentiment class per review (M17).
 
-Every output is a directory of part files under ``mart_base``; paths are
-URIs, so the same code writes to an object store.
+Every output is a version of a mart under ``mart_base``, published when it is
+whole (``sources.io.publish``); paths are URIs, so the same code writes to an
+object store.
 """
 
 from __future__ import annotations
@@ -17,12 +18,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from bazaar.plans import marts as M
-from bazaar.session import tune
+from bazaar.session import tables_dropped, tune
 from bazaar.sources.dimensions import FALLBACK_PRODUCTS, STATE_CODES, category_translation
-from bazaar.sources.io import csv_reader, load_ratings, read_table, save_ratings, write_mart
+from bazaar.sources.io import load_ratings, publish, read_published, read_table, save_ratings
 
 # Mart names as the application publishes them.
 MART_FILES = {
@@ -56,24 +56,14 @@ def run_marts(spark: SparkSession, raw_base: str, mart_base: str, raw_fmt: str =
     def raw(name: str, cols: list[str] | None = None) -> DataFrame:
         return read_table(spark, raw_base, name, fmt=raw_fmt, columns=cols)
 
-    schemas: dict[str, T.StructType] = {}
-
     def write(key: str, df: DataFrame) -> str:
         rename = {k: v for k, v in M.EXPORT_NAMES.items() if k in df.columns} if out_fmt == "csv" else None
-        path = write_mart(df, mart_base, MART_FILES[key], fmt=out_fmt, rename=rename)
-        schemas[path] = df.schema
-        return path
+        return publish(df, mart_base, MART_FILES[key], fmt=out_fmt, rename=rename)
 
-    def read_back(path: str) -> DataFrame:
+    def read_back(key: str) -> DataFrame:
         """A written mart as the next job's input (lineage cut at the files)."""
-        if out_fmt != "csv":
-            return spark.read.parquet(path)
-        schema = schemas[path]
-        exported = T.StructType([T.StructField(M.EXPORT_NAMES.get(f.name, f.name), f.dataType, True)
-                                 for f in schema.fields])
-        df = csv_reader(spark).schema(exported).option("enforceSchema", False).csv(path)
-        back = {M.EXPORT_NAMES[f.name]: f.name for f in schema.fields if f.name in M.EXPORT_NAMES}
-        return df.withColumnsRenamed(back) if back else df
+        df = read_published(spark, mart_base, MART_FILES[key])
+        return df.withColumnsRenamed({v: k for k, v in M.EXPORT_NAMES.items() if v in df.columns}) if out_fmt == "csv" else df
 
     out: dict[str, str] = {}
     states = raw("state_codes")
@@ -85,7 +75,7 @@ def run_marts(spark: SparkSession, raw_base: str, mart_base: str, raw_fmt: str =
         raw("orders"), raw("customers"), states, raw("order_reviews")))
     out["order_products_payments"] = write("order_products_payments", M.order_products_payments(
         items, raw("products"), category_translation(spark), raw("order_payments")))
-    m1, m2 = read_back(out["order_reviews"]), read_back(out["order_products_payments"])
+    m1, m2 = read_back("order_reviews"), read_back("order_products_payments")
 
     out["arrival_by_city"] = write("arrival_by_city", M.arrival_by_city(m1))
     out["arrival_by_state"] = write("arrival_by_state", M.arrival_by_state(m1))
@@ -96,7 +86,7 @@ def run_marts(spark: SparkSession, raw_base: str, mart_base: str, raw_fmt: str =
         raw("leads", ["mql_id", "landing_page_id", "origin"]), raw("closed_deals")))
     out["seller_cltv"] = write("seller_cltv", M.seller_cltv(items, raw("sellers")))
     out["lead_cltv"] = write("lead_cltv", M.lead_cltv(
-        read_back(out["qualified_leads"]), items, paid_search_price))
+        read_back("qualified_leads"), items, paid_search_price))
     out["closed_deals"] = write("closed_deals", M.closed_deals(raw("closed_deals")))
     out["on_time_by_month"] = write("on_time_by_month", M.on_time_by_month(m1))
     leads = raw("leads")
@@ -118,8 +108,9 @@ def build_recommender(spark: SparkSession, raw_base: str, model_base: str, raw_f
 
     rows = M.recommender_rows(raw("order_items"), raw("products"), raw("order_reviews"), raw("orders"))
     ratings_path = save_ratings(M.ratings(rows), f"{model_base.rstrip('/')}/ratings")
-    rules = M.basket_rules(rows, min_support, min_confidence, min_lift)
-    rules_path = write_mart(rules, model_base, "association_rules")
+    with tables_dropped(spark):
+        rules = M.basket_rules(rows, min_support, min_confidence, min_lift)
+        rules_path = publish(rules, model_base, "association_rules")
     return {"ratings": ratings_path, "association_rules": rules_path}
 
 
@@ -138,4 +129,5 @@ def score_reviews(spark: SparkSession, raw_base: str, mart_base: str,
     """Sentiment per review, written as a mart; ``lexicon``: (word, weight)."""
     tune(spark)
     reviews = read_table(spark, raw_base, "order_reviews", fmt=raw_fmt)
-    return write_mart(M.sentiments(reviews, lexicon), mart_base, "review_sentiments")
+    with tables_dropped(spark):
+        return publish(M.sentiments(reviews, lexicon), mart_base, "review_sentiments")

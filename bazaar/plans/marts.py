@@ -20,7 +20,7 @@ from bazaar.functions.columns import (
 from bazaar.operators.aggregates import (
     count_non_null, group_mean, group_sum, share_pct, value_counts, with_period,
 )
-from bazaar.operators.rules import association_rules, baskets
+from bazaar.operators.rules import baskets, lattice_rules
 from bazaar.operators.joins import natural_join
 from bazaar.operators.neighbours import (
     recommend, recommend_or_default, similar_users, user_product_ratings,
@@ -231,9 +231,10 @@ def ratings(rows: DataFrame) -> DataFrame:
 
 def basket_rules(rows: DataFrame, min_support: float = 0.00003, min_confidence: float = 0.1,
                  min_lift: float = 1.0) -> DataFrame:
-    """R1 + R2: product baskets per order and their association rules."""
+    """R1 + R2: product baskets per order and their association rules, with any
+    number of products on either side."""
     b = baskets(rows, "order_id", "product_id")
-    return association_rules(b, "items", min_support, min_confidence, min_lift)
+    return lattice_rules(b, "items", min_support, min_confidence, min_lift)
 
 
 def recommendations(ratings_df: DataFrame, requests: DataFrame, k: int = 5, n: int = 5,

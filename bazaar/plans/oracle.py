@@ -10,7 +10,7 @@ import warnings
 
 from bazaar.functions.text import LETTERS_PATTERN
 from bazaar.plans.bindings import (
-    K_NEIGHBOURS, MIN_CONFIDENCE, MIN_LIFT, MIN_SUPPORT, N_PRODUCTS, PAID_ORIGIN, PAID_PRICE,
+    FOLDS, K_NEIGHBOURS, LEXICON_LEAST, MIN_CONFIDENCE, MIN_LIFT, MIN_SUPPORT, N_PRODUCTS, PAID_ORIGIN, PAID_PRICE,
     TEST_LEXICON, TYPE_CONFIDENCE, TYPE_LIFT, TYPE_SUPPORT,
 )
 from bazaar.sources.dimensions import OVERRIDE_POLARITY, OVERRIDE_WORDS, STOPWORDS_PT
@@ -175,6 +175,26 @@ pol AS (SELECT docs.doc_id, docs.txt,
         FROM docs LEFT JOIN hits ON hits.doc_id = docs.doc_id)"""
 
 
+def _learned_ctes() -> str:
+    """CTEs reviews(doc_id, text, score, fold, toks, clean) and learned(fold,
+    word, positive, negative, weight); fold -1 is learned from all."""
+    toks, clean = _clean_sql("d.text")
+    return f"""
+reviews AS (SELECT d.doc_id, d.text, 1 + 4 * l.quality AS score, d.doc_id % {FOLDS} AS fold, {toks} AS toks, {clean} AS clean
+            FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id),
+judged AS (SELECT f.f AS fold, r.toks, CASE WHEN r.score >= 4 THEN 1 ELSE 0 END AS p
+           FROM reviews r, range(-1, {FOLDS}) AS f(f) WHERE (r.score >= 4 OR r.score <= 2) AND r.fold <> f.f),
+counted AS (SELECT fold, word, CAST(sum(p) AS BIGINT) AS positive, CAST(sum(1 - p) AS BIGINT) AS negative
+            FROM (SELECT fold, p, unnest(list_distinct(toks)) AS word FROM judged) GROUP BY fold, word),
+totals AS (SELECT fold, CAST(sum(positive) AS DOUBLE) AS np, CAST(sum(negative) AS DOUBLE) AS nn FROM counted GROUP BY fold),
+odds AS (SELECT counted.*, positive + negative AS n,
+                ln((positive + 1.0::DOUBLE) / (np + 2)) - ln((negative + 1.0::DOUBLE) / (nn + 2)) AS x
+         FROM counted JOIN totals USING (fold)),
+learned AS (SELECT fold, word, positive, negative,
+                   round((exp(x * n / (n + 10.0::DOUBLE)) - 1) / (exp(x * n / (n + 10.0::DOUBLE)) + 1) * 64) / 64 + 0.0 AS weight
+            FROM odds WHERE n >= {LEXICON_LEAST})"""
+
+
 SENTIMENT_CLASS = ("CASE WHEN txt = '' THEN 'Error' WHEN polarity IS NULL THEN 'neutral' "
                    "WHEN polarity >= 0.3 AND polarity <= 1 THEN 'positive' "
                    "WHEN polarity >= 0 AND polarity < 0.3 THEN 'neutral' "
@@ -186,7 +206,9 @@ TYPE_ITEMS = "SELECT DISTINCT l_orderkey AS o, p_type AS i FROM lineitem JOIN pa
 
 
 def _rules_sql(pairs_only: bool, items: str = PART_ITEMS, support: float = MIN_SUPPORT,
-               confidence: float = MIN_CONFIDENCE, lift: float = MIN_LIFT) -> str:
+               confidence: float = MIN_CONFIDENCE, lift: float = MIN_LIFT, splits: bool = False) -> str:
+    """``splits``: every split of an itemset in two sides, not only those with
+    one item on the right."""
     s = repr(support)
     base = f"""
 WITH r AS ({items}),
@@ -207,6 +229,14 @@ SELECT antecedent, consequent, round(support, 6) AS support, round(confidence, 6
 FROM pair_rules WHERE confidence >= {confidence!r} AND lift >= {lift!r}"""
     # itemsets of any size: every ascending item list of each basket's
     # frequent items (recursive), counted, then every single-item consequent
+    split = """
+rules AS (
+  SELECT list_filter(fs.items, lambda x, i: (m.m >> (i - 1)) & 1 = 0) AS ante,
+         list_filter(fs.items, lambda x, i: (m.m >> (i - 1)) & 1 = 1) AS cons, fs.c AS c
+  FROM fs, range(1, (1 << len(fs.items)) - 1) AS m(m) WHERE len(fs.items) >= 2)""" if splits else """
+rules AS (
+  SELECT list_filter(fs.items, lambda x: x <> y.y) AS ante, [y.y] AS cons, fs.c AS c
+  FROM fs, unnest(fs.items) AS y(y) WHERE len(fs.items) >= 2)"""
     return f"""
 WITH RECURSIVE r AS ({items}),
 n AS (SELECT CAST(count(DISTINCT o) AS DOUBLE) AS n FROM r),
@@ -216,14 +246,11 @@ occ(o, items, last) AS (
   SELECT o, [i], i FROM k
   UNION ALL
   SELECT occ.o, list_append(occ.items, k.i), k.i FROM occ JOIN k ON k.o = occ.o AND k.i > occ.last),
-fs AS (SELECT items, count(*) AS c FROM occ GROUP BY items HAVING count(*) / (SELECT n FROM n) >= {s}),
-rules AS (
-  SELECT list_filter(fs.items, lambda x: x <> y.y) AS ante, y.y AS cons, fs.c AS c
-  FROM fs, unnest(fs.items) AS y(y) WHERE len(fs.items) >= 2)
-SELECT array_to_string(rules.ante, ' ') AS antecedent, CAST(rules.cons AS VARCHAR) AS consequent,
+fs AS (SELECT items, count(*) AS c FROM occ GROUP BY items HAVING count(*) / (SELECT n FROM n) >= {s}),{split}
+SELECT array_to_string(rules.ante, ' ') AS antecedent, array_to_string(rules.cons, ' ') AS consequent,
        round(rules.c / n.n, 6) AS support, round(rules.c / a.c, 6) AS confidence,
        round((rules.c / a.c) / (b.c / n.n), 6) AS lift
-FROM rules JOIN fs a ON a.items = rules.ante JOIN fs b ON b.items = [rules.cons], n
+FROM rules JOIN fs a ON a.items = rules.ante JOIN fs b ON b.items = rules.cons, n
 WHERE rules.c / a.c >= {confidence!r} AND (rules.c / a.c) / (b.c / n.n) >= {lift!r}"""
 
 
@@ -354,7 +381,42 @@ SELECT doc_id, CASE WHEN 1 + 4 * quality >= 4 THEN 'positive' WHEN 1 + 4 * quali
                     WHEN 1 + 4 * quality <= 2 THEN 'negative' END AS sentiment
 FROM labels"""
     sql["type_rules"] = lambda: _rules_sql(False, TYPE_ITEMS, TYPE_SUPPORT, TYPE_CONFIDENCE, TYPE_LIFT)
-    sql["similar_users_in_blocks"] = sql["similar_users_hot_products"] = sql["similar_users"]
+    sql["csv_documents"] = lambda: "SELECT doc_id, lang, source, n_chars, text FROM documents"
+    sql["csv_orders_payment"] = lambda: """
+SELECT CAST(o.o_custkey AS VARCHAR) AS customer_id, o.o_orderdate AS order_date, CAST(o.o_orderkey AS VARCHAR) AS order_id,
+       l.l_extendedprice AS order_value, strftime(o.o_orderdate, '%b-%Y') AS month_yr
+FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey"""
+    sql["csv_marts"] = lambda: f"""
+WITH {M1.strip()},
+f AS (
+  SELECT year(order_approved_at) AS y, month(order_delivered_customer_date) AS m,
+         CASE WHEN {_days('order_purchase_timestamp', 'order_delivered_customer_date')}
+                   < {_days('order_approved_at', 'order_estimated_delivery_date')} THEN 1 ELSE 0 END AS at_time
+  FROM m1 WHERE order_status IS NOT NULL AND order_purchase_timestamp IS NOT NULL AND order_approved_at IS NOT NULL
+    AND order_delivered_carrier_date IS NOT NULL AND order_delivered_customer_date IS NOT NULL
+    AND order_estimated_delivery_date IS NOT NULL)
+SELECT CAST(y AS VARCHAR) AS year, CAST(m AS VARCHAR) AS month,
+       round_even(avg(at_time) * 100.0, 2) AS at_time, round_even(avg(1 - at_time) * 100.0, 2) AS no_at_time, {period}
+FROM f GROUP BY y, m"""
+    sql["ratings_store"] = sql["user_product_ratings"]
+    sql["lattice_rules"] = lambda: _rules_sql(False, TYPE_ITEMS, TYPE_SUPPORT, TYPE_CONFIDENCE, TYPE_LIFT, splits=True)
+    sql["learned_lexicon"] = lambda: f"""
+WITH {_learned_ctes().strip()}
+SELECT word, positive, negative, weight FROM learned WHERE fold = -1"""
+    sql["held_out_sentiment"] = lambda: f"""
+WITH {_learned_ctes().strip()},
+hits AS (SELECT r.doc_id, sum(l.weight) / count(*) AS p FROM (SELECT doc_id, fold, unnest(toks) AS w FROM reviews) r
+         JOIN learned l ON l.word = r.w AND l.fold = r.fold GROUP BY r.doc_id),
+pol AS (SELECT r.doc_id, r.text AS txt, r.score,
+               CASE WHEN clean IS NULL OR clean = '' THEN NULL
+                    WHEN clean IN ({", ".join(_q(w) for w in OVERRIDE_WORDS)}) THEN CAST({OVERRIDE_POLARITY!r} AS DOUBLE)
+                    ELSE coalesce(hits.p, 0.0) END AS polarity
+        FROM reviews r LEFT JOIN hits ON hits.doc_id = r.doc_id)
+SELECT doc_id, CASE WHEN txt IS NULL THEN CASE WHEN score >= 4 THEN 'positive' WHEN score >= 3 THEN 'neutral'
+                                               WHEN score <= 2 THEN 'negative' END
+                    ELSE {SENTIMENT_CLASS} END AS sentiment
+FROM pol"""
+    sql["similar_users_by_index"] = sql["similar_users_in_blocks"] = sql["similar_users_hot_products"] = sql["similar_users"]
     sql["recommender_rows"] = lambda: f"""
 WITH {M1.strip()}, {M2.strip()}
 SELECT i.product_id, p.p_type AS product_category_name, i.price, r.review_score, o.customer_id, i.order_id

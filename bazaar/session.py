@@ -7,9 +7,11 @@ cluster names in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,7 +52,6 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "bazaa
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # checkpoints of per-query tables are removed once unreferenced
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("BAZAAR_DRIVER_MEMORY", "8g"))
     )
@@ -77,6 +78,26 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 ROWS_PER_FILE = 250_000
+_written: list[list[str]] = []  # paths of the tables stored within each open ``tables_dropped``
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder of any file system that Spark reaches."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
+@contextlib.contextmanager
+def tables_dropped(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables that are ``stored`` within the block when it ends. For
+    jobs that write their results inside it: a frame that is only read later
+    would lose its input."""
+    _written.append([])
+    try:
+        yield
+    finally:
+        for path in _written.pop():
+            delete(spark, path)
 
 
 def stored(df: DataFrame, name: str, rows: int | None = None, codec: str = "zstd") -> DataFrame:
@@ -87,10 +108,13 @@ def stored(df: DataFrame, name: str, rows: int | None = None, codec: str = "zstd
     again, joins see its real size, and its rows arrive as plain scans, so
     that a skewed key of a join with it can be split. ``rows``: about how many
     rows of a few numbers it can have; a small table is then not written as a
-    file per shuffle partition.
+    file per shuffle partition. The table stays until its folder is removed,
+    or until the end of a ``tables_dropped`` block around it.
     """
     if rows is not None:
         df = df.coalesce(max(1, -(-rows // ROWS_PER_FILE)))
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    if _written:
+        _written[-1].append(path)
     df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

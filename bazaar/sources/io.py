@@ -2,20 +2,29 @@
 
 Files are addressed by URI (``file://``, ``s3a://``, ``gs://`` ...): Spark's
 Hadoop file systems handle the object store, so there is no storage client.
+
+``publish`` writes each version of a mart to a folder of its own and only then
+adds a line to the mart's manifest, which ``read_published`` follows: readers
+see the last whole version, whatever happens to a job that writes the next.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bazaar.session import delete
 from bazaar.sources.schemas import MULTI_LINE, RAW_SCHEMAS
 
 # text form of timestamps in CSV marts, as the store's own exports write them
 CSV_TIMESTAMP = "yyyy-MM-dd HH:mm:ss"
+MANIFEST = "version long, path string, fmt string, columns string"
 
 
 def _path(base: str, name: str, ext: str) -> str:
@@ -85,6 +94,55 @@ def write_mart(df: DataFrame, base: str, name: str, fmt: str = "parquet",
     return path
 
 
+def publish(df: DataFrame, base: str, name: str, fmt: str = "parquet", rename: Mapping[str, str] | None = None,
+            partition_by: list[str] | None = None) -> str:
+    """Write the next version of a mart, then name it in the manifest.
+
+    The manifest is a folder of one-line files; adding one is the only step
+    that readers see, and a job that fails before it leaves the version before
+    in place. One writer at a time for each mart. Returns the version's path.
+    """
+    spark, home = df.sparkSession, f"{base.rstrip('/')}/{name}"
+    version = max((v["version"] for v in versions(spark, base, name)), default=0) + 1
+    path = write_mart(df, f"{home}/data", f"{version:08d}-{uuid.uuid4().hex}", fmt, rename, partition_by)
+    schema = (df.withColumnsRenamed(dict(rename)) if rename else df).schema
+    line = spark.createDataFrame([(version, path, fmt, schema.json())], MANIFEST)
+    line.coalesce(1).write.mode("append").json(f"{home}/manifest")
+    return path
+
+
+def versions(spark: SparkSession, base: str, name: str) -> list:
+    """The published versions of a mart, the last one first: one small row each."""
+    try:
+        lines = spark.read.schema(MANIFEST).json(f"{base.rstrip('/')}/{name}/manifest")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return lines.orderBy(F.desc("version")).collect()
+
+
+def read_published(spark: SparkSession, base: str, name: str, version: int | None = None) -> DataFrame:
+    """The last published version of a mart, or the one asked for."""
+    found = [v for v in versions(spark, base, name) if version in (None, v["version"])]
+    if not found:
+        raise ValueError(f"{base}/{name} has no {'published version' if version is None else f'version {version}'}")
+    schema = T.StructType.fromJson(json.loads(found[0]["columns"]))
+    if found[0]["fmt"] == "csv":
+        return (csv_reader(spark, True).option("timestampFormat", CSV_TIMESTAMP).option("timestampNTZFormat", CSV_TIMESTAMP)
+                .schema(schema).csv(found[0]["path"]))
+    return spark.read.format(found[0]["fmt"]).schema(schema).load(found[0]["path"])
+
+
+def drop_versions(spark: SparkSession, base: str, name: str, keep: int = 2) -> list[str]:
+    """Empty the data of all but the last ``keep`` versions and return their
+    paths. Their manifest lines stay; call it when no reader uses them."""
+    old = [v["path"] for v in versions(spark, base, name)[keep:]]
+    for path in old:
+        delete(spark, path)
+    return old
+
+
 def save_ratings(ratings: DataFrame, path: str, user_col: str = "customer_id",
                  product_col: str = "product_id", partitions: int | None = None) -> str:
     """Persist the long (user, product, rating) table as Parquet.

@@ -4,7 +4,7 @@ The store application rebuilds its marts from whole files on every call. With
 Structured Streaming the same batch operators run over a file source. The
 lead-count marts (M11, M12) keep one count per (year, month, origin) in the
 state store, bounded by the calendar and the origins, not by the data, and
-rewrite both marts after each micro-batch. Review sentiment (M17) is computed
+publish both marts anew after each micro-batch. Review sentiment (M17) is computed
 per micro-batch and appended. Progress and state live in ``checkpoint``, a
 folder on shared storage, so a restarted query resumes where it was.
 """
@@ -17,7 +17,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from bazaar.functions.columns import period_first, period_last, ts_or_null
 from bazaar.plans.marts import sentiments
-from bazaar.session import stored
+from bazaar.sources.io import drop_versions
+from bazaar.sources.io import publish as publish_mart
 from bazaar.sources.schemas import MULTI_LINE, RAW_SCHEMAS
 
 
@@ -35,7 +36,9 @@ def stream_lead_counts(spark: SparkSession, source_dir: str, mart_dir: str, chec
 
     A lead without a readable date counts for M12 but has no month in M11, as
     in the batch marts. Each micro-batch gives the counts of all keys
-    (complete mode), which are stored once and written as both marts.
+    (complete mode), which are held for the batch and published as versions of
+    both marts (``sources.io.read_published``); a batch that runs again
+    publishes the same counts again. Versions before the last two are removed.
     """
     leads = _csv_stream(spark, source_dir, "leads", max_files)
     parsed = leads.select(ts_or_null("first_contact_date").alias("t"), "origin")
@@ -44,14 +47,16 @@ def stream_lead_counts(spark: SparkSession, source_dir: str, mart_dir: str, chec
               .agg(F.count("origin").alias("count")))
 
     def publish(batch: DataFrame, epoch: int) -> None:
-        counted = stored(batch, "lead-counts")
+        counted = batch.persist()
         by_month = counted.where(F.col("year").isNotNull()).select(
             F.col("year").cast("string").alias("year"), F.col("month").cast("string").alias("month"),
             "origin", "count", period_first("year", "month").alias("first"),
             period_last("year", "month").alias("last"))
-        by_month.write.mode("overwrite").parquet(f"{mart_dir.rstrip('/')}/leads_by_month_origin")
-        (counted.groupBy("origin").agg(F.sum("count").alias("count"))
-         .write.mode("overwrite").parquet(f"{mart_dir.rstrip('/')}/leads_by_origin"))
+        publish_mart(by_month, mart_dir, "leads_by_month_origin")
+        publish_mart(counted.groupBy("origin").agg(F.sum("count").alias("count")), mart_dir, "leads_by_origin")
+        for name in ("leads_by_month_origin", "leads_by_origin"):
+            drop_versions(spark, mart_dir, name)
+        counted.unpersist()
 
     return _started(counts.writeStream.outputMode("complete").foreachBatch(publish), checkpoint, available_now)
 

@@ -4,7 +4,7 @@ import os
 
 from bazaar.plans import etl
 from bazaar.plans.marts import sentiments
-from bazaar.sources.io import read_table
+from bazaar.sources.io import read_published, read_table
 from bazaar.sources.schemas import RAW_SCHEMAS
 from bazaar.streaming import stream_lead_counts, stream_review_sentiments
 from tests.fixtures import CSV, write_raw
@@ -56,9 +56,9 @@ def test_streaming_lead_counts(spark, tmp_dir):
     with open(os.path.join(src, "part2.csv"), "w") as f:
         f.write("\n".join([lines[0]] + lines[3:]) + "\n")
     stream_lead_counts(spark, src, mart, ckpt, available_now=True).awaitTermination(120)
-    by_origin = {r.origin: r["count"] for r in spark.read.parquet(os.path.join(mart, "leads_by_origin")).collect()}
+    by_origin = {r.origin: r["count"] for r in read_published(spark, mart, "leads_by_origin").collect()}
     assert by_origin == {"paid_search": 3, "organic_search": 1}   # as the batch mart: only a NULL origin is dropped
-    months = spark.read.parquet(os.path.join(mart, "leads_by_month_origin")).count()
+    months = read_published(spark, mart, "leads_by_month_origin").count()
     assert months == 3
 
 

@@ -149,3 +149,92 @@ def test_rules_lift_filter(spark):
     b = B.baskets(_rows(spark), "o", "i")
     lifts = [r.lift for r in B.association_rules(b, "items", 0.2, 0.3, 1.0).collect()]
     assert lifts and min(lifts) >= 1.0
+
+
+def brute_splits(baskets, s, c, lift_min):
+    """Rules with any number of items on each side."""
+    sets = [frozenset(b) for b in baskets]
+    sup = lambda items: sum(1 for b in sets if items <= b) / len(sets)
+    items, out = sorted({i for b in sets for i in b}), {}
+    for size in range(2, len(items) + 1):
+        for combo in itertools.combinations(items, size):
+            whole = sup(frozenset(combo))
+            for m in range(1, size) if whole >= s else ():
+                for cons in itertools.combinations(combo, m):
+                    ante = tuple(i for i in combo if i not in cons)
+                    conf = whole / sup(frozenset(ante))
+                    lift = conf / sup(frozenset(cons))
+                    if conf >= c and lift >= lift_min:
+                        out[ante, cons] = (round(whole, 9), round(conf, 9), round(lift, 9))
+    return out
+
+
+@pytest.mark.parametrize("seed, s, c, lift", [(None, 0.2, 0.3, 0.0), (1, 0.05, 0.15, 0.0), (2, 0.1, 0.25, 0.9), (3, 0.02, 0.05, 1.0)])
+def test_lattice_rules_brute_force(spark, seed, s, c, lift):
+    if seed is None:
+        data = [b for _, b in BASKETS]
+    else:
+        rng = np.random.default_rng(seed)
+        data = [sorted({int(x) for x in rng.integers(0, 7, rng.integers(1, 7))}) for _ in range(60)]
+    df = spark.createDataFrame([(o, i) for o, b in enumerate(data) for i in b], "o long, i long")
+    got = {(tuple(r.antecedent), tuple(r.consequent)): (r.support, r.confidence, r.lift)
+           for r in B.lattice_rules(B.baskets(df, "o", "i"), "items", s, c, lift).collect()}
+    assert got == brute_splits(data, s, c, lift)
+    assert max(len(cons) for _, cons in got) > 1
+
+
+def test_lattice_rules_of_one_basket_kind_and_of_none(spark):
+    same = spark.createDataFrame([(["a", "b", "c"],)] * 4, "items array<string>")
+    got = {(tuple(r.antecedent), tuple(r.consequent)) for r in B.lattice_rules(same, "items", 0.5, 1.0).collect()}
+    assert (("a",), ("b", "c")) in got and len(got) == 12
+    assert B.lattice_rules(same.limit(0), "items", 0.5, 1.0).collect() == []
+
+
+def _skewed(seed, users=400, hot=3):
+    """Clusters that share rare products, and a few products that most rate."""
+    rng = np.random.default_rng(seed)
+    out = {}
+    for u in range(users):
+        for p in rng.integers(0, 8, 4):
+            out[u, 1000 + 10 * (u // 12) + int(p)] = float(rng.integers(3, 6))
+        for p in range(hot):
+            if rng.random() < 0.8:
+                out[u, p] = float(rng.integers(1, 3))
+    out[users, 0] = 5.0                      # nothing but hot products
+    out |= {(users + 1, p): 1.0 for p in range(hot)}
+    out[users + 2, 9999] = 2.0               # nothing in common with any other
+    return out
+
+
+@pytest.mark.parametrize("seed, cold, block, levels", [(1, 64, 10_000, 40), (2, 5, 7, 40), (3, 1, 50, 3), (4, 30, 10_000, 1)])
+def test_index_gives_the_rows_of_the_self_join(spark, monkeypatch, seed, cold, block, levels):
+    monkeypatch.setattr(N, "LEVELS", levels)
+    ratings = _skewed(seed, users=150)
+    df = spark.createDataFrame([(u, p, r) for (u, p), r in ratings.items()], "customer_id long, product_id long, rating double")
+    got = _lists(N.similar_users_by_index(df, 5, cold_raters=cold, max_block=block), "customer_id", "neighbour")
+    assert got == brute(ratings, 5, 5)[0]
+
+
+def test_index_equals_similar_users_on_data_without_structure(spark):
+    rng = np.random.default_rng(5)
+    rows = {(int(u), int(p)): float(r) for u, p, r in zip(rng.integers(0, 80, 900), rng.integers(0, 40, 900), rng.integers(1, 6, 900))}
+    df = spark.createDataFrame([(u, p, r) for (u, p), r in rows.items()], "customer_id long, product_id long, rating double")
+    got = _lists(N.similar_users_by_index(df, 4, cold_raters=20), "customer_id", "neighbour")
+    assert got == _lists(N.similar_users(df, 4), "customer_id", "neighbour")
+
+
+def test_index_forms_fewer_pairs(spark):
+    from pyspark.sql import functions as F
+    ratings = _skewed(7)
+    df = spark.createDataFrame([(u, p, r) for (u, p), r in ratings.items()], "customer_id long, product_id long, rating double")
+    steps = N.index_pairs(N._unit_weights(df, "customer_id", "product_id", "rating"), 5)
+    formed = steps["cold"].count() + sum(steps[n].agg(F.coalesce(F.sum("__formed"), F.lit(0))).first()[0] for n in ("prefix", "checked"))
+    raters = {}
+    for _, p in ratings:
+        raters[p] = raters.get(p, 0) + 1
+    assert formed < 0.1 * sum(n * (n - 1) for n in raters.values())
+
+
+def test_index_of_no_ratings(spark):
+    df = spark.createDataFrame([], "customer_id long, product_id long, rating double")
+    assert N.similar_users_by_index(df, 5).collect() == []
