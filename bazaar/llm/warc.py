@@ -1,7 +1,7 @@
 """WARC archives: writing, normalising whole-file gzip, and reading by offset.
 
-``write_archives`` writes one archive per task as a single gzip stream, as
-crawlers that compress whole files do. ``normalise`` inflates such a stream
+``write_archives`` writes archives of a given size, each as a single gzip
+stream, as crawlers that compress whole files do. ``normalise`` inflates such a stream
 once, in steps of bounded size, rewrites every record as a gzip member of its
 own and writes a sidecar index of the members' offsets. ``read_records`` then
 reads any record by its offset.
@@ -37,6 +37,8 @@ STEP = 1 << 20                     # bytes read or inflated at once
 LEVEL = 6
 READ_BYTES = 64 << 20              # compressed bytes that one reading task gets
 BATCH_BYTES = 4 << 20
+ARCHIVE_BYTES = 32 << 20           # payload of an archive, about
+ROWS = 256                         # rows of a batch that are Python objects at a time
 GZIP = 16 + zlib.MAX_WBITS
 
 
@@ -83,7 +85,7 @@ def sha1_base32(payload: bytes) -> str:
 
 
 def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, id_col: str = "page_id",
-                   url_col: str = "url", payload_col: str = "html") -> DataFrame:
+                   url_col: str = "url", payload_col: str = "html", archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Write a record per page; a table (archive) of the files.
 
     Of pages with equal payloads of at least ``least_bytes`` bytes, that of
@@ -92,38 +94,55 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, id_col:
     any id holds responses only. Null payloads are empty, null URLs are left
     out of the record; other columns are ignored. Payloads are compared by
     SHA-1 and length.
+
+    The number of archives follows the bytes of the payloads, not the
+    partitions of the table: small partitions share an archive, and a large one
+    goes into several. A page larger than ``archive_bytes`` is held as one
+    value and makes an archive as large. An empty table gives no archive.
     """
     own = pick(pages, **{id_col: "long", url_col: "string", payload_col: "string"})
     payload = F.encode(F.coalesce(payload_col, F.lit("")), "UTF-8")
     own = own.select(id_col, url_col, payload.alias("payload")).withColumn("sha1", F.sha1("payload"))
     size = F.octet_length("payload")
+    n_pages = pages.count()
+    groups = stored(own.groupBy("sha1", size.alias("size")).agg(F.max(id_col).alias("last"), F.count(F.lit(1)).alias("n")),
+                    "payloads", n_pages)
+    total = groups.agg(F.sum(F.col("size") * F.col("n"))).first()[0] or 0
     # only payloads that occur more than once; stored, so that a hot one is split in the join
-    repeated = stored(own.where(size >= least_bytes).groupBy("sha1", size.alias("size"))
-                      .agg(F.max(id_col).alias("last"), F.count(F.lit(1)).alias("n"))
-                      .where((F.col("n") > 1) & F.col("last").isNotNull()).drop("n"), "repeated-payloads",
-                      pages.count())
+    repeated = stored(groups.where((F.col("size") >= least_bytes) & (F.col("n") > 1) & F.col("last").isNotNull()).drop("n"),
+                      "repeated-payloads", n_pages)
     refers = F.when(~F.col(id_col).eqNullSafe(F.col("last")), F.col("last"))
     rows = (own.withColumn("size", size).join(repeated, ["sha1", "size"], "left")
-            .select(id_col, url_col, "payload", refers.alias("refers")))
+            .select(id_col, url_col, "payload", refers.alias("refers")).coalesce(max(1, -(-total // archive_bytes))))
 
     def write(batches):
-        out = None
-        name = f"{folder}/{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.warc.gz"
-        for batch in batches:
-            for page, url, payload, refers in zip(*(c.to_pylist() for c in batch.columns)):
-                if out is None:
-                    system, path = file_system(name)
-                    system.create_dir(path.rpartition("/")[0], recursive=True)
-                    out, packer = system.open_output_stream(path, compression=None), zlib.compressobj(LEVEL, wbits=GZIP)
-                    info = b"format: WARC File Format 1.1\r\n"
-                    out.write(packer.compress(_framed(
-                        [("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"), ("WARC-Date", DATE),
-                         ("Content-Type", "application/warc-fields"), ("Content-Length", str(len(info)))], info)))
-                out.write(packer.compress(record(page, url, payload, sha1_base32(payload), refers)))
-        if out is not None:
+        out = packer = None
+        held, names = 0, []
+
+        def close():
             out.write(packer.flush())
             out.close()
-            yield pa.RecordBatch.from_arrays([pa.array([name])], names=["archive"])
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                for page, url, payload, refers in zip(*(c.to_pylist() for c in batch.slice(at, ROWS).columns)):
+                    if out is None or held >= archive_bytes:
+                        if out is not None:
+                            close()
+                        name = f"{folder}/{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.warc.gz"
+                        names.append(name)
+                        system, path = file_system(name)
+                        system.create_dir(path.rpartition("/")[0], recursive=True)
+                        out, packer, held = system.open_output_stream(path, compression=None), zlib.compressobj(LEVEL, wbits=GZIP), 0
+                        info = b"format: WARC File Format 1.1\r\n"
+                        out.write(packer.compress(_framed(
+                            [("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"), ("WARC-Date", DATE),
+                             ("Content-Type", "application/warc-fields"), ("Content-Length", str(len(info)))], info)))
+                    out.write(packer.compress(record(page, url, payload, sha1_base32(payload), refers)))
+                    held += len(payload)
+        if out is not None:
+            close()
+            yield pa.RecordBatch.from_arrays([pa.array(names)], names=["archive"])
 
     return stored(rows.mapInArrow(write, "archive string"), "archives")
 
@@ -273,10 +292,12 @@ def parse_member(member: bytes) -> tuple:
             sha1_base32(payload))
 
 
-def read_records(index: DataFrame) -> DataFrame:
+def read_records(index: DataFrame, payloads: bool = True) -> DataFrame:
     """The response and revisit records of an index, read by offset: page_id,
-    url, record_type, refers_to, payload (null for a revisit), payload_bytes
-    and payload_digest (of the full payload)."""
+    url, record_type, refers_to, payload (null for a revisit; left out without
+    ``payloads``), payload_bytes and payload_digest (of the full payload). A
+    record is held whole; an empty index gives an empty table."""
+    schema = pa.schema([f for f in PAGES if payloads or f.name != "payload"])
     wanted = index.where(F.col("type").isin("response", "revisit")).select("archive", "offset", "length")
     total = wanted.agg(F.sum("length")).first()[0] or 0
     tasks = max(index.sparkSession.sparkContext.defaultParallelism, -(-total // READ_BYTES))
@@ -291,22 +312,23 @@ def read_records(index: DataFrame) -> DataFrame:
                         source.close()
                     system, path = file_system(archive)
                     name, source = archive, system.open_input_file(path)
-                rows.append(parse_member(source.read_at(length, offset)))
-                held += rows[-1][5] or 0
+                found = parse_member(source.read_at(length, offset))
+                rows.append(found if payloads else found[:4] + found[5:])
+                held += len(found[4] or b"") if payloads else 0
                 if held >= BATCH_BYTES or len(rows) == 10_000:
-                    yield _rows(rows, PAGES)
+                    yield _rows(rows, schema)
                     rows, held = [], 0
         if rows:
-            yield _rows(rows, PAGES)
+            yield _rows(rows, schema)
 
+    payload = "payload binary, " if payloads else ""
     return wanted.repartition(tasks, "archive", near).sortWithinPartitions("archive", "offset").mapInArrow(
-        read, "page_id long, url string, record_type string, refers_to long, payload binary, payload_bytes long, "
-              "payload_digest string")
+        read, f"page_id long, url string, record_type string, refers_to long, {payload}payload_bytes long, payload_digest string")
 
 
 def round_trip(pages: DataFrame, least_bytes: int = 0, id_col: str = "page_id", url_col: str = "url",
-               payload_col: str = "html") -> DataFrame:
+               payload_col: str = "html", payloads: bool = True) -> DataFrame:
     """Write, normalise and read back; see ``read_records``."""
     folder = f"{shared_dir(pages.sparkSession)}/warc-{uuid.uuid4().hex}"
     archives = write_archives(pages, f"{folder}/whole", least_bytes, id_col, url_col, payload_col)
-    return read_records(normalise(archives, f"{folder}/members"))
+    return read_records(normalise(archives, f"{folder}/members"), payloads)

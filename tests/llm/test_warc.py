@@ -52,6 +52,21 @@ def test_a_hot_payload(spark):
     assert digest(round_trip(frame(spark, pages, SCHEMA).repartition(8))) == expected(pages)
 
 
+def test_archives_follow_the_bytes_not_the_partitions(spark):
+    pages = frame(spark, [(i, f"u{i}", f"page {i} " * 100) for i in range(800)], SCHEMA)
+    folder = f"{shared_dir(spark)}/warc-sizes"
+    small = write_archives(pages.repartition(211), f"{folder}/a")
+    assert small.count() == 1 and len(small.inputFiles()) == 1
+    index = normalise(small, f"{folder}/b")
+    assert len(index.inputFiles()) == 1 and read_records(index).count() == 800
+    total = sum(len(f"page {i} " * 100) for i in range(800))
+    for partitions in (1, 40):
+        archives = write_archives(pages.repartition(partitions), f"{folder}/c{partitions}", archive_bytes=total // 10)
+        assert 9 <= archives.count() <= 20
+        out = read_records(normalise(archives, f"{folder}/d{partitions}"), payloads=False)
+        assert "payload" not in out.columns and sorted(r.page_id for r in out.collect()) == list(range(800))
+
+
 def test_members_and_sidecar(spark):
     folder = f"{shared_dir(spark)}/warc-test"
     archives = write_archives(frame(spark, PAGES, SCHEMA).repartition(2), f"{folder}/whole")
