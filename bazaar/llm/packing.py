@@ -27,7 +27,7 @@ from bazaar.llm.common import pick, stored
 from bazaar.llm.vocab import load_ranks
 
 ROWS_OUT = 512
-TRIED = ((3, 0.0), (3, 0.1), (2, 0.1), (1, 0.0), (0, 0.0))  # parts of a sum, share kept back
+KEPT_BACK = (0.0, 0.02, 0.05, 0.1, 0.2, 0.4)  # shares of each length kept back for best-fit, of which the best is taken
 
 
 @functools.lru_cache(maxsize=2)
@@ -95,16 +95,16 @@ class _Lengths:
 def make_plan(histogram: Mapping[int, int], limit: int) -> list[tuple[tuple[int, ...], int]]:
     """(lengths of a sequence, times): covers every piece of the histogram.
 
-    Exact combinations can use up pieces that best-fit needs for the rest, so
-    several plans are made, with sums of up to three, two, one or no parts and
-    with or without a share of each length kept back for best-fit. The plan of
-    the fewest sequences is kept, the first of them on a tie.
+    Every plan consumes exact single, pair and triple sums. These can use up
+    pieces that best-fit needs for the rest, so several plans are made, with
+    different shares of each length kept back for best-fit. The plan of the
+    fewest sequences is kept, the first of them on a tie.
     """
-    return min((_plan(histogram, limit, depth, kept) for depth, kept in TRIED),
+    return min((_plan(histogram, limit, kept) for kept in KEPT_BACK),
                key=lambda plan: sum(times for _, times in plan))
 
 
-def _plan(histogram: Mapping[int, int], limit: int, depth: int, kept: float) -> list[tuple[tuple[int, ...], int]]:
+def _plan(histogram: Mapping[int, int], limit: int, kept: float) -> list[tuple[tuple[int, ...], int]]:
     counts = np.zeros(limit + 1, np.int64)
     for length, n in histogram.items():
         counts[length] = n
@@ -122,13 +122,13 @@ def _plan(histogram: Mapping[int, int], limit: int, depth: int, kept: float) ->
         if gap == 0:
             use((length,))
             continue
-        if depth > 0 and gap <= length:
+        if gap <= length:
             use((length, gap))  # single sums
-        for a in left.pairs(gap, length).tolist() if depth > 1 else ():  # pair sums
+        for a in left.pairs(gap, length).tolist():  # pair sums
             if not counts[length]:
                 break
             use((length, a, gap - a))
-        if depth > 2 and counts[length]:  # triple sums: a first part, and pairs for the rest
+        if counts[length]:  # triple sums: a first part, and pairs for the rest
             for a in np.flatnonzero(counts[:min(gap - 1, length + 1)])[::-1].tolist():
                 if 3 * a < gap or not counts[length]:
                     break

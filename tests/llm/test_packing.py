@@ -8,7 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from bazaar.llm.common import table
-from bazaar.llm.packing import cut_documents, make_plan, pack
+from bazaar.llm.packing import coder, cut_documents, make_plan, pack
 from bazaar.llm.queries import TOKENIZER, op4_best_fit_packing
 from tests.llm.util import clashing, frame, rows
 
@@ -53,6 +53,21 @@ def test_exact_complements_fill_sequences():
     assert covers({7: 10**12}, 100) == -(-10**12 // 14)              # counts, not pieces, bound the work
 
 
+def test_the_plan_of_a_corpus_comes_from_exact_sums():
+    from pyarrow.parquet import read_table
+    encode, histogram, limit = coder(TOKENIZER, P.PATTERN).encode_ordinary, Counter(), 2048
+    for text in read_table("/root/testdata/sf0.01/documents.parquet").column("text").to_pylist():
+        full, rest = divmod(len(encode(text or "")) + 1, limit)
+        histogram.update({limit: full, rest: 1})
+    del histogram[0]
+    plan, filled = make_plan(histogram, limit), Counter()
+    for lengths, times in plan:
+        filled[len(lengths)] += times * (sum(lengths) == limit)
+    assert min(filled[parts] for parts in (2, 3, 4)) > 20  # single, pair and triple sums
+    least = -(-sum(n * times for n, times in histogram.items()) // limit)
+    assert sum(times for _, times in plan) == least <= first_fit(histogram, limit)
+
+
 def check_places(got, limit):
     """(length, sequence, offset): gapless from 0, within the limit."""
     by = defaultdict(list)
