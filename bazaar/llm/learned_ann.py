@@ -5,8 +5,11 @@ along principal directions first, then moves of vertices to the part that most
 of their neighbours are in, as long as the sizes stay balanced. A small
 classifier learns which parts a vector's neighbours are in. Every vector is
 indexed under its most probable part; a query goes to its several most
-probable parts, where exact cosines rank the candidates. How many parts that
-is, is calibrated on held-out vectors of the sample against brute force.
+probable parts, where exact cosines rank the candidates. How much probability
+these must hold together is calibrated on held-out vectors of the sample
+against brute force, for all of them and for the most isolated ones, whose
+neighbours are hardest to place. A query goes to further parts until they hold
+enough candidates. Every vector length has its own partitions.
 """
 
 from __future__ import annotations
@@ -19,15 +22,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaar.llm.vectors import best_first, in_blocks, matrix
+from bazaar.llm.common import stored
+from bazaar.llm.vectors import asked, best_first, in_blocks, matrix, numbered
 
 SAMPLE = 8_192         # vectors that the partitions are learned on, at most
 HELD_OUT = 1_024       # of these, used only to calibrate the number of probes
-PARTS = 16             # a power of two
+PARTS = 16             # a power of two, at least (fewer for a small sample)
+PART_ROWS = 4_096      # vectors of a part, about, where more parts are needed for it
+ROWS_A_PART = 8        # sampled vectors that a part is learned from, at least
+LENGTHS = 4            # vector lengths, the most frequent, with partitions; others are one part
 GRAPH_NEIGHBOURS = 10
 SLACK = 1.05           # a part's size over the mean
 HIDDEN = 128
 TARGET = 0.95          # recall on the held-out vectors
+TAIL_TARGET = 0.92     # and on the most isolated half, quarter and so on of them
+TAIL = 16              # held-out vectors, the fewest of these
 BLOCK, QUERY_BLOCK = 8_192, 2_048
 SEED = 7
 
@@ -35,7 +44,18 @@ SEED = 7
 @dataclasses.dataclass
 class Router:
     layers: list            # (weights, bias) of the classifier
-    probes: int
+    mass: float = np.inf    # of probability, that a query's parts hold together
+
+    @property
+    def parts(self) -> int:
+        return len(self.layers[1][1])
+
+    def probes(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each row of probabilities, the parts from the most probable on,
+        and how many of them to search."""
+        order = np.argsort(-p, axis=1, kind="stable")
+        held = np.cumsum(np.take_along_axis(p, order, axis=1), axis=1)
+        return order, np.minimum(1 + (held < self.mass).sum(axis=1), self.parts)
 
     def probabilities(self, unit: np.ndarray) -> np.ndarray:
         (w1, b1), (w2, b2) = self.layers
@@ -139,88 +159,128 @@ def learn(sample: np.ndarray, k: int = 5, parts: int = PARTS, target: float = TA
     points = unit(sample)
     held = min(HELD_OUT, len(points) // 4)
     test, train = points[:held], points[held:]
-    while parts > 1 and len(train) < 8 * parts:
+    while parts > 1 and len(train) < ROWS_A_PART * parts:
         parts //= 2
     near = min(GRAPH_NEIGHBOURS, len(train) - 1)
     if parts < 2 or near < 1:
-        return Router([(np.zeros((points.shape[1], 1)), np.zeros(1)), (np.zeros((1, 1)), np.zeros(1))], 1)
+        return Router([(np.zeros((points.shape[1], 1)), np.zeros(1)), (np.zeros((1, 1)), np.zeros(1))])
     graph = neighbours(train, train, near, True)
     part = balanced_parts(train, graph, parts)
     wanted = np.zeros((len(train), parts))
     np.add.at(wanted, (np.repeat(np.arange(len(train)), near + 1),
                        part[np.column_stack([np.arange(len(train)), graph])].ravel()), 1 / (near + 1))
-    router = Router(_classifier(train, wanted), parts)
-    # the place, among the query's parts by probability, of the part that each true neighbour is indexed under
-    home = router.probabilities(train).argmax(axis=1)
-    order = np.argsort(-router.probabilities(test), axis=1)
-    place = np.argsort(order, axis=1)
-    places = np.take_along_axis(place, home[neighbours(test, train, min(k, len(train)), False)], axis=1).ravel()
-    recall = np.cumsum(np.bincount(places, minlength=parts)) / max(1, len(places))
-    return Router(router.layers, int(min(parts, np.searchsorted(recall, target) + 1)))
-
-
-def fit(vectors: DataFrame, k: int = 5, sample: int = SAMPLE, parts: int = PARTS) -> Router:
-    """The router from the ``sample`` vectors that are first in hash order."""
-    rows = vectors.orderBy(F.xxhash64("id", "vector"), "id").limit(sample).select("vector").toArrow()
-    if not rows.num_rows:
-        return Router([], 1)
-    return learn(matrix(rows.column("vector"), np.float64), k, parts)
-
-
-def one_length(vectors: DataFrame) -> DataFrame:
-    """The rows of the most frequent vector length, the least such length."""
-    n = F.size("vector")
-    best = vectors.groupBy(n.alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return vectors.where(n == (best["n"] if best else 0))
+    router = Router(_classifier(train, wanted))
+    return dataclasses.replace(router, mass=_mass(router, test, train, min(k, len(train)), target))
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, router: Router, k: int = 5, block: int = BLOCK,
+def _mass(router: Router, test: np.ndarray, train: np.ndarray, k: int, target: float) -> float:
+    """The least mass (of 1/2, 3/4, 7/8 ...) that reaches the recall wanted of
+    all ``test`` rows and of each group of isolated ones; infinite, all parts,
+    if none does."""
+    p = router.probabilities(test)
+    order, _ = router.probes(p)
+    # the place, among the query's parts by probability, of the part that each true neighbour is indexed under
+    home, nearest_ = router.probabilities(train).argmax(axis=1), neighbours(test, train, k, False)
+    places = np.take_along_axis(np.argsort(order, axis=1), home[nearest_], axis=1)
+    isolated = np.argsort(np.einsum("nd,nkd->nk", test, train[nearest_]).min(axis=1), kind="stable")
+    groups, n = [], len(test) // 2
+    while n >= TAIL:
+        groups, n = groups + [isolated[:n]], n // 2
+    for mass in 1 - 0.5 ** np.arange(1, 40):
+        recall = (places < dataclasses.replace(router, mass=mass).probes(p)[1][:, None]).mean(axis=1)
+        if len(test) and recall.mean() >= target and all(recall[g].mean() >= TAIL_TARGET for g in groups):
+            return float(mass)
+    return np.inf
+
+
+def fit(vectors: DataFrame, k: int = 5, sample: int = SAMPLE, parts: int = PARTS) -> dict[int, Router]:
+    """Routers for the most frequent vector lengths, each from the ``sample``
+    vectors of the length that are first in hash order. The number of parts
+    grows with the vectors, as far as the sample can tell parts apart."""
+    lengths = (vectors.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").limit(LENGTHS).collect())
+    routers = {}
+    for n, count in lengths:
+        own = vectors.where(F.size("vector") == n)
+        rows = own.orderBy(F.xxhash64("id", "vector"), "id").limit(sample).select("vector").toArrow()
+        grown = max(parts, 1 << max(0, int(np.ceil(np.log2(count / PART_ROWS)))))
+        routers[n] = learn(matrix(rows.column("vector"), np.float64), k, grown)
+    return routers
+
+
+def nearest(vectors: DataFrame, queries: DataFrame, routers: dict[int, Router], k: int = 5, block: int = BLOCK,
             query_block: int = QUERY_BLOCK, id_col: str = "vec_id") -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` largest cosines found for each
-    query; all candidates in its parts, if fewer.
-
-    Both frames: (id, vector) of one length, see ``usable`` and ``one_length``.
-    Rows of a query's own id are no candidates of it, and a query id that
-    occurs more than once is answered for its least vector; any other row is a
-    candidate, repeated ones too. Ties go to the smaller id.
+    query; never fewer while there are candidates of its length.
+
+    Both frames: (id, vector), see ``usable``; vectors meet queries of their
+    own length. Rows of a query's own id are no candidates of it, and a query
+    id that occurs more than once is answered for its least vector; any other
+    row is a candidate, repeated ones too. Ties go to the smaller id. A length
+    without a router is one part, all of which is searched. Empty frames give
+    an empty result. ``vectors`` should be read from files, see ``numbered``.
     """
-    queries = queries.groupBy("id").agg(F.min("vector").alias("vector"))
-
-    def most_probable(n: int):
-        @F.pandas_udf("array<int>")
-        def route(batch: pd.Series) -> pd.Series:
-            if not len(batch):
-                return pd.Series([], dtype=object)
-            p = router.probabilities(unit(np.stack(batch.to_numpy()).astype(np.float64)))
-            return pd.Series(list(np.argsort(-p, axis=1, kind="stable")[:, :n].astype(np.int32)))
-
-        return route
-
-    indexed = vectors.withColumn("part", F.explode(most_probable(1)("vector")))
-    routed = queries.withColumn("part", F.explode(most_probable(router.probes)("vector")))
-    # one number for each part
-    sizes, asked = ({r[0]: max(1, -(-r[1] // s)) for r in df.groupBy("part").count().collect()}
-                    for df, s in ((indexed, block), (routed, query_block)))
-
-    def blocks(n: dict[int, int]):
-        return F.coalesce(F.create_map(*[F.lit(x) for kv in n.items() for x in kv])[F.col("part")], F.lit(1)) if n else F.lit(1)
+    vectors = numbered(vectors).withColumn("dims", F.size("vector"))
+    queries = asked(queries).withColumn("dims", F.size("vector"))
+
+    def by_length(batch: pd.Series):
+        """(rows, unit vectors, router) of each length with a router."""
+        sizes = np.array([len(v) for v in batch], np.int64)
+        for n in np.unique(sizes):
+            if n in routers:
+                rows = np.flatnonzero(sizes == n)
+                yield rows, unit(np.stack(batch.iloc[rows].to_numpy()).astype(np.float64)), routers[n]
+
+    @F.pandas_udf("int")
+    def own_part(batch: pd.Series) -> pd.Series:
+        out = np.zeros(len(batch), np.int32)
+        for rows, units, router in by_length(batch):
+            out[rows] = router.probabilities(units).argmax(axis=1)
+        return pd.Series(out)
+
+    indexed = vectors.withColumn("part", own_part("vector"))
+    sizes = stored(indexed.groupBy("dims", "part").agg(F.count(F.lit(1)).alias("n")), "part-sizes", rows=1)
+    # one number for each part of a length with a router
+    held = {n: np.zeros(r.parts, np.int64) for n, r in routers.items()}
+    for dims, part, n in sizes.where(F.col("dims").isin(list(routers))).collect() if routers else []:
+        held[dims][part] = n
+
+    @F.pandas_udf("array<int>")
+    def parts_of(batch: pd.Series, need: pd.Series) -> pd.Series:
+        out = [[0]] * len(batch)
+        for rows, units, router in by_length(batch):
+            order, n = router.probes(router.probabilities(units))
+            covered = np.cumsum(held[units.shape[1]][order], axis=1) < need.to_numpy()[rows][:, None]
+            n = np.minimum(np.maximum(n, 1 + covered.sum(axis=1)), router.parts)
+            for i, row in enumerate(rows):
+                out[row] = order[i, :n[i]].astype(np.int32)
+        return pd.Series(out, dtype=object)
+
+    # a query's own rows fill its parts too
+    own = vectors.join(queries.select("id"), "id", "left_semi").groupBy("id").agg(F.count(F.lit(1)).alias("own_"))
+    need = (F.coalesce("own_", F.lit(0)) + k).cast("long")
+    routed = (queries.join(own, "id", "left").withColumn("part", F.explode(parts_of("vector", need))).drop("own_"))
+    routed = numbered(stored(routed.drop("row_"), "routed-queries"))
+    met = (routed.groupBy("dims", "part").agg(F.ceil(F.count(F.lit(1)) / query_block).cast("int").alias("query_blocks"))
+           .join(sizes, ["dims", "part"]).select("dims", "part", "query_blocks", F.ceil(F.col("n") / block).cast("int").alias("blocks")))
+    met = stored(met, "part-blocks", rows=1)
 
     def compare(a: pa.Table, b: pa.Table) -> pa.Table:
-        rows, asked, ids = matrix(a.column("vector"), np.float64), matrix(b.column("vector"), np.float64), a.column("id").to_numpy()
+        rows, wanted, ids = matrix(a.column("vector"), np.float64), matrix(b.column("vector"), np.float64), a.column("id").to_numpy()
         units, out = unit(rows), []
-        for at in range(0, len(asked), 256):
+        for at in range(0, len(wanted), 256):
             keys = b.column("id").to_numpy()[at:at + 256]
-            sims = unit(asked[at:at + 256]) @ units.T
+            sims = unit(wanted[at:at + 256]) @ units.T
             sims[keys[:, None] == ids[None, :]] = -np.inf
             n = min(k, sims.shape[1])
             kth = np.partition(sims, sims.shape[1] - n, axis=1)[:, sims.shape[1] - n]
             for i, key in enumerate(keys.tolist()):
                 # all that could tie with the k-th but for rounding, then exactly
                 near = np.flatnonzero((sims[i] >= kth[i] - 1e-9) & np.isfinite(sims[i]))
-                scores = cosine(asked[at + i], rows[near])
+                scores = cosine(wanted[at + i], rows[near])
                 best = np.lexsort((ids[near], -scores))[:k]
                 out.append((np.full(len(best), key, np.int64), ids[near[best]], scores[best]))
         return pa.table(dict(zip(("query_id", "id", "score"), (np.concatenate(c) for c in zip(*out)))))
 
-    found = in_blocks(indexed, routed, ["part"], blocks(sizes), blocks(asked), compare, "double")
+    key = ["dims", "part"]
+    found = in_blocks(indexed.join(met, key), routed.join(met.toDF(*met.columns), key), key, F.col("blocks"), F.col("query_blocks"), compare, "double")
     return best_first(found, k, id_col)

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaar.llm.common import pick
+from bazaar.llm.common import pick, stored
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -31,17 +31,30 @@ def matrix(column: pa.ChunkedArray | pa.Array, dtype) -> np.ndarray:
     return np.ascontiguousarray(flat.reshape(len(array), -1), dtype=dtype)
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """The rows with a number each. Only for frames read from files without a
+    shuffle, where a task that runs again gives its rows the same numbers."""
+    return rows.withColumn("row_", F.monotonically_increasing_id())
+
+
+def asked(queries: DataFrame) -> DataFrame:
+    """The queries, one row for each id with its least vector; stored, so that
+    their numbers are the same for every task that reads them."""
+    return numbered(stored(queries.groupBy("id").agg(F.min("vector").alias("vector")), "queries"))
+
+
 def in_blocks(candidates: DataFrame, queries: DataFrame, keys: list[str], blocks: Column, query_blocks: Column,
               compare, schema: str) -> DataFrame:
     """Bring each block of candidates together with each block of the queries
     of the same keys, and run ``compare(candidates, queries)`` on the two Arrow
     tables. ``blocks`` and ``query_blocks`` give the number of blocks for the
-    keys. Rows are dealt to blocks evenly, whatever their ids and vectors, so
-    that neither repeated rows nor a large group make a large block.
+    keys. Both frames are ``numbered``: rows are dealt to blocks evenly,
+    whatever their ids and vectors, so that neither repeated rows nor a large
+    group make a large block.
 
     ``compare`` returns (query_id, id, score).
     """
-    row = F.xxhash64(F.monotonically_increasing_id())
+    row = F.xxhash64("row_")
     left = (candidates.withColumn("block_", F.pmod(row, blocks).cast("int"))
             .withColumn("query_block_", F.explode(F.sequence(F.lit(0), (query_blocks - 1).cast("int")))))
     right = (queries.withColumn("query_block_", F.pmod(row, query_blocks).cast("int"))

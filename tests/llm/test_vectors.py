@@ -5,7 +5,7 @@ import pyarrow.parquet as pq
 import pytest
 
 from bazaar.llm.impact_search import ImpactIndex, integers, top_k
-from bazaar.llm.learned_ann import (Router, balanced_parts, cosine, fit, learn, nearest, neighbours, one_length, unit)
+from bazaar.llm.learned_ann import Router, balanced_parts, cosine, fit, learn, nearest, neighbours, unit
 from bazaar.llm.queries import op1_learned_partitions, op10_impact_search
 from bazaar.llm.vectors import usable
 from pyspark.sql import functions as F
@@ -72,7 +72,7 @@ def test_index_stops_only_on_proof(seed):
 def everywhere(dims, parts=4):
     """A router that probes every part."""
     rng = np.random.default_rng(1)
-    return Router([(rng.normal(size=(dims, 8)), np.zeros(8)), (rng.normal(size=(8, parts)), np.zeros(parts))], parts)
+    return {dims: Router([(rng.normal(size=(dims, 8)), np.zeros(8)), (rng.normal(size=(8, parts)), np.zeros(parts))])}
 
 
 def test_ranking_against_brute_force(spark):
@@ -83,9 +83,9 @@ def test_ranking_against_brute_force(spark):
             return None
         return float(cosine(np.array(q), np.array([v]))[0])
 
-    want = brute([(i, v) for i, v in data if not v or len(v) == 4], cos, 5)
-    want = [w for w in want if w[0] != 400]
-    v = one_length(usable(clashing(frame(spark, data, SCHEMA)), nonzero=True))
+    want = [w for w in brute(data, cos, 5) if w[0] != 400]
+    assert any(w[0] == 500 for w in want)  # of another length
+    v = usable(clashing(frame(spark, data, SCHEMA)), nonzero=True)
     for block, query_block in ((8192, 2048), (10, 2)):
         got = rows(nearest(v, v.where("id % 50 = 0"), everywhere(4), 5, block, query_block))
         assert sorted(got) == sorted(want)
@@ -113,19 +113,68 @@ def test_learned_router_needs_few_probes_on_clusters():
     rng = np.random.default_rng(0)
     sample = np.concatenate([rng.normal(c * 3, 0.3, (300, 16)) for c in np.eye(16)])
     rng.shuffle(sample)
-    assert learn(sample).probes <= 3
+    router = learn(sample)
+    assert router.probes(router.probabilities(unit(sample)))[1].mean() <= 3
 
 
 def test_too_few_vectors_and_empty_tables(spark):
     for n in (0, 1, 2, 9):
         data = [(50 * i, [1.0 * i + 1, 1.0]) for i in range(n)]
-        v = one_length(usable(frame(spark, data, SCHEMA), nonzero=True))
+        v = usable(frame(spark, data, SCHEMA), nonzero=True)
         got = rows(nearest(v, v, fit(v), 3))
         assert len(got) == n * min(3, max(0, n - 1))
     v = integers(usable(frame(spark, [], SCHEMA)))
     assert rows(top_k(v, v)) == []
 
 
+def answers(spark, data, **how):
+    v = usable(frame(spark, data, SCHEMA), nonzero=True)
+    out = {}
+    for q, rank, i, _ in rows(nearest(v, v.where("id % 50 = 0"), fit(v, **how), 5)):
+        out.setdefault(q, set()).add(i)
+    return out
+
+
+def best_five(data, q):
+    x = dict(data)
+    same = [i for i, v in data if len(v) == len(x[q]) and i != q]
+    s = cosine(np.array(x[q]), np.array([x[i] for i in same]))
+    return {same[j] for j in np.lexsort((same, -s))[:5]}
+
+
+def test_other_lengths_and_tiny_parts_lose_no_query(spark):
+    rng = np.random.default_rng(4)
+    data = [(i, rng.normal(size=2).tolist()) for i in range(200)] + [(1000, [1.0, 2.0, 3.0]), (1001, [1.0, 2.0, 4.0])]
+    got = answers(spark, data)
+    assert {q: len(v) for q, v in got.items()} == {0: 5, 50: 5, 100: 5, 150: 5, 1000: 1}
+    many = [(i, rng.normal(size=1 + i % 7).tolist()) for i in range(700)]  # more lengths than routers
+    got = answers(spark, many)
+    assert all(len(got[q]) == 5 for q in range(0, 700, 50))
+    assert np.mean([len(got[q] & best_five(many, q)) / 5 for q in got]) >= 0.9
+    one = [(i, [1.0, 0.0] if i < 300 else [0.0, 1.0 + i]) for i in range(303)]  # a part of three
+    assert all(len(v) == 5 for v in answers(spark, one).values())
+
+
+def test_recall_of_clusters_and_of_scattered_vectors(spark):
+    rng = np.random.default_rng(0)
+    centres = rng.normal(size=(40, 16))
+    data = [(i, (centres[i % 40] + rng.normal(size=16) * 0.05).tolist()) for i in range(2000)]
+    data += [(50 * (i + 100), rng.normal(size=16).tolist()) for i in range(40)]
+    got = answers(spark, data)
+    recall = {q: len(got[q] & best_five(data, q)) / 5 for q in got}
+    assert len(recall) == 80
+    assert np.mean([r for q, r in recall.items() if q < 2000]) >= 0.9
+    assert np.mean([r for q, r in recall.items() if q >= 5000]) >= 0.9
+
+
+def test_parts_grow_with_the_vectors(spark, monkeypatch):
+    from bazaar.llm import learned_ann
+    monkeypatch.setattr(learned_ann, "PART_ROWS", 32)
+    rng = np.random.default_rng(0)
+    v = usable(frame(spark, [(i, rng.normal(size=4).tolist()) for i in range(1000)], SCHEMA))
+    assert fit(v)[4].parts == 32 and fit(v.limit(100))[4].parts == 8 and fit(v.limit(0)) == {}
+
+
 def embeddings(sf):
     t = pq.read_table(f"{sf}/embeddings.parquet")
     return t.column("vec_id").to_numpy(), np.stack(t.column("embedding").to_pylist()).astype(float)
