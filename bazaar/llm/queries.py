@@ -13,9 +13,9 @@ from bazaar.llm.edit_counts import EDIT, edited_counts
 from bazaar.llm.fill_middle import restore, transform
 from bazaar.llm.impact_search import integers, top_k
 from bazaar.llm.learned_ann import fit as fit_router
-from bazaar.llm.learned_ann import nearest, one_length
+from bazaar.llm.learned_ann import nearest
 from bazaar.llm.packing import cut_documents, pack
-from bazaar.llm.secrets import Forest, labelled_by_rule, scan, train
+from bazaar.llm.secrets import Forest, findings, judge, labelled_by_rule, train
 from bazaar.llm.simhash import near_duplicates
 from bazaar.llm.source_audit import LEAST_DOCS, PRIOR, TOP_TERMS, UNIT, divergence
 from bazaar.llm.toxicity import Model, fit, score
@@ -66,7 +66,7 @@ LEAST_REVISIT_BYTES = 0
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    read = round_trip(table(spark, sf_dir, "pages"), LEAST_REVISIT_BYTES)
+    read = round_trip(table(spark, sf_dir, "pages"), LEAST_REVISIT_BYTES, payloads=False)
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
@@ -119,12 +119,12 @@ def op7_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def secret_forest(docs: DataFrame) -> Forest:
-    return train(stored(labelled_by_rule(docs), "findings"))
+    return train(labelled_by_rule(stored(findings(docs), "findings")))
 
 
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return scan(docs, secret_forest(docs)).drop("value")
+    found = stored(findings(table(spark, sf_dir, "documents")), "findings")
+    return judge(found, train(labelled_by_rule(found))).drop("value")
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,7 +136,7 @@ NEIGHBOURS, QUERY_STEP = 5, 50
 
 
 def op1_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = one_length(usable(table(spark, sf_dir, "embeddings"), nonzero=True))
+    vectors = usable(table(spark, sf_dir, "embeddings"), nonzero=True)
     return nearest(vectors, vectors.where(F.col("id") % QUERY_STEP == 0), fit_router(vectors, NEIGHBOURS), NEIGHBOURS)
 
 

@@ -1,10 +1,11 @@
 """Secret scans: a random forest removes false findings.
 
-A candidate is a long run of key characters. The forest judges its length,
-character transitions, dictionary coverage, the document's path and the
-neighbouring words. It is trained by Spark ML on labelled findings and then
-compiled to column expressions, so a scan is one pass of built-in functions
-over the documents: no shuffle, no join, no Python.
+A candidate is a long run of key characters, or a value of any characters that
+is assigned to a secret word. The forest judges its length, character
+transitions, dictionary coverage, the document's path and the neighbouring
+words. It is trained by Spark ML on labelled findings and then compiled to
+column expressions, so a scan is one pass of built-in functions over the
+documents: no shuffle, no join, no Python.
 """
 
 from __future__ import annotations
@@ -20,9 +21,19 @@ from pyspark.sql import functions as F
 from bazaar.llm.common import pick, position, positional, stored
 
 KEY_CHARS = r"A-Za-z0-9+/_\-"
-LEAST_CHARS = 16
+LEAST_CHARS = 16             # of a run of key characters
+LEAST_ASSIGNED = 4           # characters of a value that is assigned to a secret word
+# words beside an assignment that name a secret
+SECRET_WORDS = r"(?i:token|secret|passw(?:or)?d|pwd|passphrase|api_?key|access_?key|private_?key|auth|bearer|credential)"
+# the name may go on (TOKEN_V2), be quoted or in brackets
+NAMED = SECRET_WORDS + r"[\w\-]{0,24}[\"'`\])]{0,3}\s{0,3}(?::=|=>|[:=])\s{0,3}[\"'`]?"
 # equals signs only pad the end; a name that is assigned to is context of what follows
-CANDIDATE = rf"(?<![{KEY_CHARS}])[{KEY_CHARS}]{{{LEAST_CHARS},}}+(?!=[{KEY_CHARS}]|\s?=\s?[\"'`])={{0,2}}"
+KEY_RUN = rf"(?<![{KEY_CHARS}])[{KEY_CHARS}]{{{LEAST_CHARS},}}+(?!=[{KEY_CHARS}]|\s?=\s?[\"'`])={{0,2}}"
+# all in quotes; without quotes up to a space or a mark that ends a value, if no call or index follows
+VALUE = (rf"(?:(?<=[\"'`])[^\"'`\s]{{{LEAST_ASSIGNED},}}+"
+         rf"|(?<![\"'`])[^\s\"'`,;(){{}}\[\]<>$]{{{LEAST_ASSIGNED},}}+(?![(\[{{<$]))")
+# the short look behind fails at once almost everywhere
+CANDIDATE = rf"(?<=[:=>]\s{{0,3}}[\"'`]?)(?<={NAMED}){VALUE}|{KEY_RUN}"
 LEFT, RIGHT = 48, 24         # characters of context
 SAMPLE = 4_000               # labelled findings of each label, at most
 DICTIONARY = 1_000           # words, at most
@@ -30,11 +41,7 @@ TREES, DEPTH, SEED = 20, 5, 42
 THRESHOLD = 0.5              # share of trees that must call a finding a secret
 MASK = "[SECRET]"
 
-# words beside an assignment that name a secret
-SECRET_WORDS = r"(?i)(?:token|secret|passw(?:or)?d|pwd|passphrase|api_?key|access_?key|private_?key|auth|bearer|credential)"
 ASSIGNED = r"[:=]\s*[\"'`]?$"
-# the name may go on (TOKEN_V2), be quoted or in brackets
-NAMED = SECRET_WORDS + r"[\w\-]{0,24}[\"'`\])]{0,3}\s*(?::=|=>|[:=])\s*[\"'`]?$"
 BEARER = r"(?i)\bbearer\s+$"
 KNOWN_SHAPE = (r"^(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{30,}|github_pat_\w{30,}|glpat-[\w\-]{20,}"
                r"|xox[abprs]-[\w\-]{10,}|[sr]k_(?:live|test)_[A-Za-z0-9]{16,}|AIza[\w\-]{35})$")
@@ -42,7 +49,7 @@ MANY_DISTINCT = 8            # characters of a value that may be a key
 TEST_PATH = r"(?i)(?:test|example|sample|fixture|mock|docs?/|\.md$|\.lock$)"
 
 FEATURES = ["length", "digits", "upper", "lower", "symbols", "case_moves", "digit_moves", "vowel_moves", "distinct",
-            "dictionary", "secret_word", "assigned", "quoted", "named", "known_shape", "left_words", "path_test", "path_depth", "path_digits"]
+            "dictionary", "secret_word", "assigned", "quoted", "left_words", "path_test", "path_depth", "path_digits"]
 
 
 def _share(pattern: str, value: Column) -> Column:
@@ -67,8 +74,6 @@ def features(value: Column, left: Column, right: Column, path: Column, dictionar
         "secret_word": left.rlike(SECRET_WORDS).cast("double"),
         "assigned": left.rlike(ASSIGNED).cast("double"),
         "quoted": quoted.cast("double"),
-        "named": (left.rlike(NAMED) | left.rlike(BEARER)).cast("double"),
-        "known_shape": value.rlike(KNOWN_SHAPE).cast("double"),
         "left_words": F.regexp_count(left, F.lit(r"\p{L}{2,}")),
         "path_test": path.rlike(TEST_PATH).cast("double"),
         "path_depth": F.regexp_count(path, F.lit("/")),
@@ -77,6 +82,16 @@ def features(value: Column, left: Column, right: Column, path: Column, dictionar
     return F.struct(*[F.coalesce(parts[n].cast("double"), F.lit(0.0)).alias(n) for n in FEATURES])
 
 
+def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
+    """(id, path, value, start, left, right): every candidate of the documents.
+    Null or empty texts have none, a null path is empty, an empty table gives
+    an empty one; texts of any length are read whole, repeated rows each."""
+    types = {id_col: "long", text_col: "string"} | ({path_col: "string"} if path_col else {})
+    found = candidates(pick(docs, **types), path_col, text_col, [id_col])
+    return found.select(id_col, F.col("path_").alias("path"), F.explode("found_").alias("x")).select(
+        id_col, "path", "x.value", "x.start", "x.left", "x.right")
+
+
 def candidates(docs: DataFrame, path_col: str | None, text_col: str, keep: list[str]) -> DataFrame:
     """The columns ``keep``, ``path_``, ``between_`` (the text around the
     candidates, one more than those) and ``found_``: for each candidate its
@@ -90,8 +105,9 @@ def candidates(docs: DataFrame, path_col: str | None, text_col: str, keep: list[
         before = F.slice(F.col("between_"), F.lit(1), i + 1)
         chars = lambda xs: F.aggregate(xs, F.lit(0), lambda n, x: n + F.length(x))
         return F.struct(value.alias("value"), (chars(before) + chars(F.slice("values_", F.lit(1), i))).alias("start"),
-                        F.right(F.get("between_", i), F.lit(LEFT)).alias("left"),
-                        F.left(F.get("between_", i + 1), F.lit(RIGHT)).alias("right"))
+                        F.right(F.concat(*[F.coalesce(x, F.lit("")) for x in (
+                            F.get("between_", i - 1), F.get("values_", i - 1), F.get("between_", i))]), F.lit(LEFT)).alias("left"),
+                        F.left(F.concat(F.get("between_", i + 1), F.coalesce(F.get("values_", i + 1), F.lit(""))), F.lit(RIGHT)).alias("right"))
 
     return cut.select(*keep, "path_", "between_", F.transform("values_", finding).alias("found_"))
 
@@ -116,13 +132,15 @@ class Forest:
 
 def train(findings: DataFrame, sample: int = SAMPLE) -> Forest:
     """The forest from labelled findings (value, left, right, path, label 0 or
-    1). Of each label the ``sample`` first in hash order are used. Findings
-    without a label or a value are left out; without both labels, nothing is
-    called a secret. The dictionary holds the words of four letters or more
-    that are most frequent beside the findings, counted over all of them."""
-    given = findings.where(F.col("label").isNotNull() & (F.length("value") > 0))
-    words = (given.select(F.explode(F.split(F.lower(F.concat_ws(" ", "left", "right")), r"[^\p{L}]+")).alias("word"))
-             .where(F.length("word") >= 4).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    1). Equal findings are one, however often they occur; of each label the
+    ``sample`` first in hash order are used. Findings without a label or a
+    value are left out; without both labels, nothing is called a secret. The
+    dictionary holds the words of four letters or more that are most frequent
+    beside the findings, counted over all of them."""
+    given = (findings.where(F.col("label").isNotNull() & (F.length("value") > 0))
+             .groupBy("value", "left", "right", "path", "label").agg(F.count(F.lit(1)).alias("copies")))
+    words = (given.select("copies", F.explode(F.split(F.lower(F.concat_ws(" ", "left", "right")), r"[^\p{L}]+")).alias("word"))
+             .where(F.length("word") >= 4).groupBy("word").agg(F.sum("copies").alias("n"))
              .orderBy(F.desc("n"), "word").limit(DICTIONARY))
     known = sorted((r["word"] for r in words.collect()), key=lambda w: (-len(w), w))
     dictionary = "|".join(map(re.escape, known))
@@ -161,21 +179,25 @@ def _judged(docs: DataFrame, forest: Forest, path_col: str | None, text_col: str
     return found.withColumn("found_", numbers).withColumn("found_", scored)
 
 
+def judge(found: DataFrame, forest: Forest, threshold: float = THRESHOLD) -> DataFrame:
+    """(id, start, length, value, score): the secrets among ``findings``."""
+    f = features(F.col("value"), F.col("left"), F.col("right"), F.col("path"), forest.dictionary)
+    # a lambda's variable is computed once, a column that many trees read might not be
+    scored = found.withColumn("score", F.transform(F.array(f), forest.score)[0]).where(F.col("score") >= threshold)
+    return scored.select(found.columns[0], F.col("start").cast("long").alias("start"),
+                         F.length("value").cast("long").alias("length"), "value", "score")
+
+
 def scan(docs: DataFrame, forest: Forest, id_col: str = "doc_id", text_col: str = "text",
          path_col: str | None = "source", threshold: float = THRESHOLD) -> DataFrame:
     """(id, start, length, value, score): a row per secret, ``start`` in
     characters from 0.
 
     Null or empty texts hold none; a null path counts as empty; repeated rows
-    are each scanned; texts of any length are read whole; other columns are
-    ignored.
+    are each scanned; texts of any length are read whole; an empty table has
+    no secrets; other columns are ignored.
     """
-    types = {id_col: "long", text_col: "string"} | ({path_col: "string"} if path_col else {})
-    judged = _judged(pick(docs, **types), forest, path_col, text_col, [id_col])
-    kept = judged.select(id_col, F.explode(F.filter("found_", lambda x: x["score"] >= threshold)).alias("x"))
-    return kept.select(id_col, F.col("x.start").cast("long").alias("start"),
-                       F.length("x.value").cast("long").alias("length"), F.col("x.value").alias("value"),
-                       F.col("x.score").alias("score"))
+    return judge(findings(docs, id_col, text_col, path_col), forest, threshold)
 
 
 def redact(docs: DataFrame, forest: Forest, text_col: str = "text", path_col: str | None = "source",
@@ -196,19 +218,20 @@ def redact(docs: DataFrame, forest: Forest, text_col: str = "text", path_col: st
     return out.select(*own.columns).toDF(*names)
 
 
-def labelled_by_rule(docs: DataFrame, text_col: str = "text", path_col: str | None = "source") -> DataFrame:
-    """Labelled findings where no reviewed ones exist: every candidate of the
-    documents, with a label where the case is sure. 1: a known key shape, or a
-    value that mixes letters with digits or cases and is assigned to a secret
-    word, in quotes or not, or follows 'Bearer'. Null, so not trained on:
-    any other value in such a place, and any other that mixes letters with
-    digits in many distinct characters. 0: the rest."""
-    types = {text_col: "string"} | ({path_col: "string"} if path_col else {})
-    found = candidates(pick(docs, **types), path_col, text_col, []).select(
-        F.col("path_").alias("path"), F.explode("found_").alias("x")).select("path", "x.value", "x.left", "x.right")
-    value = F.col("value")
-    named = F.col("left").rlike(NAMED) | F.col("left").rlike(BEARER)
+def labelled_by_rule(found: DataFrame) -> DataFrame:
+    """Findings with a label where the case is sure, where no reviewed ones
+    exist. 1: a known key shape, or a value that mixes letters with digits or
+    cases and is assigned to a secret word, in quotes or not, or follows
+    'Bearer'. 0: a short word of letters in one case, assigned or not, and
+    whatever neither stands in such a place nor mixes letters with digits in
+    many distinct characters. Null, so not trained on: the rest.
+
+    What the rule looks for, the whole pattern of an assignment and the known
+    shapes, is not among the forest's features."""
+    value, left = F.col("value"), F.col("left")
+    named = left.rlike(NAMED + "$") | left.rlike(BEARER)
     mixed = value.rlike("[0-9]") & value.rlike("[A-Za-z]")
     cases = F.regexp_count(value, F.lit("(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[a-z])")) >= 3
+    word = value.rlike(rf"^(?:\p{{L}}?\p{{Ll}}{{1,{LEAST_CHARS - 2}}}|\p{{Lu}}{{1,{LEAST_CHARS - 1}}})$")
     doubtful = named | (mixed & (F.size(F.array_distinct(F.split(value, "", -1))) >= MANY_DISTINCT))
-    return found.withColumn("label", F.when(value.rlike(KNOWN_SHAPE) | (named & (mixed | cases)), 1).when(~doubtful, 0))
+    return found.withColumn("label", F.when(value.rlike(KNOWN_SHAPE) | (named & (mixed | cases)), 1).when(word | ~doubtful, 0))

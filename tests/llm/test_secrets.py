@@ -2,10 +2,13 @@ import random
 import re
 
 import pytest
+import regex
+from pyspark.sql import functions as F
 
 from bazaar.llm.common import table
 from bazaar.llm.queries import op8_secret_scan, secret_forest
-from bazaar.llm.secrets import CANDIDATE, DEPTH, FEATURES, MASK, Forest, candidates, labelled_by_rule, redact, scan, train
+from bazaar.llm.secrets import (CANDIDATE, DEPTH, FEATURES, MASK, Forest, candidates, findings, judge, labelled_by_rule, redact,
+                                scan, train)
 from tests.llm.util import clashing, frame, rows
 
 SF = "/root/testdata/sf0.01"
@@ -25,7 +28,7 @@ def test_candidates_have_places_and_context(spark):
     df = frame(spark, [(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     got = {r["doc_id"]: r for r in candidates(df, None, "text", ["doc_id"]).collect()}
     for i, text in enumerate(texts):
-        want = [(m.group(), m.start()) for m in re.finditer(CANDIDATE, text or "")]
+        want = [(m.group(), m.start()) for m in regex.finditer(CANDIDATE, text or "")]
         # Spark counts characters as code points, as Python does
         assert [(f["value"], f["start"]) for f in got[i]["found_"]] == want
         for f in got[i]["found_"]:
@@ -34,7 +37,6 @@ def test_candidates_have_places_and_context(spark):
 
 def test_compiled_forest_votes_as_the_trees_say(spark):
     tree = ("length", 20.0, 0.0, ("digits", 0.5, 1.0, 0.0))
-    from pyspark.sql import functions as F
     f = F.struct(*[F.lit({"length": 30.0, "digits": 0.4}.get(n, 0.0)).alias(n) for n in FEATURES])
     score = spark.range(1).select(Forest("", [tree, 0.0, ("length", 40.0, 1.0, 0.0), 1.0]).score(f)).first()[0]
     assert score == 0.75
@@ -67,10 +69,46 @@ def test_without_labels_or_rows(spark):
     assert rows(scan(df.limit(0), none)) == [] and rows(redact(df.limit(0), none)) == []
 
 
-def test_held_out_accuracy(spark, forest):
-    found = labelled_by_rule(table(spark, SF, "documents"))
-    want = found.where("label = 1").count()
-    assert want > 5 and op8_secret_scan(spark, SF).count() == want
+def test_held_out_accuracy(spark):
+    """Documents that the forest has not seen; copies go with their texts."""
+    docs = table(spark, "/root/testdata/sf0.1", "documents").withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(10)))
+    forest = train(labelled_by_rule(findings(docs.where("fold < 7"))))
+    rest = labelled_by_rule(findings(docs.where("fold >= 7"))).cache()
+    found = {tuple(r) for r in judge(rest, forest).select("doc_id", "start").collect()}
+    by = {label: {(r.doc_id, r.start) for r in rest.where(F.col("label") == label).collect()} for label in (0, 1)}
+    assert len(by[1]) > 30 and len(by[0]) > 300
+    assert len(by[1] & found) >= 0.98 * len(by[1]) and len(by[0] & found) <= 0.002 * len(by[0])
+
+
+def test_copies_of_one_finding_do_not_fill_the_sample(spark):
+    one = [(KEY, 'token = "', '"', "p", 1)] * 500 + [("hot" * 10, "a ", " b", "p", 0)] * 500
+    many = [(f"{KEY[:30]}{i:05d}", 'token: "', '"', "p", 1) for i in range(40)] + [("w" * (16 + i), "a ", "", "p", 0) for i in range(40)]
+    rows_ = frame(spark, one + many, "value string, left string, right string, path string, label int")
+    forest = train(rows_, sample=30)
+    got = {r.value for r in judge(rows_.selectExpr("1L doc_id", "path", "value", "0 start", "left", "right"), forest).collect()}
+    assert got == {r[0] for r in one[:1] + many if r[4] == 1}
+
+
+SHORT = ["password = p@ss!w0rd#{}", 'pwd: "h{}nter!"', "api_key={}abc", "db_passwd => 'x.Y{}z@'", "secret_key='{}%qQ'"]
+
+
+def test_assigned_values_of_any_length_and_characters(spark):
+    rnd, texts, want = random.Random(5), [], set()
+    for i in range(60 * len(SHORT)):
+        text = SHORT[i % len(SHORT)].format(rnd.randrange(10, 1000))
+        value = re.search(r"[:=>]+\s*[\"']?([^\s\"']+)", text).group(1)
+        texts.append((i, f"a line {text} with token: none, auth = basic and getToken(x1) or password=Prompt2(a) too", "cfg", 0))
+        want.add((i, value))
+    df = frame(spark, texts, SCHEMA)
+    labels = {(r.doc_id, r.value): r.label for r in labelled_by_rule(findings(df)).collect()}
+    assert all(labels[x] == 1 for x in want) and {v for k, v in labels.items() if k[1] in ("none", "basic")} == {0}
+    assert not any(x[1].startswith(("getToken", "Prompt2")) for x in labels)
+    n = 50 * len(SHORT)
+    forest = train(labelled_by_rule(findings(df.where(f"doc_id < {n}"))))
+    got = {(r.doc_id, r.value) for r in scan(df.where(f"doc_id >= {n}"), forest).collect()}
+    assert got == {x for x in want if x[0] >= n}
+    out = redact(df.where(f"doc_id >= {n}"), forest).collect()
+    assert all(r.text.count(MASK) == 1 and "token: none, auth = basic" in r.text for r in out)
 
 
 def test_query_finds_the_planted_tokens(spark):
@@ -100,15 +138,15 @@ def test_other_forms_are_labelled_learned_and_masked(spark):
         texts.append((i, f"line of words {text} and averylongordinarywordhere or 98079157628{i:05d} too", "p/a.cfg", 0))
         keys.append(re.search(r"(?:AKIA|ghp_)?[A-Za-z0-9]{16,}", text.replace("MY_SERVICE_ACCESS_TOKEN", "")).group())
     df = frame(spark, texts, SCHEMA)
-    labels = {r["value"]: r["label"] for r in labelled_by_rule(df).collect()}
+    labels = {r["value"]: r["label"] for r in labelled_by_rule(findings(df)).collect()}
     assert all(labels[k] == 1 for k in keys) and labels["averylongordinarywordhere"] == 0
     n = 35 * len(FORMS)
-    forest = train(labelled_by_rule(df.where(f"doc_id < {n}")))
+    forest = train(labelled_by_rule(findings(df.where(f"doc_id < {n}"))))
     got = {(r["doc_id"], r["value"]) for r in scan(df.where(f"doc_id >= {n}"), forest).collect()}
     assert got == set(enumerate(keys)) - set(enumerate(keys[:n]))
 
 
 def test_doubtful_candidates_are_not_taught_as_false(spark):
     texts = [(1, f"commit {KEY} of", "p", 0), (2, "password: averylongordinarywordhere", "p", 0), (3, 'PASSWORD = "QwErTyUiOpAsDfGhJk"', "p", 0)]
-    got = {r["value"]: r["label"] for r in labelled_by_rule(frame(spark, texts, SCHEMA)).collect()}
+    got = {r["value"]: r["label"] for r in labelled_by_rule(findings(frame(spark, texts, SCHEMA))).collect()}
     assert got == {KEY: None, "averylongordinarywordhere": None, "QwErTyUiOpAsDfGhJk": 1}
