@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import dataclasses
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -31,10 +31,10 @@ LEAST_Z = 3.0            # of a feature's log odds between grade 0 and the other
 LEAST_ODDS = 2.0         # that difference itself
 LEAST_DOCS = 3           # sampled documents that hold a feature
 PREFIXES = (4, 5, 6)
-THRESHOLD = 0.3          # expected grade from which a document counts as toxic, where the sample is too small to choose it
+THRESHOLD = 0.3          # expected grade from which a document counts as toxic, before any is seen
+PRIOR_HELD = 5           # documents above the lowest grade that this counts as much as
 FALSE_POSITIVES = 0.0075  # share of the lowest grade's held-out documents that the chosen threshold may reach, at most
 FOLDS = 10               # of the sample; each is judged by a model of the others
-LEAST_HELD = 20          # documents above the lowest grade from which the threshold is chosen
 SPAN = 256               # words of a span, twice the step
 MEMO = 250_000
 FEATURE_ROWS = 256       # rows of a few numbers that the features of a text are as large as
@@ -64,38 +64,43 @@ class Model:
             return np.zeros(len(scores))
         return (1 / (1 + np.exp(np.clip(np.array(self.cuts)[:, None] - scores, -60, 60)))).sum(axis=0)
 
+    def scorer(self) -> Callable[[str | None], tuple[float, float]]:
+        """A function that gives the weights of a text and of its worst span."""
+        memo: dict[str, tuple[int, ...]] = {}
+        weight = self.weight
+
+        def features(word: str) -> tuple[int, ...]:
+            known = memo.get(word)
+            if known is None:
+                if len(memo) >= MEMO:
+                    memo.clear()
+                known = memo[word] = tuple(x for x in word_features(word) if x in weight)
+            return known
+
+        def total(found: set[int]) -> float:
+            return sum(weight[x] for x in sorted(found))
+
+        def score(text: str | None) -> tuple[float, float]:
+            own = _WORD.findall((text or "").lower())
+            known = {word: x for word in set(own) if (x := features(word))}
+            whole = total({x for xs in known.values() for x in xs})
+            if not known or len(own) <= SPAN:
+                return whole, whole
+            steps: dict[int, set[int]] = {}
+            for i, word in enumerate(own):
+                if word in known:
+                    steps.setdefault(i // (SPAN // 2), set()).update(known[word])
+            return whole, max(total(found | steps.get(i + 1, set())) for i, found in steps.items())
+
+        return score
+
     def column(self, text: Column) -> Column:
         """Struct of the expected grades of a text and of its worst span."""
         model = self
 
         @F.pandas_udf("severity double, worst_span double")
         def severity(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-            memo: dict[str, tuple[int, ...]] = {}
-            weight = model.weight
-
-            def features(word: str) -> tuple[int, ...]:
-                known = memo.get(word)
-                if known is None:
-                    if len(memo) >= MEMO:
-                        memo.clear()
-                    known = memo[word] = tuple(x for x in word_features(word) if x in weight)
-                return known
-
-            def total(found: set[int]) -> float:
-                return sum(weight[x] for x in sorted(found))
-
-            def score(text: str | None) -> tuple[float, float]:
-                own = _WORD.findall((text or "").lower())
-                known = {word: x for word in set(own) if (x := features(word))}
-                whole = total({x for xs in known.values() for x in xs})
-                if not known or len(own) <= SPAN:
-                    return whole, whole
-                steps: dict[int, set[int]] = {}
-                for i, word in enumerate(own):
-                    if word in known:
-                        steps.setdefault(i // (SPAN // 2), set()).update(known[word])
-                return whole, max(total(found | steps.get(i + 1, set())) for i, found in steps.items())
-
+            score = model.scorer()
             for texts in batches:
                 both = np.array([score(t) for t in texts], float).reshape(-1, 2)
                 yield pd.DataFrame({"severity": model.severity(both[:, 0]), "worst_span": model.severity(both[:, 1])})
@@ -103,6 +108,17 @@ class Model:
         return severity(text)
 
 
+def worst_spans(models: list[Model], text: Column, model: Column) -> Column:
+    """The expected grade of a text's worst span by the model of that number."""
+    @F.pandas_udf("double")
+    def severity(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        scorers = [m.scorer() for m in models]
+        for texts, numbers in batches:
+            yield pd.Series([float(models[n].severity(np.array([scorers[n](t)[1]]))[0]) for t, n in zip(texts, numbers)], dtype=float)
+
+    return severity(text, model)
+
+
 def fit(docs: DataFrame, grades: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id",
         text_col: str = "text", grade_col: str = "grade") -> Model:
     """The model from graded documents; a document graded more than once takes
@@ -132,32 +148,24 @@ def fit(docs: DataFrame, grades: DataFrame, sample: int = SAMPLE, id_col: str =
     rows = stored(texts.select(F.col(text_col).alias("text"), F.col(grade_col).alias("grade"), fold.alias("fold"))
                   .mapInArrow(hashed, "text string, grade int, fold int, features array<long>"), "graded",
                   sample * FEATURE_ROWS)
-    per_grade = _per_grade(rows)
-    model = _fit_rows(rows, per_grade)
-    return dataclasses.replace(model, threshold=_threshold(rows, per_grade))
-
+    *folds, model = _fit_folds(rows)
+    return dataclasses.replace(model, threshold=_threshold(rows, folds))
 
-def _per_grade(rows: DataFrame) -> dict[int, int]:
-    return {r[0]: r[1] for r in rows.groupBy("grade").count().collect()}
 
-
-def _threshold(rows: DataFrame, per_grade: dict[int, int]) -> float:
+def _threshold(rows: DataFrame, folds: list[Model]) -> float:
     """The lowest threshold that at most the share ``FALSE_POSITIVES`` of the
     lowest grade's documents reach, each judged by a model fitted without its
-    fold; half-way to the next lower severity seen. ``THRESHOLD`` if the
-    sample holds too few documents to tell."""
-    low = min(per_grade, default=0)
-    clean = per_grade.get(low, 0)
-    if sum(per_grade.values()) - clean < LEAST_HELD or clean * FALSE_POSITIVES < 1:
-        return THRESHOLD
-    judged = None
-    for fold in range(FOLDS):
-        others = rows.where(F.col("fold") != fold)
-        model = _fit_rows(others, _per_grade(others))
-        part = rows.where(F.col("fold") == fold).select("grade", model.column(F.col("text"))["worst_span"].alias("severity"))
-        judged = part if judged is None else judged.unionByName(part)
+    fold; half-way to the next lower severity seen. It is averaged with
+    ``THRESHOLD``, which counts as ``PRIOR_HELD`` documents above the lowest
+    grade, so that a few documents move it little."""
+    judged = rows.select("grade", worst_spans(folds, F.col("text"), F.col("fold")).alias("severity"))
     # two numbers for each document of the sample
-    return _lowest_threshold(*(x.to_numpy() for x in judged.toArrow().columns), low)
+    grades, severity = (x.to_numpy() for x in judged.toArrow().columns)
+    held = int((grades > grades.min()).sum()) if len(grades) else 0
+    if not held:
+        return THRESHOLD
+    chosen = _lowest_threshold(grades, severity, grades.min())
+    return (held * chosen + PRIOR_HELD * THRESHOLD) / (held + PRIOR_HELD)
 
 
 def _lowest_threshold(grades: np.ndarray, severity: np.ndarray, low: int) -> float:
@@ -167,47 +175,100 @@ def _lowest_threshold(grades: np.ndarray, severity: np.ndarray, low: int) -> flo
     return float((most + above.min()) / 2 if len(above) else np.nextafter(most, np.inf))
 
 
-def _fit_rows(rows: DataFrame, per_grade: dict[int, int]) -> Model:
-    if len(per_grade) < 2:
-        return Model({}, [])
-    chosen = _informative(rows, per_grade)
-    ids, odds = np.array([r[0] for r in chosen], np.int64), np.array([r[1] for r in chosen], float)
+def _fit_folds(rows: DataFrame) -> list[Model]:
+    """A model without each fold, in order, and one of all rows.
+
+    Features are counted by fold in one pass; the counts without a fold are
+    those of all less its own. What any model may use of the sample is brought
+    to the driver once, as rows of a few numbers, and the models are fitted
+    there.
+    """
+    counts = {(r[0], r[1]): r[2] for r in rows.groupBy("fold", "grade").count().collect()}
+    grades = sorted({g for _, g in counts})
+    if len(grades) < 2:
+        return [Model({}, [])] * (FOLDS + 1)
+    found = _counted(rows, grades[0], {f: [sum(n for (k, g), n in counts.items() if k != f and (g > grades[0]) == above)
+                                           for above in (False, True)] for f in [*range(FOLDS), -1]})
+    ids = np.array([r[0] for r in found], np.int64)
+    order = np.argsort(ids)
+    ids, held = ids[order], np.array([r[1:] for r in found], float).reshape(len(found), 2 * FOLDS)[order]
 
     def indexed(batches):
         for batch in batches:
-            lists = batch.column(1)
+            lists = batch.column(2)
             values, n = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
             at = np.searchsorted(ids, values)
             hit = np.flatnonzero(np.append(ids, -1)[at] == values)
             ends = np.searchsorted(hit, np.cumsum(n))
             offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(at[hit].astype(np.int32)))],
-                names=["grade", "at"])
+                [batch.column(0), batch.column(1), pa.ListArray.from_arrays(offsets, pa.array(at[hit].astype(np.int32)))],
+                names=["grade", "fold", "at"])
 
     # the sample's rows with the few features that were chosen
-    kept = rows.select("grade", "features").mapInArrow(indexed, "grade int, at array<int>").toArrow()
+    kept = rows.select("grade", "fold", "features").mapInArrow(indexed, "grade int, fold int, at array<int>").toArrow()
     lists = kept.column("at").combine_chunks()
-    doc = np.repeat(np.arange(kept.num_rows), np.diff(lists.offsets.to_numpy()))
-    y = np.unique(kept.column("grade").to_numpy(), return_inverse=True)[1]
-    weights, cuts = _fit_ordinal(lists.flatten().to_numpy(), doc, y, odds)
-    return Model(dict(zip(ids.tolist(), weights.tolist())), cuts.tolist())
-
-
-def _informative(rows: DataFrame, per_grade: dict[int, int]) -> list:
-    """(feature, difference of its log odds), by feature: those that speak most
-    clearly for a grade above the lowest. Features against it are left out: a
-    long text holds many of them by chance."""
-    low = min(per_grade)
-    nc, nt = per_grade[low] + 1.0, sum(per_grade.values()) - per_grade[low] + 1.0
-    held = rows.select((F.col("grade") > low).cast("int").alias("y"), F.explode("features").alias("x"))
-    n = held.groupBy("x").agg((F.sum("y") + 0.5).alias("t"), (F.sum(1 - F.col("y")) + 0.5).alias("c"))
-    t, c = F.col("t"), F.col("c")
-    odds = F.log(t / (nt - t)) - F.log(c / (nc - c))
-    z = odds / F.sqrt(1 / t + 1 / (nt - t) + 1 / c + 1 / (nc - c))
-    best = (n.where(t + c >= LEAST_DOCS + 1).select("x", odds.alias("odds"), z.alias("z"))
-            .where((F.col("z") >= LEAST_Z) & (F.col("odds") >= LEAST_ODDS)).orderBy(F.desc("z"), "x").limit(FEATURES))
-    return sorted((r["x"], r["odds"]) for r in best.collect())
+    doc, feature = np.repeat(np.arange(kept.num_rows), np.diff(lists.offsets.to_numpy())), lists.flatten().to_numpy()
+    grade, fold = kept.column("grade").to_numpy(), kept.column("fold").to_numpy()
+    toxic, clean = held[:, :FOLDS], held[:, FOLDS:]
+    models = []
+    for f in [*range(FOLDS), -1]:
+        mine = fold != f
+        t, c = (x.sum(axis=1) - (x[:, f] if f >= 0 else 0) for x in (toxic, clean))
+        odds, z = _odds(t, c, grade[mine], grades[0])
+        use = _informative(t, c, odds, z)
+        models.append(_fit_rows(ids, odds, use, feature, doc, grade, mine))
+    return models
+
+
+def _counted(rows: DataFrame, low: int, totals: dict[int, list[int]]) -> list:
+    """(feature, toxic documents that hold it by fold, clean ones by fold) of
+    the features that any of the models may use, by their best z."""
+    held = rows.select((F.col("grade") > low).cast("int").alias("y"), "fold", F.explode("features").alias("x"))
+    sums = [F.count_if((F.col("fold") == f) & (F.col("y") == y)).alias(f"{'ct'[y]}{f}") for y in (1, 0) for f in range(FOLDS)]
+    n = held.groupBy("x").agg(*sums)
+    n = n.withColumns({f"all_{k}": sum((F.col(f"{k}{f}") for f in range(1, FOLDS)), F.col(f"{k}0")) for k in "tc"})
+
+    def z(own: Column) -> Column:
+        t, c = F.col("all_t") - own["t"] + 0.5, F.col("all_c") - own["c"] + 0.5
+        odds = F.log(t / (own["nt"] - t)) - F.log(c / (own["nc"] - c))
+        value = odds / F.sqrt(1 / t + 1 / (own["nt"] - t) + 1 / c + 1 / (own["nc"] - c))
+        return F.when((t + c >= LEAST_DOCS + 1) & (odds >= LEAST_ODDS) & (value >= LEAST_Z), value)
+
+    zero = F.lit(0).cast("long")
+    models = F.array(*[F.struct((F.col(f"t{f}") if f >= 0 else zero).alias("t"), (F.col(f"c{f}") if f >= 0 else zero).alias("c"),
+                                F.lit(toxic + 1.0).alias("nt"), F.lit(clean + 1.0).alias("nc")) for f, (clean, toxic) in totals.items()])
+    kept = (n.withColumn("best", F.array_max(F.transform(models, z))).where(F.col("best").isNotNull())
+            .orderBy(F.desc("best"), "x").limit(FEATURES).drop("all_t", "all_c"))
+    return kept.drop("best").collect()
+
+
+def _odds(t: np.ndarray, c: np.ndarray, grade: np.ndarray, low: int) -> tuple[np.ndarray, np.ndarray]:
+    """Differences of the features' log odds between the grades above the
+    lowest and the lowest, and their z."""
+    nt, nc = (grade > low).sum() + 1.0, (grade == low).sum() + 1.0
+    t, c = t + 0.5, c + 0.5
+    odds = np.log(t / (nt - t)) - np.log(c / (nc - c))
+    return odds, odds / np.sqrt(1 / t + 1 / (nt - t) + 1 / c + 1 / (nc - c))
+
+
+def _informative(t: np.ndarray, c: np.ndarray, odds: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """The features that speak clearly for a grade above the lowest. Features
+    against it are left out: a long text holds many of them by chance."""
+    return np.flatnonzero((t + c >= LEAST_DOCS) & (odds >= LEAST_ODDS) & (z >= LEAST_Z))
+
+
+def _fit_rows(ids: np.ndarray, odds: np.ndarray, use: np.ndarray, feature: np.ndarray, doc: np.ndarray,
+              grade: np.ndarray, mine: np.ndarray) -> Model:
+    """The model of the rows ``mine`` on the features ``use``."""
+    y = np.unique(grade[mine], return_inverse=True)
+    if len(y[0]) < 2:
+        return Model({}, [])
+    place, row = np.full(len(ids), -1), np.cumsum(mine) - 1
+    place[use] = np.arange(len(use))
+    keep = (place[feature] >= 0) & mine[doc]
+    weights, cuts = _fit_ordinal(place[feature[keep]], row[doc[keep]], y[1], odds[use])
+    return Model(dict(zip(ids[use].tolist(), weights.tolist())), cuts.tolist())
 
 
 def _fit_ordinal(x: np.ndarray, at: np.ndarray, y: np.ndarray, odds: np.ndarray, steps: int = 100,

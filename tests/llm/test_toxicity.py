@@ -2,8 +2,8 @@ import numpy as np
 
 from bazaar.llm.common import table
 from bazaar.llm.queries import op5_toxicity, severity_grades, toxicity_model
-from bazaar.llm.toxicity import (FALSE_POSITIVES, SPAN, THRESHOLD, Model, _fit_ordinal, _lowest_threshold, fit, score,
-                                 without_toxic, word_features, words)
+from bazaar.llm.toxicity import (FALSE_POSITIVES, FOLDS, PRIOR_HELD, SPAN, THRESHOLD, Model, _fit_folds, _fit_ordinal,
+                                 _lowest_threshold, fit, score, without_toxic, word_features, words, worst_spans)
 from pyspark.sql import functions as F
 from tests.llm.util import clashing, frame, rows
 
@@ -103,7 +103,30 @@ def test_threshold_is_chosen_on_held_out_documents(spark):
     toxic = [r for r in got if r["toxic"]]
     found = sum(r["is_toxic"] for r in toxic)
     assert found > sum(r["severity"] >= THRESHOLD for r in toxic) and found >= 0.8 * len(toxic)
-    assert toxicity_model(spark, "/root/testdata/sf0.001").threshold == THRESHOLD  # too few labels there
+
+
+def test_one_rule_for_the_threshold_at_all_sizes(spark):
+    docs, grades = graded(400)
+    df = frame(spark, docs, SCHEMA)
+    chosen = [fit(df, frame(spark, grades[:n], "doc_id long, grade int")).threshold for n in (1, 20, 400)]
+    assert chosen[0] == THRESHOLD and 0 < min(chosen) and max(chosen) < 1
+    # a few documents move it little
+    assert abs(chosen[1] - THRESHOLD) <= 2 / (2 + PRIOR_HELD)
+
+
+def test_models_without_a_fold_are_those_of_the_other_rows(spark):
+    docs, grades = graded(400)
+    rows_ = [(g, i // 10 % FOLDS, t, sorted({x for w in words(t) for x in word_features(w)})) for (i, t), (_, g) in zip(docs, grades)]
+    schema = "grade int, fold int, text string, features array<long>"
+    models = _fit_folds(frame(spark, rows_, schema))
+    assert len(models) == FOLDS + 1
+    for f in (0, 3):
+        others = _fit_folds(frame(spark, [r for r in rows_ if r[1] != f], schema))[-1]
+        assert set(models[f].weight) == set(others.weight) and models[f].weight
+        assert np.allclose([models[f].weight[x] for x in others.weight], list(others.weight.values()))
+        assert np.allclose(models[f].cuts, others.cuts)
+    judged = frame(spark, rows_, schema).select("fold", "text", worst_spans(models, F.col("text"), F.col("fold")).alias("s")).collect()
+    assert all(abs(r.s - models[r.fold].severity(np.array([models[r.fold].scorer()(r.text)[1]]))[0]) < 1e-12 for r in judged)
 
 
 def test_long_texts_of_many_clean_words_stay(spark):
