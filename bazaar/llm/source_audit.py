@@ -30,7 +30,7 @@ LEAST_DOCS = 30
 TOP_TERMS = 50
 BLOCK_SOURCES = 256      # sources of a block; blocks of sources meet pair by pair
 BUCKET_ROWS = 32_768     # rows (source, term) of a bucket of terms, about
-HELD = 200_000           # sums that a task holds before it passes them on
+HELD = 400_000           # sums that a task holds, about, before it passes them on
 TEXTS = 32               # texts read at once
 
 
@@ -48,33 +48,42 @@ def collapsed(docs: DataFrame, text_col: str, lang_col: str, source_col: str) ->
 
 
 def term_sums(texts: DataFrame) -> DataFrame:
-    """(lang, source, term, docs, n): in how many documents of a source a term
-    is, and how often; sums of the texts that a task has read."""
+    """Two kinds of rows (lang, source, term, docs, n), sums of the texts that a
+    task has read: without a source, in how many documents of the language the
+    term is; with one, how often it occurs there. A row of the second kind is
+    only needed for a kept term, so the first kind is shuffled alone."""
     def run(batches):
-        find, held = re.compile(TERM).findall, defaultdict(lambda: [0, 0])
+        find = re.compile(TERM).findall
+        docs, counts = defaultdict(Counter), defaultdict(Counter)  # by lang; by lang and source
 
         def out():
-            keys, sums = list(held), np.array(list(held.values()), np.int64).reshape(-1, 2)
-            held.clear()
-            columns = [pa.array([k[i] for k in keys], pa.binary()).cast(pa.string()) for i in range(3)]
-            return pa.RecordBatch.from_arrays([*columns, pa.array(sums[:, 0]), pa.array(sums[:, 1])],
-                                              names=["lang", "source", "term", "docs", "n"])
+            for held, with_source in ((docs, False), (counts, True)):
+                for key, sums in held.items():
+                    n = len(sums)
+                    lang, source = key if with_source else (key, None)
+                    none, value = pa.nulls(n, pa.int64()), pa.array(list(sums.values()), pa.int64())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * n, pa.string()), pa.array([source] * n, pa.string()),
+                         pa.array(list(sums), pa.binary()).cast(pa.string()), none if with_source else value,
+                         value if with_source else none], names=["lang", "source", "term", "docs", "n"])
+                held.clear()
 
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS):
                 for row in batch.slice(at, TEXTS).to_pylist():
-                    # of bytes, lower() changes A-Z only
-                    counts, lang = Counter(find(row["text"].encode().lower())), row["lang"].encode()
-                    for source in row["sources"]:
-                        name = source["source"].encode()
-                        for term, n in counts.items():
-                            sums = held[lang, name, term]
-                            sums[0] += source["docs"]
-                            sums[1] += n * source["docs"]
-                        if len(held) >= HELD:
-                            yield out()
-        if held:
-            yield out()
+                    lang, sources = row["lang"], row["sources"]
+                    terms = find(row["text"].encode().lower())  # of bytes, lower() changes A-Z only
+                    if len(sources) == 1 and sources[0]["docs"] == 1:
+                        docs[lang].update(set(terms))
+                        counts[lang, sources[0]["source"]].update(terms)
+                        continue
+                    own, copies = Counter(terms), sum(x["docs"] for x in sources)
+                    docs[lang].update(dict.fromkeys(own, copies))
+                    for x in sources:
+                        counts[lang, x["source"]].update({term: n * x["docs"] for term, n in own.items()})
+                if sum(map(len, docs.values())) + sum(map(len, counts.values())) >= HELD:
+                    yield from out()
+        yield from out()
 
     return texts.mapInArrow(run, "lang string, source string, term string, docs long, n long")
 
@@ -136,7 +145,8 @@ def pair_differences(kept: DataFrame, groups: DataFrame) -> DataFrame:
             .join(kept.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")), "lang", "left").na.fill(0, ["rows"]))
     blocks = F.ceil(F.col("sources") / BLOCK_SOURCES).cast("int")
     buckets = F.greatest(F.lit(1), F.ceil(F.col("rows") / blocks / BUCKET_ROWS)).cast("int")
-    size = size.select("lang", blocks.alias("blocks"), buckets.alias("buckets"))
+    # a row for each language; stored, so that Spark sees how small it is
+    size = stored(size.select("lang", blocks.alias("blocks"), buckets.alias("buckets")), "blocks-of-langs", rows=1)
     own = F.pmod(F.xxhash64("source"), F.col("blocks")).cast("int")
     # each block meets each, the smaller first
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(
@@ -183,12 +193,15 @@ def divergence(docs: DataFrame, least_docs: int = LEAST_DOCS, top_terms: int = T
     """
     own = pick(docs, **{lang_col: "string", source_col: "string"}).toDF("lang", "source").na.fill("")
     sums = stored(term_sums(collapsed(docs, text_col, lang_col, source_col)), "term-sums")
-    sums = stored(sums.groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n")), "terms-of-sources")
-    terms = stored(sums.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("all"))
+    terms = stored(sums.where(F.col("source").isNull()).groupBy("lang", "term").agg(F.sum("docs").alias("docs"))
                    .where(F.col("docs") >= least_docs).drop("docs"), "kept-terms")
-    langs = terms.groupBy("lang").agg(F.count(F.lit(1)).alias("terms"), F.sum("all").alias("lang_total"))
-    kept = sums.join(terms, ["lang", "term"]).select("lang", "source", "term", "n", "all")
-    totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    # the kept terms of a partition fit a hash table, so the many counts need no sort
+    counts = stored(sums.where(F.col("source").isNotNull()).drop("docs").join(terms.hint("shuffle_hash"), ["lang", "term"])
+                    .groupBy("lang", "source", "term").agg(F.sum("n").alias("n")), "terms-of-sources")
+    of_lang = counts.groupBy("lang", "term").agg(F.sum("n").alias("all"))
+    langs = of_lang.groupBy("lang").agg(F.count(F.lit(1)).alias("terms"), F.sum("all").alias("lang_total"))
+    kept = counts.join(of_lang.hint("shuffle_hash"), ["lang", "term"])
+    totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     zero = F.lit(0).cast("long")
     groups = stored(own.distinct().join(langs, "lang", "left").join(totals, ["lang", "source"], "left")
                     .na.fill(0, ["terms", "lang_total", "total"])
