@@ -20,12 +20,13 @@ from bazaar.functions.columns import (
 from bazaar.functions.text import clean_text
 from bazaar.operators.rules import association_rules, baskets, lattice_rules, pair_rules
 from bazaar.operators.neighbours import (
-    recommend, recommend_or_default, similar_users, similar_users_by_index, user_product_ratings,
+    recommend, recommend_or_default, refreshed_neighbours, similar_users, similar_users_by_index, user_product_ratings,
 )
+from bazaar.operators.rating_sums import merge_ratings, ratings_of, read_sums
 from bazaar.operators.lexicon import learn_lexicon, lexicon_polarity, review_sentiment, sentiment
 from bazaar.plans import etl, marts
 from bazaar.session import shared_dir, stored, tune
-from bazaar.sources.io import CSV_TIMESTAMP, load_ratings, read_published, read_table, save_ratings
+from bazaar.sources.io import CSV_TIMESTAMP, load_ratings, read_published, read_table, save_ratings, save_ratings_table
 from bazaar.sources.records import convert
 
 # ---------------------------------------------------------------------------
@@ -47,6 +48,8 @@ K_NEIGHBOURS, N_PRODUCTS = 5, 5
 SMALL_BLOCK = 8
 # Raters from which a product is hot in the query that takes that path.
 SMALL_HOT = 32
+# Buckets of the ratings table and parts of the rating sums.
+BUCKETS = 8
 # Polarity lexicon for the test corpus: frequent words with weights that are
 # multiples of 1/64 (sums are exact, so every engine agrees on the classes).
 TEST_LEXICON = {
@@ -523,6 +526,37 @@ def q_held_out_sentiment(spark, d):
     return review_sentiment(reviews, "title", "message", "score", lexicon, "doc_id", fold="fold")
 
 
+def q_recommend_from_buckets(spark, d):
+    """R6 from a ratings table bucketed by user."""
+    tune(spark)
+    name = f"ratings_{uuid.uuid4().hex}"
+    r = save_ratings_table(_ratings(spark, d), name, BUCKETS, path=f"{shared_dir(spark)}/{name}")
+    nb = stored(_neighbours(r), "neighbours")
+    return _round(recommend(r, nb, N_PRODUCTS, "customer_id", "product_id", "rating", bucketed=True), ["score"])
+
+
+def q_merged_ratings(spark, d):
+    """R4 from sums that were merged in three batches, one of them twice."""
+    tune(spark)
+    rows = rating_rows_view(spark, d).withColumn("batch", F.pmod(F.xxhash64("order_id"), F.lit(3)))
+    path = f"{shared_dir(spark)}/rating-state-{uuid.uuid4().hex}"
+    for batch in (0, 1, 1, 2):
+        merge_ratings(rows.where(F.col("batch") == batch), path, batch, "customer_id", "product_id", "review_score", BUCKETS)
+    return _round(ratings_of(read_sums(spark, path), "customer_id", "product_id"), ["rating"])
+
+
+def q_refreshed_neighbours(spark, d):
+    """R5 after an update, the last order of all: only the neighbours of those
+    whom it can concern are computed anew."""
+    tune(spark)
+    rows = rating_rows_view(spark, d)
+    last = rows.agg(F.max("order_id")).scalar()
+    old = stored(user_product_ratings(rows.where(F.col("order_id") < last), "customer_id", "product_id", "review_score"), "ratings-before")
+    new = stored(_ratings(spark, d), "ratings")
+    nb = refreshed_neighbours(stored(_neighbours(old), "neighbours-before"), old, new, K_NEIGHBOURS)
+    return _round(nb, ["similarity"])
+
+
 # -- the raw path: test tables written as CSV files, read as a user's are --------
 def _csv_folder(spark: SparkSession, tables: dict[str, DataFrame]) -> str:
     """A folder of raw CSV tables, each a folder of part files, with texts

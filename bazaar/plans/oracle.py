@@ -398,7 +398,9 @@ f AS (
 SELECT CAST(y AS VARCHAR) AS year, CAST(m AS VARCHAR) AS month,
        round_even(avg(at_time) * 100.0, 2) AS at_time, round_even(avg(1 - at_time) * 100.0, 2) AS no_at_time, {period}
 FROM f GROUP BY y, m"""
-    sql["ratings_store"] = sql["user_product_ratings"]
+    sql["ratings_store"] = sql["merged_ratings"] = sql["user_product_ratings"]
+    sql["recommend_from_buckets"] = sql["recommend"]
+    sql["refreshed_neighbours"] = sql["similar_users"]
     sql["lattice_rules"] = lambda: _rules_sql(False, TYPE_ITEMS, TYPE_SUPPORT, TYPE_CONFIDENCE, TYPE_LIFT, splits=True)
     sql["learned_lexicon"] = lambda: f"""
 WITH {_learned_ctes().strip()}

@@ -156,6 +156,18 @@ def save_ratings(ratings: DataFrame, path: str, user_col: str = "customer_id",
     return path
 
 
+def save_ratings_table(ratings: DataFrame, table: str, buckets: int, user_col: str = "customer_id",
+                       product_col: str = "product_id", path: str | None = None) -> DataFrame:
+    """The ratings as a table of the session's catalog, bucketed by user and
+    sorted by user and product. Joins and sums by user read it without a
+    shuffle, see ``neighbours.recommend(bucketed=True)``. A user's rows are in
+    one bucket, so choose it where no user holds a large share of them."""
+    writer = (ratings.repartition(buckets, user_col).write.mode("overwrite").format("parquet")
+              .bucketBy(buckets, user_col).sortBy(user_col, product_col))
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+    return ratings.sparkSession.table(table)
+
+
 def load_ratings(spark: SparkSession, path: str, users: list | None = None,
                  user_col: str = "customer_id") -> DataFrame:
     """Read the ratings table, optionally for some users (pushed down)."""

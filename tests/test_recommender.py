@@ -238,3 +238,91 @@ def test_index_forms_fewer_pairs(spark):
 def test_index_of_no_ratings(spark):
     df = spark.createDataFrame([], "customer_id long, product_id long, rating double")
     assert N.similar_users_by_index(df, 5).collect() == []
+
+
+def _frame(spark, ratings):
+    return spark.createDataFrame([(u, p, r) for (u, p), r in ratings.items()], "customer_id long, product_id long, rating double")
+
+
+@pytest.mark.parametrize("seed, change", [(1, "ratings"), (2, "new users"), (3, "users gone"), (4, "nothing")])
+def test_refreshed_neighbours_equal_a_full_run(spark, seed, change):
+    rng = np.random.default_rng(seed)
+    old = {(int(u), 100 * (int(u) // 10) + int(p)): float(r) for u, p, r in zip(
+        rng.integers(0, 60, 300), rng.integers(0, 12, 300), rng.integers(1, 6, 300))}
+    new = dict(old)
+    if change == "ratings":
+        new[next(iter(old))] += 0.5
+        new[3, 555_555] = 2.0
+        del new[list(old)[5]]
+    elif change == "new users":
+        new |= {(1000, 0): 4.0, (1001, 777): 1.0, (1002, 777): 1.0}
+    elif change == "users gone":
+        new = {k: v for k, v in old.items() if k[0] not in (59, 58, 3)}
+    a, b = _frame(spark, old), _frame(spark, new)
+    got = N.refreshed_neighbours(N.similar_users(a, 4), a, b, 4)
+    order = ["customer_id", "rank", "neighbour", "similarity"]
+    assert sorted(map(tuple, got.select(order).collect())) == sorted(map(tuple, N.similar_users(b, 4).select(order).collect()))
+    moved = {r[0] for r in N.changed_users(a, b).collect()}
+    assert moved == {u for u, p in set(old) | set(new) if old.get((u, p)) != new.get((u, p))}
+
+
+def test_ratings_by_buckets_are_not_shuffled(spark, ratings_df, tmp_dir):
+    from bazaar.sources.io import save_ratings_table
+
+    table = save_ratings_table(ratings_df, "ratings_in_buckets", 4, path=f"{tmp_dir}/ratings")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.sources.bucketing.autoBucketedScan.enabled")}
+    for k, v in zip(old, ("-1", "false")):
+        spark.conf.set(k, v)
+    try:
+        nb = N.similar_users(ratings_df, 5)
+        recs = N.recommend(table, nb, 5, bucketed=True)
+        assert _lists(recs, "customer_id", "product_id") == brute(RATINGS, 5, 5)[1]
+        targets = spark.createDataFrame([(1,), (6,)], "customer_id long")
+        some = N.similar_users(table, 5, targets=targets, bucketed=True)
+        assert _lists(some, "customer_id", "neighbour") == {u: brute(RATINGS, 5, 5)[0][u] for u in (1, 6)}
+        # lengths by user, and the ratings of the neighbours: no exchange between the scan and the join
+        unit = N._unit_weights(table, "customer_id", "product_id", "rating", bucketed=True)
+        assert "Exchange" not in unit._jdf.queryExecution().executedPlan().toString()
+        met = nb.select("customer_id", "neighbour").join(table.select(table.customer_id.alias("neighbour"), "rating"), "neighbour")
+        lines = met._jdf.queryExecution().executedPlan().toString().splitlines()
+        scan = next(i for i, x in enumerate(lines) if "ratings_in_buckets" in x and "Bucketed: true" in x)
+        join = max(i for i in range(scan) if "SortMergeJoin" in lines[i])
+        depth = lambda x: len(x) - len(x.lstrip(" :+-"))
+        above = [x for i, x in enumerate(lines[join:scan], join) if all(depth(x) < depth(y) for y in lines[i + 1:scan + 1])]
+        assert not any("Exchange" in x for x in above)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_merged_ratings_equal_the_full_build(spark, tmp_dir, seed):
+    from bazaar.operators.rating_sums import merge_ratings, ratings_of, read_sums
+
+    rng = np.random.default_rng(seed)
+    rows = [(int(u), int(p), float(s), int(b)) for u, p, s, b in zip(
+        rng.integers(0, 25, 200), rng.integers(0, 9, 200), rng.integers(1, 6, 200), rng.choice([0, 0, 1, 2, 4], 200))]
+    rows += [(None, 1, 5.0, 0), (1, None, 5.0, 1), (2, 2, None, 2), (99, 1, 3.0, 4)]
+    df = spark.createDataFrame(rows, "customer_id long, product_id long, review_score double, b int")
+    path = f"{tmp_dir}/sums"
+    assert read_sums(spark, path) is None
+    for batch in (0, 1, 1, 2, 0, 3, 4, 4):  # some run again, one is empty
+        merge_ratings(df.where(f"b = {batch}"), path, batch, "customer_id", "product_id", "review_score", 5)
+    got = sorted(map(tuple, ratings_of(read_sums(spark, path), "customer_id", "product_id").collect()))
+    want = N.user_product_ratings(df, "customer_id", "product_id", "review_score").select("customer_id", "product_id", "rating")
+    assert got == sorted(map(tuple, want.collect()))
+
+
+def test_a_batch_writes_only_the_partitions_of_its_users(spark, tmp_dir):
+    import os
+
+    from bazaar.operators.rating_sums import merge_ratings
+
+    df = spark.createDataFrame([(u, 1, 5.0) for u in range(40)], "customer_id long, product_id long, review_score double")
+    path = f"{tmp_dir}/sums"
+    files = lambda: {(d, f) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
+    merge_ratings(df, path, 0, "customer_id", "product_id", "review_score", 8)
+    before = files()
+    merge_ratings(df.where("customer_id = 3"), path, 1, "customer_id", "product_id", "review_score", 8)
+    assert len({d for d, _ in before ^ files()}) == 1
+    merge_ratings(df.limit(0), path, 2, "customer_id", "product_id", "review_score", 8)
