@@ -237,8 +237,8 @@ def encode_texts(docs: DataFrame, vocab: str, pattern: str, id_col: str = "doc_i
 
     ids: little-endian unsigned 32-bit token ids. A null text counts as empty
     (no ids, empty decoded text); repeated rows and null document ids are each
-    answered; very long texts and pieces are read in steps. Other columns are
-    ignored. ``vocab`` must be readable on every executor.
+    answered; very long texts and pieces are read in steps; an empty table gives
+    an empty one. Other columns are ignored. ``vocab`` must be readable on every executor.
     """
     fields = [(id_col, pa.int64()), ("ids", pa.binary())] + [("decoded", pa.string())] * decode
     schema = f"{id_col} long, ids binary" + ", decoded string" * decode

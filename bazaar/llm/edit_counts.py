@@ -176,7 +176,8 @@ def edited_counts(docs: DataFrame, edits: Column, vocab: str, pattern: str, id_c
     A null text counts as empty, a null edit or list of edits as none, null
     numbers as 0 and a null insert as empty. Repeated rows and null ids are
     each answered; texts of any length are read whole; other columns are
-    ignored. A tree must belong to the text beside it.
+    ignored; an empty table gives an empty one. A tree must belong to the text
+    beside it.
     """
     kept = {"tree_chars", "tree_tokens"} <= set(docs.columns)
     types = {id_col: "long", text_col: "string"} | ({"tree_chars": "array<int>", "tree_tokens": "array<int>"} if kept else {})

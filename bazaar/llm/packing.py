@@ -42,7 +42,8 @@ def cut_documents(docs: DataFrame, vocab: str, pattern: str, limit: int = 2048,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, piece, start, length, ids): the tokens of each document followed by
     ``end_id``, cut only where they exceed ``limit``; then all pieces but the
-    first hold ``limit`` tokens. ids: little-endian unsigned 32-bit.
+    first hold ``limit`` tokens. ids: little-endian unsigned 32-bit. A text of
+    any length is encoded whole; an empty table has no pieces.
 
     A null or empty text gives one piece of the end token. Repeated rows and
     null ids are cut like any other; other columns are ignored. ``vocab`` is

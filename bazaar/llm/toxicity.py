@@ -304,8 +304,9 @@ def score(docs: DataFrame, model: Model, threshold: float | None = None, id_col:
     """(id, severity, is_toxic, worst_span), one row per input row: the expected
     grade of the whole text, which grows with its length; whether that of its
     worst span, which doesn't add up, reaches the threshold, by default the
-    model's; and that grade. A null or empty text has no features;
-    texts of any length are read whole; other columns are ignored."""
+    model's; and that grade. A null or empty text has no features; texts of
+    any length are read whole, an empty table gives an empty one, repeated rows
+    are each judged, null ids kept; other columns are ignored."""
     own = pick(docs, **{id_col: "long", text_col: "string"})
     scored = own.select(id_col, model.column(F.col(text_col)).alias("s"))
     toxic = F.col("s.worst_span") >= (model.threshold if threshold is None else threshold)
@@ -314,7 +315,8 @@ def score(docs: DataFrame, model: Model, threshold: float | None = None, id_col:
 
 def without_toxic(docs: DataFrame, model: Model, threshold: float | None = None, text_col: str = "text") -> DataFrame:
     """The documents, all columns, no span of which reaches the threshold, by
-    default the model's."""
+    default the model's. Null and empty texts stay; repeated rows stay or go
+    together; an empty table gives an empty one."""
     own, names = positional(docs)
     severity = model.column(F.col(position(names, text_col)).cast("string"))["worst_span"]
     return own.where(severity < (model.threshold if threshold is None else threshold)).toDF(*names)

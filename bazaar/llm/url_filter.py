@@ -91,7 +91,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
     each answered; an empty rule table gives the default everywhere; rules
     with a null action are ignored, null host or path count as empty. Of rules
     of equal length the one with the longer host wins, then the larger text,
-    then ``block`` before ``allow``. Columns other than the two are ignored.
+    then ``block`` before ``allow``. Columns other than the two are ignored. A
+    URL of any length is read whole; an empty table of pages gives an empty one.
     """
     p = pick(pages, **{id_col: "long", url_col: "string"})
     p = p.select(id_col, url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path"))
