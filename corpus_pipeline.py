@@ -17,22 +17,31 @@ from bazaar.llm.toxicity import fit, without_toxic
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Toxic documents go."""
+    """Toxic documents go. Null and empty texts stay; repeated rows stay or go
+    together; a text of any length is judged by its worst span; an empty table
+    stays empty; further columns pass through."""
     return without_toxic(docs, fit(docs, severity_grades(table(spark, sf_dir, "labels"))))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
+    """One document of each group of near-duplicates stays, that of the least
+    id. Documents without words, null texts among them, are one group; of
+    repeated rows one stays; texts of any length are shingled whole; an empty
+    table stays empty; further columns pass through."""
     return one_of_each(docs, SHINGLE_WORDS, MAX_BITS)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are masked in the texts; every document stays."""
+    """Secrets are masked in the texts; every document stays, repeated rows,
+    null and empty texts too. Texts of any length are read whole; an empty table
+    stays empty; further columns pass through, ``n_chars`` made anew."""
     return redact(docs, secret_forest(docs))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The places of all pieces in sequences."""
+    """The places of all pieces in sequences. A null text is an empty one, of
+    one token; repeated rows have places of their own; a text longer than a
+    sequence is cut; an empty table has no pieces; other columns are left out."""
     return pack_documents(docs)
 
 
