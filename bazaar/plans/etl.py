@@ -1,5 +1,6 @@
-"""Batch runners for the three jobs of the store application.
+"""Batch runners for the jobs of the store application.
 
+0. ``convert_raw``: raw CSV files -> Parquet, rows that don't fit set aside.
 1. ``run_marts``: raw files -> marts M1-M14 (one driver program; the wide
    marts M1 and M2 are written first and read back for M10 and M14, so a
    lost executor recomputes from those files, not from the raw scans).
@@ -22,6 +23,8 @@ from pyspark.sql import functions as F
 from bazaar.plans import marts as M
 from bazaar.session import tables_dropped, tune
 from bazaar.sources.dimensions import FALLBACK_PRODUCTS, STATE_CODES, category_translation
+from bazaar.sources.records import convert
+from bazaar.sources.schemas import RAW_SCHEMAS
 from bazaar.sources.io import load_ratings, publish, read_published, read_table, save_ratings
 
 # Mart names as the application publishes them.
@@ -43,6 +46,21 @@ MART_FILES = {
 }
 
 
+def convert_raw(spark: SparkSession, raw_base: str, good_base: str, bad_base: str, names: Sequence[str] = tuple(RAW_SCHEMAS),
+                most_bad: float = 0.001) -> dict[str, dict[str, int]]:
+    """Raw CSV tables to Parquet under ``good_base``, for the runners below with
+    ``raw_fmt="parquet"``; records that don't fit their types to ``bad_base``.
+    Files with line breaks in quoted fields are split among tasks. Returns the
+    numbers of rows; a share of bad rows above ``most_bad`` raises."""
+    tune(spark)
+    out = {}
+    for name in names:
+        with tables_dropped(spark):
+            out[name] = convert(spark, raw_base, name, f"{good_base.rstrip('/')}/{name}.parquet",
+                                f"{bad_base.rstrip('/')}/{name}", most_bad)
+    return out
+
+
 def run_marts(spark: SparkSession, raw_base: str, mart_base: str, raw_fmt: str = "csv",
               out_fmt: str = "parquet", paid_search_price: float = 0.0,
               state_codes: Sequence[str] | None = STATE_CODES) -> dict[str, str]:

@@ -146,3 +146,15 @@ def test_stored_tables_end_with_their_block(spark):
         path = df.inputFiles()[0].removeprefix("file://").rpartition("/")[0]
         assert os.path.isdir(path) and df.count() == 5
     assert not os.path.exists(path) and os.path.isdir(shared_dir(spark).removeprefix("file:"))
+
+
+def test_marts_of_converted_files_are_those_of_the_raw_ones(spark, tmp_dir):
+    write_raw(tmp_dir)
+    names = [n for n in RAW_SCHEMAS if os.path.exists(f"{tmp_dir}/{n}.csv")]
+    counts = etl.convert_raw(spark, tmp_dir, f"{tmp_dir}/good", f"{tmp_dir}/bad", names)
+    assert all(c["bad"] == 0 for c in counts.values()) and counts["orders"]["rows"] == 6
+    raw = etl.run_marts(spark, tmp_dir, f"{tmp_dir}/m1", state_codes=None)
+    converted = etl.run_marts(spark, f"{tmp_dir}/good", f"{tmp_dir}/m2", raw_fmt="parquet", state_codes=None)
+    for mart in raw:
+        a, b = spark.read.parquet(raw[mart]), spark.read.parquet(converted[mart])
+        assert as_rows(a) == as_rows(b.select(a.columns)), mart
