@@ -152,7 +152,11 @@ def learn_lexicon(reviews: DataFrame, text_col: str, score_col: str, least: int
         return each.select(*by, "fold", (F.col("all_p") - F.coalesce(mine["p"], F.lit(0))).alias(p),
                            (F.col("all_q") - F.coalesce(mine["q"], F.lit(0))).alias(q))
 
-    seen = others(words, ["word"], "positive", "negative").join(others(totals, [], "P_", "N_"), "fold")
+    seen = others(words, ["word"], "positive", "negative")
+    if fold:
+        seen = seen.join(others(totals, [], "P_", "N_"), "fold")
+    else:
+        seen = seen.withColumns({"P_": totals.agg(F.sum("p")).scalar(), "N_": totals.agg(F.sum("q")).scalar()})
     p, q, n = F.col("positive"), F.col("negative"), F.col("positive") + F.col("negative")
     odds = F.log((p + prior) / (F.col("P_") + 2 * prior)) - F.log((q + prior) / (F.col("N_") + 2 * prior))
     e = F.exp(odds * n / (n + shrink))
