@@ -32,7 +32,7 @@ LEAST_ODDS = 2.0         # that difference itself
 LEAST_DOCS = 3           # sampled documents that hold a feature
 PREFIXES = (4, 5, 6)
 THRESHOLD = 0.3          # expected grade from which a document counts as toxic, before any is seen
-PRIOR_HELD = 5           # documents above the lowest grade that this counts as much as
+PRIOR_HELD = 20          # documents above the lowest grade that this counts as much as
 FALSE_POSITIVES = 0.0075  # share of the lowest grade's held-out documents that the chosen threshold may reach, at most
 FOLDS = 10               # of the sample; each is judged by a model of the others
 SPAN = 256               # words of a span, twice the step

@@ -14,7 +14,7 @@ from bazaar.llm.common import table
 from bazaar.llm.queries import ORACLE_SQL, QUERIES, TOKENIZER, secret_forest, toxicity_model
 from bazaar.llm.secrets import MASK
 from bazaar.llm.simhash import fingerprint
-from bazaar.llm.toxicity import THRESHOLD, word_features, words
+from bazaar.llm.toxicity import SPAN, word_features
 
 SF = "/root/testdata/sf0.001"
 
@@ -25,8 +25,10 @@ def by_hand(spark):
     model = toxicity_model(spark, SF)
 
     def toxic(text):
-        found = {x for w in words(text) for x in word_features(w) if x in model.weight}
-        return model.severity(np.array([sum(model.weight[x] for x in sorted(found))]))[0] >= THRESHOLD
+        own = re.findall(r"[^\W\d_]+", text.lower())
+        spans = [own[at:at + SPAN] for at in range(0, max(1, len(own)), SPAN // 2)]
+        found = [{x for w in span for x in word_features(w) if x in model.weight} for span in spans]
+        return max(model.severity(np.array([sum(model.weight[x] for x in sorted(f)) for f in found]))) >= model.threshold
 
     docs = {i: t for i, t in docs.items() if not toxic(t)}
     fps, kept = {i: fingerprint(t) for i, t in docs.items()}, set()
@@ -80,7 +82,7 @@ def test_stages_on_an_empty_table(spark):
 def test_every_operator_is_registered():
     import __spark_entry__ as entry
     names = entry.queries()
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES} == set(range(1, 11)) and set(QUERIES) < set(names)
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES} == set(range(1, 14)) and set(QUERIES) < set(names)
     assert names["pipeline"] is pipeline.run and set(ORACLE_SQL) <= set(QUERIES)
 
 
