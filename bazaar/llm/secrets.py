@@ -28,12 +28,12 @@ SECRET_WORDS = r"(?i:token|secret|passw(?:or)?d|pwd|passphrase|api_?key|access_?
 # the name may go on (TOKEN_V2), be quoted or in brackets
 NAMED = SECRET_WORDS + r"[\w\-]{0,24}[\"'`\])]{0,3}\s{0,3}(?::=|=>|[:=])\s{0,3}[\"'`]?"
 # equals signs only pad the end; a name that is assigned to is context of what follows
-KEY_RUN = rf"(?<![{KEY_CHARS}])[{KEY_CHARS}]{{{LEAST_CHARS},}}+(?!=[{KEY_CHARS}]|\s?=\s?[\"'`])={{0,2}}"
+KEY_RUN = rf"[{KEY_CHARS}]{{{LEAST_CHARS},}}+(?!=[{KEY_CHARS}]|\s?=\s?[\"'`])={{0,2}}"
 # all in quotes; without quotes up to a space or a mark that ends a value, if no call or index follows
 VALUE = (rf"(?:(?<=[\"'`])[^\"'`\s]{{{LEAST_ASSIGNED},}}+"
          rf"|(?<![\"'`])[^\s\"'`,;(){{}}\[\]<>$]{{{LEAST_ASSIGNED},}}+(?![(\[{{<$]))")
-# the short look behind fails at once almost everywhere
-CANDIDATE = rf"(?<=[:=>]\s{{0,3}}[\"'`]?)(?<={NAMED}){VALUE}|{KEY_RUN}"
+# the short looks behind fail at once almost everywhere
+CANDIDATE = rf"(?<![{KEY_CHARS}])(?:(?<=[:=>]\s{{0,3}}[\"'`]?)(?<={NAMED}){VALUE}|{KEY_RUN})"
 LEFT, RIGHT = 48, 24         # characters of context
 SAMPLE = 4_000               # labelled findings of each label, at most
 DICTIONARY = 1_000           # words, at most
