@@ -188,3 +188,17 @@ def test_targets_path_blocks_hot_products(spark):
         got.setdefault(r.customer_id, []).append(r.neighbour)
     want = brute(ratings, 5, 5)[0]
     assert got == {u: want[u] for u in range(1, 41, 3)}
+
+
+def test_salted_hot_keys_are_not_broadcast(spark):
+    """A stored table of hot keys looks small, but each key stands for many salts."""
+    from bazaar.operators.joins import SALTS, attach
+    from bazaar.session import stored, tune
+
+    tune(spark)
+    df = stored(spark.range(400).selectExpr("id % 100 AS k", "id AS m"), "rows")
+    hot = stored(spark.range(50).selectExpr("id AS k", "7 AS n"), "hot")
+    got = attach(df, "k", "m", hot, {"n": 1})
+    assert SALTS > 1 and sorted((r.k, r.m, r.n) for r in got.collect()) == sorted(
+        (m % 100, m, 7 if m % 100 < 50 else 1) for m in range(400))
+    assert "BroadcastHashJoin" not in got._jdf.queryExecution().toString()
