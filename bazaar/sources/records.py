@@ -48,25 +48,25 @@ def records(spark: SparkSession, path: str, multi_line: bool = True) -> DataFram
     if not multi_line:
         # the header is the first line of a file's first range
         heads = lines.groupBy("file").agg(F.min(F.struct("start", "at")).alias("top"))
-        own = (lines.join(heads, "file").select("file", (F.struct("start", "at") == F.col("top")).alias("first"),
+        own = (lines.join(F.broadcast(heads), "file").select("file", (F.struct("start", "at") == F.col("top")).alias("first"),
                                                 F.col("line").alias("record")))
         return own.withColumn("record", F.regexp_replace("record", "\r$", "")).where(F.col("record") != "")
     quotes = (F.length("line") - F.length(F.replace("line", F.lit('"')))).cast("long")
     lines = stored(lines.withColumn("quotes", quotes), "csv-lines")
     before = Window.partitionBy(*RANGE).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    # a row for each range
+    # a row for each range or file, some hundred bytes: broadcast, so that the lines stay where they are
     ranges = lines.groupBy(*RANGE).agg(F.sum("quotes").alias("quotes"))
     ranges = ranges.select(*RANGE, F.coalesce(F.sum("quotes").over(earlier), F.lit(0)).alias("quotes_before"))
     begins = (F.col("quotes_before") + F.coalesce(F.sum("quotes").over(before), F.lit(0))) % 2 == 0
     until = Window.partitionBy(*RANGE).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    numbered = stored(lines.join(ranges, list(RANGE)).withColumn("begins", begins)
+    numbered = stored(lines.join(F.broadcast(ranges), list(RANGE)).withColumn("begins", begins)
                       .withColumn("nth", F.count_if("begins").over(until)).select(*RANGE, "at", "line", "nth"), "csv-numbered")
     # lines that continue a record of an earlier range belong to the last range before that began one
     counts = numbered.groupBy(*RANGE).agg(F.max("nth").alias("n"))
     last = F.last(F.when(F.col("n") > 0, F.struct(F.col("start").alias("from"), F.col("n").alias("of"))), ignorenulls=True)
     owners = counts.select(*RANGE, last.over(earlier).alias("owner"))
-    owned = (numbered.join(owners, list(RANGE))
+    owned = (numbered.join(F.broadcast(owners), list(RANGE))
              .withColumn("from", F.when(F.col("nth") > 0, F.col("start")).otherwise(F.col("owner.from")))
              .withColumn("of", F.when(F.col("nth") > 0, F.col("nth")).otherwise(F.col("owner.of"))))
     key = ["file", "from", "of"]
@@ -78,7 +78,7 @@ def records(spark: SparkSession, path: str, multi_line: bool = True) -> DataFram
             .select(*key, F.array_join(F.col("parts.line"), "\n").alias("record")))
     out = one.unionByName(many)
     heads = out.groupBy("file").agg(F.min(F.struct("from", "of")).alias("top"))
-    out = out.join(heads, "file").select("file", (F.struct("from", "of") == F.col("top")).alias("first"),
+    out = out.join(F.broadcast(heads), "file").select("file", (F.struct("from", "of") == F.col("top")).alias("first"),
                                          F.regexp_replace("record", "\r$", "").alias("record"))
     return out.where(F.col("record") != "")
 
@@ -95,7 +95,10 @@ def parsed(spark: SparkSession, base: str, name: str, schema: T.StructType | Non
     names = csv_reader(spark, True).csv(path).columns
     if lacking := [f.name for f in schema.fields if f.name not in names] if schema else []:
         raise ValueError(f"{path} has no column {', '.join(lacking)}")
-    rows = stored(records(spark, path, name in MULTI_LINE if multi_line is None else multi_line), "csv-records")
+    several = name in MULTI_LINE if multi_line is None else multi_line
+    rows = records(spark, path, several)
+    if several:  # put together with shuffles; single lines are read again instead
+        rows = stored(rows, "csv-records")
     headers = rows.where("first").select(F.regexp_replace("record", "^﻿", "").alias("record")).distinct().limit(2).collect()
     if len(headers) > 1:
         raise ValueError(f"files of {path} have different headers: {[h['record'] for h in headers]}")
@@ -113,10 +116,10 @@ def convert(spark: SparkSession, base: str, name: str, good: str, bad: str, most
     ``bad`` is written first. If its share is above ``most_bad``, ``good`` is
     left as it was and a ValueError tells the numbers.
     """
-    rows = stored(parsed(spark, base, name, schema, multi_line), "csv-parsed")
-    n, n_bad = rows.agg(F.count(F.lit(1)), F.count(BAD)).first()
-    (rows.where(F.col(BAD).isNotNull()).select(F.col("__file").alias("file"), F.col(BAD).alias("record"))
-     .write.mode("overwrite").parquet(bad))
+    rows = parsed(spark, base, name, schema, multi_line)  # parsed twice rather than written once more
+    out = rows.where(F.col(BAD).isNotNull()).select(F.col("__file").alias("file"), F.col(BAD).alias("record"))
+    out.write.mode("overwrite").parquet(bad)
+    n, n_bad = rows.count(), spark.read.schema(out.schema).parquet(bad).count()
     if n_bad > most_bad * n:
         raise ValueError(f"{n_bad} of {n} records of {name} do not fit; see {bad}")
     rows.where(F.col(BAD).isNull()).drop(BAD, "__file").write.mode("overwrite").parquet(good)

@@ -158,3 +158,17 @@ def test_marts_of_converted_files_are_those_of_the_raw_ones(spark, tmp_dir):
     for mart in raw:
         a, b = spark.read.parquet(raw[mart]), spark.read.parquet(converted[mart])
         assert as_rows(a) == as_rows(b.select(a.columns)), mart
+
+
+def test_parsed_rows_are_not_written_once_more(spark, tmp_dir, monkeypatch):
+    from bazaar.sources import records as R
+
+    names, real = [], R.stored
+    monkeypatch.setattr(R, "stored", lambda df, name: names.append(name) or real(df, name))
+    os.makedirs(f"{tmp_dir}/t.csv")
+    with open(f"{tmp_dir}/t.csv/a.csv", "w") as f:
+        f.write('id,text,n\n1,"a\nb",2\n3,c,x\n4,d,5\n')
+    got = R.convert(spark, tmp_dir, "t", f"{tmp_dir}/good", f"{tmp_dir}/bad", 0.5, SCHEMA, True)
+    assert got == {"rows": 2, "bad": 1} and "csv-parsed" not in names
+    assert sorted(tuple(r) for r in spark.read.parquet(f"{tmp_dir}/good").select("id", "text", "n").collect()) == [(1, "a\nb", 2), (4, "d", 5)]
+    assert [r.record for r in spark.read.parquet(f"{tmp_dir}/bad").collect()] == ["3,c,x"]
