@@ -240,6 +240,48 @@ def test_index_of_no_ratings(spark):
     assert N.similar_users_by_index(df, 5).collect() == []
 
 
+@pytest.mark.parametrize("slab, block", [(40, 7), (1, 3), (1 << 20, 10_000)])
+def test_index_reads_by_tiles_and_slabs(spark, monkeypatch, slab, block):
+    from bazaar.operators import tiles as X
+
+    monkeypatch.setattr(X, "SLAB", slab)     # below a user's pairs it reads alone
+    monkeypatch.setattr(X, "LEAST_ROWS", 100)
+    ratings = _skewed(11, users=90)
+    got = _lists(N.similar_users_by_index(_frame(spark, ratings), 5, cold_raters=6, max_block=block), "customer_id", "neighbour")
+    assert got == brute(ratings, 5, 5)[0]
+
+
+def test_index_broadcasts_no_table_of_users_and_stores_no_pairs(spark, monkeypatch):
+    """Whatever the threshold, what grows with users, products or pairs is not
+    gathered on the driver; of pairs over cold products only the k best are kept."""
+    from bazaar.operators import tiles as X
+
+    plans, real = [], N.stored
+
+    def watched(df, *a, **kw):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, *a, **kw)
+
+    for m in (N, X):
+        monkeypatch.setattr(m, "stored", watched)
+    monkeypatch.setattr(X, "LEAST_ROWS", 100)
+    ratings = _skewed(12, users=120) | {(u, 500): 3.0 for u in range(120)}
+    df = _frame(spark, ratings)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, "1g")
+    try:
+        got = N.similar_users_by_index(df, 5, cold_raters=200)
+        plans.append(got._jdf.queryExecution().executedPlan().toString())
+        want = brute(ratings, 5, 5)[0]
+        assert _lists(got, "customer_id", "neighbour") == want
+        assert len(plans) > 5 and not any("BroadcastHashJoin" in p for p in plans)
+        cold = N.index_pairs(N._unit_weights(df, "customer_id", "product_id", "rating"), 5, 200)["cold"]
+        assert cold.count() <= 5 * 123 * X.number_of_tiles(len(ratings)) < 120 * 119
+    finally:
+        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+
+
 def _frame(spark, ratings):
     return spark.createDataFrame([(u, p, r) for (u, p), r in ratings.items()], "customer_id long, product_id long, rating double")
 
