@@ -34,6 +34,7 @@ VALUE = (rf"(?:(?<=[\"'`])[^\"'`\s]{{{LEAST_ASSIGNED},}}+"
          rf"|(?<![\"'`])[^\s\"'`,;(){{}}\[\]<>$]{{{LEAST_ASSIGNED},}}+(?![(\[{{<$]))")
 # the short looks behind fail at once almost everywhere
 CANDIDATE = rf"(?<![{KEY_CHARS}])(?:(?<=[:=>]\s{{0,3}}[\"'`]?)(?<={NAMED}){VALUE}|{KEY_RUN})"
+MARK = "\x01"                # stands around candidates while a text is cut
 LEFT, RIGHT = 48, 24         # characters of context
 SAMPLE = 4_000               # labelled findings of each label, at most
 DICTIONARY = 1_000           # words, at most
@@ -88,8 +89,10 @@ def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
     an empty one; texts of any length are read whole, repeated rows each."""
     types = {id_col: "long", text_col: "string"} | ({path_col: "string"} if path_col else {})
     found = candidates(pick(docs, **types), path_col, text_col, [id_col])
-    return found.select(id_col, F.col("path_").alias("path"), F.explode("found_").alias("x")).select(
-        id_col, "path", "x.value", "x.start", "x.left", "x.right")
+    # not a plain explode: Spark would put a filter on the list's size before it, which searches
+    # the texts once more for itself and again for every candidate
+    each = found.select(id_col, F.col("path_").alias("path"), F.explode_outer("found_").alias("x")).where(F.col("x").isNotNull())
+    return each.select(id_col, "path", "x.value", "x.start", "x.left", "x.right")
 
 
 def candidates(docs: DataFrame, path_col: str | None, text_col: str, keep: list[str]) -> DataFrame:
@@ -98,8 +101,14 @@ def candidates(docs: DataFrame, path_col: str | None, text_col: str, keep: list[
     value, start and context."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col else F.lit("")
-    cut = docs.select(*keep, path.alias("path_"), F.split(text, CANDIDATE, -1).alias("between_"),
-                      F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)).alias("values_"))
+    # one search: marks around every candidate, cut at them; a text that holds a mark itself is searched twice
+    marked = docs.select(*keep, path.alias("path_"), text.alias("text_"), F.contains(text, F.lit(MARK)).alias("holds_"),
+                         F.split(F.regexp_replace(text, CANDIDATE, f"{MARK}$0{MARK}"), MARK, -1).alias("parts_"))
+    cut = marked.select(
+        *keep, "path_",
+        F.when(F.col("holds_"), F.split("text_", CANDIDATE, -1)).otherwise(F.filter("parts_", lambda _, i: i % 2 == 0)).alias("between_"),
+        F.when(F.col("holds_"), F.regexp_extract_all("text_", F.lit(CANDIDATE), F.lit(0)))
+        .otherwise(F.filter("parts_", lambda _, i: i % 2 == 1)).alias("values_"))
 
     def finding(value: Column, i: Column) -> Column:
         before = F.slice(F.col("between_"), F.lit(1), i + 1)

@@ -35,6 +35,20 @@ def test_candidates_have_places_and_context(spark):
             assert (text[:f["start"]] + f["value"]).endswith(f["left"] + f["value"])
 
 
+def test_a_text_is_searched_once(spark):
+    """No filter searches it again; marks that a text holds itself are no cuts."""
+    texts = [f"\x01a {KEY}\x01 b \x01\x01{KEY} c", "\x01", f"{KEY}", f"x {KEY} {KEY}", "none", "", None]
+    df = frame(spark, [(i, t, "p", 0) for i, t in enumerate(texts)], SCHEMA)
+    found = findings(df)
+    lines = found._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert not [x for x in lines if "Filter" in x and "regexp_" in x]
+    assert sum("regexp_replace(" in x for x in lines) == 1
+    got = sorted((r["doc_id"], r["start"], r["value"]) for r in found.collect())
+    assert got == [(i, m.start(), m.group()) for i, t in enumerate(texts) for m in regex.finditer(CANDIDATE, t or "")]
+    between = {r["doc_id"]: r["between_"] for r in candidates(df, None, "text", ["doc_id"]).collect()}
+    assert between == {i: regex.split(CANDIDATE, t or "") for i, t in enumerate(texts)}
+
+
 def test_compiled_forest_votes_as_the_trees_say(spark):
     tree = ("length", 20.0, 0.0, ("digits", 0.5, 1.0, 0.0))
     f = F.struct(*[F.lit({"length": 30.0, "digits": 0.4}.get(n, 0.0)).alias(n) for n in FEATURES])
